@@ -100,3 +100,23 @@ def month_key(col: Column) -> Column:
 
 def nullif_zero(col: Column) -> Column:
     return F.when(col == F.lit(0), F.lit(None)).otherwise(col)
+
+
+def exact_mean_parts(v: Column, scale: int = 6) -> tuple[Column, Column]:
+    """Aggregates for :func:`exact_mean`: the sum of ``v`` in units of 10^-scale
+    (exact, DECIMAL(38,0)) and the count of non-null values."""
+    units = (v.cast(f"decimal(38,{scale})") * F.lit(10 ** scale)).cast("decimal(38,0)")
+    return F.sum(units), F.count(v)
+
+
+def exact_mean(total: Column, n: Column, digits: int = 4, scale: int = 6) -> Column:
+    """Mean rounded half away from zero at ``digits`` places, in exact integer
+    arithmetic from :func:`exact_mean_parts` (values quantised to ``scale``
+    places first). Summation order cannot change the result, so it is the same
+    on any number of partitions and in other engines."""
+    unit = 10 ** (scale - digits)
+    num = (F.abs(total) * F.lit(2) + n.cast("decimal(38,0)") * F.lit(unit)).cast("decimal(38,0)")
+    den = (n.cast("decimal(38,0)") * F.lit(2 * unit)).cast("decimal(38,0)")
+    # floor(num / den) for positive operands: the remainder makes the division exact
+    q = F.when(n > 0, F.signum(total) * ((num - num % den) / den).cast("decimal(38,0)"))
+    return q.cast("double") / F.lit(float(10 ** digits)) + F.lit(0.0)

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from riskforge.functions.columns import (as_metric_value, fround, is_numeric_type, label_binary,
-                                         month_key)
+from riskforge.functions.columns import (as_metric_value, exact_mean, exact_mean_parts, fround,
+                                         is_numeric_type, label_binary, month_key)
 from riskforge.operators.binning import bin_of, equal_freq_edges, equal_width_edges, single_bin
 from riskforge.operators.quantiles import group_counts
 from riskforge.operators.split import split_psi
@@ -202,22 +202,28 @@ def evaluate(df: DataFrame, features: list[str], target_col: str, time_col: str
 def monthly_metrics(df: DataFrame, features: list[str], time_col: str) -> DataFrame:
     """Missing rate and mean per feature and calendar month, from one aggregate.
 
-    Text features get a NULL mean. Rows with a null time form the month 'NaT'.
+    Means are exact (decimal sums, see ``exact_mean``) so that they do not
+    depend on partitioning. Text features get a NULL mean. Rows with a null
+    time form the month 'NaT'.
     """
     schema = df.schema
-    aggs = []
+    aggs, numeric = [], []
     for i, f in enumerate(features):
         if is_numeric_type(schema[f].dataType):
             v = as_metric_value(F.col(f), schema[f].dataType)
-            mean = F.avg(v)
+            total, n = exact_mean_parts(v)
+            aggs += [total.alias(f"s{i}"), n.alias(f"n{i}")]
+            numeric.append(i)
         else:
             v = F.col(f)
-            mean = F.lit(None).cast("double")
-        aggs.append(F.struct(F.avg(v.isNull().cast("double")).alias("m"), mean.alias("a")).alias(f"f{i}"))
+        aggs.append(F.avg(v.isNull().cast("double")).alias(f"m{i}"))
+    wide = df.groupBy(month_key(F.col(time_col)).alias("ym")).agg(*aggs)
+    structs = []
+    for i, _ in enumerate(features):
+        mean = exact_mean(F.col(f"s{i}"), F.col(f"n{i}")) if i in numeric else F.lit(None).cast("double")
+        structs.append(F.struct(F.col(f"m{i}").alias("m"), mean.alias("a")).alias(f"f{i}"))
     names = {f"f{i}": f for i, f in enumerate(features)}
     fname = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))])
-    wide = df.groupBy(month_key(F.col(time_col)).alias("ym")).agg(*aggs)
-    return (wide.unpivot(["ym"], list(names), "_f", "_s")
+    return (wide.select("ym", *structs).unpivot(["ym"], list(names), "_f", "_s")
             .select(F.element_at(fname, F.col("_f")).alias("feature"), "ym",
-                    fround(F.col("_s.m"), 4).alias("missing_rate"),
-                    fround(F.col("_s.a"), 4).alias("mean")))
+                    fround(F.col("_s.m"), 4).alias("missing_rate"), F.col("_s.a").alias("mean")))
