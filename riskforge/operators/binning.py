@@ -83,3 +83,15 @@ def bin_of(value: Column, edges: list[float]) -> Column:
 def single_bin(value: Column) -> Column:
     """The fallback for non-numeric features: bin 0 for every non-null value."""
     return F.when(value.isNotNull(), F.lit(0)).otherwise(F.lit(None).cast("int"))
+
+
+def bin_from_count(value: Column, edges_col: str, count_col: str) -> Column:
+    """Bin index from the number of edges below the value (see
+    ``functions.arrays.with_count_below``), for an edges array column.
+    Same rule as :func:`bin_of`."""
+    e = F.col(edges_col)
+    n = F.size(e)
+    out = ((n < 2) | value.isNull() | (value < F.try_element_at(e, F.lit(1)))
+           | (value > F.try_element_at(e, n)))
+    return F.when(out, F.lit(None).cast("int")).otherwise(
+        F.greatest(F.col(count_col) - F.lit(1), F.lit(0)).cast("int"))

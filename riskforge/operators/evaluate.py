@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from riskforge.functions.arrays import small_table
 from riskforge.functions.columns import fround
 
 # Fixed values that must equal the reference's behaviour.
@@ -75,7 +77,8 @@ def select_features(features: DataFrame, limit: int = MAX_MODEL_FEATURES) -> Dat
 def iv_gain(features: DataFrame, sources: DataFrame, spec: list[dict], spark: SparkSession) -> DataFrame:
     """IV of each derived feature minus the best IV among its source columns."""
     rows = [(f["name"], s) for f in spec for s in f.get("sources", [])]
-    pairs = spark.createDataFrame(rows, "feature string, source string")
+    pairs = small_table(spark, rows, T.StructType([T.StructField("feature", T.StringType()),
+                                                   T.StructField("source", T.StringType())]))
     best = (pairs.join(sources.select(F.col("feature").alias("source"), F.col("iv").alias("siv")), "source")
             .groupBy("feature").agg(F.max("siv").alias("max_source_iv")))
     return (features.select("feature", "iv").join(best, "feature")

@@ -23,9 +23,11 @@ from pyspark.sql.window import Window
 
 from riskforge.functions.columns import (as_metric_value, exact_mean, exact_mean_parts, fround,
                                          is_numeric_type, label_binary, month_key)
-from riskforge.operators.binning import bin_of, equal_freq_edges, equal_width_edges, single_bin
+from riskforge.functions.arrays import small_table, with_count_below
+from riskforge.operators.binning import bin_from_count, equal_freq_edges, equal_width_edges
 from riskforge.operators.quantiles import group_counts
 from riskforge.operators.split import split_psi
+from riskforge.session import materialize
 
 # Fixed values that must equal the reference's behaviour.
 EPS = 1e-9
@@ -113,23 +115,31 @@ def psi_table(cells: DataFrame, align: str = "bin") -> DataFrame:
 
 def evaluate(df: DataFrame, features: list[str], target_col: str, time_col: str | None = "lend_tm",
              id_col: str = "pid", n_bins: int = 10, thresholds: dict | None = None,
-             psi_align: str = "bin", base_ratio: float = 0.6, binning: str = "quantile") -> Evaluation:
+             psi_align: str = "bin", base_ratio: float = 0.6, binning: str = "quantile",
+             base_col: str | None = None) -> Evaluation:
     """Evaluate many features at once (IV, WOE bins, PSI, missing rate, monthly metrics, grade).
 
     Only rows with a non-null target are used. Features missing from ``df``
-    raise an error.
+    raise an error. ``base_col`` names a boolean column marking the base
+    (older) rows for PSI; without it the 60 / 40 split by time is computed.
     """
     missing_cols = [f for f in features if f not in df.columns]
     if missing_cols:
         raise ValueError(f"features not in the table: {missing_cols}")
     features = list(dict.fromkeys(features))
     schema = df.schema
-    keep = list(dict.fromkeys([c for c in [id_col, time_col, target_col] if c] + features))
+    keep = list(dict.fromkeys([c for c in [id_col, time_col, target_col, base_col] if c] + features))
     data = (df.where(F.col(target_col).isNotNull()).select(*keep)
             .withColumn("_y", label_binary(F.col(target_col), schema[target_col].dataType)))
-    if time_col or id_col:
+    if base_col:
+        # the caller already marked the base rows (e.g. shared by several evaluations)
+        data = data.withColumn("split", F.when(F.col(base_col), F.lit("base")).otherwise(F.lit("recent")))
+    else:
         data = split_psi(data, time_col, id_col, base_ratio)
-    is_base = F.col("split") == F.lit("base")
+    # The quantile step scans this frame several times: write the pruned,
+    # labelled and split rows once (this also cuts the lineage).
+    data = materialize(data.withColumn("_base", F.col("split") == F.lit("base")).drop("split"), "eval_input")
+    is_base = F.col("_base")
 
     numeric = [f for f in features if is_numeric_type(schema[f].dataType)]
     values = {f: as_metric_value(F.col(f), schema[f].dataType) for f in numeric}
@@ -148,22 +158,33 @@ def evaluate(df: DataFrame, features: list[str], target_col: str, time_col: str
     edges = {f: edges_any[f"all:{f}"] for f in numeric}
     base_edges = {f: edges_any[f"base:{f}"] for f in numeric}
 
-    structs = []
-    for i, f in enumerate(features):
-        if f in values:
-            b_iv, b_psi = bin_of(values[f], edges[f]), bin_of(values[f], base_edges[f])
-            isnull = values[f].isNull()
-        else:
-            b_iv, b_psi = single_bin(F.col(f)), F.lit(None).cast("int")
-            isnull = F.col(f).isNull()
-        structs.append(F.struct(b_iv.alias("b"), b_psi.alias("p"), isnull.alias("z")).alias(f"f{i}"))
-    names = {f"f{i}": f for i, f in enumerate(features)}
-    fname = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))])
-    cells = (data.select(F.col("_y"), is_base.alias("_base"), *structs)
-             .unpivot(["_y", "_base"], list(names), "_f", "_s")
-             .groupBy(F.element_at(fname, F.col("_f")).alias("feature"),
-                      F.col("_s.b").alias("bin"), F.col("_s.p").alias("pbin"),
-                      F.col("_base").alias("base"), F.col("_s.z").alias("is_null"))
+    spark = data.sparkSession
+    parts = []
+    if numeric:
+        # long (feature, value) rows joined to one broadcast row of edges per
+        # feature; the bin is found by binary search over the edge array
+        edge_schema = T.StructType([T.StructField("feature", T.StringType()),
+                                    T.StructField("e", T.ArrayType(T.DoubleType())),
+                                    T.StructField("pe", T.ArrayType(T.DoubleType()))])
+        edge_tbl = small_table(spark, [(f, edges[f], base_edges[f]) for f in numeric], edge_schema)
+        long = (data.select("_y", "_base", *[values[f].alias(f) for f in numeric])
+                .unpivot(["_y", "_base"], numeric, "feature", "v")
+                .join(F.broadcast(edge_tbl), "feature"))
+        long = with_count_below(long, "e", F.col("v"), "_ce", n_bins + 1)
+        long = with_count_below(long, "pe", F.col("v"), "_cp", n_bins + 1)
+        parts.append(long.select("feature", "_y", "_base",
+                                 bin_from_count(F.col("v"), "e", "_ce").alias("bin"),
+                                 bin_from_count(F.col("v"), "pe", "_cp").alias("pbin"),
+                                 F.col("v").isNull().alias("is_null")))
+    text = [f for f in features if f not in values]
+    if text:
+        long = (data.select("_y", "_base", *[F.col(f).isNull().alias(f) for f in text])
+                .unpivot(["_y", "_base"], text, "feature", "is_null"))
+        parts.append(long.select("feature", "_y", "_base",
+                                 F.when(~F.col("is_null"), F.lit(0)).alias("bin"),
+                                 F.lit(None).cast("int").alias("pbin"), "is_null"))
+    long = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    cells = (long.groupBy("feature", "bin", "pbin", F.col("_base").alias("base"), "is_null")
              .agg(F.count(F.lit(1)).alias("count"), F.sum("_y").alias("event"))
              .cache())
 
@@ -180,8 +201,9 @@ def evaluate(df: DataFrame, features: list[str], target_col: str, time_col: str
     iv = (bins.where(F.col("bin").isNotNull()).groupBy("feature")
           .agg(F.sum("iv_raw").alias("iv_raw"), F.count(F.lit(1)).alias("n_bins")))
     psi = psi_bins.groupBy("feature").agg(F.sum("psi").alias("psi_raw"))
-    feat_list = data.sparkSession.createDataFrame(
-        [(f, i) for i, f in enumerate(features)], "feature string, position int")
+    feat_list = small_table(spark, [(f, i) for i, f in enumerate(features)],
+                            T.StructType([T.StructField("feature", T.StringType()),
+                                          T.StructField("position", T.IntegerType())]))
     out = (feat_list.join(miss, "feature", "left").join(iv, "feature", "left").join(psi, "feature", "left")
            .select("feature", "position",
                    fround(F.coalesce(F.col("iv_raw"), F.lit(0.0)), 4).alias("iv"),
@@ -194,7 +216,9 @@ def evaluate(df: DataFrame, features: list[str], target_col: str, time_col: str
                            fround(F.col("event_rate_raw"), 4).alias("event_rate"),
                            fround(F.col("woe_raw"), 4).alias("woe"),
                            fround(F.col("iv_raw"), 4).alias("iv"))
-    monthly = monthly_metrics(data, features, time_col) if time_col else None
+    monthly = monthly_metrics(data, features, time_col).cache() if time_col else None
+    # small results (one row per feature / bin / month), read by many reports
+    out, bins_out, psi_bins = out.cache(), bins_out.cache(), psi_bins.cache()
     miss_out = out.select("feature", "missing_rate")
     return Evaluation(out, bins_out, psi_bins, monthly, miss_out, edges, base_edges)
 

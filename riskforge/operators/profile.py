@@ -11,8 +11,10 @@ import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from riskforge.functions.arrays import small_table
 from riskforge.functions.columns import classify_type, fround
 
 # Fixed values that must equal the reference's behaviour.
@@ -96,11 +98,13 @@ def profile(df: DataFrame, exclude: list[str] | None = None, time_col: str | Non
     excl = set(SYSTEM_COLUMNS if exclude is None else exclude)
     fields = [(i, f) for i, f in enumerate(df.schema.fields) if f.name not in excl]
     spark = df.sparkSession
-    meta = spark.createDataFrame(
-        [(f.name, i, f.dataType.simpleString(), f.nullable, classify_type(f.dataType),
-          is_target_candidate(f.name)) for i, f in fields],
-        "name string, position int, data_type string, nullable boolean, col_type string, "
-        "is_target_candidate boolean")
+    meta = small_table(
+        spark, [(f.name, i, f.dataType.simpleString(), f.nullable, classify_type(f.dataType),
+                 is_target_candidate(f.name)) for i, f in fields],
+        T.StructType([T.StructField("name", T.StringType()), T.StructField("position", T.IntegerType()),
+                      T.StructField("data_type", T.StringType()), T.StructField("nullable", T.BooleanType()),
+                      T.StructField("col_type", T.StringType()),
+                      T.StructField("is_target_candidate", T.BooleanType())]))
     src = newest(df, time_col, id_col, recent_rows) if (recent_rows and time_col) else df
     miss = missing_rates(src, [f.name for _, f in fields]).drop("position")
     cats = category_profile(df, [f.name for _, f in fields if classify_type(f.dataType) == "categorical"])

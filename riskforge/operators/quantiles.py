@@ -9,9 +9,11 @@ Method (all targets of all groups are handled together, a few passes):
 
 1. ``percentile_approx`` gives, for every wanted rank r, two candidate values
    a1 <= a2 whose ranks bracket r (margin = a few times the sketch error).
-2. One counting pass classifies every value against the sorted candidates of its
-   group with a CASE chain (codegen, no shuffle of rows: a partial aggregate over
-   (group, cell) codes). This gives exact counts below / at every candidate.
+2. One counting pass finds the cell of every value among the sorted candidates
+   of its group (binary search over a broadcast array: one row per group,
+   bounded by the number of targets) and counts cells with a partial
+   aggregate (no shuffle of rows). This gives exact counts below / at every
+   candidate.
 3. A target whose rank falls on a candidate is solved. Otherwise its open
    interval shrinks to the counted bracket; once the rows inside are few, the
    distinct values inside are aggregated and brought to the driver (bounded by
@@ -32,10 +34,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskforge.functions.arrays import small_table, with_count_below
+
 MAX_COLLECT = 50_000   # rows of a value histogram brought to the driver per target
 MAX_TOTAL = 400_000    # rows of value histograms brought to the driver per pass
 ACCURACY = 10_000      # percentile_approx accuracy (relative rank error 1/ACCURACY)
 MAX_PASSES = 40
+DEBUG = False
 
 
 @dataclass
@@ -76,14 +81,6 @@ def _inside(col: Column, lo: Any, hi: Any) -> Column:
     return cond
 
 
-def _cell_code(col: Column, points: list[Any]) -> Column:
-    """0 below p1, 1 at p1, 2 between p1 and p2, ..., 2k above pk."""
-    expr = F.when(col.isNull(), F.lit(None).cast("int"))
-    for i, p in enumerate(points):
-        expr = expr.when(col < F.lit(p), F.lit(2 * i)).when(col == F.lit(p), F.lit(2 * i + 1))
-    return expr.otherwise(F.lit(2 * len(points)))
-
-
 def order_stats(df: DataFrame, groups: dict[str, Column], ranks: dict[str, list[int]],
                 counts: dict[str, int] | None = None) -> dict[tuple[str, int], tuple[Any, int]]:
     """Value at each 0-based rank of each group (ascending, nulls ignored).
@@ -114,43 +111,84 @@ def order_stats(df: DataFrame, groups: dict[str, Column], ranks: dict[str, list[
                 small.append(t)
                 budget -= t.size
         big = [t for t in open_ if t.size > MAX_COLLECT]
+        if DEBUG:
+            print("pass", len(open_), "small", len(small), sum(t.size for t in small), "big", len(big), flush=True)
         if small:
             _solve_by_histogram(proj, names, fam, small)
         if big:
-            _narrow(proj, names, big)
+            _narrow(proj, names, fam, big)
     missing = [t for t in targets if not t.done]
     if missing:
         raise RuntimeError(f"order statistics did not converge for {len(missing)} targets")
     return {(t.group, t.rank): (t.value, t.n_lt) for t in targets}
 
 
+def _long(proj: DataFrame, names: dict[str, str], groups: list[str], family: str) -> DataFrame:
+    """(grp, v) rows of the given groups, nulls dropped (a narrow Expand)."""
+    cols = [F.col(names[g]).cast(family).alias(names[g]) for g in groups]
+    return (proj.select(*cols).unpivot([], [names[g] for g in groups], "grp", "v")
+            .where(F.col("v").isNotNull()))
+
+
+def _merged(intervals: list[tuple]) -> list[tuple[float, float]]:
+    """Closed double intervals covering the open brackets (None = unbounded)."""
+    iv = sorted((float("-inf") if lo is None else float(lo), float("inf") if hi is None else float(hi))
+                for lo, hi in intervals)
+    out: list[list[float]] = []
+    for lo, hi in iv:
+        if out and lo <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], hi)
+        else:
+            out.append([lo, hi])
+    return [(a, b) for a, b in out]
+
+
 def _solve_by_histogram(proj: DataFrame, names: dict[str, str], fam: dict[str, str],
                         targets: list[_Target]) -> None:
+    """Exact values of targets whose open bracket holds few values.
+
+    Per group, the brackets are merged into sorted intervals (one broadcast row
+    per group, bounded by the number of targets); a binary search keeps only
+    values inside some bracket; their distinct values are counted and brought
+    to the driver (bounded by the bracket sizes).
+    """
+    spark = proj.sparkSession
     by_group: dict[str, list[_Target]] = {}
     for t in targets:
         by_group.setdefault(t.group, []).append(t)
     hists: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    schema = T.StructType([T.StructField("grp", T.StringType()),
+                           T.StructField("ls", T.ArrayType(T.DoubleType())),
+                           T.StructField("hs", T.ArrayType(T.DoubleType()))])
     for family in ("long", "double"):
         gs = [g for g in by_group if fam[g] == family]
         if not gs:
             continue
-        cols = []
+        rows, width = [], 1
         for g in gs:
-            c = F.col(names[g])
-            cond = F.lit(False)
-            for t in by_group[g]:
-                cond = cond | _inside(c, t.lo, t.hi)
-            cols.append(F.when(cond, c.cast(family)).alias(names[g]))
-        long = (proj.select(*cols)
-                .unpivot([], [names[g] for g in gs], "grp", "v")
-                .where(F.col("v").isNotNull())
-                .groupBy("grp", "v").agg(F.count(F.lit(1)).alias("cnt")))
-        pdf = long.toPandas()
+            iv = _merged([(t.lo, t.hi) for t in by_group[g]])
+            rows.append((names[g], [a for a, _ in iv], [b for _, b in iv]))
+            width = max(width, len(iv))
+        lookup = F.broadcast(small_table(spark, rows, schema))
+        long = _long(proj, names, gs, family).join(lookup, "grp")
+        x = F.col("v").cast("double")
+        long = with_count_below(long, "ls", x, "k", width, strict=False)
+        inside = (F.col("k") >= 1) & (x <= F.try_element_at(F.col("hs"), F.col("k")))
+        q = long.where(inside).groupBy("grp", "v").agg(F.count(F.lit(1)).alias("cnt"))
+        if DEBUG:
+            import time as _t
+            _t0 = _t.time()
+            plan = q._jdf.queryExecution().executedPlan().toString()
+            print("    plan", round(_t.time() - _t0, 2), len(plan), "width", width, len(rows), flush=True)
+            _t0 = _t.time()
+        pdf = q.toPandas()
+        if DEBUG:
+            print("    run", round(_t.time() - _t0, 2), len(pdf), flush=True)
         for g in gs:
             part = pdf[pdf["grp"] == names[g]].sort_values("v")
             hists[g] = (part["v"].to_numpy(), part["cnt"].to_numpy().astype(np.int64))
     for g, ts in by_group.items():
-        values, cnts = hists.get(g, (np.array([]), np.array([], dtype=np.int64)))
+        values, cnts = hists[g]
         for t in ts:
             mask = np.ones(len(values), dtype=bool)
             if t.lo is not None:
@@ -161,13 +199,13 @@ def _solve_by_histogram(proj: DataFrame, names: dict[str, str], fam: dict[str, s
             cum = t.c_lo + np.cumsum(cs)
             idx = int(np.searchsorted(cum, t.rank, side="right"))
             if idx >= len(vs):
-                raise RuntimeError("order statistic outside its bracket")
+                raise RuntimeError(f"order statistic outside its bracket: {t}")
             t.value = vs[idx].item()
             t.n_lt = int(cum[idx] - cs[idx])
             t.done = True
 
 
-def _narrow(proj: DataFrame, names: dict[str, str], targets: list[_Target]) -> None:
+def _narrow(proj: DataFrame, names: dict[str, str], fam: dict[str, str], targets: list[_Target]) -> None:
     # 1. candidate values from percentile_approx, one sketch per (group, interval)
     keyed: dict[tuple, list[_Target]] = {}
     for t in targets:
@@ -191,27 +229,42 @@ def _narrow(proj: DataFrame, names: dict[str, str], targets: list[_Target]) -> N
             a1, a2 = vals[2 * j], vals[2 * j + 1]
             t._cand = (min(a1, a2), max(a1, a2))
             points.setdefault(t.group, set()).update(t._cand)
-    # 2. exact counts below / at every candidate
+    # 2. exact counts below / at every candidate: each value finds its cell
+    #    among the sorted candidates of its group (binary search over a
+    #    broadcast array, one row per group); cells are counted with a partial
+    #    aggregate. cell = 2 * (# candidates < v) + (v is a candidate).
+    spark = proj.sparkSession
     pts = {g: sorted(p) for g, p in points.items()}
-    gs = list(pts)
-    codes = (proj.select(*[_cell_code(F.col(names[g]), pts[g]).alias(names[g]) for g in gs])
-             .unpivot([], [names[g] for g in gs], "grp", "code")
-             .where(F.col("code").isNotNull())
-             .groupBy("grp", "code").agg(F.count(F.lit(1)).alias("cnt"))
-             .collect())
-    cell: dict[str, np.ndarray] = {g: np.zeros(2 * len(pts[g]) + 1, dtype=np.int64) for g in gs}
-    inv = {names[g]: g for g in gs}
-    for r in codes:
-        cell[inv[r["grp"]]][r["code"]] = r["cnt"]
+    cells: dict[str, np.ndarray] = {}
+    for family in ("long", "double"):
+        gs = [g for g in pts if fam[g] == family]
+        if not gs:
+            continue
+        dtype = T.LongType() if family == "long" else T.DoubleType()
+        schema = T.StructType([T.StructField("grp", T.StringType()),
+                               T.StructField("pts", T.ArrayType(dtype))])
+        lookup = F.broadcast(small_table(spark, [(names[g], pts[g]) for g in gs], schema))
+        width = max(len(pts[g]) for g in gs)
+        long = _long(proj, names, gs, family).join(lookup, "grp")
+        long = with_count_below(long, "pts", F.col("v"), "lt", width, strict=True)
+        long = with_count_below(long, "pts", F.col("v"), "le", width, strict=False)
+        res = (long.groupBy("grp", (F.col("lt") + F.col("le")).alias("cell"))
+               .agg(F.count(F.lit(1)).alias("cnt")).collect())
+        for g in gs:
+            cells[g] = np.zeros(2 * len(pts[g]) + 1, dtype=np.int64)
+        inv = {names[g]: g for g in gs}
+        for r in res:
+            cells[inv[r["grp"]]][r["cell"]] = r["cnt"]
     for t in targets:
         p = pts[t.group]
-        cum = np.concatenate([[0], np.cumsum(cell[t.group])])
+        cum = np.concatenate([[0], np.cumsum(cells[t.group])])
 
+        # cells 0 .. 2i lie below candidate i, cell 2i + 1 is equal to it
         def lt(v, p=p, cum=cum):
-            return int(cum[2 * p.index(v)])
+            return int(cum[2 * p.index(v) + 1])
 
         def le(v, p=p, cum=cum):
-            return int(cum[2 * p.index(v) + 1])
+            return int(cum[2 * p.index(v) + 2])
 
         a1, a2 = t._cand
         upper = t.c_lo + t.size  # values < hi

@@ -17,10 +17,13 @@ the rounded AUC. A single-class input gives 0 for all three (as the reference).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from riskforge.functions.arrays import small_table
 from riskforge.functions.columns import fround
 
 N_RANGES = 256
@@ -47,7 +50,8 @@ def score_histogram(df: DataFrame, label: Column, score: Column) -> DataFrame:
     hist = (df.select(score.cast("double").alias("score"), label.cast("long").alias("y"))
             .where(F.col("score").isNotNull())
             .groupBy("score")
-            .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")))
+            .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+            .persist(StorageLevel.MEMORY_AND_DISK))   # read by three passes below
     probs = [i / N_RANGES for i in range(1, N_RANGES)]
     row = hist.agg(F.percentile_approx("score", probs, 10_000).alias("b"),
                    F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
@@ -62,7 +66,9 @@ def score_histogram(df: DataFrame, label: Column, score: Column) -> DataFrame:
         offs.append((r, cp, cn))
         cp, cn = cp + rp, cn + rn
     spark = df.sparkSession
-    off_df = spark.createDataFrame(offs, "r int, op long, on long")  # at most N_RANGES rows
+    off_df = small_table(spark, offs, T.StructType([T.StructField("r", T.IntegerType()),
+                                                    T.StructField("op", T.LongType()),
+                                                    T.StructField("on", T.LongType())]))  # <= N_RANGES rows
     w = Window.partitionBy("r").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
     return (ranged.join(F.broadcast(off_df), "r")
             .select("score", "pos", "neg",

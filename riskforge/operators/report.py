@@ -5,8 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from riskforge.functions.arrays import small_table
 from riskforge.operators.model import ModelRun
 
 DEFAULT_MAX_IV = 0.5
@@ -16,8 +18,9 @@ TOP_IMPORTANCE = 20
 def report_features(features: DataFrame, spec: list[dict], spark: SparkSession) -> DataFrame:
     """rank (IV desc, ties in original order), feature, iv, psi, missing_rate,
     template, grade, bar_pct = min(100, round(iv / max(max_iv, 0.01) * 100))."""
-    tpl = spark.createDataFrame([(f["name"], f.get("template", "")) for f in spec],
-                                "feature string, template string")
+    tpl = small_table(spark, [(f["name"], f.get("template", "")) for f in spec],
+                      T.StructType([T.StructField("feature", T.StringType()),
+                                    T.StructField("template", T.StringType())]))
     max_iv = features.agg(F.max("iv")).first()[0]
     max_iv = DEFAULT_MAX_IV if max_iv is None else float(max_iv)
     w = Window.orderBy(F.col("iv").desc(), F.col("position"))   # one row per feature: small

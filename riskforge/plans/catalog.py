@@ -85,13 +85,23 @@ def derived(spark, sf):
         derive_table(wide(spark, sf), EVAL_SPEC, TARGET, ID, TIME, keep=EVAL_KEEP), "feat_derived_eval"))
 
 
+def split_frame(spark, sf):
+    """Derived table with the base / recent flag of the PSI split (materialised,
+    shared by the evaluations of derived and source columns)."""
+    def build():
+        d = split_psi(derived(spark, sf), TIME, ID)
+        return materialize(d.withColumn("is_base", F.col("split") == "base").drop("split"), "feat_derived_split")
+    return _memo(spark, sf, "split", build)
+
+
 def evaluation(spark, sf):
-    return _memo(spark, sf, "eval", lambda: evaluate(derived(spark, sf), EVAL_FEATURES, TARGET, TIME, ID))
+    return _memo(spark, sf, "eval", lambda: evaluate(split_frame(spark, sf), EVAL_FEATURES, TARGET, TIME, ID,
+                                                     base_col="is_base"))
 
 
 def source_evaluation(spark, sf):
-    return _memo(spark, sf, "source_eval",
-                 lambda: evaluate(derived(spark, sf), SOURCE_FEATURES, TARGET, TIME, ID))
+    return _memo(spark, sf, "source_eval", lambda: evaluate(split_frame(spark, sf), SOURCE_FEATURES, TARGET,
+                                                            TIME, ID, base_col="is_base"))
 
 
 def wide_profile(spark, sf):
