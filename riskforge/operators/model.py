@@ -94,20 +94,22 @@ def train_models(prepared: DataFrame, features: list[str], which=("gbt", "lr"),
     data = add_weights(data, train)
     run = ModelRun(features=features,
                    samples={k: int(counts.get(k, 0)) for k in ("train", "val", "test")})
-    metrics = []
+    scored_parts = []
     for name in which:
         if name == "gbt":
             model = gbt_pipeline(features, gbt_params).fit(data.where(F.col("split").isin("train", "val")))
         else:
             model = lr_pipeline(features, run.samples["train"]).fit(data.where(F.col("split") == "train"))
         run.models[name] = model
-        scored = score(model, data.where(F.col("split").isin("val", "test")))
-        for part in ("val", "test"):
-            m = auc_ks(scored.where(F.col("split") == part), F.col("y"), F.col("score")).first()
-            metrics.append((name, part, int(m["n"]), float(m["auc"]), float(m["ks"]), float(m["gini"])))
+        scored_parts.append(score(model, data.where(F.col("split").isin("val", "test")))
+                            .select(F.lit(name).alias("model"), "split", "y", "score"))
+    scored = scored_parts[0]
+    for p in scored_parts[1:]:
+        scored = scored.unionByName(p)
+    # all (model, split) metrics from one grouped histogram pass
+    run.metrics = auc_ks(scored, F.col("y"), F.col("score"), by=["model", "split"]).cache()
+    metrics = [(r["model"], r["split"], r["n"], r["auc"], r["ks"], r["gini"]) for r in run.metrics.collect()]
     spark = prepared.sparkSession
-    run.metrics = spark.createDataFrame(
-        metrics, "model string, split string, n long, auc double, ks double, gini double")
     best, best_auc = None, 0.0
     for name, part, _, auc, _, _ in metrics:
         if part == "test" and auc > best_auc:

@@ -5,8 +5,8 @@ with partial aggregation before the shuffle. The cumulative counts over scores
 are then built in two levels so that no task sees all distinct scores:
 
 1. distinct scores are split into ranges by approximate quantiles (a small,
-   bounded list of boundaries), each score gets its range with a binary CASE
-   tree (codegen);
+   bounded list of boundaries per group, broadcast), each score gets its range
+   by comparison with the boundaries (generated code);
 2. per-range totals (at most ``n_ranges`` rows) give each range's offset;
 3. a window partitioned by range adds the running count inside the range.
 
@@ -23,74 +23,78 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from riskforge.functions.arrays import small_table
+from riskforge.functions.arrays import count_below, small_table
 from riskforge.functions.columns import fround
 
-N_RANGES = 256
+N_RANGES = 64
 
 
 def _nz(name: str) -> Column:
     return F.when(F.col(name) != 0, F.col(name))
 
 
-def range_of(col: Column, bounds: list) -> Column:
-    """Index of the range of ``col`` among sorted ``bounds`` (binary CASE tree):
-    0 for col <= bounds[0], ..., len(bounds) for col > bounds[-1]."""
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(col <= F.lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-    return build(0, len(bounds))
-
-
-def score_histogram(df: DataFrame, label: Column, score: Column) -> DataFrame:
-    """(score, pos, neg, pos_ge, neg_ge, pos_total, neg_total) per distinct score;
-    ``*_ge`` count rows with a score >= this score."""
-    hist = (df.select(score.cast("double").alias("score"), label.cast("long").alias("y"))
+def score_histogram(df: DataFrame, label: Column, score: Column, by: list[str] | None = None) -> DataFrame:
+    """(by..., score, pos, neg, pos_ge, neg_ge, pos_total, neg_total) per group and
+    distinct score; ``*_ge`` count rows of the group with a score >= this score."""
+    by = list(by or [])
+    spark = df.sparkSession
+    if not by:   # one group: a constant key keeps every join an equi-join
+        df, by = df.withColumn("_g", F.lit(0)), ["_g"]
+        return score_histogram(df, label, score, by).drop("_g")
+    hist = (df.select(*by, score.cast("double").alias("score"), label.cast("long").alias("y"))
             .where(F.col("score").isNotNull())
-            .groupBy("score")
+            .groupBy(*by, "score")
             .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
             .persist(StorageLevel.MEMORY_AND_DISK))   # read by three passes below
     probs = [i / N_RANGES for i in range(1, N_RANGES)]
-    row = hist.agg(F.percentile_approx("score", probs, 10_000).alias("b"),
-                   F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
-    bounds = sorted(set(row["b"] or []))
-    P, N = int(row["P"] or 0), int(row["N"] or 0)
-    ranged = hist.withColumn("r", range_of(F.col("score"), bounds) if bounds else F.lit(0))
-    # ranges are visited from the highest scores down
-    tot = ranged.groupBy("r").agg(F.sum("pos").alias("rp"), F.sum("neg").alias("rn")).collect()
-    tot = sorted(((t["r"], int(t["rp"]), int(t["rn"])) for t in tot), reverse=True)
-    offs, cp, cn = [], 0, 0
-    for r, rp, rn in tot:
-        offs.append((r, cp, cn))
-        cp, cn = cp + rp, cn + rn
-    spark = df.sparkSession
-    off_df = small_table(spark, offs, T.StructType([T.StructField("r", T.IntegerType()),
-                                                    T.StructField("op", T.LongType()),
-                                                    T.StructField("on", T.LongType())]))  # <= N_RANGES rows
-    w = Window.partitionBy("r").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return (ranged.join(F.broadcast(off_df), "r")
-            .select("score", "pos", "neg",
+    stats = (hist.groupBy(*by).agg(F.percentile_approx("score", probs, 10_000).alias("b"),
+                                   F.sum("pos").alias("P"), F.sum("neg").alias("N")).collect())
+    schema = T.StructType([df.schema[c] for c in by] + [
+        T.StructField("b", T.ArrayType(T.DoubleType())), T.StructField("P", T.LongType()),
+        T.StructField("N", T.LongType())])
+    # one row per group: range bounds and totals (bounded by the number of groups)
+    bounds = small_table(spark, [tuple(r[c] for c in by) + (sorted(set(r["b"] or [])), int(r["P"]), int(r["N"]))
+                                 for r in stats], schema)
+    ranged = hist.join(F.broadcast(bounds), by)
+    ranged = ranged.withColumn("r", count_below(F.col("b"), F.col("score"), N_RANGES - 1))
+    # ranges are visited from the highest scores down; offsets per (group, range)
+    tot = ranged.groupBy(*by, "r").agg(F.sum("pos").alias("rp"), F.sum("neg").alias("rn")).collect()
+    per_group: dict[tuple, list] = {}
+    for t in tot:
+        per_group.setdefault(tuple(t[c] for c in by), []).append((t["r"], int(t["rp"]), int(t["rn"])))
+    offs = []
+    for key, items in per_group.items():
+        cp = cn = 0
+        for r, rp, rn in sorted(items, reverse=True):
+            offs.append(key + (r, cp, cn))
+            cp, cn = cp + rp, cn + rn
+    off_schema = T.StructType([df.schema[c] for c in by] + [
+        T.StructField("r", T.IntegerType()), T.StructField("op", T.LongType()), T.StructField("on", T.LongType())])
+    off_df = small_table(spark, offs, off_schema)   # at most groups x N_RANGES rows
+    w = (Window.partitionBy(*by, "r").orderBy(F.col("score").desc())
+         .rowsBetween(Window.unboundedPreceding, 0))
+    return (ranged.join(F.broadcast(off_df), by + ["r"])
+            .select(*by, "score", "pos", "neg",
                     (F.col("op") + F.sum("pos").over(w)).alias("pos_ge"),
                     (F.col("on") + F.sum("neg").over(w)).alias("neg_ge"),
-                    F.lit(P).cast("long").alias("pos_total"), F.lit(N).cast("long").alias("neg_total")))
+                    F.col("P").alias("pos_total"), F.col("N").alias("neg_total")))
 
 
-def auc_ks(df: DataFrame, label: Column, score: Column) -> DataFrame:
-    """One row: n, auc, ks, gini (rounded to 4 places)."""
-    h = score_histogram(df, label, score)
+def auc_ks(df: DataFrame, label: Column, score: Column, by: list[str] | None = None) -> DataFrame:
+    """One row per group: (by..., n, auc, ks, gini), rounded to 4 places."""
+    by = list(by or [])
+    h = score_histogram(df, label, score, by)
     pos_gt = F.col("pos_ge") - F.col("pos")
     num = (F.col("neg").cast("decimal(38,0)")
            * (F.lit(2).cast("decimal(38,0)") * pos_gt.cast("decimal(38,0)") + F.col("pos").cast("decimal(38,0)")))
     P, N = F.col("pos_total").cast("double"), F.col("neg_total").cast("double")
     tpr_fpr = F.abs(F.col("pos_ge") / _nz("pos_total") - F.col("neg_ge") / _nz("neg_total"))
-    agg = h.agg(F.sum(num).alias("num"), F.max(tpr_fpr).alias("ks_raw"),
-                F.first("pos_total").alias("pos_total"), F.first("neg_total").alias("neg_total"))
+    agg = h.groupBy(*by).agg(F.sum(num).alias("num"), F.max(tpr_fpr).alias("ks_raw"),
+                             F.first("pos_total").alias("pos_total"), F.first("neg_total").alias("neg_total"))
     two_class = (F.col("pos_total") > 0) & (F.col("neg_total") > 0)
     auc = F.when(two_class, fround(F.col("num").cast("double") / (F.lit(2.0) * P * N), 4)).otherwise(F.lit(0.0))
     ks = F.when(two_class, fround(F.col("ks_raw"), 4)).otherwise(F.lit(0.0))
-    out = agg.select((F.col("pos_total") + F.col("neg_total")).alias("n"), auc.alias("auc"), ks.alias("ks"),
+    out = agg.select(*by, (F.col("pos_total") + F.col("neg_total")).alias("n"), auc.alias("auc"), ks.alias("ks"),
                      two_class.alias("_ok"))
     gini = F.when(F.col("_ok"), fround(F.lit(2.0) * F.col("auc") - F.lit(1.0), 4)).otherwise(F.lit(0.0))
     return out.withColumn("gini", gini).drop("_ok")

@@ -23,33 +23,54 @@ def _order_columns(df: DataFrame, order_by: list[str]) -> list[Column]:
     return [order_number(F.col(c), df.schema[c].dataType) for c in order_by]
 
 
-def cut_key(df: DataFrame, order_by: list[str], k: int, n: int | None = None) -> list[Any] | None:
-    """Key of the row at 1-based position ``k`` of the (nulls-last) order.
-
-    Returns None when ``k == 0``. Values are the numeric order keys of
-    :func:`riskforge.functions.columns.order_number`; None stands for null.
+def cut_keys(df: DataFrame, order_by: list[str], ks: list[int]) -> list[list[Any] | None]:
+    """Keys of the rows at 1-based positions ``ks`` of the (nulls-last) order.
+
+    All positions are resolved together, one key column at a time: exact
+    order statistics on the first column, then on the next column among the
+    rows tied on the first, and so on. ``None`` stands for position 0; inside a
+    key, None stands for a null value. Values are the numeric order keys of
+    :func:`riskforge.functions.columns.order_number`.
     """
-    if k <= 0:
-        return None
     nums = _order_columns(df, order_by)
-    cond: Column | None = None
-    r = k - 1
-    key: list[Any] = []
+    # state per cut: remaining 0-based rank, condition selecting its tied rows, key so far
+    state = [{"r": k - 1, "cond": None, "key": []} for k in ks]
     for num in nums:
-        sub = num if cond is None else F.when(cond, num)
-        row = df.agg(F.count(sub).alias("nn")).first()
-        nn = int(row["nn"])
-        if r < nn:
-            (value, n_lt) = order_stats(df, {"x": sub}, {"x": [r]}, {"x": nn})[("x", r)]
-            r -= n_lt
-            key.append(value)
-            eq = num == F.lit(value)
-        else:
-            r -= nn
-            key.append(None)
-            eq = num.isNull()
-        cond = eq if cond is None else (cond & eq)
-    return key
+        live = [st for st in state if st["r"] >= 0]
+        if not live:
+            break
+        # cuts that share the same tied rows share one group
+        groups, owner = {}, []
+        for st in live:
+            sub = num if st["cond"] is None else F.when(st["cond"], num)
+            text = str(sub._jc.toString())
+            if text not in groups:
+                groups[text] = (f"c{len(groups)}", sub)
+            owner.append(groups[text][0])
+        exprs = {name: sub for name, sub in groups.values()}
+        nn = dict(zip(exprs, df.agg(*[F.count(c) for c in exprs.values()]).first()))
+        ranks: dict[str, list[int]] = {}
+        for g, st in zip(owner, live):
+            if st["r"] < nn[g]:
+                ranks.setdefault(g, []).append(st["r"])
+        stats = order_stats(df, {g: exprs[g] for g in ranks}, ranks, {g: nn[g] for g in ranks}) if ranks else {}
+        for g, st in zip(owner, live):
+            if st["r"] < nn[g]:
+                value, n_lt = stats[(g, st["r"])]
+                st["r"] -= n_lt
+                st["key"].append(value)
+                eq = num == F.lit(value)
+            else:
+                st["r"] -= nn[g]
+                st["key"].append(None)
+                eq = num.isNull()
+            st["cond"] = eq if st["cond"] is None else (st["cond"] & eq)
+    return [st["key"] if k > 0 else None for st, k in zip(state, ks)]
+
+
+def cut_key(df: DataFrame, order_by: list[str], k: int, n: int | None = None) -> list[Any] | None:
+    """Key of the row at 1-based position ``k`` (see :func:`cut_keys`)."""
+    return cut_keys(df, order_by, [k])[0]
 
 
 def at_or_before(df: DataFrame, order_by: list[str], key: list[Any] | None) -> Column:
@@ -78,11 +99,11 @@ def split_by_order(df: DataFrame, order_by: list[str], ratios: list[float], labe
     if len(labels) != len(ratios) + 1:
         raise ValueError("need one label more than cut ratios")
     n = df.count()
-    cum, preds = 0.0, []
-    for ratio in ratios:
-        cum = cum + ratio if preds else ratio
-        k = int(n * cum)
-        preds.append(at_or_before(df, order_by, cut_key(df, order_by, k, n)))
+    cum, ks = 0.0, []
+    for i, ratio in enumerate(ratios):
+        cum = cum + ratio if i else ratio
+        ks.append(int(n * cum))
+    preds = [at_or_before(df, order_by, key) for key in cut_keys(df, order_by, ks)]
     expr = None
     for pred, label in zip(preds, labels):
         expr = F.when(pred, F.lit(label)) if expr is None else expr.when(pred, F.lit(label))
