@@ -1,8 +1,8 @@
 """Helpers for small per-group lookup arrays joined to large data.
 
-``count_below`` counts the elements of a small sorted array column below a
-value (one comparison per element, generated code whose size does not depend
-on the number of groups or values). ``small_table`` builds a tiny DataFrame from
+``with_count_below`` counts the elements of a small sorted array column below
+a value (binary search; generated code whose size does not depend on the
+number of groups or values). ``small_table`` builds a tiny DataFrame from
 driver-side metadata in the JVM (no Python worker round trip).
 """
 
@@ -24,16 +24,8 @@ def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) ->
 
 def count_below(arr: Column, x: Column, max_len: int, strict: bool = True) -> Column:
     """Number of elements of the sorted array ``arr`` that are < x (``strict``)
-    or <= x; a null x gives 0.
-
-    Written as a sum of ``max_len`` element comparisons with no
-    self-reference, so the expression stays linear in size when the optimizer
-    inlines it (for example into a pushed-down join condition) and runs in
-    generated code. Longer arrays use the ``filter`` higher-order function.
-    """
-    if max_len > 64:
-        keep = F.filter(arr, lambda e: (e < x) if strict else (e <= x))
-        return F.coalesce(F.size(keep), F.lit(0))
+    or <= x, as one expression (a null x gives 0). Only for short arrays: the
+    expression has one comparison per element."""
     terms = []
     for k in range(1, max(max_len, 1) + 1):
         e = F.try_element_at(arr, F.lit(k))
@@ -46,6 +38,31 @@ def count_below(arr: Column, x: Column, max_len: int, strict: bool = True) -> Co
 
 
 def with_count_below(df: DataFrame, arr: str, x: Column, out: str, max_len: int,
-                     strict: bool = True) -> DataFrame:
-    """``df`` with ``out`` = :func:`count_below` of the array column ``arr``."""
-    return df.withColumn(out, count_below(F.col(arr), x, max_len, strict))
+                     strict: bool = True, filtered: bool = False) -> DataFrame:
+    """``df`` with ``out`` = number of elements of the sorted array column
+    ``arr`` that are < x (``strict``) or <= x; a null x gives 0.
+
+    Short arrays (<= 16) use one comparison per element. Longer ones use a
+    branch-free binary search (about log2(max_len) comparisons per row, one
+    projection per step so that generated code stays small) -- unless a filter
+    on the result follows (``filtered``): Catalyst would push that filter down
+    and inline the steps into each other, so the ``filter`` higher-order
+    function is used instead.
+    """
+    if max_len <= 16:
+        return df.withColumn(out, count_below(F.col(arr), x, max_len, strict))
+    if filtered:
+        keep = F.filter(F.col(arr), lambda e: (e < x) if strict else (e <= x))
+        return df.withColumn(out, F.coalesce(F.size(keep), F.lit(0)))
+    step = 1
+    while step * 2 <= max_len:
+        step *= 2
+    df = df.withColumn(out, F.lit(0))
+    while step >= 1:
+        cand = F.col(out) + F.lit(step)
+        e = F.try_element_at(F.col(arr), cand)
+        hit = (e < x) if strict else (e <= x)
+        ok = (cand <= F.size(F.col(arr))) & F.coalesce(hit, F.lit(False))
+        df = df.withColumn(out, F.when(ok, cand).otherwise(F.col(out)))
+        step //= 2
+    return df

@@ -61,27 +61,29 @@ def grade_column(iv: Column, missing: Column, psi: Column, thresholds: dict | No
 
 
 def woe_table(cells: DataFrame) -> DataFrame:
-    """WOE / IV per bin from (feature, bin, count, event) cells plus totals.
+    """WOE / IV per bin from (feature, bin, count, event) cells.
 
     Totals count every labelled row (also rows whose feature is null).
     Rows with a NULL bin are shown with NULL woe / iv and do not enter IV.
+    ``cells`` is expected hash-partitioned by feature: the per-bin aggregate and
+    the per-feature totals (a window) then need no further exchange.
     """
-    totals = cells.groupBy("feature").agg(F.sum("count").alias("_n"), F.sum("event").alias("_te"))
     per_bin = cells.groupBy("feature", "bin").agg(F.sum("count").alias("count"),
                                                   F.sum("event").alias("event"))
+    w = Window.partitionBy("feature")
+    per_bin = per_bin.withColumn("_n", F.sum("count").over(w)).withColumn("_te", F.sum("event").over(w))
     te = F.greatest(F.col("_te").cast("double"), F.lit(EPS))
     tn = F.greatest((F.col("_n") - F.col("_te")).cast("double"), F.lit(EPS))
     p_ev = F.greatest(F.col("event").cast("double"), F.lit(EPS)) / te
     p_non = F.greatest((F.col("count") - F.col("event")).cast("double"), F.lit(EPS)) / tn
     woe = F.when(F.col("bin").isNotNull(), F.log(p_ev / p_non))
-    return (per_bin.join(totals, "feature")
-            .select("feature", "bin",
-                    F.col("count").cast("long").alias("count"),
-                    F.col("event").cast("long").alias("event"),
-                    (F.col("count") - F.col("event")).cast("long").alias("non_event"),
-                    (F.col("event") / F.greatest(F.col("count"), F.lit(1))).alias("event_rate_raw"),
-                    woe.alias("woe_raw"),
-                    F.when(F.col("bin").isNotNull(), (p_ev - p_non) * woe).alias("iv_raw")))
+    return per_bin.select("feature", "bin",
+                          F.col("count").cast("long").alias("count"),
+                          F.col("event").cast("long").alias("event"),
+                          (F.col("count") - F.col("event")).cast("long").alias("non_event"),
+                          (F.col("event") / F.greatest(F.col("count"), F.lit(1))).alias("event_rate_raw"),
+                          woe.alias("woe_raw"),
+                          F.when(F.col("bin").isNotNull(), (p_ev - p_non) * woe).alias("iv_raw"))
 
 
 def psi_table(cells: DataFrame, align: str = "bin") -> DataFrame:
@@ -91,24 +93,24 @@ def psi_table(cells: DataFrame, align: str = "bin") -> DataFrame:
     ``align="rank"`` pairs the k-th present bin of each side (the reference's
     positional pairing, which shifts after an empty bin).
     """
-    tot = cells.groupBy("feature").agg(F.sum("expected").alias("_e"), F.sum("actual").alias("_a"))
+    w = Window.partitionBy("feature")
+    cells = cells.withColumn("_e", F.sum("expected").over(w)).withColumn("_a", F.sum("actual").over(w))
     if align == "rank":
         # at most n_bins rows per feature: a per-feature window is small
-        e = (cells.where(F.col("expected") > 0).select("feature", "bin", "expected")
+        e = (cells.where(F.col("expected") > 0).select("feature", "bin", "expected", "_e", "_a")
              .withColumn("k", F.row_number().over(Window.partitionBy("feature").orderBy("bin"))))
         a = (cells.where(F.col("actual") > 0).select("feature", F.col("bin").alias("abin"), "actual")
              .withColumn("k", F.row_number().over(Window.partitionBy("feature").orderBy("abin"))))
-        paired = e.join(a, ["feature", "k"]).select("feature", "bin", "expected", "actual")
+        paired = e.join(a, ["feature", "k"]).select("feature", "bin", "expected", "actual", "_e", "_a")
     elif align == "bin":
-        paired = cells.select("feature", "bin", "expected", "actual")
+        paired = cells.select("feature", "bin", "expected", "actual", "_e", "_a")
     else:
         raise ValueError("align must be 'bin' or 'rank'")
     e_share = F.col("expected") / F.greatest(F.col("_e"), F.lit(1))
     a_share = F.col("actual") / F.greatest(F.col("_a"), F.lit(1))
     e_s = F.when(e_share == 0, F.lit(EPS)).otherwise(e_share)
     a_s = F.when(a_share == 0, F.lit(EPS)).otherwise(a_share)
-    return (paired.join(tot, "feature")
-            .where((F.col("_e") > 0) & (F.col("_a") > 0))
+    return (paired.where((F.col("_e") > 0) & (F.col("_a") > 0))
             .select("feature", "bin", e_s.alias("expected"), a_s.alias("actual"),
                     ((a_s - e_s) * F.log(a_s / e_s)).alias("psi")))
 
@@ -184,8 +186,11 @@ def evaluate(df: DataFrame, features: list[str], target_col: str, time_col: str
                                  F.when(~F.col("is_null"), F.lit(0)).alias("bin"),
                                  F.lit(None).cast("int").alias("pbin"), "is_null"))
     long = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    # at most features x (bins + 1)^2 x 4 rows; partitioned by feature once so
+    # that every per-feature step below runs without another exchange
     cells = (long.groupBy("feature", "bin", "pbin", F.col("_base").alias("base"), "is_null")
              .agg(F.count(F.lit(1)).alias("count"), F.sum("_y").alias("event"))
+             .repartition("feature")
              .cache())
 
     bins = woe_table(cells.select("feature", "bin", "count", "event"))
@@ -201,10 +206,13 @@ def evaluate(df: DataFrame, features: list[str], target_col: str, time_col: str
     iv = (bins.where(F.col("bin").isNotNull()).groupBy("feature")
           .agg(F.sum("iv_raw").alias("iv_raw"), F.count(F.lit(1)).alias("n_bins")))
     psi = psi_bins.groupBy("feature").agg(F.sum("psi").alias("psi_raw"))
+    per_feature = (miss.unionByName(iv, allowMissingColumns=True).unionByName(psi, allowMissingColumns=True)
+                   .groupBy("feature").agg(*[F.max(c).alias(c) for c in ("missing_raw", "iv_raw", "n_bins",
+                                                                         "psi_raw")]))
     feat_list = small_table(spark, [(f, i) for i, f in enumerate(features)],
                             T.StructType([T.StructField("feature", T.StringType()),
                                           T.StructField("position", T.IntegerType())]))
-    out = (feat_list.join(miss, "feature", "left").join(iv, "feature", "left").join(psi, "feature", "left")
+    out = (per_feature.join(F.broadcast(feat_list), "feature")
            .select("feature", "position",
                    fround(F.coalesce(F.col("iv_raw"), F.lit(0.0)), 4).alias("iv"),
                    fround(F.coalesce(F.col("psi_raw"), F.lit(0.0)), 4).alias("psi"),

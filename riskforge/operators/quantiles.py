@@ -26,6 +26,7 @@ the counts of that value, never by collecting its rows.
 from __future__ import annotations
 
 import math
+import time
 from dataclasses import dataclass
 from typing import Any
 
@@ -172,7 +173,7 @@ def _solve_by_histogram(proj: DataFrame, names: dict[str, str], fam: dict[str, s
         lookup = F.broadcast(small_table(spark, rows, schema))
         long = _long(proj, names, gs, family).join(lookup, "grp")
         x = F.col("v").cast("double")
-        long = with_count_below(long, "ls", x, "k", width, strict=False)
+        long = with_count_below(long, "ls", x, "k", width, strict=False, filtered=True)
         inside = (F.col("k") >= 1) & (x <= F.try_element_at(F.col("hs"), F.col("k")))
         q = long.where(inside).groupBy("grp", "v").agg(F.count(F.lit(1)).alias("cnt"))
         if DEBUG:
@@ -221,7 +222,10 @@ def _narrow(proj: DataFrame, names: dict[str, str], fam: dict[str, str], targets
         c = F.col(names[g])
         aggs.append(F.percentile_approx(F.when(_inside(c, lo, hi), c), probs, ACCURACY).alias(f"a{i}"))
         plan.append(ts)
+    t0 = time.time()
     row = proj.agg(*aggs).first()
+    if DEBUG:
+        print(f"    approx {time.time() - t0:.2f}s", flush=True)
     points: dict[str, set] = {}
     for i, ts in enumerate(plan):
         vals = row[f"a{i}"]
@@ -247,8 +251,8 @@ def _narrow(proj: DataFrame, names: dict[str, str], fam: dict[str, str], targets
         width = max(len(pts[g]) for g in gs)
         long = _long(proj, names, gs, family).join(lookup, "grp")
         long = with_count_below(long, "pts", F.col("v"), "lt", width, strict=True)
-        long = with_count_below(long, "pts", F.col("v"), "le", width, strict=False)
-        res = (long.groupBy("grp", (F.col("lt") + F.col("le")).alias("cell"))
+        cell = F.col("lt") * F.lit(2) + F.array_contains(F.col("pts"), F.col("v")).cast("int")
+        res = (long.groupBy("grp", cell.alias("cell"))
                .agg(F.count(F.lit(1)).alias("cnt")).collect())
         for g in gs:
             cells[g] = np.zeros(2 * len(pts[g]) + 1, dtype=np.int64)
