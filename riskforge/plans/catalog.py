@@ -24,7 +24,7 @@ from riskforge.operators.binning import bin_of, equal_width_edges, single_bin
 from riskforge.operators.derive import derive_table
 from riskforge.operators.metrics import evaluate
 from riskforge.operators.model import score, train_models
-from riskforge.operators.ranking import auc_ks
+from riskforge.operators.ranking import auc_ks, signed_ks
 from riskforge.operators.split import split_model, split_psi, split_summary
 from riskforge.session import checkpoint_root, materialize
 from riskforge.sources import readers as S
@@ -457,6 +457,10 @@ def q_ks(spark, sf):
     return auc_ks(_scored_rows(spark, sf), F.col("y"), F.col("score")).select("n", "ks")
 
 
+def q_ks_signed(spark, sf):
+    return signed_ks(_scored_rows(spark, sf), F.col("y"), F.col("score"))
+
+
 def q_gini(spark, sf):
     return auc_ks(_scored_rows(spark, sf), F.col("y"), F.col("score")).select("n", "auc", "gini")
 
@@ -555,6 +559,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "auc": q_auc,
     "ks": q_ks,
     "gini": q_gini,
+    "ks_signed": q_ks_signed,
     "auc_share": q_auc_share,
     "importance": q_importance,
     "model_metrics": q_model_metrics,

@@ -266,6 +266,13 @@ ORACLE: dict[str, str] = {
     "auc": _auc(SCORE_N_ITEMS, "n, auc"),
     "ks": _auc(SCORE_N_ITEMS, "n, ks"),
     "gini": _auc(SCORE_N_ITEMS, f"n, auc, {GINI}"),
+    "ks_signed": with_wide(
+        f"SELECT {r('greatest(max(pos_ge / P - neg_ge / N), 0.0)', 4)} AS ks FROM c",
+        DERIVED_CTE, f"s AS ({SCORE_N_ITEMS})",
+        "h AS (SELECT score, sum(y) AS pos, sum(1 - y) AS neg FROM s GROUP BY score)",
+        "c AS (SELECT score, pos, neg, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS pos_ge, "
+        "sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS neg_ge, "
+        "sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM h)"),
     "auc_share": _auc(SCORE_SHARE, f"n, auc, ks, {GINI}"),
     "report_features": _eval(
         "SELECT row_number() OVER (ORDER BY f.iv DESC, f.position) AS rank, f.feature, f.iv, f.psi, f.missing_rate, "

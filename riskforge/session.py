@@ -3,7 +3,6 @@ shared folder used to cut lineage (``spark.checkpoint.dir``)."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -36,8 +35,9 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    It is read from the session; only when it is unset (local tests) a folder
-    of our own is created and registered.
+    It is read from the session; only when it is unset and Spark runs in local
+    mode (tests) a folder of our own is created and registered. On a cluster an
+    unset folder is an error: executors must write to shared storage.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir()
@@ -45,7 +45,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
             "spark.checkpoint.dir", None)
         if not path:
-            path = tempfile.mkdtemp(prefix="riskforge-ckpt-")
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
+            path = tempfile.mkdtemp(prefix="riskforge-ckpt-")   # local mode only (tests)
         sc.setCheckpointDir(path)
         path = sc.getCheckpointDir() or path
     return path
@@ -62,8 +64,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{root}/tables/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def scratch_dir(prefix: str = "riskforge-") -> str:
-    """A fresh local folder for outputs of local runs (tests, bench)."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))
