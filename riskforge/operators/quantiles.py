@@ -52,17 +52,32 @@ class _Target:
     hi: Any = None     # exclusive upper bound (None: unbounded)
     c_lo: int = 0      # values <= lo
     size: int = 0      # values strictly inside (lo, hi)
+    est: int = 0       # bound on the distinct values inside (lo, hi)
     value: Any = None
     n_lt: int = 0      # values strictly below the answer
     done: bool = False
 
 
-def group_counts(df: DataFrame, groups: dict[str, Column]) -> dict[str, int]:
-    """Non-null count of every group expression, in one aggregate."""
+class Counts(dict):
+    """Non-null count per group, with an estimate of distinct values (``ndv``)."""
+    ndv: dict
+
+
+def group_counts(df: DataFrame, groups: dict[str, Column]) -> Counts:
+    """Non-null count and estimated distinct count (HyperLogLog, 2 % error) of
+    every group expression, in one aggregate."""
+    out = Counts()
+    out.ndv = {}
     if not groups:
-        return {}
-    row = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(groups.values())]).first()
-    return {k: int(row[i]) for i, k in enumerate(groups)}
+        return out
+    aggs = []
+    for i, c in enumerate(groups.values()):
+        aggs += [F.count(c).alias(f"n{i}"), F.approx_count_distinct(c, 0.02).alias(f"d{i}")]
+    row = df.agg(*aggs).first()
+    for i, k in enumerate(groups):
+        out[k] = int(row[f"n{i}"])
+        out.ndv[k] = int(row[f"d{i}"])
+    return out
 
 
 def _family(dtype: T.DataType) -> str:
@@ -94,24 +109,30 @@ def order_stats(df: DataFrame, groups: dict[str, Column], ranks: dict[str, list[
     proj = df.select(*[c.alias(names[g]) for g, c in groups.items()])
     fam = {g: _family(proj.schema[names[g]].dataType) for g in groups}
 
+    ndv = getattr(counts, "ndv", {})
     targets: list[_Target] = []
     for g, rs in ranks.items():
         n = counts[g]
+        # few distinct values: the whole group's value histogram is small
+        # (estimate plus a margin for the sketch error), no narrowing needed
+        est = min(n, int(ndv[g] * 1.1) + 10) if g in ndv else n
         for r in sorted(set(int(x) for x in rs)):
             if not 0 <= r < n:
                 raise ValueError(f"rank {r} outside 0..{n - 1} for {g}")
-            targets.append(_Target(g, r, size=n))
+            targets.append(_Target(g, r, size=n, est=est))
 
     for _ in range(MAX_PASSES):
         open_ = [t for t in targets if not t.done]
         if not open_:
             break
-        small, budget = [], MAX_TOTAL
+        small, budget, seen = [], MAX_TOTAL, set()
         for t in open_:
-            if t.size <= MAX_COLLECT and t.size <= budget:
+            cost = 0 if (t.group, t.lo, t.hi) in seen else t.est
+            if t.est <= MAX_COLLECT and cost <= budget:
                 small.append(t)
-                budget -= t.size
-        big = [t for t in open_ if t.size > MAX_COLLECT]
+                budget -= cost
+                seen.add((t.group, t.lo, t.hi))
+        big = [t for t in open_ if t.est > MAX_COLLECT]
         if DEBUG:
             print("pass", len(open_), "small", len(small), sum(t.size for t in small), "big", len(big), flush=True)
         if small:
@@ -282,6 +303,7 @@ def _narrow(proj: DataFrame, names: dict[str, str], fam: dict[str, str], targets
             t.lo, t.c_lo, t.size = a2, le(a2), upper - le(a2)
         else:
             t.lo, t.hi, t.c_lo, t.size = a1, a2, le(a1), lt(a2) - le(a1)
+        t.est = min(t.est, t.size)
 
 
 def interpolated_quantiles(df: DataFrame, groups: dict[str, Column], probs: list[float],

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskforge.functions.columns import order_number
-from riskforge.operators.quantiles import order_stats
+from riskforge.operators.quantiles import group_counts, order_stats
 
 
 def _order_columns(df: DataFrame, order_by: list[str]) -> list[Column]:
@@ -48,12 +48,12 @@ def cut_keys(df: DataFrame, order_by: list[str], ks: list[int]) -> list[list[Any
                 groups[text] = (f"c{len(groups)}", sub)
             owner.append(groups[text][0])
         exprs = {name: sub for name, sub in groups.values()}
-        nn = dict(zip(exprs, df.agg(*[F.count(c) for c in exprs.values()]).first()))
+        nn = group_counts(df, exprs)
         ranks: dict[str, list[int]] = {}
         for g, st in zip(owner, live):
             if st["r"] < nn[g]:
                 ranks.setdefault(g, []).append(st["r"])
-        stats = order_stats(df, {g: exprs[g] for g in ranks}, ranks, {g: nn[g] for g in ranks}) if ranks else {}
+        stats = order_stats(df, {g: exprs[g] for g in ranks}, ranks, nn) if ranks else {}
         for g, st in zip(owner, live):
             if st["r"] < nn[g]:
                 value, n_lt = stats[(g, st["r"])]
