@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 from riskforge.functions.arrays import small_table, with_count_below
 
 MAX_COLLECT = 50_000   # rows of a value histogram brought to the driver per target
+DIRECT_MAX = 5_000     # groups with fewer distinct values skip the narrowing passes
 MAX_TOTAL = 400_000    # rows of value histograms brought to the driver per pass
 ACCURACY = 10_000      # percentile_approx accuracy (relative rank error 1/ACCURACY)
 MAX_PASSES = 40
@@ -115,7 +116,9 @@ def order_stats(df: DataFrame, groups: dict[str, Column], ranks: dict[str, list[
         n = counts[g]
         # few distinct values: the whole group's value histogram is small
         # (estimate plus a margin for the sketch error), no narrowing needed
-        est = min(n, int(ndv[g] * 1.1) + 10) if g in ndv else n
+        est = n
+        if g in ndv and int(ndv[g] * 1.1) + 10 <= DIRECT_MAX:
+            est = min(n, int(ndv[g] * 1.1) + 10)
         for r in sorted(set(int(x) for x in rs)):
             if not 0 <= r < n:
                 raise ValueError(f"rank {r} outside 0..{n - 1} for {g}")
