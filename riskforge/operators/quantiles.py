@@ -26,7 +26,6 @@ the counts of that value, never by collecting its rows.
 from __future__ import annotations
 
 import math
-import time
 from dataclasses import dataclass
 from typing import Any
 
@@ -42,7 +41,6 @@ DIRECT_MAX = 5_000     # groups with fewer distinct values skip the narrowing pa
 MAX_TOTAL = 400_000    # rows of value histograms brought to the driver per pass
 ACCURACY = 10_000      # percentile_approx accuracy (relative rank error 1/ACCURACY)
 MAX_PASSES = 40
-DEBUG = False
 
 
 @dataclass
@@ -136,8 +134,6 @@ def order_stats(df: DataFrame, groups: dict[str, Column], ranks: dict[str, list[
                 budget -= cost
                 seen.add((t.group, t.lo, t.hi))
         big = [t for t in open_ if t.est > MAX_COLLECT]
-        if DEBUG:
-            print("pass", len(open_), "small", len(small), sum(t.size for t in small), "big", len(big), flush=True)
         if small:
             _solve_by_histogram(proj, names, fam, small)
         if big:
@@ -199,16 +195,7 @@ def _solve_by_histogram(proj: DataFrame, names: dict[str, str], fam: dict[str, s
         x = F.col("v").cast("double")
         long = with_count_below(long, "ls", x, "k", width, strict=False, filtered=True)
         inside = (F.col("k") >= 1) & (x <= F.try_element_at(F.col("hs"), F.col("k")))
-        q = long.where(inside).groupBy("grp", "v").agg(F.count(F.lit(1)).alias("cnt"))
-        if DEBUG:
-            import time as _t
-            _t0 = _t.time()
-            plan = q._jdf.queryExecution().executedPlan().toString()
-            print("    plan", round(_t.time() - _t0, 2), len(plan), "width", width, len(rows), flush=True)
-            _t0 = _t.time()
-        pdf = q.toPandas()
-        if DEBUG:
-            print("    run", round(_t.time() - _t0, 2), len(pdf), flush=True)
+        pdf = long.where(inside).groupBy("grp", "v").agg(F.count(F.lit(1)).alias("cnt")).toPandas()
         for g in gs:
             part = pdf[pdf["grp"] == names[g]].sort_values("v")
             hists[g] = (part["v"].to_numpy(), part["cnt"].to_numpy().astype(np.int64))
@@ -246,10 +233,7 @@ def _narrow(proj: DataFrame, names: dict[str, str], fam: dict[str, str], targets
         c = F.col(names[g])
         aggs.append(F.percentile_approx(F.when(_inside(c, lo, hi), c), probs, ACCURACY).alias(f"a{i}"))
         plan.append(ts)
-    t0 = time.time()
     row = proj.agg(*aggs).first()
-    if DEBUG:
-        print(f"    approx {time.time() - t0:.2f}s", flush=True)
     points: dict[str, set] = {}
     for i, ts in enumerate(plan):
         vals = row[f"a{i}"]
