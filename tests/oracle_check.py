@@ -98,6 +98,9 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     keys = sys.argv[2:] or None
     spark = build_session(8)
+    for kv in filter(None, os.environ.get("ORACLE_CHECK_CONF", "").split(",")):
+        k, v = kv.split("=", 1)
+        spark.conf.set(k, v)
     res = compare(spark, sf, keys)
     for k, v in res.items():
         print(k, v)
