@@ -44,8 +44,9 @@ def _labelled(select: str) -> str:
     return with_wide(f"SELECT {select} FROM wide_orders WHERE is_bad IS NOT NULL")
 
 
-def _eval(body: str, features=None, align="bin") -> str:
-    return with_wide(body, DERIVED_CTE, SPLIT_CTE, *eval_ctes(features or C.EVAL_FEATURES, align=align))
+def _eval(body: str, features=None, align="bin", extra: list[str] | None = None) -> str:
+    return with_wide(body, DERIVED_CTE, SPLIT_CTE, *eval_ctes(features or C.EVAL_FEATURES, align=align),
+                     *(extra or []))
 
 
 def _profile_cte() -> str:
@@ -131,22 +132,21 @@ GINI = f"CASE WHEN ok THEN {r('2 * auc - 1', 4)} ELSE 0.0 END AS gini"
 
 MODEL_SPLIT = (f"ms AS (SELECT *, CASE WHEN rn <= {TRAIN_CUT} THEN 'train' WHEN rn <= {VAL_CUT} THEN 'val' "
                f"ELSE 'test' END AS split FROM sp)")
-SELECTED = ["n_items", "feat_price_per_qty", "feat_net_price", "returned_amt", "feat_return_share"]
-
-
-def _medians() -> str:
-    return " UNION ALL ".join(
-        f"SELECT '{f}' AS feature, quantile_cont(CAST({f} AS DOUBLE), 0.5) AS median FROM ms WHERE split = 'train'"
-        for f in SELECTED)
-
-
-def _clip() -> str:
-    parts = []
-    for f in SELECTED:
-        filled = f"coalesce(CAST({f} AS DOUBLE), (SELECT median FROM med WHERE feature = '{f}'))"
-        parts.append(f"SELECT '{f}' AS feature, avg({filled}) AS mean, stddev_samp({filled}) AS std "
-                     f"FROM ms WHERE split = 'train'")
-    return " UNION ALL ".join(parts)
+# integer-typed evaluated columns: imputed only when they hold nulls in the training rows
+INT_FEATURES = ["n_items", "rare_cnt"]
+# training rows are the first 60 % in (time, id) order, i.e. the PSI base rows
+SELECTION_CTES = [
+    "sel AS (SELECT feature, position FROM fg WHERE grade IN ('excellent', 'usable') "
+    "QUALIFY row_number() OVER (ORDER BY CASE WHEN grade = 'excellent' THEN 0 ELSE 1 END, position) <= 50)",
+    "fl AS (SELECT s.feature, s.position FROM sel s JOIN lg l ON l.feature = s.feature WHERE l.is_base "
+    "GROUP BY s.feature, s.position HAVING s.feature NOT IN (" + ", ".join(f"'{f}'" for f in INT_FEATURES)
+    + ") OR sum(CASE WHEN l.v IS NULL THEN 1 ELSE 0 END) > 0)",
+    "med AS (SELECT f.feature, f.position, m.median FROM fl f LEFT JOIN (SELECT feature, "
+    "quantile_cont(v, 0.5) AS median FROM lg WHERE is_base AND v IS NOT NULL GROUP BY feature) m "
+    "ON m.feature = f.feature)",
+    "st AS (SELECT m.feature, avg(coalesce(l.v, m.median)) AS mean, stddev_samp(coalesce(l.v, m.median)) AS std "
+    "FROM med m JOIN lg l ON l.feature = m.feature WHERE l.is_base GROUP BY m.feature)",
+]
 
 
 # mean rounded half away from zero at 4 places, from an exact decimal sum (see functions.columns.exact_mean)
@@ -245,11 +245,11 @@ ORACLE: dict[str, str] = {
     "select_features": _eval(
         "SELECT row_number() OVER (ORDER BY CASE WHEN grade = 'excellent' THEN 0 ELSE 1 END, position) AS rank, "
         "feature, grade FROM fg WHERE grade IN ('excellent', 'usable') QUALIFY rank <= 50"),
-    "impute_median": with_wide("SELECT * FROM med", DERIVED_CTE, SPLIT_CTE, MODEL_SPLIT, f"med AS ({_medians()})"),
-    "clip_sigma": with_wide(
+    "impute_median": _eval("SELECT feature, median FROM med", None, "bin", SELECTION_CTES),
+    "clip_sigma": _eval(
         f"SELECT feature, {r('mean', 6)} AS mean, {r('std', 6)} AS std, "
-        f"CASE WHEN std > 0 THEN {r('mean - 5 * std', 6)} END AS lo, CASE WHEN std > 0 THEN {r('mean + 5 * std', 6)} END AS hi "
-        f"FROM st", DERIVED_CTE, SPLIT_CTE, MODEL_SPLIT, f"med AS ({_medians()})", f"st AS ({_clip()})"),
+        f"CASE WHEN std > 0 THEN {r('mean - 5 * std', 6)} END AS lo, "
+        f"CASE WHEN std > 0 THEN {r('mean + 5 * std', 6)} END AS hi FROM st", None, "bin", SELECTION_CTES),
     "coerce_numeric": _labelled("pid, coalesce(TRY_CAST(orderpriority AS DOUBLE), 0.0) AS orderpriority, "
                                 "coalesce(TRY_CAST(ord_cnt_90d AS DOUBLE), 0.0) AS ord_cnt_90d"),
     "train_gate": with_wide("SELECT count(*) AS n_train, count(DISTINCT y) AS n_classes, "
