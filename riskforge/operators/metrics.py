@@ -118,12 +118,14 @@ def psi_table(cells: DataFrame, align: str = "bin") -> DataFrame:
 def evaluate(df: DataFrame, features: list[str], target_col: str, time_col: str | None = "lend_tm",
              id_col: str = "pid", n_bins: int = 10, thresholds: dict | None = None,
              psi_align: str = "bin", base_ratio: float = 0.6, binning: str = "quantile",
-             base_col: str | None = None) -> Evaluation:
+             base_col: str | None = None, write_input: bool = True) -> Evaluation:
     """Evaluate many features at once (IV, WOE bins, PSI, missing rate, monthly metrics, grade).
 
     Only rows with a non-null target are used. Features missing from ``df``
     raise an error. ``base_col`` names a boolean column marking the base
     (older) rows for PSI; without it the 60 / 40 split by time is computed.
+    ``write_input=False`` skips writing the pruned input (for inputs that are
+    already files, e.g. a materialised split frame).
     """
     missing_cols = [f for f in features if f not in df.columns]
     if missing_cols:
@@ -139,8 +141,11 @@ def evaluate(df: DataFrame, features: list[str], target_col: str, time_col: str
     else:
         data = split_psi(data, time_col, id_col, base_ratio)
     # The quantile step scans this frame several times: write the pruned,
-    # labelled and split rows once (this also cuts the lineage).
-    data = materialize(data.withColumn("_base", F.col("split") == F.lit("base")).drop("split"), "eval_input")
+    # labelled and split rows once (this also cuts the lineage), unless the
+    # caller passes a frame that is already written (``write_input=False``).
+    data = data.withColumn("_base", F.col("split") == F.lit("base")).drop("split")
+    if write_input:
+        data = materialize(data, "eval_input")
     is_base = F.col("_base")
 
     numeric = [f for f in features if is_numeric_type(schema[f].dataType)]

@@ -96,12 +96,12 @@ def split_frame(spark, sf):
 
 def evaluation(spark, sf):
     return _memo(spark, sf, "eval", lambda: evaluate(split_frame(spark, sf), EVAL_FEATURES, TARGET, TIME, ID,
-                                                     base_col="is_base"))
+                                                     base_col="is_base", write_input=False))
 
 
 def source_evaluation(spark, sf):
     return _memo(spark, sf, "source_eval", lambda: evaluate(split_frame(spark, sf), SOURCE_FEATURES, TARGET,
-                                                            TIME, ID, base_col="is_base"))
+                                                            TIME, ID, base_col="is_base", write_input=False))
 
 
 def wide_profile(spark, sf):

@@ -45,8 +45,10 @@ def run(df: DataFrame, spec: list[dict] | None = None, target_col: str | None =
     derived = materialize(derive_table(df, spec, target_col, id_col, time_col), f"feat_derived_{name}")
     base = split_psi(derived, time_col, id_col)
     base = materialize(base.withColumn("_is_base", F.col("split") == "base").drop("split"), f"{name}_split")
-    ev = evaluate(base, names, target_col, time_col, id_col, thresholds=thresholds, base_col="_is_base")
-    src = evaluate(base, sources, target_col, time_col, id_col, thresholds=thresholds, base_col="_is_base")
+    ev = evaluate(base, names, target_col, time_col, id_col, thresholds=thresholds, base_col="_is_base",
+                  write_input=False)
+    src = evaluate(base, sources, target_col, time_col, id_col, thresholds=thresholds, base_col="_is_base",
+                   write_input=False)
     summary = E.eval_summary(ev.features).cache()
     gate = E.model_gate(summary)
     out = {
