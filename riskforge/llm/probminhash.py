@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,7 +93,7 @@ def probability_jaccard(xi: np.ndarray, xc: np.ndarray, yi: np.ndarray, yc: np.n
 
 def _slices(batch: pa.RecordBatch, col: str):
     """Row ranges of about SLICE_BYTES of text."""
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(col)), 0).to_numpy(zero_copy_only=False))
+    sizes = pc.fill_null(pc.binary_length(batch.column(col)), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(sizes.astype(np.int64)) // SLICE_BYTES
     cuts = np.flatnonzero(np.diff(part)) + 1
     at = [0, *cuts.tolist(), len(sizes)]
@@ -103,7 +104,6 @@ def _slices(batch: pa.RecordBatch, col: str):
 
 def _sketch(bands: int, rows: int, width: int):
     def run(batches):
-        import pyarrow.compute  # noqa: F401
         for whole in batches:
             for b in _slices(whole, "text"):
                 n = b.num_rows

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskforge.llm import probminhash
+from riskforge.llm import mixing, probminhash, tokens
 from riskforge.llm.common import load
+from riskforge.session import checkpoint_root
+
+#: Where the public vocabulary files lie; a parameter, read on the executors.
+TOKENIZER_DIR = "/opt/tokenizers"
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -22,3 +28,21 @@ def op10_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, class_id (smallest doc_id of the near-duplicate class), kept."""
     return probminhash.near_duplicates(load(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "class_id", "kept")
+
+
+@query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32, from the written files."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/tables/token-ids-{uuid.uuid4().hex[:12]}"
+    tokens.write_tokens(load(spark, sf_dir, "documents"), path, f"{TOKENIZER_DIR}/byte_bpe_50k.json")
+    return tokens.checksums(spark, path).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op4_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target, taken."""
+    names = {c: c for c in ("size", "source_size", "target", "taken")}
+    return mixing.mix(load(spark, sf_dir, "documents").select("doc_id", "text", "source"), names=names).drop("text", "source")
+
+
+ORACLE["op4_water_filling"] = mixing.ORACLE
