@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskforge.llm import mixing, probminhash, tokens
+from riskforge.llm import decontaminate, langid, mixing, probminhash, tokens
 from riskforge.llm.common import load
 from riskforge.session import checkpoint_root
 
@@ -46,3 +46,21 @@ def op4_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op4_water_filling"] = mixing.ORACLE
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score; trained on the documents that are not held out."""
+    docs = load(spark, sf_dir, "documents").withColumn("held_out", langid.held_out())
+    model = langid.train(docs.filter(~F.col("held_out")))
+    return langid.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, item_id, n_equal, n_window of every document that overlaps a benchmark item."""
+    found = decontaminate.overlaps(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "n_equal", "n_window").distinct()
+
+
+ORACLE["op5_decontamination"] = decontaminate.ORACLE

@@ -56,6 +56,9 @@ class WordEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        self.width = np.zeros(max(vocab.values()) + 1, np.int64)     # bytes of an id: one character each in the vocabulary
+        self.width[list(vocab.values())] = list(map(len, vocab))
         self.clear()
 
     @classmethod
@@ -70,11 +73,14 @@ class WordEncoder:
         self.at = np.zeros(1 << 16, np.int64)
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.code) + len(words) > WORDS_KEPT:
-            self.clear()
-        found = [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        # words that begin with a space can stand in one text; the ids' byte widths tell them apart again
+        words.sort(key=lambda w: not (w[0] == " " and len(w) > 1))
+        joined = sum(w[0] == " " and len(w) > 1 for w in words)
+        found = [e.ids for e in self.tok.encode_batch_fast(
+            ["".join(words[i:min(i + 4096, joined)]) for i in range(0, joined, 4096)] + words[joined:], add_special_tokens=False)]
+        flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
+        ends = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
+        sizes = np.diff(np.searchsorted(np.cumsum(self.width[flat]), ends), prepend=-1)
         first = len(self.code)
         while len(self.size) < first + len(words):
             self.size, self.at = np.concatenate([self.size, 0 * self.size]), np.concatenate([self.at, 0 * self.at])
