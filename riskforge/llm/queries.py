@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskforge.llm import decontaminate, langid, mixing, probminhash, tokens
+from riskforge.llm import decontaminate, embeddings, langid, mixing, probminhash, tokens
 from riskforge.llm.common import load
 from riskforge.session import checkpoint_root
 
@@ -64,3 +64,9 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op5_decontamination"] = decontaminate.ORACLE
+
+
+@query
+def op1_int8_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept."""
+    return embeddings.near_duplicates(load(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
