@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskforge.llm import decontaminate, embeddings, langid, mixing, probminhash, tokens
+from riskforge.llm import decontaminate, embeddings, langid, mixing, probminhash, suffix, tokens
 from riskforge.llm.common import load
 from riskforge.session import checkpoint_root
 
@@ -70,3 +70,9 @@ ORACLE["op5_decontamination"] = decontaminate.ORACLE
 def op1_int8_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vec_id, n_links, component_id, kept."""
     return embeddings.near_duplicates(load(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    return suffix.remove_repeats(load(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
