@@ -43,6 +43,7 @@ from riskforge.llm.common import _BASE, _BASE_INV, _BYTE, materialize, mix64, po
 LENGTH = 400
 ANCHOR = 96
 SHARD_BYTES = 1 << 20
+HEAD = 5                 # symbols compared by the first sort
 CHUNK = 1 << 22          # starts anchored at once in a long text
 
 
@@ -117,44 +118,44 @@ def suffix_array(text: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndar
     Equal suffixes stay in text order.
     """
     n = len(text)
-    longest = int((end - np.arange(n)).max())
-    pos = np.arange(n, dtype=np.int64)
+    pos = np.arange(n, dtype=np.int32)
+    end = end.astype(np.int32)
+    left = end - pos
+    longest = int(left.max())
+    symbol = np.concatenate([text, np.zeros(HEAD, np.uint8)]).astype(np.uint64) + np.uint64(1)
     code = np.zeros(n, dtype=np.uint64)
-    for i in range(4):
-        inside = pos + i < end
-        code = code * np.uint64(257) + np.where(inside, text[np.minimum(pos + i, n - 1)].astype(np.uint64) + np.uint64(1), np.uint64(0))
+    for i in range(HEAD):
+        code = code * np.uint64(257) + symbol[i:n + i] * (left > i)
     sa, key = _by(code, pos, n)
     first = np.concatenate([[True], key[1:] != key[:-1]])
-    start = np.maximum.accumulate(np.where(first, pos, 0))
-    rank = np.empty(n, dtype=np.int64)
-    rank[sa] = start
-    h = 4
+    rank = np.empty(n, dtype=np.int32)
+    rank[sa] = np.maximum.accumulate(np.where(first, pos, np.int32(0)))
+    place, who, h = pos, sa, HEAD
     while h < longest:
-        # members of groups that still tie, in their places of the order
+        # only members of groups that still tie stay, in their places of the order
         tied = ~(first & np.concatenate([first[1:], [True]]))
-        place = np.flatnonzero(tied)
+        place, who, first = place[tied], who[tied], first[tied]
         if not len(place):
             break
-        who = sa[place]
-        further = np.where(who + h < end[who], rank[np.minimum(who + h, n - 1)] + 1, 0).astype(np.uint64)
-        group = start[place]
-        dense = np.cumsum(np.concatenate([[True], group[1:] != group[:-1]])) - 1
-        moved, key = _by(dense.astype(np.uint64) * np.uint64(n + 1) + further, who, n)
-        sa[place] = moved
-        first[place] = np.concatenate([[True], key[1:] != key[:-1]])
-        start = np.maximum.accumulate(np.where(first, pos, 0))
-        rank[sa[place]] = start[place]
+        further = np.where(left[who] > h, rank[np.minimum(who + h, n - 1)] + 1, 0).astype(np.uint64)
+        group = (np.cumsum(first) - 1).astype(np.uint64)
+        who, key = _by(group * np.uint64(n + 1) + further, who, n)
+        first = np.concatenate([[True], key[1:] != key[:-1]])
+        sa[place] = who
+        rank[who] = np.maximum.accumulate(np.where(first, place, np.int32(0)))
         h *= 2
     rank[sa] = pos
-    return sa, rank
+    return sa.astype(np.int64), rank.astype(np.int64)
 
 
 def _by(key: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Values and keys sorted by (key, value); one packed sort where 64 bits hold both."""
     bits = max(int(n - 1).bit_length(), 1)
     if int(key.max()).bit_length() + bits <= 64:
-        both = np.sort((key << np.uint64(bits)) | value.astype(np.uint64))
-        return (both & np.uint64((1 << bits) - 1)).astype(np.int64), both >> np.uint64(bits)
+        both = key << np.uint64(bits)
+        both |= value.astype(np.uint64)
+        both.sort()
+        return (both & np.uint64((1 << bits) - 1)).astype(np.int32), both >> np.uint64(bits)
     order = np.lexsort((value, key))
     return value[order], key[order]
 
