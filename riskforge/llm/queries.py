@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskforge.llm import decontaminate, embeddings, langid, mixing, probminhash, suffix, tokens
-from riskforge.llm.common import load
+from riskforge.llm import decontaminate, embeddings, html, langid, mixing, pii, probminhash, suffix, tokens, warc
+from riskforge.llm.common import load, materialize
 from riskforge.session import checkpoint_root
 
 #: Where the public vocabulary files lie; a parameter, read on the executors.
@@ -76,3 +76,27 @@ def op1_int8_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     return suffix.remove_repeats(load(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op2_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, n_added, base_sha256, spans."""
+    return pii.find(load(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op7_min_cut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars of the main text of every page."""
+    return html.extract(load(spark, sf_dir, "pages"))
+
+
+@query
+def op6_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record with its status, page archive against a written copy that was damaged
+    by a fixed rule: page_id, url, segment, offset, length, sha256, status."""
+    pages = load(spark, sf_dir, "pages")
+    copy = materialize(warc.replica(warc.damaged(pages)), "warc-replica")
+    return warc.audit(warc.replica(pages), copy)
+
+
+ORACLE["op6_merkle_audit"] = warc.ORACLE
