@@ -248,7 +248,7 @@ def string_buffers_binary(col) -> tuple[np.ndarray, np.ndarray]:
 
 def _merge(key, tab):
     """Digests of several shards: single runs that another shard has too, by binary search."""
-    c = {x: tab.column(x).to_numpy() for x in ("fp", "w", "n", "a", "b", "d1", "d2", "sub")}
+    c = {x: tab.column(x).to_numpy() for x in ("fp", "w", "n", "a", "b", "d1", "d2")}
     hit = np.zeros(len(c["a"]), dtype=bool)
     order = np.lexsort((c["d2"], c["d1"]))
     d1 = c["d1"][order]
