@@ -41,12 +41,10 @@ def _is_letter() -> np.ndarray:
 
 def features(texts: list[str | None]):
     """Chunks of (text index, feature) of the n-grams of ``texts``."""
-    flat = np.frombuffer("\0\0".join(t.lower().replace("\0", " ") if t else "" for t in texts)
-                         .encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    flat = np.concatenate([flat, np.zeros(2, np.uint32)])
-    end = flat == 0
-    doc = np.cumsum(end) // 2                       # the second separator still belongs to its text
-    doc[end] = (np.cumsum(end)[end] - 1) // 2
+    parts = "".join("\0\0" + (t.lower().replace("\0", " ") if t else "") for t in texts) + "\0\0"
+    flat = np.frombuffer(parts.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    end = flat == 0                                 # two separators stand before every text and behind the last
+    doc = (np.cumsum(end) - end) // 2 - 1           # those behind a text belong to it
     letter = _is_letter()[flat]
     code = np.where(letter, flat, np.uint32(0x20)).astype(np.uint32)
     for a in range(0, len(code), CHARS):
