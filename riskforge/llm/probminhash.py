@@ -39,7 +39,7 @@ THRESHOLD = 0.8      # probability Jaccard of a link
 BANDS, ROWS = 25, 5  # a pair at 0.8 shares a band with probability 1 - (1 - 0.8**5)**25 = 0.99995
 MARGIN = 0.25        # register agreement below THRESHOLD - MARGIN (7 standard errors) rules a pair out
 STAR_ROUNDS = 2
-BLOCK = 2048         # bucket members compared at once
+BLOCK = 512          # bucket members compared at once
 SLICE_BYTES = 4 << 20
 
 
@@ -149,50 +149,104 @@ def _confirm(pairs: DataFrame, texts: DataFrame, threshold: float, width: int) -
     return both.mapInArrow(_verify(threshold, width), "a long, b long")
 
 
-def _within(k: int, least: float):
-    """Rows (h, bi, bj, side, tid, comp, sig) sorted by block: register agreement of the pairs of a block."""
-    def pairs(t, comp, side, sig):
-        left, right = np.flatnonzero(side <= 1), np.flatnonzero((side == 0) | (side == 2))
+class _Block:
+    """Members of one bucket, or of two blocks of a large one (side 1 against side 2)."""
+
+    def __init__(self, tab: pa.Table, k: int, bands: int, least: float):
+        self.tid, comp, self.side, self.band = (tab.column(c).to_numpy() for c in ("tid", "comp", "side", "band"))
+        self.label = np.unique(comp, return_inverse=True)[1]
+        self.sig = np.frombuffer(b"".join(tab.column("sig").to_pylist()), dtype="<u4").reshape(-1, k)
+        self.bands, self.least = bands, least
+
+    def candidates(self):
+        """(member, others) in different components whose registers agree often enough; a pair
+        that shares several bands is met in the first of them only."""
+        left, right = np.flatnonzero(self.side <= 1), np.flatnonzero(self.side != 1)
         for i in left:
-            other = right[(t[right] > t[i]) | (side[right] == 2)]
-            other = other[(comp[other] != comp[i])]
+            other = right[((self.tid[right] > self.tid[i]) | (self.side[right] == 2)) & (self.label[right] != self.label[i])]
             if len(other):
-                same = (sig[other] == sig[i]).mean(axis=1) >= least
-                for j in other[same]:
-                    yield (t[i], t[j]) if t[i] < t[j] else (t[j], t[i])
+                same = self.sig[other] == self.sig[i]
+                first = same.reshape(len(other), self.bands, -1).all(axis=2).argmax(axis=1)
+                other = other[(same.mean(axis=1) >= self.least) & (first == self.band[i])]
+                if len(other):
+                    yield i, other
+
+    def join(self, i: int, j: int) -> None:
+        self.label[self.label == self.label[j]] = self.label[i]
+
+
+def _blocks(key: list[str], work):
+    """Run ``work`` on each group of rows with equal ``key`` columns, as they come sorted."""
+    def cuts(tab):
+        return np.flatnonzero(np.logical_or.reduce([np.diff(tab.column(c).to_numpy()) != 0 for c in key])) + 1
 
     def run(batches):
         held = None
-        def emit(tab):
-            cols = [tab.column(c).to_numpy() for c in ("h", "bi", "bj", "side", "tid", "comp")]
-            sig = np.frombuffer(b"".join(tab.column("sig").to_pylist()), dtype="<u4").reshape(-1, k)
-            h, bi, bj, side, tid, comp = cols
-            cut = np.flatnonzero((h[1:] != h[:-1]) | (bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1])) + 1
-            found = set()
-            for a, z in zip([0, *cut], [*cut, len(h)]):
-                found.update(pairs(tid[a:z], comp[a:z], side[a:z], sig[a:z]))
-            if found:
-                x = np.array(sorted(found), dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
         for b in batches:
             tab = pa.Table.from_batches([b])
             tab = pa.concat_tables([held, tab]).combine_chunks() if held is not None else tab
-            h, bi, bj = (tab.column(c).to_numpy() for c in ("h", "bi", "bj"))
-            end = np.flatnonzero((h[1:] != h[:-1]) | (bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1])) + 1
-            cut = int(end[-1]) if len(end) else 0
-            if cut:
-                yield from emit(tab.slice(0, cut))
-            held = tab.slice(cut)
+            at = [0, *cuts(tab).tolist()]
+            for a, z in zip(at[:-1], at[1:]):
+                yield from work(tab.slice(a, z - a))
+            held = tab.slice(at[-1])
         if held is not None and held.num_rows:
-            yield from emit(held)
+            yield from work(held)
     return run
 
 
+def _promising(k: int, bands: int, least: float):
+    """The members that have a candidate in their block."""
+    def work(tab):
+        block = _Block(tab, k, bands, least)
+        hit = np.zeros(tab.num_rows, dtype=bool)
+        for i, other in block.candidates():
+            hit[i] = hit[other] = True
+        if hit.any():
+            yield from tab.filter(pa.array(hit)).select(["h", "bi", "bj", "band", "side", "tid", "comp", "sig"]).to_batches()
+    return _blocks(["h", "bi", "bj"], work)
+
+
+def _decide(k: int, bands: int, least: float, threshold: float, width: int):
+    """Links between components inside a block, on the whole texts. Links that
+    would join what is joined already are not looked for: only classes are asked for."""
+    def work(tab):
+        block = _Block(tab, k, bands, least)
+        n, links = tab.num_rows, []
+        doc, item, count = shingle_counts(tab.column("text").combine_chunks(), width)
+        at = np.searchsorted(doc, np.arange(n + 1))
+        total = np.bincount(doc, weights=count, minlength=n)
+        code = np.unique(item, return_inverse=True)[1]
+        order = np.argsort(code, kind="stable")
+        edge = np.searchsorted(code[order], np.arange(code.max() + 2 if len(code) else 1))
+        owner, weight = doc[order], count[order]
+        for i, other in block.candidates():
+            own = slice(at[i], at[i + 1])
+            lo, size = edge[code[own]], np.diff(edge)[code[own]]
+            end = np.cumsum(size)
+            pos = np.arange(end[-1]) + np.repeat(lo - (end - size), size)
+            o, y, x = owner[pos], weight[pos].astype(float), np.repeat(count[own], size).astype(float)
+            # J_P <= (weight of items repeated equally) / (sum of maxima) + shares of the rest
+            least_of = np.bincount(o, weights=np.minimum(x, y), minlength=n)
+            even = x == y
+            most = (np.bincount(o[even], weights=x[even], minlength=n) / (total[i] + total - least_of)
+                    + np.bincount(o[~even], weights=np.minimum(x / total[i], y / total[o])[~even], minlength=n))
+            for j in other[most[other] >= threshold - 1e-9]:
+                s = slice(at[j], at[j + 1])
+                if block.label[i] != block.label[j] and probability_jaccard(
+                        item[own], count[own], item[s], count[s]) >= threshold:
+                    block.join(i, j)
+                    links.append((block.tid[i], block.tid[j]))
+        if links:
+            x = np.array(links, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["a", "b"])
+    return _blocks(["h", "bi", "bj"], work)
+
+
 def _label(members: DataFrame, comps: DataFrame | None) -> DataFrame:
     if comps is None:
         return members.withColumn("comp", F.col("tid"))
     return (members.join(comps.withColumnRenamed("node", "tid"), "tid", "left")
-            .select("h", "tid", F.coalesce("component", "tid").alias("comp")))
+            .select("h", "band", "tid", F.coalesce("component", "tid").alias("comp")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = THRESHOLD,
@@ -208,13 +262,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = materialize(
         sketch.groupBy("key").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
         .withColumn("tid", F.monotonically_increasing_id()), "pmh-texts")
-    slots = texts.select(F.explode("bands").alias("h"), "tid")
+    slots = texts.select(F.posexplode("bands").alias("band", "h"), "tid")
     shared = slots.groupBy("h").agg(F.min("tid").alias("x"), F.max("tid").alias("y")).filter("x != y").select("h")
     members = materialize(slots.join(shared, "h"), "pmh-members")
     if members.isEmpty():
         comps = None
     else:
-        comps = _link(work, texts, members, threshold, width, k)
+        comps = _link(work, texts, members, threshold, width, bands, rows)
     named = texts.select("key", "rep", "tid")
     if comps is None:
         classes = named.select("key", F.col("rep").alias("class_id"), F.col("key").alias("keep_key"))
@@ -229,7 +283,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ((F.col("key") == F.col("keep_key")) & F.col("id").eqNullSafe(F.col("class_id"))).alias("kept"))
 
 
-def _link(work: DataFrame, texts: DataFrame, members: DataFrame, threshold: float, width: int, k: int) -> DataFrame | None:
+def _link(work: DataFrame, texts: DataFrame, members: DataFrame, threshold: float, width: int, bands: int, rows: int) -> DataFrame:
     needed = texts.join(members.select("tid").distinct(), "tid").select("tid", "key")
     whole = materialize(work.join(needed, "key").dropDuplicates(["tid"]).select("tid", "text"), "pmh-whole")
     comps, links, tested = None, None, None
@@ -258,17 +312,17 @@ def _link(work: DataFrame, texts: DataFrame, members: DataFrame, threshold: floa
     rest = now.join(mixed.select("h", F.ceil(F.col("n") / BLOCK).cast("int").alias("nb")), "h")
     rest = rest.join(texts.select("tid", "sig"), "tid").withColumn("blk", F.pmod(F.xxhash64("tid"), F.col("nb")).cast("int"))
     grid = (rest.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-            .select("h", F.least("blk", "o").alias("bi"), F.greatest("blk", "o").alias("bj"),
+            .select("h", F.least("blk", "o").alias("bi"), F.greatest("blk", "o").alias("bj"), "band",
                     F.when(F.col("blk") == F.col("o"), 0).when(F.col("blk") < F.col("o"), 1).otherwise(2).alias("side"),
                     "tid", "comp", "sig"))
-    pairs = (grid.repartition("h", "bi", "bj").sortWithinPartitions("h", "bi", "bj")
-             .mapInArrow(_within(k, threshold - MARGIN), "a long, b long").distinct())
-    seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = materialize(pairs.join(seen, ["a", "b"], "left_anti"), "pmh-pairs")
-    if pairs.isEmpty():
+    key, k, least = ["h", "bi", "bj"], bands * rows, threshold - MARGIN
+    some = materialize(grid.repartition(*key).sortWithinPartitions(*key).mapInArrow(_promising(k, bands, least), grid.schema),
+                       "pmh-promising")
+    if some.isEmpty():
         return comps
-    return connected_components(
-        links.unionByName(materialize(_confirm(pairs, whole, threshold, width), "pmh-links")), "pmh")
+    more = materialize(some.join(whole, "tid").repartition(*key).sortWithinPartitions(*key).mapInArrow(
+        _decide(k, bands, least, threshold, width), "a long, b long"), "pmh-links")
+    return connected_components(links.unionByName(more), "pmh")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
