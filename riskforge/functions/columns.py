@@ -30,11 +30,14 @@ def fround(col: Column, digits: int) -> Column:
 
 
 def as_metric_value(col: Column, dtype: T.DataType) -> Column:
-    """Numeric view of a feature: NaN is missing (as in pandas), dates become epoch seconds."""
+    """Numeric view of a feature: NaN is missing (as in pandas), booleans are 0 / 1,
+    dates become epoch seconds."""
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return F.nanvl(col.cast("double"), F.lit(None).cast("double"))
     if isinstance(dtype, NUMERIC_TYPES):
         return col.cast("double")
+    if isinstance(dtype, T.BooleanType):
+        return col.cast("int").cast("double")
     if isinstance(dtype, T.DateType):
         return (F.unix_date(col).cast("double") * F.lit(86400.0))
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
@@ -43,7 +46,7 @@ def as_metric_value(col: Column, dtype: T.DataType) -> Column:
 
 
 def is_numeric_type(dtype: T.DataType) -> bool:
-    return isinstance(dtype, NUMERIC_TYPES + (T.DateType, T.TimestampType, T.TimestampNTZType))
+    return isinstance(dtype, NUMERIC_TYPES + (T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
 def classify_type(dtype: T.DataType) -> str:
@@ -77,9 +80,32 @@ def order_number(col: Column, dtype: T.DataType) -> Column:
         if isinstance(dtype, T.DecimalType):
             return col.cast("double")
         return col.cast("long")
+    if isinstance(dtype, T.BooleanType):
+        return col.cast("long")
     raise TypeError(f"cannot order by {dtype.simpleString()}")
 
 
+TEXT_CHUNK = 6   # bytes of a text key in one number
+
+
+def order_numbers(col: Column, dtype: T.DataType, longest: int = 0) -> list[Column]:
+    """Numeric keys that, compared one after the other, order as ``col`` does.
+
+    A text (of at most ``longest`` bytes) is cut into chunks of six bytes, each
+    read as a big-endian number followed by its length, so a shorter text comes
+    first; the order is the one of the UTF-8 bytes, which is the code-point order.
+    """
+    if not isinstance(dtype, TEXT_TYPES):
+        return [order_number(col, dtype)]
+    raw = col.cast("string").cast("binary")
+    keys = []
+    for i in range(0, max(longest, 1), TEXT_CHUNK):
+        part = F.substring(raw, i + 1, TEXT_CHUNK)
+        code = F.conv(F.rpad(F.hex(part), 2 * TEXT_CHUNK, "0"), 16, 10).cast("long")
+        keys.append(code * F.lit(8) + F.length(part))
+    return keys
+
+
 def label_binary(col: Column, dtype: T.DataType) -> Column:
     """0/1 label. Text: trimmed value in the positive list. Numbers: equal to 1.
 
@@ -96,27 +122,3 @@ def label_binary(col: Column, dtype: T.DataType) -> Column:
 def month_key(col: Column) -> Column:
     """'yyyy-MM' of a date/time column; null time gives 'NaT'."""
     return F.coalesce(F.date_format(col, "yyyy-MM"), F.lit(NULL_MONTH))
-
-
-def nullif_zero(col: Column) -> Column:
-    return F.when(col == F.lit(0), F.lit(None)).otherwise(col)
-
-
-def exact_mean_parts(v: Column, scale: int = 6) -> tuple[Column, Column]:
-    """Aggregates for :func:`exact_mean`: the sum of ``v`` in units of 10^-scale
-    (exact, DECIMAL(38,0)) and the count of non-null values."""
-    units = (v.cast(f"decimal(38,{scale})") * F.lit(10 ** scale)).cast("decimal(38,0)")
-    return F.sum(units), F.count(v)
-
-
-def exact_mean(total: Column, n: Column, digits: int = 4, scale: int = 6) -> Column:
-    """Mean rounded half away from zero at ``digits`` places, in exact integer
-    arithmetic from :func:`exact_mean_parts` (values quantised to ``scale``
-    places first). Summation order cannot change the result, so it is the same
-    on any number of partitions and in other engines."""
-    unit = 10 ** (scale - digits)
-    num = (F.abs(total) * F.lit(2) + n.cast("decimal(38,0)") * F.lit(unit)).cast("decimal(38,0)")
-    den = (n.cast("decimal(38,0)") * F.lit(2 * unit)).cast("decimal(38,0)")
-    # floor(num / den) for positive operands: the remainder makes the division exact
-    q = F.when(n > 0, F.signum(total) * ((num - num % den) / den).cast("decimal(38,0)"))
-    return q.cast("double") / F.lit(float(10 ** digits)) + F.lit(0.0)

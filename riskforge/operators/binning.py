@@ -1,8 +1,8 @@
 """Binning: equal-frequency (deciles), equal-width and single-bin.
 
-Edges are small (at most ``n_bins + 1`` numbers per feature) and are embedded
-in the plan as literals; bin assignment is a CASE chain evaluated in
-whole-stage codegen. Right-closed bins, lowest edge included; values outside
+Edges are small (at most ``n_bins + 1`` numbers per feature); ``evaluate`` joins
+them as one broadcast row a feature, ``bin_of`` is the same rule as an expression
+for one feature. Right-closed bins, lowest edge included; values outside
 the edges get no bin (NULL).
 """
 

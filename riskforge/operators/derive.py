@@ -1,57 +1,79 @@
-"""Derived-table construction from a feature spec (formulas + templates).
+"""Derived-table construction from a feature spec (SQL expressions).
 
-One projection builds every formula feature. Features that need statistics
-over other rows are planned as aggregate + equi-join:
-
-* ``frequency_encode``: ``groupBy(x).count()`` (partial aggregation before the
-  shuffle) joined back on ``x``. The join strategy is left to Catalyst: the
-  counts table is broadcast only when its estimated size is under the
-  broadcast threshold; otherwise a shuffle join with AQE skew handling.
-* ``normalized``: mean / sample stddev per segment (``groupBy(segment)``)
-  joined back; for the global form the two numbers are computed once and
-  inlined as literals.
+One projection builds every feature; the spec's formula is always what runs.
+``AGG(x) OVER (PARTITION BY a, b)`` and ``AGG(x) OVER ()`` inside a formula are
+not run as windows, which would put all rows of a value (or all rows) in one
+task: the aggregate is computed by a grouped aggregation (partial sums before
+the shuffle) and joined back on its keys. The joined table has one row per
+distinct key and is counted first: small ones are broadcast, larger ones join
+on the key and a salt, so a hot key is spread over ``SALTS`` tasks. Windows with
+an ORDER BY or a frame are refused.
 
 Rows whose target is null are dropped first, as in the reference CTAS
-(statistics therefore cover labelled rows only).
+(aggregates therefore cover labelled rows only).
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskforge.functions.templates import clean_names
 
+BROADCAST_KEYS = 50_000     # rows of a statistics table that is broadcast
+SALTS = 32                  # parts of a key when the statistics are joined by shuffle
+_OVER = re.compile(r"(\w+\s*\((?:[^()]|\([^()]*\))*\))\s+OVER\s*\(\s*(?:PARTITION\s+BY\s+([^()]*?))?\s*\)", re.I)
+_QUOTED = re.compile(r"'(?:\\\\.|[^'\\\\])*'")
+
+
+def _keys(text: str | None) -> tuple[str, ...]:
+    return tuple(k.strip() for k in text.split(",")) if text else ()
+
+
+def split_windows(formula: str) -> tuple[str, list[tuple[str, tuple[str, ...]]]]:
+    """The formula with every whole-partition aggregate replaced by ``{i}``-th
+    placeholder ``__w<i>``, and the aggregates as (expression, partition keys)."""
+    held: list[str] = []            # string literals stay out of the search
+
+    def hold(m):
+        held.append(m[0])
+        return f"\0{len(held) - 1}\0"
+    text = _QUOTED.sub(hold, formula)
+    found: list[tuple[str, tuple[str, ...]]] = []
+
+    def swap(m):
+        found.append((m[1], _keys(m[2])))
+        return f"__w{len(found) - 1}"
+    text = _OVER.sub(swap, text)
+    if re.search(r"\bOVER\s*\(", text, re.I) or any(re.search(r"\b(ORDER\s+BY|ROWS|RANGE)\b", k, re.I) for _, ks in found for k in ks):
+        raise ValueError(f"only AGG(x) OVER (PARTITION BY ...) without order or frame can be run: {formula}")
+
+    def back(part):
+        return re.sub("\0(\\d+)\0", lambda m: held[int(m[1])], part)
+    return back(text), [(back(a), tuple(back(k) for k in ks)) for a, ks in found]
+
 
-def _stat_features(df: DataFrame, feat: dict, idx: int) -> tuple[DataFrame, str]:
-    tpl = feat.get("template")
-    name = feat["name"]
-    src = feat["sources"]
-    if tpl == "frequency_encode":
-        x = src[0]
-        counts = (df.where(F.col(x).isNotNull()).groupBy(F.col(x).alias(f"_k{idx}"))
-                  .agg(F.count(F.lit(1)).alias(name)))
-        return df.join(counts, df[x] == counts[f"_k{idx}"], "left").drop(f"_k{idx}"), name
-    if tpl == "normalized":
-        x = src[0]
-        seg = src[1] if len(src) > 1 else None
-        v = F.col(x).cast("double")
-        if seg is None:
-            row = df.agg(F.avg(v).alias("m"), F.stddev_samp(v).alias("s")).first()
-            m, s = row["m"], row["s"]
-            if m is None or s is None or s == 0:
-                return df.withColumn(name, F.lit(None).cast("double")), name
-            return df.withColumn(name, (v - F.lit(m)) / F.lit(s)), name
-        stats = (df.groupBy(F.col(seg).alias(f"_k{idx}"))
-                 .agg(F.avg(v).alias(f"_m{idx}"), F.stddev_samp(v).alias(f"_s{idx}")))
-        joined = df.join(stats, df[seg].eqNullSafe(stats[f"_k{idx}"]), "left")
-        s = F.col(f"_s{idx}")
-        expr = (v - F.col(f"_m{idx}")) / F.when(s != 0, s)
-        return joined.withColumn(name, expr).drop(f"_k{idx}", f"_m{idx}", f"_s{idx}"), name
-    raise ValueError(tpl)
-
-
-STAT_TEMPLATES = {"frequency_encode", "normalized"}
+def _join_statistics(df: DataFrame, keys: tuple[str, ...], aggs: dict[str, str], id_col: str, tag: str) -> DataFrame:
+    """``df`` with the aggregates (name -> expression) of its rows' key groups."""
+    exprs = [F.expr(e).alias(n) for n, e in aggs.items()]
+    if not keys:
+        row = df.agg(*exprs)
+        one = row.first()
+        return df.withColumns({n: F.lit(one[n]).cast(row.schema[n].dataType) for n in aggs})
+    names = [f"{tag}k{i}" for i in range(len(keys))]
+    stats = df.groupBy(*[F.expr(k).alias(n) for k, n in zip(keys, names)]).agg(*exprs).cache()
+    on = None
+    for k, n in zip(keys, names):
+        hit = F.expr(k).eqNullSafe(F.col(n))
+        on = hit if on is None else on & hit
+    if stats.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        return df.join(F.broadcast(stats), on, "left").drop(*names)
+    salt = f"{tag}salt"
+    stats = stats.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own = F.pmod(F.xxhash64(F.col(id_col)), F.lit(SALTS)).cast("int")
+    return df.join(stats, on & (own == F.col(salt)), "left").drop(*names, salt)
 
 
 def derive_table(df: DataFrame, features: list[dict], target_col: str, id_col: str = "pid",
@@ -68,23 +90,23 @@ def derive_table(df: DataFrame, features: list[dict], target_col: str, id_col: s
     if include_sources:
         for f in feats:
             for s in f.get("sources", []):
-                if s not in fixed and s not in sources and s in df.columns:
+                if s not in df.columns:
+                    raise ValueError(f"source {s!r} of {f['name']} is not in the table")
+                if s not in fixed and s not in sources:
                     sources.append(s)
     for s in keep or []:
         if s not in fixed and s not in sources:
             sources.append(s)
     data = df.where(F.col(target_col).isNotNull())
+    groups: dict[tuple[str, ...], dict[str, str]] = {}
+    formulas = []
     for i, f in enumerate(feats):
-        if f.get("template") in STAT_TEMPLATES:
-            data, _ = _stat_features(data, f, i)
-    cols = [F.col(c) for c in fixed + sources]
-    for f in feats:
-        if f.get("template") in STAT_TEMPLATES:
-            cols.append(F.col(f["name"]))
-        else:
-            cols.append(F.expr(f["formula"]).alias(f["name"]))
-    return data.select(*cols)
-
-
-def feature_names(features: list[dict]) -> list[str]:
-    return [f["name"] for f in clean_names(features)]
+        text, windows = split_windows(f["formula"])
+        for n, (agg, keys) in enumerate(windows):
+            text = text.replace(f"__w{n}", f"`__stat{i}_{n}`")
+            groups.setdefault(keys, {})[f"__stat{i}_{n}"] = agg
+        formulas.append(text)
+    for g, (keys, aggs) in enumerate(groups.items()):
+        data = _join_statistics(data, keys, aggs, id_col, f"__stat_g{g}")
+    return data.select(*[F.col(c) for c in fixed + sources],
+                       *[F.expr(t).alias(f["name"]) for t, f in zip(formulas, feats)])

@@ -6,8 +6,8 @@ missing rate and mean, and a grade.
 
 Plan shape (no row is shuffled):
   scan -> exact decile edges (few aggregate passes, see ``quantiles``)
-       -> project bins as CASE chains on literal edges
-       -> unpivot to (feature, bin, psi bin, part, is-null) -> partial aggregate
+       -> unpivot to (feature, value), join one broadcast row of edges per feature
+       -> (feature, bin, psi bin, part, is-null) -> partial aggregate
        -> exchange of at most features x bins x bins x 4 rows -> final aggregate
   The small aggregate ("cells") feeds IV, PSI and missing rate.
 """
@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from riskforge.functions.columns import (as_metric_value, exact_mean, exact_mean_parts, fround,
-                                         is_numeric_type, label_binary, month_key)
+from riskforge.functions.columns import as_metric_value, fround, is_numeric_type, label_binary, month_key
 from riskforge.functions.arrays import small_table, with_count_below
 from riskforge.operators.binning import bin_from_count, equal_freq_edges, equal_width_edges
 from riskforge.operators.quantiles import group_counts
@@ -36,6 +35,8 @@ DEFAULT_THRESHOLDS = {
     "usable": {"iv_min": 0.02, "missing_rate_max": 0.90, "psi_max": 0.25},
 }
 GRADES = ["excellent", "usable", "discard"]
+# a mean this close (relative) below a rounding half counts as the half, so the order of summation does not show
+HALF_UP = 1.0 + 1e-13
 
 
 @dataclass
@@ -239,28 +240,26 @@ def evaluate(df: DataFrame, features: list[str], target_col: str, time_col: str
 def monthly_metrics(df: DataFrame, features: list[str], time_col: str) -> DataFrame:
     """Missing rate and mean per feature and calendar month, from one aggregate.
 
-    Means are exact (decimal sums, see ``exact_mean``) so that they do not
-    depend on partitioning. Text features get a NULL mean. Rows with a null
+    Means are averages of doubles, rounded once (see ``HALF_UP``); an infinite value makes its
+    month's mean infinite. Text features get a NULL mean. Rows with a null
     time form the month 'NaT'.
     """
     schema = df.schema
     aggs, numeric = [], []
     for i, f in enumerate(features):
+        v = F.col(f)
         if is_numeric_type(schema[f].dataType):
-            v = as_metric_value(F.col(f), schema[f].dataType)
-            total, n = exact_mean_parts(v)
-            aggs += [total.alias(f"s{i}"), n.alias(f"n{i}")]
+            v = as_metric_value(v, schema[f].dataType)
+            aggs.append(F.avg(v).alias(f"a{i}"))
             numeric.append(i)
-        else:
-            v = F.col(f)
         aggs.append(F.avg(v.isNull().cast("double")).alias(f"m{i}"))
     wide = df.groupBy(month_key(F.col(time_col)).alias("ym")).agg(*aggs)
     structs = []
     for i, _ in enumerate(features):
-        mean = exact_mean(F.col(f"s{i}"), F.col(f"n{i}")) if i in numeric else F.lit(None).cast("double")
+        mean = F.col(f"a{i}") if i in numeric else F.lit(None).cast("double")
         structs.append(F.struct(F.col(f"m{i}").alias("m"), mean.alias("a")).alias(f"f{i}"))
     names = {f"f{i}": f for i, f in enumerate(features)}
     fname = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))])
     return (wide.select("ym", *structs).unpivot(["ym"], list(names), "_f", "_s")
             .select(F.element_at(fname, F.col("_f")).alias("feature"), "ym",
-                    fround(F.col("_s.m"), 4).alias("missing_rate"), F.col("_s.a").alias("mean")))
+                    fround(F.col("_s.m"), 4).alias("missing_rate"), fround(F.col("_s.a") * F.lit(HALF_UP), 4).alias("mean")))

@@ -24,15 +24,19 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from riskforge.functions.columns import fround
 from riskforge.operators.ranking import auc_ks
 
 SEED = 42
-# maxIter / validationTol trade rounds for time: Spark runs one distributed
-# pass per tree level, so 500 rounds (the reference's cap) are left as an option.
+# Fixed values that must equal the reference's behaviour: learning rate, leaf size,
+# sampling shares, rounds, seed. Spark has no patience: with a tolerance of 0 boosting stops at
+# the first round that does not lower the validation loss, 500 rounds at the latest.
+# ``gbt_params`` of ``train_models`` takes a shorter setting (``SHORT_RUN``).
 GBT_PARAMS = dict(stepSize=0.05, maxDepth=5, minInstancesPerNode=50, featureSubsetStrategy="0.8",
-                  subsamplingRate=0.8, maxIter=60, validationTol=1e-3, seed=SEED, maxBins=32)
+                  subsamplingRate=0.8, maxIter=500, validationTol=0.0, seed=SEED, maxBins=32)
+SHORT_RUN = dict(maxIter=60, validationTol=1e-3)
 LR_C = 0.1
 LR_MAX_ITER = 1000
 TOP_IMPORTANCE = 30
@@ -46,6 +50,7 @@ class ModelRun:
     best: str | None = None
     best_test_auc: float = 0.0
     samples: dict = field(default_factory=dict)
+    rounds: int = 0                                 # boosting rounds kept
     features: list = field(default_factory=list)
 
 
@@ -110,16 +115,21 @@ def train_models(prepared: DataFrame, features: list[str], which=("gbt", "lr"),
     run.metrics = auc_ks(scored, F.col("y"), F.col("score"), by=["model", "split"]).cache()
     metrics = [(r["model"], r["split"], r["n"], r["auc"], r["ks"], r["gini"]) for r in run.metrics.collect()]
     spark = prepared.sparkSession
+    # in the order of ``which``: the boosted model comes first and wins ties
+    test_auc = {name: auc for name, part, _, auc, _, _ in metrics if part == "test"}
     best, best_auc = None, 0.0
-    for name, part, _, auc, _, _ in metrics:
-        if part == "test" and auc > best_auc:
-            best, best_auc = name, auc
+    for name in which:
+        if test_auc.get(name, 0.0) > best_auc:
+            best, best_auc = name, test_auc[name]
     run.best, run.best_test_auc = best, best_auc
     if "gbt" in run.models:
+        run.rounds = run.models["gbt"].stages[-1].getNumTrees
         imp = run.models["gbt"].stages[-1].featureImportances.toArray().tolist()
-        total = max(sum(imp), 1.0)
-        rows = sorted(((f, v / total) for f, v in zip(features, imp)), key=lambda t: -t[1])[:TOP_IMPORTANCE]
-        run.importance = (spark.createDataFrame([(f, float(v), i + 1) for i, (f, v) in enumerate(rows)],
-                                                "feature string, importance_raw double, rank int")
-                          .select("feature", fround(F.col("importance_raw"), 4).alias("importance"), "rank"))
+        # shares of the total (at least 1), ranked and limited by Spark
+        table = spark.createDataFrame([(f, float(v), i) for i, (f, v) in enumerate(zip(features, imp))],
+                                      "feature string, v double, i int")
+        share = F.col("v") / F.greatest(F.sum("v").over(Window.partitionBy()), F.lit(1.0))
+        rank = F.row_number().over(Window.orderBy(F.col("v").desc(), "i"))
+        run.importance = (table.select("feature", fround(share, 4).alias("importance"), rank.alias("rank"))
+                          .where(F.col("rank") <= TOP_IMPORTANCE))
     return run

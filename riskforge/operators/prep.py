@@ -48,8 +48,11 @@ def float_like_columns(df: DataFrame, features: list[str]) -> list[str]:
             if isinstance(schema[c].dataType, (T.FloatType, T.DoubleType, T.DecimalType)) or c in with_nulls]
 
 
-def fit_prep(train: DataFrame, features: list[str]) -> PrepStats:
-    fl = float_like_columns(train, features)
+def fit_prep(train: DataFrame, features: list[str], every: DataFrame | None = None) -> PrepStats:
+    """Medians, means and deviations of the training rows. Which integer columns
+    hold nulls, and so are imputed, is judged on ``every`` row (default: the
+    training rows)."""
+    fl = float_like_columns(train if every is None else every, features)
     vals = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in fl}
     med = {c: (q[0] if q else None) for c, q in interpolated_quantiles(train, vals, [0.5]).items()} if fl else {}
     means, stds = {}, {}

@@ -5,78 +5,58 @@ of a whole group in one aggregation buffer, so a high-cardinality feature at
 scale ends in one task. Why not only ``percentile_approx``: its results are data
 values, not the interpolated quantiles used for bin edges.
 
-Method (all targets of all groups are handled together, a few passes):
-
-1. ``percentile_approx`` gives, for every wanted rank r, two candidate values
-   a1 <= a2 whose ranks bracket r (margin = a few times the sketch error).
-2. One counting pass finds the cell of every value among the sorted candidates
-   of its group (binary search over a broadcast array: one row per group,
-   bounded by the number of targets) and counts cells with a partial
-   aggregate (no shuffle of rows). This gives exact counts below / at every
-   candidate.
-3. A target whose rank falls on a candidate is solved. Otherwise its open
-   interval shrinks to the counted bracket; once the rows inside are few, the
-   distinct values inside are aggregated and brought to the driver (bounded by
-   ``MAX_COLLECT``) and the exact value is read off the counts.
-
-A hot value (one value holding a large share of the rows) is solved in step 3 by
-the counts of that value, never by collecting its rows.
+Method, for all targets of all groups together. Every wanted rank lies in a
+closed interval of values, at first the whole line. A round has two scans:
+
+1. A random sample of the values inside the intervals, about ``SPLITTERS`` a
+   group, is brought to the driver. An interval with few rows is "sampled" with
+   probability 1: its histogram is complete and settles its ranks.
+2. The rows of the other intervals are counted between and at the sampled
+   values (binary search over one broadcast array a group, partial aggregate).
+   A rank on a sampled value is settled, any other goes on in the interval
+   between its two neighbours.
+
+A round divides the rows of an interval by about ``SPLITTERS`` over the number
+of intervals of its group, so the number of rounds is about
+log(rows) / log(SPLITTERS / targets): it depends neither on the number of groups nor
+on the values. The result is exact whatever the sample. What reaches the driver
+is at most about ``SPLITTERS + KEEP`` x targets values a group. A value that holds a
+large share of the rows is in the sample and settled by its own count.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Any
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskforge.functions.arrays import small_table, with_count_below
+from riskforge.functions.arrays import with_count_below
 
-MAX_COLLECT = 50_000   # rows of a value histogram brought to the driver per target
-DIRECT_MAX = 5_000     # groups with fewer distinct values skip the narrowing passes
-MAX_TOTAL = 400_000    # rows of value histograms brought to the driver per pass
-ACCURACY = 10_000      # percentile_approx accuracy (relative rank error 1/ACCURACY)
-MAX_PASSES = 40
+SPLITTERS = 4096    # sampled values of a group in a round
+KEEP = 512          # rows of an interval that are taken as they are
 
 
 @dataclass
-class _Target:
-    group: str
-    rank: int          # 0-based rank among the non-null values of the group
-    lo: Any = None     # exclusive lower bound (None: unbounded)
-    hi: Any = None     # exclusive upper bound (None: unbounded)
-    c_lo: int = 0      # values <= lo
-    size: int = 0      # values strictly inside (lo, hi)
-    est: int = 0       # bound on the distinct values inside (lo, hi)
-    value: Any = None
-    n_lt: int = 0      # values strictly below the answer
-    done: bool = False
-
-
-class Counts(dict):
-    """Non-null count per group, with an estimate of distinct values (``ndv``)."""
-    ndv: dict
-
-
-def group_counts(df: DataFrame, groups: dict[str, Column]) -> Counts:
-    """Non-null count and estimated distinct count (HyperLogLog, 2 % error) of
-    every group expression, in one aggregate."""
-    out = Counts()
-    out.ndv = {}
+class _Interval:
+    lo: Any                      # closed bounds
+    hi: Any
+    below: int                   # values < lo
+    size: int                    # values inside
+    ranks: list[int] = field(default_factory=list)
+
+
+def group_counts(df: DataFrame, groups: dict[str, Column]) -> dict[str, int]:
+    """Non-null count of every group expression, in one aggregate."""
     if not groups:
-        return out
-    aggs = []
-    for i, c in enumerate(groups.values()):
-        aggs += [F.count(c).alias(f"n{i}"), F.approx_count_distinct(c, 0.02).alias(f"d{i}")]
-    row = df.agg(*aggs).first()
-    for i, k in enumerate(groups):
-        out[k] = int(row[f"n{i}"])
-        out.ndv[k] = int(row[f"d{i}"])
-    return out
+        return {}
+    row = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(groups.values())]).first()
+    return {k: int(row[f"n{i}"]) for i, k in enumerate(groups)}
 
 
 def _family(dtype: T.DataType) -> str:
@@ -87,13 +67,16 @@ def _family(dtype: T.DataType) -> str:
     raise TypeError(f"order statistics need a numeric key, got {dtype.simpleString()}")
 
 
-def _inside(col: Column, lo: Any, hi: Any) -> Column:
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (col > F.lit(lo))
-    if hi is not None:
-        cond = cond & (col < F.lit(hi))
-    return cond
+def _ends(family: str) -> tuple[Any, Any]:
+    return (-(1 << 63), (1 << 63) - 1) if family == "long" else (-math.inf, math.inf)
+
+
+def _after(v: Any, family: str) -> Any:
+    return int(v) + 1 if family == "long" else float(np.nextafter(v, math.inf))
+
+
+def _before(v: Any, family: str) -> Any:
+    return int(v) - 1 if family == "long" else float(np.nextafter(v, -math.inf))
 
 
 def order_stats(df: DataFrame, groups: dict[str, Column], ranks: dict[str, list[int]],
@@ -107,190 +90,103 @@ def order_stats(df: DataFrame, groups: dict[str, Column], ranks: dict[str, list[
     names = {g: f"g{i}" for i, g in enumerate(groups)}
     proj = df.select(*[c.alias(names[g]) for g, c in groups.items()])
     fam = {g: _family(proj.schema[names[g]].dataType) for g in groups}
-
-    ndv = getattr(counts, "ndv", {})
-    targets: list[_Target] = []
+    open_: dict[str, list[_Interval]] = {}
     for g, rs in ranks.items():
-        n = counts[g]
-        # few distinct values: the whole group's value histogram is small
-        # (estimate plus a margin for the sketch error), no narrowing needed
-        est = n
-        if g in ndv and int(ndv[g] * 1.1) + 10 <= DIRECT_MAX:
-            est = min(n, int(ndv[g] * 1.1) + 10)
-        for r in sorted(set(int(x) for x in rs)):
-            if not 0 <= r < n:
-                raise ValueError(f"rank {r} outside 0..{n - 1} for {g}")
-            targets.append(_Target(g, r, size=n, est=est))
-
-    for _ in range(MAX_PASSES):
-        open_ = [t for t in targets if not t.done]
-        if not open_:
-            break
-        small, budget, seen = [], MAX_TOTAL, set()
-        for t in open_:
-            cost = 0 if (t.group, t.lo, t.hi) in seen else t.est
-            if t.est <= MAX_COLLECT and cost <= budget:
-                small.append(t)
-                budget -= cost
-                seen.add((t.group, t.lo, t.hi))
-        big = [t for t in open_ if t.est > MAX_COLLECT]
-        if small:
-            _solve_by_histogram(proj, names, fam, small)
-        if big:
-            _narrow(proj, names, fam, big)
-    missing = [t for t in targets if not t.done]
-    if missing:
-        raise RuntimeError(f"order statistics did not converge for {len(missing)} targets")
-    return {(t.group, t.rank): (t.value, t.n_lt) for t in targets}
-
-
-def _long(proj: DataFrame, names: dict[str, str], groups: list[str], family: str) -> DataFrame:
-    """(grp, v) rows of the given groups, nulls dropped (a narrow Expand)."""
-    cols = [F.col(names[g]).cast(family).alias(names[g]) for g in groups]
-    return (proj.select(*cols).unpivot([], [names[g] for g in groups], "grp", "v")
-            .where(F.col("v").isNotNull()))
-
-
-def _merged(intervals: list[tuple]) -> list[tuple[float, float]]:
-    """Closed double intervals covering the open brackets (None = unbounded)."""
-    iv = sorted((float("-inf") if lo is None else float(lo), float("inf") if hi is None else float(hi))
-                for lo, hi in intervals)
-    out: list[list[float]] = []
-    for lo, hi in iv:
-        if out and lo <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], hi)
-        else:
-            out.append([lo, hi])
-    return [(a, b) for a, b in out]
-
-
-def _solve_by_histogram(proj: DataFrame, names: dict[str, str], fam: dict[str, str],
-                        targets: list[_Target]) -> None:
-    """Exact values of targets whose open bracket holds few values.
-
-    Per group, the brackets are merged into sorted intervals (one broadcast row
-    per group, bounded by the number of targets); a binary search keeps only
-    values inside some bracket; their distinct values are counted and brought
-    to the driver (bounded by the bracket sizes).
+        rs = sorted(set(int(x) for x in rs))
+        if rs and not 0 <= rs[0] <= rs[-1] < counts[g]:
+            raise ValueError(f"ranks {rs[0]}..{rs[-1]} outside 0..{counts[g] - 1} for {g}")
+        if rs:
+            open_[g] = [_Interval(*_ends(fam[g]), 0, counts[g], rs)]
+    found: dict[tuple[str, int], tuple[Any, int]] = {}
+    seed = 0
+    while open_:
+        seed += 1
+        for family in ("long", "double"):
+            mine = {g: open_.pop(g) for g in list(open_) if fam[g] == family}
+            if mine:
+                open_ |= _round(proj, names, family, mine, found, seed)
+    return found
+
+
+def _round(proj: DataFrame, names: dict[str, str], family: str, open_: dict[str, list[_Interval]],
+           found: dict, seed: int) -> dict[str, list[_Interval]]:
+    """One round: what is still open afterwards; settled ranks go to ``found``."""
+    quota = {g: max(32, SPLITTERS // len(iv)) for g, iv in open_.items()}
+    share = {g: [1.0 if i.size <= max(KEEP, quota[g]) else quota[g] / i.size for i in iv] for g, iv in open_.items()}
+    rows = _inside(proj, names, family, open_, [("p", "double", share)])
+    sample = rows.where(F.rand(seed) < F.element_at("p", F.col("k"))).groupBy("grp", "k", "v").agg(F.count(F.lit(1)).alias("n")).toPandas()
+    drawn = {key: part.sort_values("v") for key, part in sample.groupby(["grp", "k"])}
+    rest: dict[str, list[_Interval]] = {}
+    points: dict[str, list[np.ndarray]] = {}
+    for g, iv in open_.items():
+        for j, i in enumerate(iv):
+            part = drawn.get((names[g], j + 1))
+            values = part["v"].to_numpy() if part is not None else np.zeros(0)
+            if share[g][j] == 1.0:
+                edge = i.below + np.concatenate([[0], np.cumsum(part["n"].to_numpy())])
+                for r in i.ranks:
+                    at = int(np.searchsorted(edge, r, side="right")) - 1
+                    found[g, r] = values[at].item(), int(edge[at])
+            else:
+                rest.setdefault(g, []).append(i)
+                points.setdefault(g, []).append(values)
+    if not rest:
+        return {}
+    every = {g: np.concatenate(p) for g, p in points.items()}
+    width = max(1, max(len(p) for p in every.values()))
+    rows = _inside(proj, names, family, rest, [("s", family, {g: p.tolist() for g, p in every.items()})])
+    rows = with_count_below(rows, "s", F.col("v"), "lt", width, strict=True)
+    at = (F.try_element_at(F.col("s"), F.col("lt") + 1) == F.col("v"))
+    cell = F.col("lt") * 2 + F.coalesce(at, F.lit(False)).cast("int")
+    counted = rows.groupBy("grp", "k", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).toPandas()
+    cells = {key: part for key, part in counted.groupby(["grp", "k"])}
+    left = {g: _narrow(g, family, iv, points[g], [cells[names[g], j + 1] for j in range(len(iv))], found)
+            for g, iv in rest.items()}
+    return {g: iv for g, iv in left.items() if iv}
+
+
+def _narrow(g: str, family: str, intervals: list[_Interval], points: list[np.ndarray], cells: list[pd.DataFrame],
+            found: dict) -> list[_Interval]:
+    out: list[_Interval] = []
+    first = 0                                # splitters of the intervals before
+    for i, s, c in zip(intervals, points, cells):
+        n = np.zeros(2 * len(s) + 1, dtype=np.int64)
+        n[c["cell"].to_numpy() - 2 * first] = c["n"].to_numpy()
+        edge = i.below + np.concatenate([[0], np.cumsum(n)])
+        first += len(s)
+        for r in i.ranks:
+            at = int(np.searchsorted(edge, r, side="right")) - 1
+            k, on = divmod(at, 2)            # cell 2k lies below splitter k, cell 2k + 1 is splitter k
+            if on:
+                found[g, r] = s[k].item(), int(edge[at])
+                continue
+            lo = _after(s[k - 1], family) if k else i.lo
+            hi = _before(s[k], family) if k < len(s) else i.hi
+            if out and out[-1].lo == lo and out[-1].below == edge[at]:
+                out[-1].ranks.append(r)
+            else:
+                out.append(_Interval(lo, hi, int(edge[at]), int(n[at]), [r]))
+    return out
+
+
+def _inside(proj: DataFrame, names: dict[str, str], family: str, open_: dict[str, list[_Interval]],
+            more: list[tuple[str, str, dict[str, list]]]) -> DataFrame:
+    """(grp, v, k, further arrays): values inside the k-th interval of their group.
+
+    Unpivoting is a narrow Expand; the intervals are one broadcast row a group.
     """
-    spark = proj.sparkSession
-    by_group: dict[str, list[_Target]] = {}
-    for t in targets:
-        by_group.setdefault(t.group, []).append(t)
-    hists: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    schema = T.StructType([T.StructField("grp", T.StringType()),
-                           T.StructField("ls", T.ArrayType(T.DoubleType())),
-                           T.StructField("hs", T.ArrayType(T.DoubleType()))])
-    for family in ("long", "double"):
-        gs = [g for g in by_group if fam[g] == family]
-        if not gs:
-            continue
-        rows, width = [], 1
-        for g in gs:
-            iv = _merged([(t.lo, t.hi) for t in by_group[g]])
-            rows.append((names[g], [a for a, _ in iv], [b for _, b in iv]))
-            width = max(width, len(iv))
-        lookup = F.broadcast(small_table(spark, rows, schema))
-        long = _long(proj, names, gs, family).join(lookup, "grp")
-        x = F.col("v").cast("double")
-        long = with_count_below(long, "ls", x, "k", width, strict=False, filtered=True)
-        inside = (F.col("k") >= 1) & (x <= F.try_element_at(F.col("hs"), F.col("k")))
-        pdf = long.where(inside).groupBy("grp", "v").agg(F.count(F.lit(1)).alias("cnt")).toPandas()
-        for g in gs:
-            part = pdf[pdf["grp"] == names[g]].sort_values("v")
-            hists[g] = (part["v"].to_numpy(), part["cnt"].to_numpy().astype(np.int64))
-    for g, ts in by_group.items():
-        values, cnts = hists[g]
-        for t in ts:
-            mask = np.ones(len(values), dtype=bool)
-            if t.lo is not None:
-                mask &= values > t.lo
-            if t.hi is not None:
-                mask &= values < t.hi
-            vs, cs = values[mask], cnts[mask]
-            cum = t.c_lo + np.cumsum(cs)
-            idx = int(np.searchsorted(cum, t.rank, side="right"))
-            if idx >= len(vs):
-                raise RuntimeError(f"order statistic outside its bracket: {t}")
-            t.value = vs[idx].item()
-            t.n_lt = int(cum[idx] - cs[idx])
-            t.done = True
-
-
-def _narrow(proj: DataFrame, names: dict[str, str], fam: dict[str, str], targets: list[_Target]) -> None:
-    # 1. candidate values from percentile_approx, one sketch per (group, interval)
-    keyed: dict[tuple, list[_Target]] = {}
-    for t in targets:
-        keyed.setdefault((t.group, t.lo, t.hi), []).append(t)
-    aggs, plan = [], []
-    for i, ((g, lo, hi), ts) in enumerate(keyed.items()):
-        size = ts[0].size
-        probs = []
-        for t in ts:
-            m = 2 * math.ceil(size / ACCURACY) + 1
-            rel = t.rank - t.c_lo
-            probs += [max(0.0, (rel - m) / size), min(1.0, (rel + m + 1) / size)]
-        c = F.col(names[g])
-        aggs.append(F.percentile_approx(F.when(_inside(c, lo, hi), c), probs, ACCURACY).alias(f"a{i}"))
-        plan.append(ts)
-    row = proj.agg(*aggs).first()
-    points: dict[str, set] = {}
-    for i, ts in enumerate(plan):
-        vals = row[f"a{i}"]
-        for j, t in enumerate(ts):
-            a1, a2 = vals[2 * j], vals[2 * j + 1]
-            t._cand = (min(a1, a2), max(a1, a2))
-            points.setdefault(t.group, set()).update(t._cand)
-    # 2. exact counts below / at every candidate: each value finds its cell
-    #    among the sorted candidates of its group (binary search over a
-    #    broadcast array, one row per group); cells are counted with a partial
-    #    aggregate. cell = 2 * (# candidates < v) + (v is a candidate).
-    spark = proj.sparkSession
-    pts = {g: sorted(p) for g, p in points.items()}
-    cells: dict[str, np.ndarray] = {}
-    for family in ("long", "double"):
-        gs = [g for g in pts if fam[g] == family]
-        if not gs:
-            continue
-        dtype = T.LongType() if family == "long" else T.DoubleType()
-        schema = T.StructType([T.StructField("grp", T.StringType()),
-                               T.StructField("pts", T.ArrayType(dtype))])
-        lookup = F.broadcast(small_table(spark, [(names[g], pts[g]) for g in gs], schema))
-        width = max(len(pts[g]) for g in gs)
-        long = _long(proj, names, gs, family).join(lookup, "grp")
-        long = with_count_below(long, "pts", F.col("v"), "lt", width, strict=True)
-        cell = F.col("lt") * F.lit(2) + F.array_contains(F.col("pts"), F.col("v")).cast("int")
-        res = (long.groupBy("grp", cell.alias("cell"))
-               .agg(F.count(F.lit(1)).alias("cnt")).collect())
-        for g in gs:
-            cells[g] = np.zeros(2 * len(pts[g]) + 1, dtype=np.int64)
-        inv = {names[g]: g for g in gs}
-        for r in res:
-            cells[inv[r["grp"]]][r["cell"]] = r["cnt"]
-    for t in targets:
-        p = pts[t.group]
-        cum = np.concatenate([[0], np.cumsum(cells[t.group])])
-
-        # cells 0 .. 2i lie below candidate i, cell 2i + 1 is equal to it
-        def lt(v, p=p, cum=cum):
-            return int(cum[2 * p.index(v) + 1])
-
-        def le(v, p=p, cum=cum):
-            return int(cum[2 * p.index(v) + 2])
-
-        a1, a2 = t._cand
-        upper = t.c_lo + t.size  # values < hi
-        if lt(a1) <= t.rank < le(a1):
-            t.value, t.n_lt, t.done = a1, lt(a1), True
-        elif lt(a2) <= t.rank < le(a2):
-            t.value, t.n_lt, t.done = a2, lt(a2), True
-        elif t.rank < lt(a1):
-            t.hi, t.size = a1, lt(a1) - t.c_lo
-        elif t.rank >= le(a2):
-            t.lo, t.c_lo, t.size = a2, le(a2), upper - le(a2)
-        else:
-            t.lo, t.hi, t.c_lo, t.size = a1, a2, le(a1), lt(a2) - le(a1)
-        t.est = min(t.est, t.size)
+    groups = list(open_)
+    table = pd.DataFrame({"grp": [names[g] for g in groups], "ls": [[i.lo for i in open_[g]] for g in groups],
+                          "hs": [[i.hi for i in open_[g]] for g in groups]} | {name: [per[g] for g in groups] for name, _, per in more})
+    kind = {"long": "bigint", "double": "double"}
+    schema = f"grp string, ls array<{kind[family]}>, hs array<{kind[family]}>" + "".join(
+        f", {name} array<{kind[t]}>" for name, t, _ in more)
+    lookup = proj.sparkSession.createDataFrame(table, schema)
+    long = (proj.select(*[F.col(names[g]).cast(kind[family]).alias(names[g]) for g in groups])
+            .unpivot([], [names[g] for g in groups], "grp", "v").where(F.col("v").isNotNull()))
+    long = long.join(F.broadcast(lookup), "grp")      # one row a group: bounded by the number of features
+    long = with_count_below(long, "ls", F.col("v"), "k", max(len(iv) for iv in open_.values()), strict=False, filtered=True)
+    return long.where((F.col("k") >= 1) & (F.col("v") <= F.try_element_at(F.col("hs"), F.col("k"))))
 
 
 def interpolated_quantiles(df: DataFrame, groups: dict[str, Column], probs: list[float],

@@ -15,24 +15,27 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskforge.functions.columns import order_number
+from riskforge.functions.columns import TEXT_TYPES, order_numbers
 from riskforge.operators.quantiles import group_counts, order_stats
 
 
 def _order_columns(df: DataFrame, order_by: list[str]) -> list[Column]:
-    return [order_number(F.col(c), df.schema[c].dataType) for c in order_by]
+    """Numeric key columns; a text column gives one per six bytes of its longest value."""
+    text = [c for c in order_by if isinstance(df.schema[c].dataType, TEXT_TYPES)]
+    longest = df.agg(*[F.max(F.octet_length(c)).alias(f"m{i}") for i, c in enumerate(text)]).first() if text else []
+    size = {c: n or 0 for c, n in zip(text, longest)}
+    return [k for c in order_by for k in order_numbers(F.col(c), df.schema[c].dataType, size.get(c, 0))]
 
 
-def cut_keys(df: DataFrame, order_by: list[str], ks: list[int]) -> list[list[Any] | None]:
+def cut_keys(df: DataFrame, nums: list[Column], ks: list[int]) -> list[list[Any] | None]:
     """Keys of the rows at 1-based positions ``ks`` of the (nulls-last) order.
 
     All positions are resolved together, one key column at a time: exact
     order statistics on the first column, then on the next column among the
     rows tied on the first, and so on. ``None`` stands for position 0; inside a
     key, None stands for a null value. Values are the numeric order keys of
-    :func:`riskforge.functions.columns.order_number`.
+    :func:`riskforge.functions.columns.order_numbers`.
     """
-    nums = _order_columns(df, order_by)
     # state per cut: remaining 0-based rank, condition selecting its tied rows, key so far
     state = [{"r": k - 1, "cond": None, "key": []} for k in ks]
     for num in nums:
@@ -68,16 +71,10 @@ def cut_keys(df: DataFrame, order_by: list[str], ks: list[int]) -> list[list[Any
     return [st["key"] if k > 0 else None for st, k in zip(state, ks)]
 
 
-def cut_key(df: DataFrame, order_by: list[str], k: int, n: int | None = None) -> list[Any] | None:
-    """Key of the row at 1-based position ``k`` (see :func:`cut_keys`)."""
-    return cut_keys(df, order_by, [k])[0]
-
-
-def at_or_before(df: DataFrame, order_by: list[str], key: list[Any] | None) -> Column:
+def at_or_before(nums: list[Column], key: list[Any] | None) -> Column:
     """True for rows ordered at or before ``key`` (nulls last)."""
     if key is None:
         return F.lit(False)
-    nums = _order_columns(df, order_by)
     pred: Column = F.lit(True)   # rows equal on every key column are "at" the key
     for num, v in reversed(list(zip(nums, key))):
         if v is None:
@@ -103,7 +100,8 @@ def split_by_order(df: DataFrame, order_by: list[str], ratios: list[float], labe
     for i, ratio in enumerate(ratios):
         cum = cum + ratio if i else ratio
         ks.append(int(n * cum))
-    preds = [at_or_before(df, order_by, key) for key in cut_keys(df, order_by, ks)]
+    nums = _order_columns(df, order_by)
+    preds = [at_or_before(nums, key) for key in cut_keys(df, nums, ks)]
     expr = None
     for pred, label in zip(preds, labels):
         expr = F.when(pred, F.lit(label)) if expr is None else expr.when(pred, F.lit(label))

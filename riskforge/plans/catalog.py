@@ -23,7 +23,7 @@ from riskforge.operators import report as R
 from riskforge.operators.binning import bin_of, equal_width_edges, single_bin
 from riskforge.operators.derive import derive_table
 from riskforge.operators.metrics import evaluate
-from riskforge.operators.model import score, train_models
+from riskforge.operators.model import SHORT_RUN, score, train_models
 from riskforge.operators.ranking import auc_ks, signed_ks
 from riskforge.operators.split import split_model, split_psi, split_summary
 from riskforge.session import checkpoint_root, materialize
@@ -125,7 +125,7 @@ def selected(spark, sf) -> list[str]:
 def prep_stats(spark, sf):
     def build():
         mf = model_frame(spark, sf)
-        return P.fit_prep(mf.where(F.col("split") == "train"), selected(spark, sf))
+        return P.fit_prep(mf.where(F.col("split") == "train"), selected(spark, sf), mf)
     return _memo(spark, sf, "prep", build)
 
 
@@ -136,7 +136,8 @@ def prepared(spark, sf):
 
 
 def model_run(spark, sf):
-    return _memo(spark, sf, "run", lambda: train_models(prepared(spark, sf), selected(spark, sf)))
+    return _memo(spark, sf, "run", lambda: train_models(
+        prepared(spark, sf), selected(spark, sf), gbt_params=SHORT_RUN))
 
 
 def _derive_one(spark, sf, key):

@@ -132,13 +132,13 @@ GINI = f"CASE WHEN ok THEN {r('2 * auc - 1', 4)} ELSE 0.0 END AS gini"
 
 MODEL_SPLIT = (f"ms AS (SELECT *, CASE WHEN rn <= {TRAIN_CUT} THEN 'train' WHEN rn <= {VAL_CUT} THEN 'val' "
                f"ELSE 'test' END AS split FROM sp)")
-# integer-typed evaluated columns: imputed only when they hold nulls in the training rows
+# integer-typed evaluated columns: imputed only when they hold nulls in the labelled rows
 INT_FEATURES = ["n_items", "rare_cnt"]
 # training rows are the first 60 % in (time, id) order, i.e. the PSI base rows
 SELECTION_CTES = [
     "sel AS (SELECT feature, position FROM fg WHERE grade IN ('excellent', 'usable') "
     "QUALIFY row_number() OVER (ORDER BY CASE WHEN grade = 'excellent' THEN 0 ELSE 1 END, position) <= 50)",
-    "fl AS (SELECT s.feature, s.position FROM sel s JOIN lg l ON l.feature = s.feature WHERE l.is_base "
+    "fl AS (SELECT s.feature, s.position FROM sel s JOIN lg l ON l.feature = s.feature "
     "GROUP BY s.feature, s.position HAVING s.feature NOT IN (" + ", ".join(f"'{f}'" for f in INT_FEATURES)
     + ") OR sum(CASE WHEN l.v IS NULL THEN 1 ELSE 0 END) > 0)",
     "med AS (SELECT f.feature, f.position, m.median FROM fl f LEFT JOIN (SELECT feature, "
@@ -149,11 +149,6 @@ SELECTION_CTES = [
 ]
 
 
-# mean rounded half away from zero at 4 places, from an exact decimal sum (see functions.columns.exact_mean)
-_SI = "CAST(sum(CAST(CAST(v AS DECIMAL(38,6)) * 1000000 AS DECIMAL(38,0))) AS HUGEINT)"
-EXACT_MEAN = (f"CASE WHEN count(v) = 0 THEN NULL ELSE CAST(sign({_SI}) * ((abs({_SI}) * 2 + count(v) * 100) "
-              f"// (count(v) * 200)) AS DOUBLE) / CAST(10000 AS DOUBLE) + 0.0 END")
-
 ORACLE: dict[str, str] = {
     "scan_limit": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders "
                   "WHERE o_totalprice > 1000 ORDER BY o_orderkey LIMIT 500",
@@ -216,7 +211,7 @@ ORACLE: dict[str, str] = {
     "missing_rate": _eval("SELECT feature, missing_rate FROM fg"),
     "monthly_metrics": _eval(
         f"SELECT feature, coalesce(strftime(lend_tm, '%Y-%m'), 'NaT') AS ym, "
-        f"{r('avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END)', 4)} AS missing_rate, {EXACT_MEAN} AS mean "
+        f"{r('avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END)', 4)} AS missing_rate, {r('avg(v) * CAST(1.0000000000001 AS DOUBLE)', 4)} AS mean "
         f"FROM lg GROUP BY 1, 2"),
     "feature_grade": _eval("SELECT feature, iv, psi, missing_rate, grade FROM fg"),
     "feature_eval": _eval("SELECT feature, iv, psi, missing_rate, n_bins, grade FROM fg"),

@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from riskforge.operators.derive import STAT_TEMPLATES, derive_table
+from riskforge.operators.derive import derive_table, split_windows
 
 
 def derive_stream(spark: SparkSession, source_dir: str, schema: T.StructType, features: list[dict],
@@ -22,7 +22,7 @@ def derive_stream(spark: SparkSession, source_dir: str, schema: T.StructType, fe
     """Start a query that derives ``features`` for every new Parquet file in
     ``source_dir`` and appends them to ``out_dir`` (exactly once through the
     checkpoint in ``checkpoint_dir``, which must be on shared storage)."""
-    stateful = [f["name"] for f in features if f.get("template") in STAT_TEMPLATES]
+    stateful = [f["name"] for f in features if split_windows(f["formula"])[1]]
     if stateful:
         raise ValueError(f"templates needing whole-table statistics cannot stream: {stateful}")
     src = spark.readStream.schema(schema).parquet(source_dir)

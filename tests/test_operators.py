@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import riskforge.operators.quantiles as Q
 from riskforge.functions import templates as T
-from riskforge.functions.columns import exact_mean, exact_mean_parts, label_binary
+from riskforge.functions.columns import label_binary
 from riskforge.operators.derive import derive_table
 from riskforge.operators.profile import category_profile, profile
 from riskforge.operators.ranking import auc_ks
@@ -19,10 +19,9 @@ from riskforge.operators.split import split_model, split_psi
 
 @pytest.fixture
 def narrow_path(monkeypatch):
-    """Force the approximate-bracket path on small data."""
-    monkeypatch.setattr(Q, "MAX_COLLECT", 7)
-    monkeypatch.setattr(Q, "MAX_TOTAL", 20)
-    monkeypatch.setattr(Q, "ACCURACY", 50)
+    """Force several rounds on small data."""
+    monkeypatch.setattr(Q, "SPLITTERS", 8)
+    monkeypatch.setattr(Q, "KEEP", 4)
 
 
 def _values(seed, n):
@@ -116,15 +115,88 @@ def test_label_binary_text_and_numbers(spark):
     assert [r[0] for r in nums.select(label_binary(F.col("v"), nums.schema["v"].dataType)).collect()] == [1, 0, 0]
 
 
-def test_exact_mean_rounds_half_away(spark):
-    df = spark.createDataFrame([(0.00025,), (0.0,), (-0.00025,), (-0.0,)], "v double")
-    s, n = exact_mean_parts(F.col("v"))
-    assert df.limit(2).agg(exact_mean(s, n).alias("m")).first()["m"] in (0.0001, 0.0002)
-    two = spark.createDataFrame([(0.0001,), (0.0002,)], "v double")
-    s, n = exact_mean_parts(F.col("v"))
-    assert two.agg(exact_mean(s, n).alias("m")).first()["m"] == 0.0002   # 0.00015 -> 0.0002
-    neg = spark.createDataFrame([(-0.0001,), (-0.0002,)], "v double")
-    assert neg.agg(exact_mean(s, n).alias("m")).first()["m"] == -0.0002
+def test_monthly_means(spark):
+    from riskforge.operators.metrics import monthly_metrics
+    inf = float("inf")
+    rows = [("2024-01-05", 0.00004999, inf, 1e33, True), ("2024-01-06", 0.00004999, 2.0, 1e33, False), (None, 1.0, 2.0, None, None)]
+    df = spark.createDataFrame(rows, "t string, a double, b double, c double, d boolean").withColumn("t", F.col("t").cast("timestamp"))
+    got = {(r["feature"], r["ym"]): r["mean"] for r in monthly_metrics(df, ["a", "b", "c", "d"], "t").collect()}
+    assert got == {("a", "2024-01"): 0.0, ("b", "2024-01"): inf, ("c", "2024-01"): 1e33, ("d", "2024-01"): 0.5,
+                   ("a", "NaT"): 1.0, ("b", "NaT"): 2.0, ("c", "NaT"): None, ("d", "NaT"): None}
+
+
+def test_boolean_feature_is_evaluated_as_a_number(spark):
+    from riskforge.operators.metrics import evaluate
+    rows = [(i, i % 5 < 2, int((i % 5 < 2) == (i % 7 != 0))) for i in range(350)]
+    df = spark.createDataFrame(rows, "pid long, b boolean, y int").withColumn("n", F.col("b").cast("int"))
+    got = {r["feature"]: (r["iv"], r["n_bins"]) for r in evaluate(df, ["b", "n"], "y", None).features.collect()}
+    assert got["b"] == got["n"] and got["b"][0] > 0 and got["b"][1] == 2
+
+
+def test_split_with_text_ids_and_ties(spark):
+    rnd = random.Random(4)
+    ids = ["", "a", "ab", "abcdefg", "abcdefgh", "abcdef", "é", "漢字", "Z" * 30, "Z" * 31] + [f"L-{rnd.randrange(10**9):012d}" for _ in range(190)]
+    rows = [(p, rnd.randrange(4) if rnd.random() < .9 else None) for p in ids] + [(None, 1)]
+    df = spark.createDataFrame(rows, "pid string, t int")
+    order = sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[0] is None, (r[0] or "").encode()))
+    got = {r["pid"]: r["split"] for r in split_model(df, "t", "pid").collect()}
+    n = len(rows)
+    assert [got[p] for p, _ in order] == ["train"] * int(n * .6) + ["val"] * (int(n * .8) - int(n * .6)) + ["test"] * (n - int(n * .8))
+
+
+def _spec(name, formula, sources, template):
+    from riskforge.functions import templates as T
+    return T.spec(name, formula, sources, template)
+
+
+def test_formulas_run_whatever_their_template(spark):
+    df = spark.createDataFrame([(i, 1, float(i), i % 3) for i in range(30)], "pid long, y int, x double, k int")
+    feats = [_spec("a", "x / NULLIF(k, 0)", ["x", "k"], "normalized"),
+             _spec("b", "COUNT(x) OVER (PARTITION BY k) / 10.0D", ["x", "k"], "frequency_encode"),
+             _spec("c", "x - AVG(x) OVER ()", ["x"], "normalized"),
+             _spec("d", "CASE WHEN 'SUM(x) OVER (ORDER BY x)' = '' THEN 1 ELSE MAX(x + k) OVER (partition by k, x > 15) END", ["x", "k"], "formula")]
+    rows = derive_table(df, feats, "y", "pid", None).collect()
+    for r in rows:
+        assert r["feat_a"] == (None if r["k"] == 0 else r["x"] / r["k"]) and r["feat_b"] == 1.0 and r["feat_c"] == r["x"] - 14.5
+        assert r["feat_d"] == max(i + i % 3 for i in range(30) if i % 3 == r["k"] and (i > 15) == (r["x"] > 15))
+    for bad in ("SUM(x) OVER (ORDER BY x)", "SUM(x) OVER (PARTITION BY k ORDER BY x)"):
+        with pytest.raises(ValueError):
+            derive_table(df, [_spec("e", bad, ["x"], "formula")], "y", "pid", None)
+    with pytest.raises(ValueError):
+        derive_table(df, [_spec("e", "x", ["nope"], "formula")], "y", "pid", None)
+
+
+def test_few_keys_do_not_shuffle_rows_and_many_keys_are_salted(spark, monkeypatch):
+    from riskforge.functions import templates as T
+    from riskforge.operators import derive
+    df = spark.range(2000).select(F.col("id").alias("pid"), F.lit(1).alias("y"), (F.col("id") % 7).cast("double").alias("x"),
+                                  F.when(F.col("id") < 700, 0).otherwise(F.col("id")).alias("k"))
+    spec = [T.frequency_encode("f", "k"), T.normalized("z", "x", "k")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = derive_table(df, spec, "y", "pid", None)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        plain = sorted(map(tuple, derive_table(df, spec, "y", "pid", None).collect()))
+        monkeypatch.setattr(derive, "BROADCAST_KEYS", 5)
+        salted = derive_table(df, spec, "y", "pid", None)
+        assert "SortMergeJoin" in salted._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, salted.collect())) == plain and {r["feat_f"] for r in salted.collect()} == {1, 700}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_window_compare_on_integers_and_quoted_order(spark):
+    from riskforge.functions import templates as T
+    df = spark.createDataFrame([(1, 1, 1, 1, "it's"), (2, 1, 3, 0, "a\\b"), (3, 1, 2, 4, "x")], "pid long, y int, a int, b int, s string")
+    rows = derive_table(df, [T.window_compare("w", "a", 90, "b", 360), T.ordinal_encode("o", "s", ["it's", "a\\b"])], "y", "pid", None).collect()
+    assert [(r["feat_w"], r["feat_o"]) for r in rows] == [(4.0, 1), (None, 2), (2.0, None)]
+
+
+def test_nulls_outside_the_training_rows_count(spark):
+    from riskforge.operators.prep import apply_prep, fit_prep
+    df = spark.createDataFrame([(i, i, "train") for i in range(1, 6)] + [(6, None, "test")], "pid long, n int, split string")
+    stats = fit_prep(df.where("split = 'train'"), ["n"], df)
+    assert [r["n"] for r in apply_prep(df, ["n"], stats).orderBy("pid").collect()] == [1.0, 2.0, 3.0, 4.0, 5.0, 3.0]
 
 
 def test_derive_templates_and_names(spark):
