@@ -51,11 +51,11 @@ def missing_rates(df: DataFrame, columns: list[str]) -> DataFrame:
     return stacked.select("s.name", "s.position", fround(F.col("s.mr"), 4).alias("missing_rate"))
 
 
-def sampled_missing_rates(df: DataFrame, columns: list[str], rows: int = 10_000, seed: int = 7) -> DataFrame:
-    """Missing rates on a Bernoulli sample of about ``rows`` rows."""
-    n = df.count()
-    frac = 1.0 if n <= rows else rows / n
-    return missing_rates(df.sample(False, frac, seed) if frac < 1.0 else df, columns)
+def sampled_missing_rates(df: DataFrame, columns: list[str], rows: int = 10_000, seed: int = 7, id_col: str = "pid") -> DataFrame:
+    """Missing rates on ``rows`` rows drawn by a seeded hash of the id: the
+    same rows on any number of partitions (a per-task top-k, no full sort)."""
+    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+    return missing_rates(df.withColumn("_draw", draw).orderBy("_draw", id_col).limit(rows), columns)
 
 
 def category_profile(df: DataFrame, columns: list[str], sample_size: int = SAMPLE_SIZE) -> DataFrame:
@@ -89,8 +89,9 @@ def category_profile(df: DataFrame, columns: list[str], sample_size: int = SAMPL
 
 def profile(df: DataFrame, exclude: list[str] | None = None, time_col: str | None = "lend_tm",
             id_col: str = "pid", recent_rows: int | None = None) -> DataFrame:
-    """One row per column: name, position, data_type, nullable, col_type,
-    missing_rate, is_target_candidate, cardinality_estimate, n_distinct.
+    """One row per column: name, position, data_type, nullable, comment, col_type, missing_rate,
+    is_target_candidate, cardinality_estimate, n_distinct, sample_values. The comment is
+    the field's ``comment`` metadata, empty if there is none.
 
     ``recent_rows`` limits the missing rate to the newest rows (the reference
     uses 5,000); None uses the whole table.
@@ -99,18 +100,26 @@ def profile(df: DataFrame, exclude: list[str] | None = None, time_col: str | Non
     fields = [(i, f) for i, f in enumerate(df.schema.fields) if f.name not in excl]
     spark = df.sparkSession
     meta = small_table(
-        spark, [(f.name, i, f.dataType.simpleString(), f.nullable, classify_type(f.dataType),
+        spark, [(f.name, i, f.dataType.simpleString(), f.nullable, f.metadata.get("comment", ""), classify_type(f.dataType),
                  is_target_candidate(f.name)) for i, f in fields],
         T.StructType([T.StructField("name", T.StringType()), T.StructField("position", T.IntegerType()),
                       T.StructField("data_type", T.StringType()), T.StructField("nullable", T.BooleanType()),
-                      T.StructField("col_type", T.StringType()),
+                      T.StructField("comment", T.StringType()), T.StructField("col_type", T.StringType()),
                       T.StructField("is_target_candidate", T.BooleanType())]))
     src = newest(df, time_col, id_col, recent_rows) if (recent_rows and time_col) else df
     miss = missing_rates(src, [f.name for _, f in fields]).drop("position")
     cats = category_profile(df, [f.name for _, f in fields if classify_type(f.dataType) == "categorical"])
-    return (meta.join(miss, "name").join(cats.drop("sample_values"), "name", "left")
-            .select("name", "position", "data_type", "nullable", "col_type", "missing_rate",
-                    "is_target_candidate", "cardinality_estimate", "n_distinct"))
+    return (meta.join(miss, "name").join(cats, "name", "left")
+            .select("name", "position", "data_type", "nullable", "comment", "col_type", "missing_rate",
+                    "is_target_candidate", "cardinality_estimate", "n_distinct", "sample_values"))
+
+
+def choose_target(prof: DataFrame, target_col: str | None = None) -> str:
+    """The caller's label column, else the first label candidate."""
+    first = target_col or prof.where("is_target_candidate").agg(F.min_by("name", "position")).first()[0]
+    if first is None:
+        raise ValueError("no target column given and no label candidate found")
+    return first
 
 
 def usable_fields(prof: DataFrame, target_col: str | None = None,

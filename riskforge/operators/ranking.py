@@ -4,11 +4,11 @@ Rows are first reduced to one row per distinct score (positives, negatives),
 with partial aggregation before the shuffle. The cumulative counts over scores
 are then built in two levels so that no task sees all distinct scores:
 
-1. distinct scores are split into ranges by approximate quantiles (a small,
-   bounded list of boundaries per group, broadcast), each score gets its range
-   by comparison with the boundaries (generated code);
-2. per-range totals (at most ``n_ranges`` rows) give each range's offset;
-3. a window partitioned by range adds the running count inside the range.
+1. the distinct scores are range-partitioned by (group, score), as many ranges as
+   the session's shuffle makes of their size, and written with their range
+   number (written, because a recomputed range partitioning may draw other bounds);
+2. the sums per (group, range) are a small table whose running sums are the ranges' offsets;
+3. a window partitioned by (group, range) adds the running count inside the range.
 
 AUC counts ties as one half and is summed in exact integer (DECIMAL(38,0))
 arithmetic; KS = max |TPR - FPR| over the thresholds; Gini = 2 * AUC - 1 from
@@ -17,16 +17,12 @@ the rounded AUC. A single-class input gives 0 for all three (as the reference).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from riskforge.functions.arrays import count_below, small_table
 from riskforge.functions.columns import fround
-
-N_RANGES = 64
+from riskforge.session import materialize
 
 
 def _nz(name: str) -> Column:
@@ -37,47 +33,28 @@ def score_histogram(df: DataFrame, label: Column, score: Column, by: list[str] |
     """(by..., score, pos, neg, pos_ge, neg_ge, pos_total, neg_total) per group and
     distinct score; ``*_ge`` count rows of the group with a score >= this score."""
     by = list(by or [])
-    spark = df.sparkSession
     if not by:   # one group: a constant key keeps every join an equi-join
-        df, by = df.withColumn("_g", F.lit(0)), ["_g"]
-        return score_histogram(df, label, score, by).drop("_g")
+        return score_histogram(df.withColumn("_g", F.lit(0)), label, score, ["_g"]).drop("_g")
     hist = (df.select(*by, score.cast("double").alias("score"), label.cast("long").alias("y"))
             .where(F.col("score").isNotNull())
             .groupBy(*by, "score")
-            .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
-            .persist(StorageLevel.MEMORY_AND_DISK))   # read by three passes below
-    probs = [i / N_RANGES for i in range(1, N_RANGES)]
-    stats = (hist.groupBy(*by).agg(F.percentile_approx("score", probs, 10_000).alias("b"),
-                                   F.sum("pos").alias("P"), F.sum("neg").alias("N")).collect())
-    schema = T.StructType([df.schema[c] for c in by] + [
-        T.StructField("b", T.ArrayType(T.DoubleType())), T.StructField("P", T.LongType()),
-        T.StructField("N", T.LongType())])
-    # one row per group: range bounds and totals (bounded by the number of groups)
-    bounds = small_table(spark, [tuple(r[c] for c in by) + (sorted(set(r["b"] or [])), int(r["P"]), int(r["N"]))
-                                 for r in stats], schema)
-    ranged = hist.join(F.broadcast(bounds), by)
-    ranged = ranged.withColumn("r", count_below(F.col("b"), F.col("score"), N_RANGES - 1))
-    # ranges are visited from the highest scores down; offsets per (group, range)
-    tot = ranged.groupBy(*by, "r").agg(F.sum("pos").alias("rp"), F.sum("neg").alias("rn")).collect()
-    per_group: dict[tuple, list] = {}
-    for t in tot:
-        per_group.setdefault(tuple(t[c] for c in by), []).append((t["r"], int(t["rp"]), int(t["rn"])))
-    offs = []
-    for key, items in per_group.items():
-        cp = cn = 0
-        for r, rp, rn in sorted(items, reverse=True):
-            offs.append(key + (r, cp, cn))
-            cp, cn = cp + rp, cn + rn
-    off_schema = T.StructType([df.schema[c] for c in by] + [
-        T.StructField("r", T.IntegerType()), T.StructField("op", T.LongType()), T.StructField("on", T.LongType())])
-    off_df = small_table(spark, offs, off_schema)   # at most groups x N_RANGES rows
+            .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")))
+    ranged = materialize(hist.repartitionByRange(*by, "score").withColumn("r", F.spark_partition_id()), "score_histogram")
+    sums = ranged.groupBy(*by, "r").agg(F.sum("pos").alias("rp"), F.sum("neg").alias("rn"))
+    # one row per (group, range): offsets are the sums of the higher ranges
+    group = Window.partitionBy(*by)
+    above = group.orderBy(F.col("r").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    offsets = sums.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(by)], F.col("r").alias("_or"),
+                          (F.sum("rp").over(above) - F.col("rp")).alias("op"), (F.sum("rn").over(above) - F.col("rn")).alias("on"),
+                          F.sum("rp").over(group).alias("pos_total"), F.sum("rn").over(group).alias("neg_total"))
+    match = F.col("r") == F.col("_or")
+    for i, c in enumerate(by):
+        match = match & F.col(c).eqNullSafe(F.col(f"_o{i}"))
     w = (Window.partitionBy(*by, "r").orderBy(F.col("score").desc())
          .rowsBetween(Window.unboundedPreceding, 0))
-    return (ranged.join(F.broadcast(off_df), by + ["r"])
-            .select(*by, "score", "pos", "neg",
-                    (F.col("op") + F.sum("pos").over(w)).alias("pos_ge"),
-                    (F.col("on") + F.sum("neg").over(w)).alias("neg_ge"),
-                    F.col("P").alias("pos_total"), F.col("N").alias("neg_total")))
+    return ranged.join(offsets, match).select(
+        *by, "score", "pos", "neg", (F.col("op") + F.sum("pos").over(w)).alias("pos_ge"),
+        (F.col("on") + F.sum("neg").over(w)).alias("neg_ge"), "pos_total", "neg_total")
 
 
 def auc_ks(df: DataFrame, label: Column, score: Column, by: list[str] | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ folder and reused by the queries that need them.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from riskforge.operators.metrics import evaluate
 from riskforge.operators.model import SHORT_RUN, score, train_models
 from riskforge.operators.ranking import auc_ks, signed_ks
 from riskforge.operators.split import split_model, split_psi, split_summary
+from riskforge.plans.flow import run
 from riskforge.session import checkpoint_root, materialize
 from riskforge.sources import readers as S
 from riskforge.sources.sinks import default_model_dir, load_model, save_derived, save_model, save_results
@@ -104,8 +106,14 @@ def source_evaluation(spark, sf):
                                                             TIME, ID, base_col="is_base", write_input=False))
 
 
+def with_candidate(spark, sf):
+    """The wide table with a further label column, commented, as a warehouse table would have."""
+    flag = F.when(F.col("amt_90d").isNotNull(), (F.col(ID) % 3 == 0).cast("int"))
+    return wide(spark, sf).withColumn("mob3_flag", flag.alias("mob3_flag", metadata={"comment": "overdue in month 3"}))
+
+
 def wide_profile(spark, sf):
-    return _memo(spark, sf, "profile", lambda: PR.profile(wide(spark, sf)).cache())
+    return _memo(spark, sf, "profile", lambda: PR.profile(with_candidate(spark, sf)).cache())
 
 
 def model_frame(spark, sf):
@@ -195,7 +203,29 @@ def q_derived_sink(spark, sf):
 def q_result_sink(spark, sf):
     ev = evaluation(spark, sf)
     out = f"{checkpoint_root(spark).rstrip('/')}/results-{spark.sparkContext.applicationId}"
-    return save_results({"features": ev.features, "bins": ev.bins, "monthly": ev.monthly}, out)
+    design = spark.createDataFrame([tuple(f[c] for c in S.SPEC_SCHEMA.names) for f in EVAL_SPEC], S.SPEC_SCHEMA)
+    return save_results({"schema_analysis": wide_profile(spark, sf), "feature_design": design, "eval_results": ev.features,
+                         "bins": ev.bins, "monthly": ev.monthly, "source_field_trends": source_evaluation(spark, sf).monthly}, out)
+
+
+def q_spec_source(spark, sf):
+    """A feature design read from a JSON file and derived."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/spec-{spark.sparkContext.applicationId}"
+    text = json.dumps({"features": list(TEMPLATE_SPEC.values())}, ensure_ascii=False)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return _rounded(derive_table(wide(spark, sf), S.read_spec(spark, path), TARGET, ID, TIME))
+
+
+def q_chosen_target(spark, sf):
+    """The caller's label, and the one chosen where none is given."""
+    prof = wide_profile(spark, sf)
+    return spark.createDataFrame([(TARGET, PR.choose_target(prof, TARGET)), (None, PR.choose_target(prof))], "given string, chosen string")
+
+
+def q_run_flow(spark, sf):
+    """The whole flow to files: every artefact with its row count."""
+    out = f"{checkpoint_root(spark).rstrip('/')}/flow-{spark.sparkContext.applicationId}-{abs(hash(sf))}"
+    return run(wide(spark, sf), EVAL_SPEC, TARGET, ID, TIME, name="flow", out_dir=out, gbt_params=dict(SHORT_RUN, maxIter=5))["artifacts"]
 
 
 def q_model_roundtrip(spark, sf):
@@ -239,7 +269,7 @@ def q_usable_fields(spark, sf):
 
 
 def q_profile_summary(spark, sf):
-    return PR.profile_summary(wide(spark, sf), wide_profile(spark, sf), TARGET)
+    return PR.profile_summary(with_candidate(spark, sf), wide_profile(spark, sf), TARGET)
 
 
 # ----------------------------------------------------------------- derivation
@@ -306,15 +336,13 @@ def _bin_stats(d: DataFrame, feats: list[str], bins: dict) -> DataFrame:
 def q_bins_equal_freq(spark, sf):
     ev = evaluation(spark, sf)
     d = derived(spark, sf)
-    feats = ["n_items", "feat_net_price", "acctbal"]
-    return _bin_stats(d, feats, {f: (lambda v, e=ev.edges[f]: bin_of(v, e)) for f in feats})
+    return _bin_stats(d, EVAL_FEATURES, {f: (lambda v, e=ev.edges[f]: bin_of(v, e)) for f in EVAL_FEATURES})
 
 
 def q_bins_equal_width(spark, sf):
     d = derived(spark, sf)
-    feats = ["n_items", "feat_net_price", "acctbal"]
-    edges = equal_width_edges(d, {f: F.col(f).cast("double") for f in feats})
-    return _bin_stats(d, feats, {f: (lambda v, e=edges[f]: bin_of(v, e)) for f in feats})
+    edges = equal_width_edges(d, {f: F.col(f).cast("double") for f in EVAL_FEATURES})
+    return _bin_stats(d, EVAL_FEATURES, {f: (lambda v, e=edges[f]: bin_of(v, e)) for f in EVAL_FEATURES})
 
 
 def q_bins_single(spark, sf):
@@ -341,7 +369,7 @@ def q_psi(spark, sf):
 
 
 def q_psi_by_rank(spark, sf):
-    ev = evaluate(derived(spark, sf), ["n_items", "feat_net_price"], TARGET, TIME, ID, psi_align="rank")
+    ev = evaluate(derived(spark, sf), EVAL_FEATURES, TARGET, TIME, ID, psi_align="rank")
     return ev.features.select("feature", "psi")
 
 
@@ -369,9 +397,14 @@ def q_iv_gain(spark, sf):
     return E.iv_gain(evaluation(spark, sf).features, source_evaluation(spark, sf).features, EVAL_SPEC, spark)
 
 
+# words as they come from either language, an unknown one and none
+GRADE_TEXTS = ["优质", "usable", "废弃", "excellent", "可用", "unheard of", None, "discard"]
+
+
 def q_grade_normalise(spark, sf):
     f = evaluation(spark, sf).features
-    text = E.grade_word_zh(F.col("grade"))
+    words = F.array(*map(F.lit, GRADE_TEXTS))
+    text = F.element_at(words, (F.col("position") % len(GRADE_TEXTS) + 1).cast("int"))
     return f.select("feature", text.alias("grade_text"), E.grade_normalise(text).alias("grade"))
 
 
@@ -513,6 +546,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_sample": q_distinct_sample,
     "derived_sink": q_derived_sink,
     "result_sink": q_result_sink,
+    "spec_source": q_spec_source,
+    "chosen_target": q_chosen_target,
+    "run_flow": q_run_flow,
     "model_roundtrip": q_model_roundtrip,
     "profile": q_profile,
     "missing_recent": q_missing_recent,

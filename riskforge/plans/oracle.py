@@ -17,6 +17,9 @@ WIDE_COLUMNS = [
     ("ord_cnt_90d", "bigint", "numeric"), ("ord_cnt_360d", "bigint", "numeric"), ("amt_90d", "double", "numeric"),
     ("amt_360d", "double", "numeric"), ("is_bad", "int", "numeric"),
 ]
+CANDIDATE = ("mob3_flag", "int", "numeric")      # the further label column of the profiled table
+PROFILE_TABLE = ("wp AS (SELECT *, CASE WHEN amt_90d IS NOT NULL THEN CASE WHEN pid % 3 = 0 THEN 1 ELSE 0 END END AS mob3_flag "
+                 "FROM wide_orders)")
 SYSTEM = {"pid", "lend_tm"}
 PROFILED = [(i, n, t, k) for i, (n, t, k) in enumerate(WIDE_COLUMNS) if n not in SYSTEM]
 
@@ -51,16 +54,18 @@ def _eval(body: str, features=None, align="bin", extra: list[str] | None = None)
 
 def _profile_cte() -> str:
     parts = []
-    for pos, name, dtype, cls in PROFILED:
+    for pos, name, dtype, cls in [*PROFILED, (len(WIDE_COLUMNS), *CANDIDATE)]:
+        sample = ("(SELECT string_agg(v, '|' ORDER BY v) FROM (SELECT DISTINCT CAST(" + name + " AS VARCHAR) AS v FROM wp "
+                  f"WHERE {name} IS NOT NULL ORDER BY v LIMIT 30) t)" if cls == "categorical" else "CAST(NULL AS VARCHAR)")
         card = (f"CAST(least(count(DISTINCT {name}), 30) AS BIGINT)" if cls == "categorical"
                 else "CAST(NULL AS BIGINT)")
         nd = f"count(DISTINCT {name})" if cls == "categorical" else "CAST(NULL AS BIGINT)"
         parts.append(
             f"SELECT '{name}' AS name, {pos} AS position, '{dtype}' AS data_type, true AS nullable, "
-            f"'{cls}' AS col_type, {r(f'sum(CASE WHEN {name} IS NULL THEN 1 ELSE 0 END) / count(*)', 4)} "
-            f"AS missing_rate, false AS is_target_candidate, {card} AS cardinality_estimate, "
-            f"{nd} AS n_distinct FROM wide_orders")
-    return "prof AS (" + " UNION ALL ".join(parts) + ")"
+            f"'{'overdue in month 3' if name == CANDIDATE[0] else ''}' AS comment, '{cls}' AS col_type, {r(f'sum(CASE WHEN {name} IS NULL THEN 1 ELSE 0 END) / count(*)', 4)} "
+            f"AS missing_rate, regexp_matches('{name}', '\\bt[0-9]|m[0-9]|mob|逾期|违约|default') AS is_target_candidate, "
+            f"{card} AS cardinality_estimate, {nd} AS n_distinct, {sample} AS sample_values FROM wp")
+    return PROFILE_TABLE + ", prof AS (" + " UNION ALL ".join(parts) + ")"
 
 
 USABLE = ("((col_type IN ('numeric', 'categorical') AND missing_rate < 0.9) OR col_type = 'time') "
@@ -97,7 +102,7 @@ def _auto() -> str:
 
 
 def _bins(edges_cte: str) -> str:
-    feats = ["n_items", "feat_net_price", "acctbal"]
+    feats = C.EVAL_FEATURES
     lg = " UNION ALL ".join(f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS v FROM d" for f in feats)
     return with_wide(
         f"SELECT l.feature, {bin_sql('l.v', 'e.e')} AS bin, count(*) AS n_rows, min(l.v) AS min_value, "
@@ -162,6 +167,22 @@ ORACLE: dict[str, str] = {
                                  "ORDER BY value LIMIT 30"),
     "derived_sink": _labelled("'feat_derived_eval' AS table_name, count(*) AS row_count, "
                               "CASE WHEN count(*) > 0 THEN 'ok' ELSE 'empty' END AS status"),
+    "result_sink": _eval(
+        f"SELECT 'schema_analysis' AS artifact, CAST({len(PROFILED) + 1} AS BIGINT) AS n_rows UNION ALL "
+        f"SELECT 'feature_design', {len(C.EVAL_SPEC)} UNION ALL SELECT 'eval_results', count(*) FROM fg UNION ALL "
+        "SELECT 'bins', count(*) FROM woe2 UNION ALL "
+        "SELECT 'monthly', count(*) FROM (SELECT DISTINCT feature, strftime(lend_tm, '%Y-%m') FROM lg) a UNION ALL "
+        f"SELECT 'source_field_trends', count(*) * {len(C.SOURCE_FEATURES)} FROM (SELECT DISTINCT strftime(lend_tm, '%Y-%m') FROM d) b"),
+    "chosen_target": "SELECT * FROM (VALUES ('is_bad', 'is_bad'), (NULL, 'mob3_flag')) t(given, chosen)",
+    "missing_sampled": with_wide(" UNION ALL ".join(
+        f"SELECT '{n}' AS name, {i} AS position, "
+        f"{r(f'sum(CASE WHEN {n} IS NULL THEN 1 ELSE 0 END) / count(*)', 4)} AS missing_rate FROM drawn"
+        for i, (_, n, _, _) in enumerate(PROFILED)),
+        "drawn AS (SELECT * FROM wide_orders ORDER BY md5('7:' || CAST(pid AS VARCHAR)), pid LIMIT 10000)"),
+    "model_roundtrip": with_wide(
+        "SELECT m AS model, (SELECT count(*) FROM ms WHERE split = 'test') AS n_scored, CAST(0 AS DOUBLE) AS max_abs_diff "
+        "FROM (VALUES ('gbt'), ('lr')) t(m)", DERIVED_CTE, SPLIT_CTE, MODEL_SPLIT),
+    "spec_source": _derive_all(),
     "profile": with_wide("SELECT * FROM prof", _profile_cte()),
     "missing_recent": with_wide(" UNION ALL ".join(
         f"SELECT '{n}' AS name, {i} AS position, "
@@ -171,7 +192,7 @@ ORACLE: dict[str, str] = {
     "category_profile": with_wide(f"{_category('mktsegment')} UNION ALL {_category('orderpriority')}"),
     "usable_fields": with_wide(f"SELECT name, position, col_type FROM prof WHERE {USABLE}", _profile_cte()),
     "profile_summary": with_wide(
-        f"SELECT (SELECT count(*) FROM wide_orders) AS total_rows, CAST({len(WIDE_COLUMNS)} AS BIGINT) AS total_columns, "
+        f"SELECT (SELECT count(*) FROM wide_orders) AS total_rows, CAST({len(WIDE_COLUMNS) + 1} AS BIGINT) AS total_columns, "
         + ", ".join(f"CAST(coalesce(sum(CASE WHEN {USABLE} AND col_type = '{k}' THEN 1 ELSE 0 END), 0) AS BIGINT) AS {k}_cnt"
                     for k in ("numeric", "categorical", "time"))
         + ", CAST(coalesce(sum(CASE WHEN is_target_candidate THEN 1 ELSE 0 END), 0) AS BIGINT) AS candidate_cnt "
@@ -207,7 +228,7 @@ ORACLE: dict[str, str] = {
                           f"FROM woe2 WHERE bin IS NULL"),
     "iv": _eval("SELECT feature, iv FROM fg"),
     "psi": _eval("SELECT feature, psi FROM fg"),
-    "psi_by_rank": _eval("SELECT feature, psi FROM fg", ["n_items", "feat_net_price"], align="rank"),
+    "psi_by_rank": _eval("SELECT feature, psi FROM fg", align="rank"),
     "missing_rate": _eval("SELECT feature, missing_rate FROM fg"),
     "monthly_metrics": _eval(
         f"SELECT feature, coalesce(strftime(lend_tm, '%Y-%m'), 'NaT') AS ym, "
@@ -224,8 +245,10 @@ ORACLE: dict[str, str] = {
         "pairs AS (SELECT * FROM (VALUES " + ", ".join(
             f"('{f['name']}', '{s}')" for f in C.EVAL_SPEC for s in f["sources"]) + ") v(feature, source))"),
     "grade_normalise": _eval(
-        "SELECT feature, CASE grade WHEN 'excellent' THEN '优质' WHEN 'usable' THEN '可用' ELSE '废弃' END "
-        "AS grade_text, grade FROM fg"),
+        "SELECT feature, t AS grade_text, CASE WHEN t IN ('优质', 'excellent') THEN 'excellent' "
+        "WHEN t IN ('可用', 'usable') THEN 'usable' ELSE 'discard' END AS grade FROM "
+        "(SELECT feature, [" + ", ".join("NULL" if w is None else f"'{w}'" for w in C.GRADE_TEXTS)
+        + f"][position % {len(C.GRADE_TEXTS)} + 1] AS t FROM fg) x"),
     "eval_summary": _eval(
         f"SELECT count(*) AS total, CAST(sum(CASE WHEN grade = 'excellent' THEN 1 ELSE 0 END) AS BIGINT) AS excellent_cnt, "
         f"CAST(sum(CASE WHEN grade = 'usable' THEN 1 ELSE 0 END) AS BIGINT) AS usable_cnt, "
