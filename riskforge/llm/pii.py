@@ -4,9 +4,10 @@ Base: e-mail addresses, IPv4 addresses, payment cards (16 to 19 digits passing
 Luhn) and international phone numbers, leftmost non-overlapping per kind; a
 match that fails its check is dropped and not retried.
 
-Contexts: every looser identifier (other address forms, IPv6, phone and card
-numbers written otherwise) that overlaps no base span is a candidate. The words
-around base entities and candidates give lexical patterns. Patterns and
+Contexts: every looser identifier (other address forms, IPv6, phone numbers written
+otherwise, card numbers that a base match had swallowed) that overlaps no base
+span is a candidate. The words around base entities and candidates, and their
+shapes, give lexical patterns. Patterns and
 instances (values) form a bipartite graph that Spark scores in rounds: a
 pattern's score for a kind is the share of trusted values among its distinct
 values, if at least ``SUPPORT`` are trusted; a value's score is the noisy-or of
@@ -48,7 +49,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # looser forms
 _LOOSE_EMAIL = re.compile(r"[A-Za-z0-9._%+-]{1,64}(?:\s?[\[(]at[\])]\s?|@)[A-Za-z0-9-]{2,63}(?:(?:\.|\s?[\[(]dot[\])]\s?)[A-Za-z0-9-]{2,63})*", re.I)
 _LOOSE_IP = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
-_LOOSE_NUMBER = re.compile(r"(?<![0-9A-Za-z])[(]?[0-9](?:[\x20()./-]{0,2}[0-9]){6,18}(?![0-9A-Za-z])")
+_LOOSE_CARD = re.compile(r"(?<![0-9])(?:[0-9]{16,19}|[0-9]{4}(?:[\x20.-][0-9]{4}){3})(?![0-9])")
+_LOOSE_PHONE = re.compile(r"(?<![0-9A-Za-z])(?:\+?[0-9]{1,3}[\x20.-]?)?\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}(?![0-9])")
 
 
 def luhn(digits: str) -> bool:
@@ -98,9 +100,10 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         found += [(0, m.start(), m.end()) for m in _LOOSE_EMAIL.finditer(text)]
     if ":" in text:
         found += [(1, m.start(), m.end()) for m in _LOOSE_IP.finditer(text)]
-    for m in _LOOSE_NUMBER.finditer(text):
-        n = sum("0" <= c <= "9" for c in m[0])
-        found.append((2 if n >= 12 else 3, m.start(), m.end()))
+    cards = [(2, m.start(), m.end()) for m in _LOOSE_CARD.finditer(text) if luhn(re.sub("[^0-9]", "", m[0]))]
+    found += cards
+    found += [(3, m.start(), m.end()) for m in _LOOSE_PHONE.finditer(text)
+              if all(m.end() <= a or z <= m.start() for _, a, z in cards)]
     if not base or not found:
         return found
     taken = sorted((a, z) for _, a, z in base)
@@ -112,11 +115,16 @@ def _plain(word: str) -> str:
     return re.sub(r"[0-9]+", "#", word.lower())[-24:]
 
 
+def shape(value: str) -> str:
+    """Digits as 9, words as a, at most 40 characters."""
+    return re.sub(r"[^\W\d_]+", "a", re.sub("[0-9]", "9", value))[:40]
+
+
 def contexts(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns around a span."""
+    """Lexical patterns of a span: the words around it, and its own shape."""
     left = [_plain(w) for w in text[max(0, start - REACH):start].split()[-3:]]
     right = [_plain(w) for w in text[end:end + REACH].split()[:2]]
-    found = []
+    found = [f"SH {shape(text[start:end])}"]
     if left and left[-1][-1] in ":=":
         found.append(f"L1 {left[-1]}")
     if len(left) >= 2:
