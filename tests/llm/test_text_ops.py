@@ -9,6 +9,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,13 +58,15 @@ def test_base_spans_equal_plain_patterns():
 
 def test_contexts_find_unseen_identifiers(make_docs, clash):
     seen = [f"hello there dial my number +1 (415) 555-{1000 + i} please now" for i in range(6)]
-    texts = seen + ["well then dial my number 415-555-7777 please now", "count of pages 415-555-8888 was odd", None, "", "plain words only"]
+    texts = seen + ["well then dial my number 415-555-7777 please now", "count of pages 415-555-8888 was odd", None, "", "plain words only",
+                    "tel +1 (415) 555-1234 4111111111111111 glued"]
     rows = {r["id"]: r for r in pii.find(clash(make_docs(texts))).collect()}
     assert [rows[i]["n_phone"] for i in range(6)] == [1] * 6
     at = texts[6].index("415")
     assert rows[6]["n_added"] == 1 and rows[6]["spans"] == f"phone:{at}:{at + 12}"
     assert rows[6]["base_sha256"] == hashlib.sha256(b"").hexdigest()
     assert all(rows[i]["n_added"] == 0 and rows[i]["spans"] == "" for i in range(7, 11))
+    assert rows[11]["n_phone"] == 0 and rows[11]["spans"] == "phone:4:21"      # its shape is that of trusted numbers
     assert pii.find(make_docs([])).count() == 0
 
 
@@ -237,10 +240,10 @@ def test_token_files_round_trip(spark, make_docs, clash, tmp_path, encoding):
 def test_word_encoder_equals_library(monkeypatch):
     monkeypatch.setattr(tokens, "WORDS_KEPT", 500)
     enc, rng = tokens.WordEncoder(BPE), random.Random(2)
-    letters = [*"aB1 '\n\t .é漢\x1c\r- "] + ["'s", "<|endoftext|>", "  ", "ab "]
+    letters = [*"aB1 '\n\t .é漢\x1c\r- "] + ["'s", "<|endoftext|>", "  ", "ab ", " a", " \n"]
     for _ in range(5):
         texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
-        ids, per = enc.encode(texts)
+        ids, per = enc.encode(pa.array(texts))
         at = np.concatenate([[0], np.cumsum(per)])
         assert all(enc.tok.encode(t, add_special_tokens=False).ids == ids[a:b].tolist() for t, a, b in zip(texts, at[:-1], at[1:]))
 
