@@ -48,6 +48,12 @@ class Evaluation:
     missing: DataFrame           # feature, missing_rate
     edges: dict = field(default_factory=dict)
     base_edges: dict = field(default_factory=dict)
+    cached: list = field(default_factory=list)
+
+    def release(self) -> None:
+        """Drop the cached small tables; the frames stay usable and are computed again."""
+        for df in self.cached:
+            df.unpersist()
 
 
 def grade_column(iv: Column, missing: Column, psi: Column, thresholds: dict | None = None) -> Column:
@@ -234,7 +240,8 @@ def evaluate(df: DataFrame, features: list[str], target_col: str, time_col: str
     # small results (one row per feature / bin / month), read by many reports
     out, bins_out, psi_bins = out.cache(), bins_out.cache(), psi_bins.cache()
     miss_out = out.select("feature", "missing_rate")
-    return Evaluation(out, bins_out, psi_bins, monthly, miss_out, edges, base_edges)
+    held = [df for df in (cells, out, bins_out, psi_bins, monthly) if df is not None]
+    return Evaluation(out, bins_out, psi_bins, monthly, miss_out, edges, base_edges, held)
 
 
 def monthly_metrics(df: DataFrame, features: list[str], time_col: str) -> DataFrame:

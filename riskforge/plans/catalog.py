@@ -88,12 +88,10 @@ def derived(spark, sf):
 
 
 def split_frame(spark, sf):
-    """Derived table with the base / recent flag of the PSI split (materialised,
-    shared by the evaluations of derived and source columns)."""
-    def build():
-        d = split_psi(derived(spark, sf), TIME, ID)
-        return materialize(d.withColumn("is_base", F.col("split") == "base").drop("split"), "feat_derived_split")
-    return _memo(spark, sf, "split", build)
+    """Derived table with the base / recent flag of the PSI split, shared by the evaluations of
+    derived and source columns. The flag is a comparison with the cut key: no further copy is written."""
+    return _memo(spark, sf, "split", lambda: split_psi(derived(spark, sf), TIME, ID)
+                 .withColumn("is_base", F.col("split") == "base").drop("split"))
 
 
 def evaluation(spark, sf):
@@ -117,11 +115,10 @@ def wide_profile(spark, sf):
 
 
 def model_frame(spark, sf):
-    """Derived table with y and a train / val / test split by time (materialised)."""
+    """Derived table with y and a train / val / test split by time (a projection of the derived table)."""
     def build():
         d = derived(spark, sf)
-        d = d.withColumn("y", label_binary(F.col(TARGET), d.schema[TARGET].dataType))
-        return materialize(split_model(d, TIME, ID), "model_frame")
+        return split_model(d.withColumn("y", label_binary(F.col(TARGET), d.schema[TARGET].dataType)), TIME, ID)
     return _memo(spark, sf, "model_frame", build)
 
 

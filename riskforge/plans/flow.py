@@ -43,8 +43,7 @@ def run(df: DataFrame, spec: list[dict] | None = None, target_col: str | None =
                                  if s not in (id_col, time_col, target_col)))
 
     derived = materialize(derive_table(df, spec, target_col, id_col, time_col), f"feat_derived_{name}")
-    base = split_psi(derived, time_col, id_col)
-    base = materialize(base.withColumn("_is_base", F.col("split") == "base").drop("split"), f"{name}_split")
+    base = split_psi(derived, time_col, id_col).withColumn("_is_base", F.col("split") == "base").drop("split")
     ev = evaluate(base, names, target_col, time_col, id_col, thresholds=thresholds, base_col="_is_base",
                   write_input=False)
     src = evaluate(base, sources, target_col, time_col, id_col, thresholds=thresholds, base_col="_is_base",
@@ -63,7 +62,7 @@ def run(df: DataFrame, spec: list[dict] | None = None, target_col: str | None =
     if train and gate.first()["train_model"]:
         selected = [r["feature"] for r in E.select_features(ev.features).orderBy("rank").collect()]
         frame = derived.withColumn("y", label_binary(F.col(target_col), derived.schema[target_col].dataType))
-        frame = materialize(split_model(frame, time_col, id_col), f"{name}_model_frame")
+        frame = split_model(frame, time_col, id_col)
         rows = frame.where(F.col("split") == "train")
         out["train_gate"] = P.train_gate(rows)
         if out["train_gate"].first()["trainable"]:

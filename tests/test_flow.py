@@ -15,7 +15,7 @@ def test_run_whole_flow(spark, tmp_path):
     from riskforge.plans.flow import run
     from riskforge.sources.readers import read_spec
     from riskforge.sources.sinks import load_model, save_model
-    from riskforge.operators.model import score
+    from riskforge.operators.model import SHORT_RUN, score
 
     path = tmp_path / "spec.json"
     path.write_text(json.dumps({"features": C.EVAL_SPEC}, ensure_ascii=False))
@@ -24,7 +24,7 @@ def test_run_whole_flow(spark, tmp_path):
     assert spec[0]["sources"] == ["sum_price", "sum_qty"]
 
     wide = C.wide(spark, SF)
-    out = run(wide, spec, target_col="is_bad", name="t")
+    out = run(wide, spec, target_col="is_bad", name="t", out_dir=str(tmp_path / "out"), gbt_params=SHORT_RUN)
     feats = {r["feature"]: r for r in out["features"].collect()}
     assert set(feats) == {f["name"] for f in spec}
     assert out["summary"].first()["total"] == len(spec)
@@ -35,6 +35,14 @@ def test_run_whole_flow(spark, tmp_path):
     assert test_auc["gbt"] > 0.7 and test_auc["lr"] > 0.7
     assert out["report_headline"].first()["best_auc"] == max(test_auc.values())
 
+    assert 0 < run_.rounds <= SHORT_RUN["maxIter"] and out["train_gate"].first()["trainable"]
+    cards = {r["model"]: r for r in out["report_models"].collect()}
+    assert sum(r["is_best"] for r in cards.values()) == 1 and all(0 < r["positive_rate"] < 1 for r in cards.values())
+    listed = {r["artifact"]: r["n_rows"] for r in out["artifacts"].collect()}
+    assert listed["feat_derived_t"] == out["derived"].count() and listed["feature_design"] == len(spec)
+    assert listed["model_features"] == len(run_.features) and listed["model_metrics"] == 4
+    assert load_model(str(tmp_path / "out" / "model")).stages
+
     model_dir = str(tmp_path / "model")
     save_model(run_.models["lr"], model_dir)
     data = out["derived"].limit(50).select("pid", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
