@@ -56,12 +56,21 @@ def seeds(ids: Column, masks: list[str]) -> Column:
     return F.concat(*(F.transform(_windows(ids, n, mask), named(n)) for n, mask in enumerate(masks)))
 
 
+def _once(value: Column) -> Column:
+    """``value`` as the one element of an exploded array: Catalyst would otherwise
+    put its expression into the lambdas that use it, to be computed for every element."""
+    return F.explode(F.array(value))
+
+
+def _same() -> Column:
+    """1 for every item token that the document has at its place of the alignment."""
+    return F.transform("item", lambda t, j: F.coalesce(F.get("ids", F.col("diag") + j) == t, F.lit(False)).cast("int"))
+
+
 def _agreement() -> Column:
-    """Most equal tokens in a window along the alignment, from columns ids, item, diag."""
-    same = F.transform("item", lambda t, j: F.coalesce(F.get("ids", F.col("diag") + j) == t, F.lit(False)).cast("int"))
-    width = F.least(F.lit(WINDOW), F.size("item"))
-    return F.array_max(F.transform(F.sequence(F.lit(0), F.size("item") - width), lambda s: F.aggregate(
-        F.slice(same, s + 1, width), F.lit(0), lambda a, x: a + x)))
+    """Most equal tokens in a window along the alignment."""
+    return F.array_max(F.transform(F.sequence(F.lit(0), F.size("same") - F.col("n_window")), lambda s: F.aggregate(
+        F.slice("same", s + 1, F.col("n_window")), F.lit(0), lambda a, x: a + x)))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -86,7 +95,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     texts = docs.select(F.col(id_col).alias("i2"), F.xxhash64(text_col).alias("t2"), F.col(text_col).alias("x"))
     found = (hits.join(items, "ino")
              .join(texts, F.col("id").eqNullSafe(F.col("i2")) & (F.col("thash") == F.col("t2")))
-             .withColumn("ids", token_ids(F.col("x"))).withColumn("n_window", F.least(F.lit(WINDOW), F.size("item")))
+             .select("id", "thash", "item_id", "item", "diag", _once(token_ids(F.col("x"))).alias("ids"))
+             .select("id", "thash", "item_id", F.least(F.lit(WINDOW), F.size("item")).alias("n_window"), _once(_same()).alias("same"))
              .withColumn("n_equal", _agreement()).filter(F.col("n_equal") >= F.col("n_window") * AGREE))
     return found.groupBy("id", "thash", "item_id").agg(F.max("n_equal").alias("n_equal"), F.max("n_window").alias("n_window"))
 
