@@ -18,13 +18,12 @@ a file column raise ``ValueError``.
 
 from __future__ import annotations
 
-import itertools
 import os
-import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,19 +32,74 @@ from riskforge.llm.common import string_buffers, text_or_empty
 FILE_COLUMNS = ("id", "part", "pos", "n_tokens", "tokens")
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
+BROADCAST_RANGES = 100_000   # 16 bytes each
 WORDS_KEPT = 1 << 20      # distinct words whose ids a task remembers
-_UNIT = re.compile(r" ?[^ \n\t\r]+|[ \n\t\r]+(?![^ \n\t\r])|[ \n\t\r]+")
-_OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -     　]")
+#: White space of Unicode other than space, newline, tab and carriage return (Python and the library differ on some).
+_OTHER_SPACE = "[" + "".join(map(chr, (
+    0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]"
+_SPACES = " \n\t\r"
+
+
+class _Codes(dict):
+    """Numbers for words in the order in which they are first seen; ``new`` are those without ids yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = code = len(self)
+        self.new.append(word)
+        return code
+
+
+class _Words:
+    """Ids of words, each encoded once. ``lead`` is what stands before every word."""
+
+    def __init__(self, tok, width: np.ndarray, lead: str):
+        self.tok, self.width, self.lead = tok, width, lead
+        self.code, self.used = _Codes(), 0
+        self.ids, self.size, self.at = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)
+
+    def learn(self) -> None:
+        words, self.code.new = self.code.new, []
+        if not words:
+            return
+        # behind a leading space words can stand in one text, told apart again by the ids' byte widths
+        text = [self.lead + w for w in words]
+        alone = np.array([not self.lead or not w or w[0] in _SPACES for w in words])
+        flat, sizes = [], np.zeros(len(words), np.int64)
+        joined = np.flatnonzero(~alone)
+        parts = [joined[i:i + 256] for i in range(0, len(joined), 256)]
+        for part, e in zip(parts, self.tok.encode_batch_fast(["".join(text[i] for i in p) for p in parts], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype=np.int32)
+            ends = np.cumsum(np.fromiter((len(text[i].encode()) for i in part), np.int64, len(part)))
+            sizes[part] = np.diff(np.searchsorted(np.cumsum(self.width[ids]), ends), prepend=-1)
+            flat.append(ids)
+        rest = np.flatnonzero(alone)
+        for i, e in zip(rest, self.tok.encode_batch_fast([text[i] for i in rest], add_special_tokens=False)):
+            sizes[i] = len(e.ids)
+            flat.append(np.array(e.ids, dtype=np.int32))
+        order = np.concatenate([joined, rest])
+        ids, first, n = np.concatenate(flat), len(self.code) - len(words), len(words)
+        while len(self.size) < first + n:
+            self.size, self.at = np.concatenate([self.size, self.size]), np.concatenate([self.at, self.at])
+        while len(self.ids) < self.used + len(ids):
+            self.ids = np.concatenate([self.ids, self.ids])
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.size[first:first + n] = sizes
+        self.at[first + order] = self.used + np.cumsum(sizes[order]) - sizes[order]
+        self.used += len(ids)
 
 
 class WordEncoder:
     """Encodes with the ``tokenizers`` library, each distinct word once.
 
-    A byte-level BPE splits every text before a space that a non-space
-    follows, so the ids of a text are the ids of such units one after the
-    other. Texts with special tokens or rarer white space go to the library
-    whole.
+    A byte-level BPE splits every text before a space that stands between two
+    other characters, so the ids of a text are those of its first word, then those
+    of every further word with its space. Texts with special tokens, with white
+    space before a space, or with rarer white space go to the library whole.
     """
 
     _open: dict = {}
@@ -55,10 +109,11 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         vocab = self.tok.get_vocab(with_added_tokens=True)
-        self.width = np.zeros(max(vocab.values()) + 1, np.int64)     # bytes of an id: one character each in the vocabulary
-        self.width[list(vocab.values())] = list(map(len, vocab))
+        width = np.zeros(max(vocab.values()) + 1, np.int64)     # bytes of an id: one character each in the vocabulary
+        width[list(vocab.values())] = list(map(len, vocab))
+        self.width = width
+        self.odd = [*(f"{c} " for c in _SPACES), *(t.content for t in self.tok.get_added_tokens_decoder().values())]
         self.clear()
 
     @classmethod
@@ -68,55 +123,37 @@ class WordEncoder:
         return cls._open[path]
 
     def clear(self) -> None:
-        self.code: dict[str, int] = {}
-        self.ids, self.size, self.used = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), 0
-        self.at = np.zeros(1 << 16, np.int64)
-
-    def _learn(self, words: list[str]) -> None:
-        # words that begin with a space can stand in one text; the ids' byte widths tell them apart again
-        words.sort(key=lambda w: not (w[0] == " " and len(w) > 1))
-        joined = sum(w[0] == " " and len(w) > 1 for w in words)
-        found = [e.ids for e in self.tok.encode_batch_fast(
-            ["".join(words[i:min(i + 4096, joined)]) for i in range(0, joined, 4096)] + words[joined:], add_special_tokens=False)]
-        flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
-        ends = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
-        sizes = np.diff(np.searchsorted(np.cumsum(self.width[flat]), ends), prepend=-1)
-        first = len(self.code)
-        while len(self.size) < first + len(words):
-            self.size, self.at = np.concatenate([self.size, 0 * self.size]), np.concatenate([self.at, 0 * self.at])
-        while len(self.ids) < self.used + len(flat):
-            self.ids = np.concatenate([self.ids, 0 * self.ids])
-        self.ids[self.used:self.used + len(flat)] = flat
-        self.size[first:first + len(words)] = sizes
-        self.at[first:first + len(words)] = self.used + np.cumsum(sizes) - sizes
-        self.used += len(flat)
-        self.code.update(zip(words, range(first, first + len(words))))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.further, self.first = _Words(self.tok, self.width, " "), _Words(self.tok, self.width, "")
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has."""
-        whole = [i for i, t in enumerate(texts) if _OTHER_SPACE.search(t) or any(s in t for s in self.special)]
-        units = [_UNIT.findall(t) for t in texts]
-        for i in whole:
-            units[i] = []
-        seen = set(itertools.chain.from_iterable(units))
-        new = [w for w in seen if w not in self.code]
-        if new:
-            if len(self.code) + len(new) > WORDS_KEPT:
-                self.clear()
-                new = list(seen)
-            self._learn(new)
-        n_units = np.fromiter(map(len, units), np.int64, len(units))
-        code = np.fromiter(map(self.code.__getitem__, itertools.chain.from_iterable(units)), np.int64, int(n_units.sum()))
-        size = self.size[code]
-        end = np.cumsum(size)
-        ids = self.ids[np.arange(int(end[-1]) if len(end) else 0) + np.repeat(self.at[code] - (end - size), size)]
-        edge = np.concatenate([[0], np.cumsum(n_units)])
+        if len(self.further.code) + len(self.first.code) > WORDS_KEPT:
+            self.clear()
+        odd = pc.match_substring_regex(texts, _OTHER_SPACE)
+        for piece in self.odd:
+            odd = pc.or_(odd, pc.match_substring(texts, piece))
+        whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        words = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        edge = words.offsets.to_numpy().astype(np.int64)
+        flat = words.values.dictionary_encode()
+        heads = words.values.take(pa.array(edge[:-1])).to_pylist()
+        head = np.fromiter(map(self.first.code.__getitem__, heads), np.int64, len(heads))
+        distinct = flat.dictionary.to_pylist()
+        code = np.fromiter(map(self.further.code.__getitem__, distinct), np.int64, len(distinct))[flat.indices.to_numpy()]
+        self.further.learn()
+        self.first.learn()
+        size, at = self.further.size[code], self.further.at[code]
+        size[edge[:-1]], at[edge[:-1]] = self.first.size[head], self.first.at[head] + self.further.used
+        end = np.cumsum(size, dtype=np.int64)
         total = np.concatenate([[0], end])
+        source = np.arange(int(total[-1]))
+        source += np.repeat(at - (end - size), size)
+        ids = np.concatenate([self.further.ids[:self.further.used], self.first.ids[:self.first.used]])[source]
         per = total[edge[1:]] - total[edge[:-1]]
-        if whole:
+        if len(whole):
             parts = np.split(ids, np.cumsum(per)[:-1])
-            for i, e in zip(whole, self.tok.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
-                parts[i] = np.array(e.ids, dtype=np.uint32)
+            for i, e in zip(whole, self.tok.encode_batch_fast(texts.take(pa.array(whole)).to_pylist(), add_special_tokens=False)):
+                parts[i] = np.array(e.ids, dtype=np.int32)
                 per[i] = len(parts[i])
             ids = np.concatenate(parts)
         return ids, per
@@ -134,13 +171,13 @@ def _tokenise(path: str, end_id: int, meta: list[str]):
                 b = whole.slice(a, z - a)
                 if not b.num_rows:
                     continue
-                ids, per = enc.encode(b.column("text").to_pylist())
+                ids, per = enc.encode(b.column("text"))
                 n = per + 1
                 offs = np.concatenate([[0], np.cumsum(n)])
                 full = np.full(int(offs[-1]), end_id, dtype=np.int32)
                 keep = np.ones(len(full), dtype=bool)
                 keep[offs[1:] - 1] = False
-                full[keep] = ids.astype(np.int32)
+                full[keep] = ids
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id"), pa.array(np.full(len(n), part, np.int32)), pa.array(pos + offs[:-1]),
                      pa.array(n.astype(np.int32)),
@@ -169,23 +206,28 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "d
      .option("parquet.block.size", row_group_bytes).option("parquet.page.size", page_bytes).options(**flat).parquet(path))
 
 
+def _starts(rows: DataFrame) -> DataFrame:
+    """part -> ids before the range: one row per range, i.e. per write task."""
+    sums = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    return sums.select(F.col("part").alias("__part"), (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("__before"))
+
+
 def read_tokens(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     """The chosen file columns (all by default) with ``start``: ids of all documents before."""
     rows = spark.read.parquet(path)
-    part = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))          # one row per range
-    before = part.select(F.col("part").alias("__part"),
-                         (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("__before"))
-    rows = rows.join(before, F.col("part") == F.col("__part"))
-    return rows.withColumn("start", F.col("__before") + F.col("pos")).select(
-        *(columns or [c for c in rows.columns if not c.startswith("__")]), "start")
+    before = _starts(rows)
+    if before.count() <= BROADCAST_RANGES:        # beyond, the join shuffles the rows by range
+        before = F.broadcast(before)
+    return rows.join(before, F.col("part") == F.col("__part")).withColumn("start", F.col("__before") + F.col("pos")).select(
+        *(columns or rows.columns), "start")
 
 
 def _checksum(batches):
     for b in batches:
         col = b.column("tokens")
         offs = col.offsets.to_numpy()
-        flat = col.values.to_numpy().astype("<u4")
-        crc = [zlib.crc32(flat[a:z].tobytes()) for a, z in zip(offs[:-1], offs[1:])]
+        flat = memoryview(np.ascontiguousarray(col.values.to_numpy(), dtype="<u4")).cast("B")
+        crc = [zlib.crc32(flat[4 * a:4 * z]) for a, z in zip(offs[:-1].tolist(), offs[1:].tolist())]
         yield pa.RecordBatch.from_arrays(
             [b.column("id"), b.column("start"), pa.array(np.diff(offs).astype(np.int64)), pa.array(crc, pa.int64())],
             ["id", "start", "n_tokens", "ids_crc32"])
