@@ -43,19 +43,30 @@ from riskforge.llm.common import _BASE, _BASE_INV, _BYTE, materialize, mix64, po
 LENGTH = 400
 ANCHOR = 96
 SHARD_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
 HEAD = 5                 # symbols compared by the first sort
 CHUNK = 1 << 22          # starts anchored at once in a long text
 
 
 # ---------------------------------------------------------------- windows
 
+_held: list[np.ndarray] = []
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """The first powers of the hash's base and of its inverse, kept for the next text."""
+    if not _held or len(_held[0]) < n:
+        _held[:] = [powers(_BASE, max(n, 1 << 16)), powers(_BASE_INV, max(n, 1 << 16))]
+    return [p[:n] for p in _held]
+
+
 def windows(raw: np.ndarray, length: int, anchor: int):
     """(anchor hash, first start, number of starts) of the windows of a text."""
     out = []
     for lo in range(0, len(raw) - length + 1, CHUNK):
         part = raw[lo:lo + CHUNK + length - 1]
         n = len(part) - length + 1
-        up, down = powers(_BASE, len(part)), powers(_BASE_INV, len(part))
+        up, down = _powers(len(part))
         total = np.zeros(len(part) + 1, dtype=np.uint64)
         np.cumsum(_BYTE[part] * up, out=total[1:])
         g = mix64((total[anchor:] - total[:-anchor]) * down[:len(part) - anchor + 1])
@@ -91,22 +102,34 @@ def _anchor(length: int, anchor: int):
 
 
 def _cut(length: int):
-    """(text, list of windows) -> one row a window with its bytes."""
+    """(text, list of windows) -> one row a window with its bytes, in batches of about BATCH_BYTES."""
+    names = ["shard", "sub", "split", "fp", "w", "n", "cnt"]
+
     def run(batches):
+        held, size = [], 0
         for b in batches:
             raw, offs = string_buffers(b.column("text"))
             lists = b.column("wins")
-            at, flat = lists.offsets.to_numpy(), lists.values.flatten()
-            cols = [c.to_numpy() for c in flat]
-            base = int(at[0]) if len(at) else 0
+            at = lists.offsets.to_numpy()
+            flat = lists.values.slice(int(at[0]), int(at[-1] - at[0])) if len(at) else lists.values
+            cols = {f.name: c.to_numpy() for f, c in zip(flat.type, flat.flatten())}
+            at = at - at[0]
             for i in range(b.num_rows):
                 data = raw[offs[i]:offs[i + 1]].tobytes()
-                r = slice(int(at[i]) - base, int(at[i + 1]) - base)
-                shard, sub, split, fp, w, n, count, s = (c[r] for c in cols)
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(c) for c in (shard, sub, split, fp, w, n, count)),
-                     pa.array([data[a:a + m + length - 1] for a, m in zip(s.tolist(), n.tolist())], pa.binary())],
-                    ["shard", "sub", "split", "fp", "w", "n", "cnt", "bytes"])
+                r = slice(int(at[i]), int(at[i + 1]))
+                pieces = [data[a:a + m + length - 1] for a, m in zip(cols["s"][r].tolist(), cols["n"][r].tolist())]
+                held.append(([cols[c][r] for c in names], pieces))
+                size += sum(map(len, pieces))
+                if size >= BATCH_BYTES:
+                    yield emit(held)
+                    held, size = [], 0
+        if held:
+            yield emit(held)
+
+    def emit(held):
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array(np.concatenate(c)) for c in zip(*(h[0] for h in held))),
+             pa.array([p for h in held for p in h[1]], pa.binary())], [*names, "bytes"])
     return run
 
 
