@@ -12,8 +12,10 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from riskforge.functions import templates as T
 from riskforge.functions.columns import fround, label_binary
@@ -516,6 +518,43 @@ def q_best_model(spark, sf):
     return spark.createDataFrame([(run.best, float(run.best_test_auc))], "best_model string, best_test_auc double")
 
 
+def q_model_samples(spark, sf):
+    """Rows of each part and the training positive rate, as the model cards show them."""
+    run_ = model_run(spark, sf)
+    rate = _train(spark, sf).agg(fround(F.avg(F.col("y").cast("double")), 4)).first()[0]
+    cards = R.report_models(run_, spark, rate)
+    rows = run_.metrics.groupBy("model").agg(F.sum(F.when(F.col("split") == "val", F.col("n"))).alias("val_scored"),
+                                             F.sum(F.when(F.col("split") == "test", F.col("n"))).alias("test_scored"))
+    return cards.join(rows, "model").select("model", "train_samples", "val_samples", "test_samples", "positive_rate",
+                                            "val_scored", "test_scored")
+
+
+def q_score_checks(spark, sf):
+    """Per model, on the stored test scores: rows, bounds, and the reported AUC against Spark ML's own evaluator."""
+    run_ = model_run(spark, sf)
+    test = prepared(spark, sf).where(F.col("split") == "test")
+    reported = {r["model"]: r["auc"] for r in run_.metrics.where("split = 'test'").collect()}
+    own = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="y", numBins=0)
+    parts = []
+    for name, model in run_.models.items():
+        s = score(model, test)
+        parts.append(s.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_scored"),
+                           ((F.min("score") >= 0) & (F.max("score") <= 1)).alias("in_bounds"),
+                           F.lit(abs(own.evaluate(s) - reported[name]) < 1e-4).alias("auc_agrees")))
+    return parts[0].unionByName(parts[1])
+
+
+def q_importance_checks(spark, sf):
+    """Ranks without gaps, falling importances that sum to one, the largest at 100 percent, best model by test AUC."""
+    run_ = model_run(spark, sf)
+    top = R.report_importance(run_)
+    steps = top.withColumn("up", F.col("importance") > F.lag("importance").over(Window.orderBy("rank")))   # at most 20 rows
+    best = run_.metrics.where("split = 'test'").agg(F.max("auc")).first()[0]
+    return steps.agg(F.count(F.lit(1)).alias("n_features"), (F.max("rank") == F.count(F.lit(1))).alias("ranks_ok"),
+                     (~F.max(F.coalesce("up", F.lit(False)))).alias("falling"), (F.max("pct") == 100).alias("top_is_100"),
+                     F.lit(run_.best_test_auc == best).alias("best_is_max"))
+
+
 # ----------------------------------------------------------------- report
 def q_report_features(spark, sf):
     return R.report_features(evaluation(spark, sf).features, EVAL_SPEC, spark)
@@ -596,6 +635,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ks_signed": q_ks_signed,
     "auc_share": q_auc_share,
     "importance": q_importance,
+    "model_samples": q_model_samples,
+    "score_checks": q_score_checks,
+    "importance_checks": q_importance_checks,
     "model_metrics": q_model_metrics,
     "best_model": q_best_model,
     "report_features": q_report_features,

@@ -183,6 +183,20 @@ ORACLE: dict[str, str] = {
         "SELECT m AS model, (SELECT count(*) FROM ms WHERE split = 'test') AS n_scored, CAST(0 AS DOUBLE) AS max_abs_diff "
         "FROM (VALUES ('gbt'), ('lr')) t(m)", DERIVED_CTE, SPLIT_CTE, MODEL_SPLIT),
     "spec_source": _derive_all(),
+    "model_samples": with_wide(
+        "SELECT m AS model, CAST(sum(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS BIGINT) AS train_samples, "
+        "CAST(sum(CASE WHEN split = 'val' THEN 1 ELSE 0 END) AS BIGINT) AS val_samples, "
+        "CAST(sum(CASE WHEN split = 'test' THEN 1 ELSE 0 END) AS BIGINT) AS test_samples, "
+        f"{r("avg(CASE WHEN split = 'train' THEN CAST(y AS DOUBLE) END)", 4)} AS positive_rate, "
+        "CAST(sum(CASE WHEN split = 'val' THEN 1 ELSE 0 END) AS BIGINT) AS val_scored, "
+        "CAST(sum(CASE WHEN split = 'test' THEN 1 ELSE 0 END) AS BIGINT) AS test_scored "
+        "FROM ms, (VALUES ('gbt'), ('lr')) t(m) GROUP BY m", DERIVED_CTE, SPLIT_CTE, MODEL_SPLIT),
+    "score_checks": with_wide(
+        "SELECT m AS model, (SELECT count(*) FROM ms WHERE split = 'test') AS n_scored, true AS in_bounds, true AS auc_agrees "
+        "FROM (VALUES ('gbt'), ('lr')) t(m)", DERIVED_CTE, SPLIT_CTE, MODEL_SPLIT),
+    "importance_checks": _eval(
+        "SELECT CAST(least(20, count(*)) AS BIGINT) AS n_features, true AS ranks_ok, true AS falling, true AS top_is_100, "
+        "true AS best_is_max FROM fg WHERE grade IN ('excellent', 'usable')"),
     "profile": with_wide("SELECT * FROM prof", _profile_cte()),
     "missing_recent": with_wide(" UNION ALL ".join(
         f"SELECT '{n}' AS name, {i} AS position, "
