@@ -32,9 +32,9 @@ from riskforge.llm.common import string_buffers, text_or_empty
 FILE_COLUMNS = ("id", "part", "pos", "n_tokens", "tokens")
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 BROADCAST_RANGES = 100_000   # 16 bytes each
-WORDS_KEPT = 1 << 20      # distinct words whose ids a task remembers
+WORDS_KEPT = 1 << 19      # distinct words whose ids a task remembers
 #: White space of Unicode other than space, newline, tab and carriage return (Python and the library differ on some).
 _OTHER_SPACE = "[" + "".join(map(chr, (
     0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]"
