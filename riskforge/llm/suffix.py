@@ -15,8 +15,8 @@ step, gives the common prefix of every suffix with the one before it. A start
 repeats if that prefix, or its successor's, has ``length`` bytes, or if its
 window occurs more than once.
 
-Cross-shard merging. An anchor with more bytes than a shard is dealt to several
-shards; each of them then gives one digest for every distinct run, and the
+Cross-shard merging. An anchor with more bytes than one task should sort is dealt to
+several shards; each of them then gives one digest for every distinct run, and the
 runs that stand alone in their shard are found in the sorted digests of the
 others by binary search, again in pieces dealt by digest.
 
@@ -43,6 +43,7 @@ from riskforge.llm.common import _BASE, _BASE_INV, _BYTE, materialize, mix64, po
 LENGTH = 400
 ANCHOR = 96
 SHARD_BYTES = 1 << 20
+SPLIT_BYTES = 4 << 20   # an anchor with more goes to several shards: what one task can sort
 BATCH_BYTES = 4 << 20
 HEAD = 5                 # symbols compared by the first sort
 CHUNK = 1 << 22          # starts anchored at once in a long text
@@ -309,7 +310,7 @@ def _remove(length: int):
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, length: int = LENGTH,
-             anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
+             anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES, split_bytes: int = SPLIT_BYTES) -> tuple[DataFrame, DataFrame]:
     """(k, len, id, text) of every row, and (k, len, lo, hi): the runs of repeated starts of each text."""
     base = docs.select(F.conv(F.substring(F.sha2(text_or_empty(text_col), 256), 1, 15), 16, 10).cast("long").alias("k"),
                        F.octet_length(text_or_empty(text_col)).cast("long").alias("len"),
@@ -324,7 +325,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     size = F.sum(F.col("n") + length - 1)
     total = wins.agg(size.alias("b")).first()["b"] or 0
     shards = max(1, -(-total // shard_bytes))
-    large = wins.groupBy("fp").agg(size.alias("b")).filter(F.col("b") > shard_bytes).select(
+    large = wins.groupBy("fp").agg(size.alias("b")).filter(F.col("b") > split_bytes).select(
         "fp", F.ceil(F.col("b") / shard_bytes).alias("subs"))
     dealt = wins.join(large, "fp", "left").select(
         F.when(F.col("subs").isNull(), F.pmod(F.xxhash64("fp"), F.lit(shards))).otherwise(F.col("fp")).alias("shard"),
