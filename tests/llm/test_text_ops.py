@@ -182,7 +182,7 @@ def test_removal_equals_brute_force(make_docs, clash, shard_bytes):
     shared = [piece(n) for n in (60, 90, 200)]
     texts = [piece(rng.randint(0, 150)) + rng.choice(shared)[rng.randint(0, 20):] + piece(rng.randint(0, 90)) for _ in range(60)]
     texts += [texts[0]] * 3 + [None, "", "a" * 300, "a" * 120, "ab" * 100, piece(39), piece(41), "x" * 40, "x" * 40]
-    got = {r["id"]: tuple(r)[1:] for r in suffix.remove_repeats(clash(make_docs(texts)), length=40, anchor=12, shard_bytes=shard_bytes).collect()}
+    got = {r["id"]: tuple(r)[1:] for r in suffix.remove_repeats(clash(make_docs(texts)), length=40, anchor=12, shard_bytes=shard_bytes, split_bytes=shard_bytes).collect()}
     assert [got[i] for i in range(len(texts))] == plain_removal(texts, 40)
     assert suffix.remove_repeats(make_docs([])).count() == 0
 
