@@ -8,10 +8,16 @@ that was hit is verified on the whole token lists: it counts if some window of
 ``WINDOW`` item tokens (the whole item where it is shorter) agrees in at least
 ``AGREE`` of its tokens.
 
+No alignment that the rule accepts is missed: the masks for a window of n tokens
+are chosen so that, whichever tokens of it are substituted (as many as ``AGREE``
+lets), some mask lies inside the window on equal tokens only. ``MASKS`` has them
+by n, found by search and checked by enumeration in the tests; items longer than
+``WINDOW`` have the masks of a whole window at every position. Documents are
+hashed with the masks of the lengths that the benchmark has, at most eight.
+
 Tokens are runs of letters and digits (any character beyond ASCII included),
-in lower case. Items of 5 to 10 tokens are shorter than the masks and are
-searched with one unbroken mask of their own length; items of fewer tokens are
-too short to tell and are not searched.
+in lower case. Items of fewer than 5 tokens are too short to tell and are not
+searched.
 
 The benchmark's seeds are broadcast when they are counted to be at most
 ``BROADCAST_SEEDS``; beyond that the join shuffles both sides by the hash.
@@ -28,9 +34,12 @@ from pyspark.sql import functions as F
 
 from riskforge.llm.common import fresh, materialize
 
-MASKS = ("11101001011", "11010011101")   # weight 7 over 11 tokens
 SHORTEST = 5
 WINDOW, AGREE = 16, 0.8
+_PAIR = ("11101011", "11001000111")
+MASKS = {5: ("111", "1101"), 6: ("1111", "11011"), **dict.fromkeys((7, 8, 9), ("11011",)),
+         **dict.fromkeys((10, 11, 12), ("1111", "11101")), 13: (*_PAIR, "1100100111"), 14: _PAIR,
+         15: (*_PAIR, "1100100111"), 16: _PAIR}    # by tokens of the window
 BROADCAST_SEEDS = 2_000_000              # 24 bytes each
 SEPARATOR = r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"
 
@@ -79,11 +88,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     equal in the best window), n_window."""
     items = materialize(benchmark.select(F.col(item_col).alias("item_id"), token_ids(F.col(item_text)).alias("item"))
                         .filter(F.size("item") >= SHORTEST).withColumn("ino", F.monotonically_increasing_id()), "dec-items")
-    short = [r[0] for r in items.filter(F.size("item") < len(MASKS[0])).select(F.size("item")).distinct().collect()]
-    masks = [*MASKS, *("1" * n for n in sorted(short))]      # at most six more
-    wanted = (items.select("ino", F.size("item").alias("n"), F.explode(seeds(F.col("item"), masks)).alias("s"))
-              # a short mask serves the items of its length only
-              .filter((F.col("s.k") < len(MASKS)) | (F.col("n") == F.element_at(F.array(*(F.lit(len(m)) for m in masks)), F.col("s.k") + 1)))
+    windows = [r[0] for r in items.select(F.least(F.lit(WINDOW), F.size("item"))).distinct().collect()] or [WINDOW]
+    masks = sorted({m for n in windows for m in MASKS[n]})
+    served = F.array(*(F.array(*(F.lit(n) for n in MASKS if m in MASKS[n])) for m in masks))
+    wanted = (items.select("ino", F.least(F.lit(WINDOW), F.size("item")).alias("n"), F.explode(seeds(F.col("item"), masks)).alias("s"))
+              # a mask serves the items of its lengths only
+              .filter(F.array_contains(F.element_at(served, F.col("s.k") + 1), F.col("n")))
               .select("ino", F.col("s.p").alias("ip"), F.col("s.h").alias("h")))
     wanted = materialize(wanted, "dec-seeds")
     if wanted.count() <= BROADCAST_SEEDS:

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import os
 import random
 import re
@@ -159,6 +160,46 @@ def test_large_benchmark_joins_by_shuffle(spark, make_docs, monkeypatch):
     assert [r["id"] for r in decontaminate.overlaps(make_docs(["x " + text, "y"]), bench).collect()] == [0]
 
 
+def test_masks_hit_every_accepted_substitution():
+    for n, masks in decontaminate.MASKS.items():
+        wrong = max(k for k in range(n) if n - k >= n * decontaminate.AGREE)
+        placed = [{p + i for i, c in enumerate(m) if c == "1"} for m in masks for p in range(n - len(m) + 1)]
+        assert all(m[0] == m[-1] == "1" for m in masks)
+        assert all(any(at.isdisjoint(gone) for at in placed) for gone in itertools.combinations(range(n), wrong))
+    assert list(decontaminate.MASKS) == list(range(decontaminate.SHORTEST, decontaminate.WINDOW + 1))
+
+
+def plain_overlaps(texts, items):
+    found = {}
+    for (d, t), (i, item) in itertools.product(enumerate(texts), items.items()):
+        ids, n = t.split(), min(16, len(item))
+        for diag in range(1 - len(item), len(ids)):
+            same = [0 <= diag + j < len(ids) and ids[diag + j] == w for j, w in enumerate(item)]
+            best = max(sum(same[s:s + n]) for s in range(len(item) - n + 1))
+            if best >= n * 0.8:
+                found[d, i] = max(found.get((d, i), (0, n)), (best, n))
+    return found
+
+
+def test_overlaps_equal_brute_force(spark, make_docs):
+    rng = random.Random(12)
+    items = {n: [f"i{n}x{j}" for j in range(n)] for n in range(5, 22)}
+    texts = []
+    for n, item in items.items():
+        for _ in range(25):
+            wrong = rng.randint(0, 4 if n > 12 else 3 if n > 9 else 2)
+            text = list(item)
+            for j in rng.sample(range(n), wrong):
+                text[j] = "zz"
+            cut = rng.choice([0, 0, 1, 2])                # the item may begin before the document
+            texts.append(" ".join([] if cut else [f"n{rng.randrange(99)}" for _ in range(rng.randint(0, 3))]) + " " + " ".join(text[cut:n - rng.choice([0, 0, 1])]))
+    texts += [" ".join(["zz", *items[11][1:]]), " ".join(items[20][2:18])]
+    bench = spark.createDataFrame([(n, " ".join(item)) for n, item in items.items()], "item_id long, text string")
+    got = {(r["id"], r["item_id"]): (r["n_equal"], r["n_window"]) for r in decontaminate.overlaps(make_docs(texts), bench).collect()}
+    want = plain_overlaps(texts, items)
+    assert got == want and (len(texts) - 2, 11) in got
+
+
 # ------------------------------------------------------------------ suffix arrays
 
 def plain_removal(texts, length):
