@@ -6,13 +6,20 @@ match that fails its check is dropped and not retried.
 
 Contexts: every looser identifier (other address forms, IPv6, phone numbers written
 otherwise, card numbers that a base match had swallowed) that overlaps no base
-span is a candidate. The words around base entities and candidates, and their
-shapes, give lexical patterns. Patterns and
+span is a candidate, and so is what has none of these forms but could be an
+identifier: runs of digit groups with any separators that hold as many digits as
+a phone number (6 to 15) or a card (12 to 19, Luhn), tokens with a sign @, text that
+reads as an IPv4 or IPv6 address (``generic``). The words around base entities and
+candidates, and their shapes, give lexical patterns, so trusted contexts and shapes
+find values that no regex describes. Patterns and
 instances (values) form a bipartite graph that Spark scores in rounds: a
 pattern's score for a kind is the share of trusted values among its distinct
 values, if at least ``SUPPORT`` are trusted; a value's score is the noisy-or of
 its patterns; base values are trusted from the start, others from ``TRUST`` on.
-Candidates whose value ends up trusted are added to the spans.
+Candidates whose value ends up trusted are added to the spans. A run of several
+digit groups is a candidate whole, and with every beginning and every end of it that
+has as many digits; of those that overlap the best score is added, then the longest.
+In a pattern's score such a run counts once as long as it is not trusted.
 
 Texts are scanned once, where they lie. The graph has rows for mentions only;
 its sums are partial aggregates, so a pattern that holds a third of all
@@ -27,6 +34,7 @@ scanned each, their values count once; an empty table gives no rows.
 
 from __future__ import annotations
 
+import ipaddress
 import re
 
 import numpy as np
@@ -52,6 +60,14 @@ _LOOSE_IP = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{
 _LOOSE_CARD = re.compile(r"(?<![0-9])(?:[0-9]{16,19}|[0-9]{4}(?:[\x20.-][0-9]{4}){3})(?![0-9])")
 _LOOSE_PHONE = re.compile(r"(?<![0-9A-Za-z])(?:\+?[0-9]{1,3}[\x20.-]?)?\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}(?![0-9])")
 
+# generic forms: digit groups, tokens with a sign @, addresses; linear in the text
+_GROUPS = r"\+?\(?[0-9]++(?:[-./()\u2010-\u2015]{1,3}+\+?[0-9]++)*+\)?"
+_RUN = re.compile(rf"(?<![\w@]){_GROUPS}(?:[\x20\t\xa0]{_GROUPS})*+")
+_AT = re.compile(r"(?<!\S)[^\s@]*+@\S*+")
+_IP6 = re.compile(r"(?:(?<![\w:.])|(?<=[^\W\d_]:))(?=[0-9A-Fa-f]{0,4}:)[0-9A-Fa-f:.]{2,45}+(?![\w:])")
+_IP4 = re.compile(r"(?<![\w.])(?:[0-9]{1,3}[\[({]?(?:\.|dot)[\])}]?){3}[0-9]{1,3}(?![\w.])", re.I)
+PHONE_DIGITS, CARD_DIGITS = range(6, 16), range(12, 20)
+
 
 def luhn(digits: str) -> bool:
     total = 0
@@ -104,11 +120,92 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     found += cards
     found += [(3, m.start(), m.end()) for m in _LOOSE_PHONE.finditer(text)
               if all(m.end() <= a or z <= m.start() for _, a, z in cards)]
-    if not base or not found:
-        return found
-    taken = sorted((a, z) for _, a, z in base)
+    free = _free(base)
+    return [c for c in found if free(c[1], c[2])]
+
+
+def _free(spans: list[tuple[int, int, int]]):
+    """Whether a stretch overlaps none of the spans."""
+    taken = sorted((a, z) for _, a, z in spans)
+    if not taken:
+        return lambda a, z: True
     starts, ends = [a for a, _ in taken], np.maximum.accumulate([z for _, z in taken])
-    return [c for c in found if not (k := int(np.searchsorted(starts, c[2]))) or ends[k - 1] <= c[1]]
+    return lambda a, z: not (k := int(np.searchsorted(starts, z))) or ends[k - 1] <= a
+
+
+def _is_address(value: str) -> bool:
+    try:
+        return bool(ipaddress.ip_address(value))
+    except ValueError:
+        return False
+
+
+def generic(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, bool]]:
+    """(kind, start, end, run, main) of what could be an identifier whatever its form, beside the
+    spans ``taken``. Spans of different runs do not overlap; one span of a run is its main one."""
+    found, free = [], _free(taken)
+    if "@" in text:
+        for m in _AT.finditer(text):
+            core = m[0].rstrip(">)]}\"'.,;:!?")
+            at = core.find("@")
+            a = max(core.rfind(c, 0, max(at, 0)) for c in "<([{\"':=,;") + 1
+            if a < at < len(core) - 1 and free(m.start() + a, m.start() + len(core)):
+                found.append((0, m.start() + a, m.start() + len(core)))
+    if ":" in text:
+        for m in _IP6.finditer(text):
+            value = m[0].rstrip(".")
+            value = value[:-1] if value.endswith(":") and not value.endswith("::") else value
+            if value.count(":") > 1 and _is_address(value) and free(m.start(), m.start() + len(value)):
+                found.append((1, m.start(), m.start() + len(value)))
+    for m in _IP4.finditer(text):
+        if free(*m.span()) and _is_address(re.sub("[^0-9.]", "", re.sub("dot", ".", m[0], flags=re.I))):
+            found.append((1, *m.span()))
+    out = [(k, a, z, a, True) for k, a, z in found]
+    free = _free([*taken, *found]) if found else free
+    for m in _RUN.finditer(text):
+        if m.end() - m.start() < PHONE_DIGITS[0]:
+            continue
+        groups = [(m.start() + g.start(), m.start() + g.end()) for g in re.finditer(r"[^\x20\t\xa0]+", m[0])]
+        if m.end() < len(text) and (text[m.end()].isalnum() or text[m.end()] in "_@"):
+            groups.pop()
+        run: list[tuple[int, int]] = []
+        for g in [*groups, None]:
+            if g and free(*g):
+                run.append(g)
+            else:
+                out += _ends_of(text, run) if run else []
+                run = []
+    return out
+
+
+def _ends_of(text: str, run: list[tuple[int, int]]) -> list[tuple[int, int, int, int, bool]]:
+    """The beginnings and the ends of a run of digit groups that have as many digits as an identifier."""
+    most, spans, first, last = CARD_DIGITS[-1], [], run[0][0], run[-1][1]
+    digits = ""
+    for a, z in run:
+        digits += re.sub("[^0-9]", "", text[a:z])
+        if len(digits) > most:
+            break
+        spans.append((first, z, digits))
+    digits = ""
+    for a, z in reversed(run):
+        digits = re.sub("[^0-9]", "", text[a:z]) + digits
+        if len(digits) > most:
+            break
+        if a > first:
+            spans.append((a, last, digits))
+    out, main = [], True
+    for a, z, d in sorted(spans, key=lambda s: (s[0] - s[1], s[0])):
+        for kind, fits in ((2, len(d) in CARD_DIGITS and luhn(d)), (3, len(d) in PHONE_DIGITS)):
+            if fits:
+                out.append((kind, a, z, first, main))
+                main = False
+    return out
+
+
+def value_of(kind: int, written: str) -> str:
+    value = re.sub(r"[\s().\[\]-]", "", written.lower())
+    return re.sub("[^0-9+]", "", value) if kind > 1 else value
 
 
 def _plain(word: str) -> str:
@@ -140,7 +237,7 @@ def contexts(text: str, start: int, end: int) -> list[str]:
 
 _SPAN = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())])
 _MENTION = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_()),
-                      ("value", pa.string()), ("patterns", pa.list_(pa.string()))])
+                      ("run", pa.int64()), ("main", pa.bool_()), ("value", pa.string()), ("patterns", pa.list_(pa.string()))])
 
 
 def _scan(batches):
@@ -152,9 +249,11 @@ def _scan(batches):
         for text in b.column("text").to_pylist():
             base = base_spans(text)
             spans.append([{"kind": k, "start": a, "end": z} for k, a, z in base])
-            mentions.append([{"kind": k, "start": a, "end": z, "base": own, "value": re.sub(r"[\s().\[\]-]", "", text[a:z].lower()),
+            loose = candidates(text, base)
+            mentions.append([{"kind": k, "start": a, "end": z, "base": own, "run": run, "main": main, "value": value_of(k, text[a:z]),
                               "patterns": contexts(text, a, z)}
-                             for own, group in ((True, base), (False, candidates(text, base))) for k, a, z in group])
+                             for own, group in ((True, [(*s, -1, True) for s in base]), (False, [(*s, -1, True) for s in loose]),
+                                                (False, generic(text, base + loose))) for k, a, z, run, main in group])
         n = b.num_rows
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(first, first + n)), b.column("id"), pa.array(spans, pa.list_(_SPAN)),
@@ -163,14 +262,16 @@ def _scan(batches):
 
 
 def trusted_values(mentions: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, trust: float = TRUST) -> DataFrame:
-    """(kind, value, score) of the candidate values that their contexts speak for."""
-    graph = materialize(mentions.select("kind", "value", "base", F.explode("patterns").alias("pattern"))
-                        .groupBy("pattern", "kind", "value").agg(F.max("base").alias("base")), "pii-graph")
+    """(kind, value, score) of the base values and of the values that their contexts speak for."""
+    graph = materialize(mentions.select("kind", "value", "base", "main", F.explode("patterns").alias("pattern"))
+                        .groupBy("pattern", "kind", "value").agg(F.max("base").alias("base"), F.max("main").alias("main")), "pii-graph")
     seeds = mentions.filter("base").select("kind", "value").distinct()
     score = seeds.withColumn("score", F.lit(1.0))
     for _ in range(rounds):
-        known = graph.join(score, ["kind", "value"], "left").select("pattern", "kind", "value", F.coalesce("score", F.lit(0.0)).alias("score"))
-        per = known.groupBy("pattern", "kind").agg(F.sum((F.col("score") >= trust).cast("double")).alias("yes"), F.count("*").alias("n"))
+        known = graph.join(score, ["kind", "value"], "left").select(
+            "pattern", "kind", "value", "main", (F.coalesce("score", F.lit(0.0)) >= trust).alias("trusted"))
+        per = known.groupBy("pattern", "kind").agg(F.sum(F.col("trusted").cast("double")).alias("yes"),
+                                                   F.sum((F.col("trusted") | F.col("main")).cast("long")).alias("n"))
         every = per.groupBy("pattern").agg(F.sum("n").alias("all_n"))
         strong = per.filter(F.col("yes") >= support).join(every, "pattern").select(
             "pattern", "kind", (F.col("yes") / F.col("all_n")).alias("p")).filter(F.col("p") >= trust)
@@ -178,7 +279,15 @@ def trusted_values(mentions: DataFrame, rounds: int = ROUNDS, support: int = SUP
                 .agg((1 - F.exp(F.sum(F.log(1 - F.least("p", F.lit(0.999)))))).alias("score")))
         score = materialize(seeds.withColumn("score", F.lit(1.0)).unionByName(
             said.join(seeds, ["kind", "value"], "left_anti")), "pii-scores")
-    return score.join(seeds, ["kind", "value"], "left_anti").filter(F.col("score") >= trust)
+    return score.filter(F.col("score") >= trust)
+
+
+def _apart(spans: Column) -> Column:
+    """Of overlapping spans (in order of preference) the first."""
+    kept = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")
+    return F.aggregate(spans, kept, lambda done, x: F.when(
+        F.exists(done, lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"])), done).otherwise(
+        F.concat(done, F.array(F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))))))
 
 
 def _text(spans: Column) -> Column:
@@ -194,10 +303,14 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw)
     kind = rows.schema["id"].dataType.simpleString()
     span = "struct<kind:int,start:bigint,end:bigint>"
     found = materialize(rows.mapInArrow(_scan, f"rid long, id {kind}, spans array<{span}>, mentions array<struct<"
-                                        "kind:int,start:bigint,end:bigint,base:boolean,value:string,patterns:array<string>>>"), "pii-found")
+                                        "kind:int,start:bigint,end:bigint,base:boolean,run:bigint,main:boolean,value:string,patterns:array<string>>>"), "pii-found")
     mentions = found.select("rid", F.explode("mentions").alias("m")).select("rid", "m.*")
-    new = (mentions.filter(~F.col("base")).join(trusted_values(mentions, **kw), ["kind", "value"])
-           .groupBy("rid").agg(F.collect_set(F.struct("kind", "start", "end")).alias("added")))
+    said = mentions.filter(~F.col("base")).join(trusted_values(mentions, **kw), ["kind", "value"])
+    picked = (said.filter("run >= 0").groupBy("rid", "run").agg(F.collect_set(F.struct(
+        (-F.round("score", 9)).alias("score"), (F.col("start") - F.col("end")).alias("length"), "start", "kind", "end")).alias("spans"))
+        .select("rid", F.explode(_apart(F.array_sort("spans"))).alias("s")))
+    new = (said.filter("run < 0").select("rid", F.struct("kind", "start", "end").alias("s")).unionByName(picked)
+           .groupBy("rid").agg(F.collect_set("s").alias("added")))
     all_ = found.select("rid", "id", "spans").join(new, "rid", "left").withColumn(
         "added", F.coalesce("added", F.array().cast(f"array<{span}>")))
     counts = [F.size(F.filter("spans", _of_kind(i))).cast("long").alias(f"n_{k}")

@@ -71,6 +71,38 @@ def test_contexts_find_unseen_identifiers(make_docs, clash):
     assert pii.find(make_docs([])).count() == 0
 
 
+def test_trusted_contexts_find_other_forms(make_docs):
+    phones = ["4155557777", "030 1234567", "06 12 34 56 78", "020 7946 0958", "415/555-7777"]
+    cards = ["378282246310005", "4111/1111/1111/1111"]
+    texts = [f"hello there dial my number +1 (415) 555-{1000 + i} please now" for i in range(12)]
+    texts += [f"then the server at address 10.0.0.{i} went down" for i in range(6)]
+    texts += [f"she paid with her card {c} for it" for c in ("4111111111111111", "5500005555555559", "4012888888881881", "6011111111111117")]
+    texts += [f"please write to our mailbox x{i}@mail.example.com soon enough" for i in range(4)]
+    first = len(texts)
+    forms = [("dial my number", p, 3) for p in phones] + [("server at address", "2001:db8::1", 1), ("server at address", "10[.]1[.]2[.]3", 1)]
+    forms += [("with her card", c, 2) for c in cards] + [("to our mailbox", "jörg@müller.de", 0)]
+    texts += [f"well {c} {v} and so on" for c, v, _ in forms]
+    texts += [f"the pages counted {v} in all" for _, v, _ in forms[:3]] + ["order 20240115 7 9 of my list", "dial my number 030 7654321 12 then"]
+    rows = {r["id"]: r for r in pii.find(make_docs(texts)).collect()}
+    for i, (c, v, kind) in enumerate(forms, first):
+        assert rows[i]["spans"] == f"{pii.KINDS[kind]}:{len(c) + 6}:{len(c) + 6 + len(v)}" and rows[i]["n_added"] == 1, (v, rows[i])
+    assert rows[first + len(forms) + 3]["spans"] == ""                       # neither its context nor its shape is trusted
+    assert rows[first + len(forms) + 4]["spans"].startswith("phone:15:")
+    for i, (_, v, kind) in enumerate(forms[:3], first + len(forms)):         # a trusted value is found in any context
+        assert rows[i]["spans"] == f"phone:18:{18 + len(v)}"
+
+
+def test_generic_candidates():
+    def found(t):
+        base = pii.base_spans(t)
+        return {(pii.KINDS[k], t[a:z]) for k, a, z, _, _ in pii.generic(t, base + pii.candidates(t, base))}
+    assert found("call 030 1234567 2 x") == {("phone", "030 1234567 2"), ("phone", "030 1234567"), ("phone", "1234567 2")}
+    assert found("x123456 123456x 1234567_ 12 34") == set() and found("line:2001:db8::1, at 12:30:45") == {("ip", "2001:db8::1")}
+    assert found("mailto:ü@é.de") == {("email", "ü@é.de")} and found("@you a@ 1.2.3.4") == set()
+    for t in ("1 " * 40000 + "x", "1" * 90000 + "x", "1-" * 40000, "a:" * 40000, "@" * 40000, "(" * 40000, "1.1." * 20000):
+        assert len(pii.generic(t, [])) < 100
+
+
 # ------------------------------------------------------------------ language
 
 def test_language_of_held_out_rows(make_docs, clash):
