@@ -26,7 +26,7 @@ from riskforge.operators import report as R
 from riskforge.operators.binning import bin_of, equal_width_edges, single_bin
 from riskforge.operators.derive import derive_table
 from riskforge.operators.metrics import evaluate
-from riskforge.operators.model import SHORT_RUN, score, train_models
+from riskforge.operators.model import score, train_models
 from riskforge.operators.ranking import auc_ks, signed_ks
 from riskforge.operators.split import split_model, split_psi, split_summary
 from riskforge.plans.flow import run
@@ -144,7 +144,7 @@ def prepared(spark, sf):
 
 def model_run(spark, sf):
     return _memo(spark, sf, "run", lambda: train_models(
-        prepared(spark, sf), selected(spark, sf), gbt_params=SHORT_RUN))
+        prepared(spark, sf), selected(spark, sf)))
 
 
 def _derive_one(spark, sf, key):
@@ -224,7 +224,7 @@ def q_chosen_target(spark, sf):
 def q_run_flow(spark, sf):
     """The whole flow to files: every artefact with its row count."""
     out = f"{checkpoint_root(spark).rstrip('/')}/flow-{spark.sparkContext.applicationId}-{abs(hash(sf))}"
-    return run(wide(spark, sf), EVAL_SPEC, TARGET, ID, TIME, name="flow", out_dir=out, gbt_params=dict(SHORT_RUN, maxIter=5))["artifacts"]
+    return run(wide(spark, sf), EVAL_SPEC, TARGET, ID, TIME, name="flow", out_dir=out)["artifacts"]
 
 
 def q_model_roundtrip(spark, sf):

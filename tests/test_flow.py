@@ -52,6 +52,27 @@ def test_run_whole_flow(spark, tmp_path):
     assert a == b
 
 
+def test_registered_queries_train_the_default_rounds(monkeypatch):
+    from riskforge.operators.model import GBT_PARAMS
+    from riskforge.plans import catalog as C
+
+    asked = []
+    for name in ("wide", "prepared", "selected", "checkpoint_root"):
+        monkeypatch.setattr(C, name, lambda *a: "")
+    monkeypatch.setattr(C, "_memo", lambda spark, sf, what, fn: fn())
+    monkeypatch.setattr(C, "train_models", lambda *a, gbt_params=None, **kw: asked.append(gbt_params))
+    monkeypatch.setattr(C, "run", lambda *a, gbt_params=None, **kw: asked.append(gbt_params) or {"artifacts": None})
+
+    class Session:
+        class sparkContext:
+            applicationId = "app"
+
+    C.model_run(Session, "sf")
+    C.q_run_flow(Session, "sf")
+    assert [dict(GBT_PARAMS, **(p or {})) for p in asked] == [GBT_PARAMS, GBT_PARAMS]
+    assert GBT_PARAMS["maxIter"] == 500 and GBT_PARAMS["validationTol"] == 0.0
+
+
 def test_derived_sink_prefix_and_status(spark, tmp_path):
     from riskforge.sources.sinks import derived_table_name, save_derived
     assert derived_table_name("db.my table") == "db.feat_derived_my_table"
