@@ -12,7 +12,8 @@ a phone number (6 to 15) or a card (12 to 19, Luhn), tokens with a sign @, text
 reads as an IPv4 or IPv6 address (``generic``). The words around base entities and
 candidates, and their shapes, give lexical patterns, so trusted contexts and shapes
 find values that no regex describes. Patterns and
-instances (values) form a bipartite graph that Spark scores in rounds: a
+instances (values) form a bipartite graph that Spark scores in rounds until no
+further value is trusted: a
 pattern's score for a kind is the share of trusted values among its distinct
 values, if at least ``SUPPORT`` are trusted; a value's score is the noisy-or of
 its patterns; base values are trusted from the start, others from ``TRUST`` on.
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 from riskforge.llm.common import materialize, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS, SUPPORT, TRUST = 3, 3, 0.6
+SUPPORT, TRUST = 3, 0.6
 REACH = 96           # code points of context looked at on either side
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -261,13 +262,13 @@ def _scan(batches):
         first += n
 
 
-def trusted_values(mentions: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, trust: float = TRUST) -> DataFrame:
+def trusted_values(mentions: DataFrame, support: int = SUPPORT, trust: float = TRUST) -> DataFrame:
     """(kind, value, score) of the base values and of the values that their contexts speak for."""
     graph = materialize(mentions.select("kind", "value", "base", "main", F.explode("patterns").alias("pattern"))
                         .groupBy("pattern", "kind", "value").agg(F.max("base").alias("base"), F.max("main").alias("main")), "pii-graph")
     seeds = mentions.filter("base").select("kind", "value").distinct()
-    score = seeds.withColumn("score", F.lit(1.0))
-    for _ in range(rounds):
+    score, before, now = seeds.withColumn("score", F.lit(1.0)), None, 0
+    while now != before:
         known = graph.join(score, ["kind", "value"], "left").select(
             "pattern", "kind", "value", "main", (F.coalesce("score", F.lit(0.0)) >= trust).alias("trusted"))
         per = known.groupBy("pattern", "kind").agg(F.sum(F.col("trusted").cast("double")).alias("yes"),
@@ -277,8 +278,10 @@ def trusted_values(mentions: DataFrame, rounds: int = ROUNDS, support: int = SUP
             "pattern", "kind", (F.col("yes") / F.col("all_n")).alias("p")).filter(F.col("p") >= trust)
         said = (graph.filter(~F.col("base")).join(strong, ["pattern", "kind"]).groupBy("kind", "value")
                 .agg((1 - F.exp(F.sum(F.log(1 - F.least("p", F.lit(0.999)))))).alias("score")))
-        score = materialize(seeds.withColumn("score", F.lit(1.0)).unionByName(
-            said.join(seeds, ["kind", "value"], "left_anti")), "pii-scores")
+        # a score never falls: what is trusted stays so, and the rounds end
+        score = materialize(score.unionByName(said.join(seeds, ["kind", "value"], "left_anti"))
+                            .groupBy("kind", "value").agg(F.max("score").alias("score")), "pii-scores")
+        before, now = now, score.filter(F.col("score") >= trust).count()
     return score.filter(F.col("score") >= trust)
 
 

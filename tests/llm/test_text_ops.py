@@ -92,6 +92,20 @@ def test_trusted_contexts_find_other_forms(make_docs):
         assert rows[i]["spans"] == f"phone:18:{18 + len(v)}"
 
 
+def test_chain_of_contexts_is_followed_to_its_end(make_docs):
+    rng, contexts = random.Random(3), ["ax bx", "cx dx", "ex fx", "gx hx", "ix jx"]
+    word = lambda: "".join(rng.choice("klmnopqrstuv") for _ in range(9))
+    groups, texts, n = [[f"+1 (415) 555-{1000 + i}" for i in range(48)]], [], 0
+    for size in (30, 18, 11, 6, 3):
+        groups.append([f"415-{555 + len(groups)}-{2000 + i}" for i in range(size)])
+    for i, c in enumerate(contexts):       # each context: values of the group before it, then those of its own
+        texts += [f"{word()} {c} {v} {word()} {word()}" for v in groups[i] + groups[i + 1]]
+    last = len(texts) - 1
+    texts += [f"{word()} {word()} {word()} 212-333-{1000 + i} {word()} {word()}" for i in range(150)]
+    rows = {r["id"]: r["n_added"] for r in pii.find(make_docs(texts)).collect()}
+    assert all(rows[i] == 1 for i in range(last - 2, last + 1)) and not any(rows[i] for i in range(last + 1, len(texts)))
+
+
 def test_generic_candidates():
     def found(t):
         base = pii.base_spans(t)
