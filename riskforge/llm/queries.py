@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskforge.llm import decontaminate, embeddings, html, langid, mixing, pii, probminhash, suffix, tokens, warc
+from riskforge.llm import (collocations, decontaminate, embeddings, html, langid, mixing, pii, probminhash, suffix,
+                           tokencount, tokens, walsh, warc)
 from riskforge.llm.common import load, materialize
 from riskforge.session import checkpoint_root
 
 #: Where the public vocabulary files lie; a parameter, read on the executors.
-TOKENIZER_DIR = "/opt/tokenizers"
+TOKENIZER_DIR = os.path.dirname(public_tokenizers.path("byte_bpe_50k.json"))
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -100,3 +103,30 @@ def op6_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op6_merkle_audit"] = warc.ORACLE
+
+
+@query
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit. The query's cache is a folder of its own, empty at first, so
+    every distinct text is encoded; a caller's cache lives on between runs."""
+    cache = f"{checkpoint_root(spark).rstrip('/')}/tables/token-counts-{uuid.uuid4().hex[:12]}"
+    counts, _ = tokencount.count_tokens(load(spark, sf_dir, "documents"), f"{TOKENIZER_DIR}/byte_bpe_50k.json", cache)
+    return counts.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op12_walsh_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256."""
+    return walsh.cluster(load(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+ORACLE["op12_walsh_clusters"] = walsh.oracle()
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lang, rank, phrase, a, l, r, n, score."""
+    return collocations.collocations(load(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_collocations"] = collocations.oracle()
