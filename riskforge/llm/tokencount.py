@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from riskforge.llm.common import materialize, string_buffers, text_or_empty
 
 SLICE_BYTES = 1 << 20        # texts encoded in one call of the library
-BROADCAST_MISSES = 200_000   # 40 bytes each
+BROADCAST_MISSES = 20_000    # 40 bytes each
 STORED = "digest binary, n_tokens long"
 
 
@@ -115,15 +115,15 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, *, id_col: str = "
     rows = rows.withColumn("digest", F.unhex(F.sha2(F.col("text").cast("binary"), 256))).withColumn("tag", F.xxhash64("id", "n_bytes"))
     keys = materialize(rows.drop("text"), "content-digests")
     version_digest = tokenizer_digest(tokenizer)
-    misses = materialize(
-        keys.groupBy("digest").agg(F.min("tag").alias("tag"))
-        .join(stored(cache, spark, version_digest), "digest", "left_anti"), "token-misses")
+    distinct = materialize(keys.groupBy("digest").agg(F.min("tag").alias("tag")), "token-contents")
+    misses = materialize(distinct.join(stored(cache, spark, version_digest), "digest", "left_anti"), "token-misses")
     n_misses = misses.count()
     if n_misses:
         wanted = F.broadcast(misses) if n_misses <= BROADCAST_MISSES else misses
         encoded = (rows.select("digest", "tag", "text").join(wanted, ["digest", "tag"], "left_semi").select("digest", "text")
                    .mapInArrow(_encode(tokenizer), STORED))
         encoded.write.mode("append").parquet(f"{cache.rstrip('/')}/tokenizer={version_digest}")
-    counts = stored(cache, spark, version_digest)
+    # written, so that the join reads two plain tables and a digest that many rows share is split
+    counts = materialize(stored(cache, spark, version_digest).join(distinct, "digest", "left_semi"), "token-counts")
     out = keys.join(counts, "digest").select("id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
     return out, n_misses
