@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 
 from riskforge.llm.common import materialize, string_buffers, text_or_empty, word_hashes
 
-SLICE_BYTES = 8 << 20        # text counted at once
-TASK_BYTES = 16 << 20        # text whose windows one task of the second step takes
+SLICE_BYTES = 5 << 20        # text counted at once
+TASK_BYTES = 8 << 20         # text whose windows one task of the second step takes
 SALTS = 1 << 20
 ENDS = b".,;:!?\n\x0b\x0c\r"  # fixed: where a text is cut into pieces
 
