@@ -32,65 +32,82 @@ from riskforge.llm.common import string_buffers, text_or_empty
 FILE_COLUMNS = ("id", "part", "pos", "n_tokens", "tokens")
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 3 << 20
 BROADCAST_RANGES = 100_000   # 16 bytes each
-WORDS_KEPT = 1 << 19      # distinct words whose ids a task remembers
+WORDS_KEPT = 1 << 20      # distinct words whose ids a task remembers
 #: White space of Unicode other than space, newline, tab and carriage return (Python and the library differ on some).
 _OTHER_SPACE = "[" + "".join(map(chr, (
     0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]"
 _SPACES = " \n\t\r"
 
 
-class _Codes(dict):
-    """Numbers for words in the order in which they are first seen; ``new`` are those without ids yet."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        self[word] = code = len(self)
-        self.new.append(word)
-        return code
+def _flat(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places at, at + 1, ... of runs of the given sizes, one run after the other."""
+    end = np.cumsum(size, dtype=np.int64)
+    out = np.arange(int(end[-1]) if len(end) else 0)
+    out += np.repeat(at - (end - size), size)
+    return out
 
 
 class _Words:
-    """Ids of words, each encoded once. ``lead`` is what stands before every word."""
+    """Ids of words, each encoded once while it is remembered. ``lead`` is what stands before every word.
+
+    The words are one Arrow array beside numpy columns; beyond ``WORDS_KEPT`` the half that
+    was not met for the longest time is forgotten.
+    """
 
     def __init__(self, tok, width: np.ndarray, lead: str):
-        self.tok, self.width, self.lead = tok, width, lead
-        self.code, self.used = _Codes(), 0
-        self.ids, self.size, self.at = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)
-
-    def learn(self) -> None:
-        words, self.code.new = self.code.new, []
-        if not words:
-            return
+        self.tok, self.width, self.lead, self.now = tok, width, lead, 0
+        self.words = pa.array([], pa.string())
+        self.ids, self.size, self.at, self.met = (np.zeros(0, t) for t in (np.int32, np.int32, np.int64, np.int32))
+
+    def codes(self, words: pa.Array) -> np.ndarray:
+        """Places of distinct words in the memory; new ones are encoded."""
+        if len(self.words) > WORDS_KEPT:
+            self.forget()
+        self.now += 1
+        place = pc.index_in(words, value_set=self.words)
+        new = words.filter(place.is_null())
+        code = place.fill_null(0).to_numpy().astype(np.int64)
+        if len(new):
+            code[place.is_null().to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(new))
+            self.learn(new)
+        self.met[code] = self.now
+        return code
+
+    def forget(self) -> None:
+        keep = np.sort(np.argsort(self.met, kind="stable")[len(self.met) // 2:])
+        self.ids = self.ids[_flat(self.at[keep], self.size[keep])]
+        self.words, self.size, self.met = self.words.take(pa.array(keep)), self.size[keep], self.met[keep]
+        self.at = np.cumsum(self.size, dtype=np.int64) - self.size
+
+    def learn(self, new: pa.Array) -> None:
+        raw, edge = string_buffers(new)
+        width, first = np.diff(edge), np.zeros(len(new), np.uint8)
+        first[width > 0] = raw[edge[:-1][width > 0]]
         # behind a leading space words can stand in one text, told apart again by the ids' byte widths
-        text = [self.lead + w for w in words]
-        alone = np.array([not self.lead or not w or w[0] in _SPACES for w in words])
-        flat, sizes = [], np.zeros(len(words), np.int64)
-        joined = np.flatnonzero(~alone)
-        parts = [joined[i:i + 256] for i in range(0, len(joined), 256)]
-        for part, e in zip(parts, self.tok.encode_batch_fast(["".join(text[i] for i in p) for p in parts], add_special_tokens=False)):
-            ids = np.array(e.ids, dtype=np.int32)
-            ends = np.cumsum(np.fromiter((len(text[i].encode()) for i in part), np.int64, len(part)))
-            sizes[part] = np.diff(np.searchsorted(np.cumsum(self.width[ids]), ends), prepend=-1)
+        alone = (width == 0) | np.isin(first, list(_SPACES.encode())) | (not self.lead)
+        flat, sizes = [], np.zeros(len(new), np.int64)
+        joined, rest = np.flatnonzero(~alone), np.flatnonzero(alone)
+        if len(joined):
+            cuts = np.append(np.arange(0, len(joined), 256), len(joined)).astype(np.int32)
+            texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), new.take(pa.array(joined))), self.lead).to_pylist()
+            ids = np.concatenate([np.array(e.ids, dtype=np.int32) for e in self.tok.encode_batch_fast(
+                [self.lead + t for t in texts], add_special_tokens=False)])
+            ends = np.cumsum(width[joined] + len(self.lead.encode()))
+            sizes[joined] = np.diff(np.searchsorted(np.cumsum(self.width[ids]), ends), prepend=-1)
             flat.append(ids)
-        rest = np.flatnonzero(alone)
-        for i, e in zip(rest, self.tok.encode_batch_fast([text[i] for i in rest], add_special_tokens=False)):
+        for i, e in zip(rest, self.tok.encode_batch_fast([self.lead + w for w in new.take(pa.array(rest)).to_pylist()],
+                                                         add_special_tokens=False)):
             sizes[i] = len(e.ids)
             flat.append(np.array(e.ids, dtype=np.int32))
         order = np.concatenate([joined, rest])
-        ids, first, n = np.concatenate(flat), len(self.code) - len(words), len(words)
-        while len(self.size) < first + n:
-            self.size, self.at = np.concatenate([self.size, self.size]), np.concatenate([self.at, self.at])
-        while len(self.ids) < self.used + len(ids):
-            self.ids = np.concatenate([self.ids, self.ids])
-        self.ids[self.used:self.used + len(ids)] = ids
-        self.size[first:first + n] = sizes
-        self.at[first + order] = self.used + np.cumsum(sizes[order]) - sizes[order]
-        self.used += len(ids)
+        at = np.zeros(len(new), np.int64)
+        at[order] = len(self.ids) + np.cumsum(sizes[order]) - sizes[order]
+        self.words = pa.concat_arrays([self.words, new])
+        self.ids = np.concatenate([self.ids, *flat])
+        self.size, self.at = np.concatenate([self.size, sizes.astype(np.int32)]), np.concatenate([self.at, at])
+        self.met = np.concatenate([self.met, np.zeros(len(new), np.int32)])
 
 
 class WordEncoder:
@@ -114,7 +131,7 @@ class WordEncoder:
         width[list(vocab.values())] = list(map(len, vocab))
         self.width = width
         self.odd = [*(f"{c} " for c in _SPACES), *(t.content for t in self.tok.get_added_tokens_decoder().values())]
-        self.clear()
+        self.further, self.first = _Words(self.tok, self.width, " "), _Words(self.tok, self.width, "")
 
     @classmethod
     def of(cls, path: str) -> "WordEncoder":
@@ -122,13 +139,8 @@ class WordEncoder:
             cls._open[path] = cls(path)
         return cls._open[path]
 
-    def clear(self) -> None:
-        self.further, self.first = _Words(self.tok, self.width, " "), _Words(self.tok, self.width, "")
-
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has."""
-        if len(self.further.code) + len(self.first.code) > WORDS_KEPT:
-            self.clear()
         odd = pc.match_substring_regex(texts, _OTHER_SPACE)
         for piece in self.odd:
             odd = pc.or_(odd, pc.match_substring(texts, piece))
@@ -136,19 +148,13 @@ class WordEncoder:
         words = pc.split_pattern(pc.if_else(odd, "", texts), " ")
         edge = words.offsets.to_numpy().astype(np.int64)
         flat = words.values.dictionary_encode()
-        heads = words.values.take(pa.array(edge[:-1])).to_pylist()
-        head = np.fromiter(map(self.first.code.__getitem__, heads), np.int64, len(heads))
-        distinct = flat.dictionary.to_pylist()
-        code = np.fromiter(map(self.further.code.__getitem__, distinct), np.int64, len(distinct))[flat.indices.to_numpy()]
-        self.further.learn()
-        self.first.learn()
+        heads = words.values.take(pa.array(edge[:-1])).dictionary_encode()
+        head = self.first.codes(heads.dictionary)[heads.indices.to_numpy()]
+        code = self.further.codes(flat.dictionary)[flat.indices.to_numpy()]
         size, at = self.further.size[code], self.further.at[code]
-        size[edge[:-1]], at[edge[:-1]] = self.first.size[head], self.first.at[head] + self.further.used
-        end = np.cumsum(size, dtype=np.int64)
-        total = np.concatenate([[0], end])
-        source = np.arange(int(total[-1]))
-        source += np.repeat(at - (end - size), size)
-        ids = np.concatenate([self.further.ids[:self.further.used], self.first.ids[:self.first.used]])[source]
+        size[edge[:-1]], at[edge[:-1]] = self.first.size[head], self.first.at[head] + len(self.further.ids)
+        total = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        ids = np.concatenate([self.further.ids, self.first.ids])[_flat(at, size)]
         per = total[edge[1:]] - total[edge[:-1]]
         if len(whole):
             parts = np.split(ids, np.cumsum(per)[:-1])
