@@ -1,10 +1,8 @@
 """Model training and model metrics with Spark ML.
 
-* boosted trees: ``GBTClassifier`` with the reference's learning rate, depth,
-  minimum leaf size, feature / row sampling and seed; early stopping on the
-  validation rows (``validationIndicatorCol``); positives weighted by
-  max(n_neg / n_pos, 1). Spark grows trees depth-wise and has no L1/L2 leaf
-  penalty, so scores differ from a leaf-wise library; compare AUC bands.
+* boosted trees: ``boosting.fit``, leaf-wise trees with leaf penalties, feature
+  and row sampling, validation AUC after every round with a patience, the best
+  prefix kept; positives weighted by max(n_neg / n_pos, 1).
 * logistic regression: standardisation (mean and scale) then L2 logistic
   regression with balanced class weights; sklearn's C = 0.1 maps to
   regParam = 1 / (C * sum of weights) = 10 / n.
@@ -19,7 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -27,16 +25,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskforge.functions.columns import fround
+from riskforge.operators import boosting
 from riskforge.operators.ranking import auc_ks
 
 SEED = 42
-# Fixed values that must equal the reference's behaviour: learning rate, leaf size,
-# sampling shares, rounds, seed. Spark has no patience: with a tolerance of 0 boosting stops at
-# the first round that does not lower the validation loss, 500 rounds at the latest.
-# ``gbt_params`` of ``train_models`` takes a shorter setting (``SHORT_RUN``).
-GBT_PARAMS = dict(stepSize=0.05, maxDepth=5, minInstancesPerNode=50, featureSubsetStrategy="0.8",
-                  subsamplingRate=0.8, maxIter=500, validationTol=0.0, seed=SEED, maxBins=32)
-SHORT_RUN = dict(maxIter=60, validationTol=1e-3)
+# Fixed values that must equal the reference's behaviour: rounds, learning rate, leaves, least rows of a
+# leaf, sampling shares, penalties, patience, seed. ``gbt_params`` of ``train_models`` takes others.
+GBT_PARAMS = dict(rounds=500, rate=0.05, leaves=31, min_rows=50, feature_share=0.8, row_share=0.8, row_every=5,
+                  l1=0.1, l2=0.1, patience=50, max_bins=255, seed=SEED)
+SHORT_RUN = dict(rounds=30, patience=10)
 LR_C = 0.1
 LR_MAX_ITER = 1000
 TOP_IMPORTANCE = 30
@@ -44,7 +41,7 @@ TOP_IMPORTANCE = 30
 
 @dataclass
 class ModelRun:
-    models: dict = field(default_factory=dict)      # name -> PipelineModel
+    models: dict = field(default_factory=dict)      # name -> BoostedModel or PipelineModel
     metrics: DataFrame | None = None                # model, split, n, auc, ks, gini
     importance: DataFrame | None = None             # feature, importance, rank
     best: str | None = None
@@ -54,14 +51,6 @@ class ModelRun:
     features: list = field(default_factory=list)
 
 
-def gbt_pipeline(features: list[str], params: dict | None = None) -> Pipeline:
-    p = dict(GBT_PARAMS, **(params or {}))
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"),
-        GBTClassifier(featuresCol="features", labelCol="y", weightCol="w_pos",
-                      validationIndicatorCol="is_val", **p)])
-
-
 def lr_pipeline(features: list[str], n_train: int) -> Pipeline:
     return Pipeline(stages=[
         VectorAssembler(inputCols=features, outputCol="raw", handleInvalid="keep"),
@@ -71,8 +60,10 @@ def lr_pipeline(features: list[str], n_train: int) -> Pipeline:
                            standardization=False, maxIter=LR_MAX_ITER, tol=1e-6)])
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+def score(model: PipelineModel | boosting.BoostedModel, df: DataFrame) -> DataFrame:
     """Adds ``score`` = P(y = 1)."""
+    if isinstance(model, boosting.BoostedModel):
+        return model.transform(df)
     return (model.transform(df)
             .withColumn("score", vector_to_array(F.col("probability"))[1])
             .drop("features", "raw", "rawPrediction", "probability", "prediction"))
@@ -93,7 +84,7 @@ def add_weights(df: DataFrame, train: DataFrame) -> DataFrame:
 def train_models(prepared: DataFrame, features: list[str], which=("gbt", "lr"),
                  gbt_params: dict | None = None) -> ModelRun:
     """``prepared`` holds y (0/1), split (train / val / test) and DOUBLE features."""
-    data = prepared.withColumn("is_val", F.col("split") == "val")
+    data = prepared
     train = data.where(F.col("split") == "train")
     counts = {r["split"]: r["n"] for r in data.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
     data = add_weights(data, train)
@@ -102,7 +93,7 @@ def train_models(prepared: DataFrame, features: list[str], which=("gbt", "lr"),
     scored_parts = []
     for name in which:
         if name == "gbt":
-            model = gbt_pipeline(features, gbt_params).fit(data.where(F.col("split").isin("train", "val")))
+            model = boosting.fit(data, features, **dict(GBT_PARAMS, **(gbt_params or {})))
         else:
             model = lr_pipeline(features, run.samples["train"]).fit(data.where(F.col("split") == "train"))
         run.models[name] = model
@@ -123,10 +114,10 @@ def train_models(prepared: DataFrame, features: list[str], which=("gbt", "lr"),
             best, best_auc = name, test_auc[name]
     run.best, run.best_test_auc = best, best_auc
     if "gbt" in run.models:
-        run.rounds = run.models["gbt"].stages[-1].getNumTrees
-        imp = run.models["gbt"].stages[-1].featureImportances.toArray().tolist()
-        # shares of the total (at least 1), ranked and limited by Spark
-        table = spark.createDataFrame([(f, float(v), i) for i, (f, v) in enumerate(zip(features, imp))],
+        run.rounds = run.models["gbt"].rounds
+        imp = run.models["gbt"].split_counts()
+        # how often a feature is split, as shares of the total (at least 1), ranked and limited by Spark
+        table = spark.createDataFrame([(f, float(imp[f]), i) for i, f in enumerate(features)],
                                       "feature string, v double, i int")
         share = F.col("v") / F.greatest(F.sum("v").over(Window.partitionBy()), F.lit(1.0))
         rank = F.row_number().over(Window.orderBy(F.col("v").desc(), "i"))

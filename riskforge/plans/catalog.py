@@ -10,6 +10,7 @@ folder and reused by the queries that need them.
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Callable
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -26,7 +27,7 @@ from riskforge.operators import report as R
 from riskforge.operators.binning import bin_of, equal_width_edges, single_bin
 from riskforge.operators.derive import derive_table
 from riskforge.operators.metrics import evaluate
-from riskforge.operators.model import score, train_models
+from riskforge.operators.model import GBT_PARAMS, score, train_models
 from riskforge.operators.ranking import auc_ks, signed_ks
 from riskforge.operators.split import split_model, split_psi, split_summary
 from riskforge.plans.flow import run
@@ -223,7 +224,7 @@ def q_chosen_target(spark, sf):
 
 def q_run_flow(spark, sf):
     """The whole flow to files: every artefact with its row count."""
-    out = f"{checkpoint_root(spark).rstrip('/')}/flow-{spark.sparkContext.applicationId}-{abs(hash(sf))}"
+    out = f"{checkpoint_root(spark).rstrip('/')}/flow-{spark.sparkContext.applicationId}-{zlib.crc32(sf.encode())}"
     return run(wide(spark, sf), EVAL_SPEC, TARGET, ID, TIME, name="flow", out_dir=out)["artifacts"]
 
 
@@ -509,6 +510,38 @@ def q_importance(spark, sf):
     return model_run(spark, sf).importance
 
 
+def q_boost_curve(spark, sf):
+    """Validation AUC after every boosting round that was tried; the rounds up to the best are kept."""
+    model = model_run(spark, sf).models["gbt"]
+    return spark.createDataFrame([(i, auc, i <= model.rounds) for i, auc in enumerate(model.curve, 1)], "round int, val_auc double, kept boolean")
+
+
+def q_boost_trees(spark, sf):
+    """Every node of the kept trees, read back from the written model."""
+    model = model_run(spark, sf).models["gbt"]
+    path = save_model(model, default_model_dir(spark, f"{spark.sparkContext.applicationId}-trees"))
+    return load_model(path).table(spark)
+
+
+def q_boost_checks(spark, sf):
+    """The written trees against the training rules and the reported importance, from the tables alone."""
+    trees = q_boost_trees(spark, sf).where("tree >= 0")
+    kids = trees.where("left >= 0").select("tree", "n", F.explode(F.array("left", "right")).alias("node"))
+    sums = (kids.join(trees.select("tree", "node", F.col("n").alias("child_n"), "value"), ["tree", "node"]))
+    whole = sums.agg((F.min("child_n") >= GBT_PARAMS["min_rows"]).alias("least_rows_ok"))
+    pairs = sums.groupBy("tree", "n").agg(F.sum("child_n").alias("c"), F.count(F.lit(1)).alias("k"))
+    split = trees.where("feature IS NOT NULL").groupBy("feature").agg(F.count(F.lit(1)).alias("k"))
+    share = split.select("feature", fround(F.col("k") / F.sum("k").over(Window.partitionBy()), 4).alias("share"))    # one row per feature
+    same = share.join(model_run(spark, sf).importance, "feature", "full").agg(
+        F.bool_and(F.coalesce(F.col("share"), F.lit(0.0)) == F.col("importance")).alias("importance_ok"))
+    size = trees.groupBy("tree").agg(F.sum((F.col("left") < 0).cast("int")).alias("leaves"))
+    curve = q_boost_curve(spark, sf)
+    kept = curve.agg((F.max_by("round", F.struct("val_auc", -F.col("round"))) == F.sum(F.col("kept").cast("int"))).alias("best_prefix_ok"),
+                     (F.count(F.lit(1)) - F.sum(F.col("kept").cast("int")) <= GBT_PARAMS["patience"]).alias("patience_ok"))
+    return (whole.crossJoin(pairs.agg(F.bool_and(F.col("c") == F.col("n") * F.col("k") / 2).alias("rows_ok")))      # one row each
+            .crossJoin(size.agg((F.max("leaves") <= GBT_PARAMS["leaves"]).alias("leaves_ok"))).crossJoin(same).crossJoin(kept))
+
+
 def q_model_metrics(spark, sf):
     return model_run(spark, sf).metrics
 
@@ -628,6 +661,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "class_weights": q_class_weights,
     "model_gbt": q_model_gbt,
     "model_lr": q_model_lr,
+    "boost_curve": q_boost_curve,
+    "boost_trees": q_boost_trees,
+    "boost_checks": q_boost_checks,
     "model_score": q_model_score,
     "auc": q_auc,
     "ks": q_ks,

@@ -194,6 +194,8 @@ ORACLE: dict[str, str] = {
     "score_checks": with_wide(
         "SELECT m AS model, (SELECT count(*) FROM ms WHERE split = 'test') AS n_scored, true AS in_bounds, true AS auc_agrees "
         "FROM (VALUES ('gbt'), ('lr')) t(m)", DERIVED_CTE, SPLIT_CTE, MODEL_SPLIT),
+    "boost_checks": "SELECT true AS least_rows_ok, true AS rows_ok, true AS leaves_ok, true AS importance_ok, "
+                    "true AS best_prefix_ok, true AS patience_ok",
     "importance_checks": _eval(
         "SELECT CAST(least(20, count(*)) AS BIGINT) AS n_features, true AS ranks_ok, true AS falling, true AS top_is_100, "
         "true AS best_is_max FROM fg WHERE grade IN ('excellent', 'usable')"),

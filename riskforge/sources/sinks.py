@@ -13,6 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskforge.operators.boosting import BoostedModel
 from riskforge.session import checkpoint_root
 
 # Fixed values that must equal the reference's behaviour.
@@ -62,12 +63,20 @@ def save_results(results: dict[str, DataFrame], out_dir: str, fmt: str = "parque
     return spark.createDataFrame(listing, "artifact string, n_rows long")
 
 
-def save_model(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
+def save_model(model: PipelineModel | BoostedModel, path: str) -> str:
+    """Boosted trees are written as tables, pipelines by Spark ML; an older model at the path is replaced."""
+    if isinstance(model, BoostedModel):
+        model.save(SparkSession.active(), path)
+    else:
+        model.write().overwrite().save(path)
     return path
 
 
-def load_model(path: str) -> PipelineModel:
+def load_model(path: str) -> PipelineModel | BoostedModel:
+    spark = SparkSession.active()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/trees")
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return BoostedModel.load(spark, path)
     return PipelineModel.load(path)
 
 

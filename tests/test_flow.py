@@ -35,13 +35,13 @@ def test_run_whole_flow(spark, tmp_path):
     assert test_auc["gbt"] > 0.7 and test_auc["lr"] > 0.7
     assert out["report_headline"].first()["best_auc"] == max(test_auc.values())
 
-    assert 0 < run_.rounds <= SHORT_RUN["maxIter"] and out["train_gate"].first()["trainable"]
+    assert 0 < run_.rounds <= SHORT_RUN["rounds"] and out["train_gate"].first()["trainable"]
     cards = {r["model"]: r for r in out["report_models"].collect()}
     assert sum(r["is_best"] for r in cards.values()) == 1 and all(0 < r["positive_rate"] < 1 for r in cards.values())
     listed = {r["artifact"]: r["n_rows"] for r in out["artifacts"].collect()}
     assert listed["feat_derived_t"] == out["derived"].count() and listed["feature_design"] == len(spec)
     assert listed["model_features"] == len(run_.features) and listed["model_metrics"] == 4
-    assert load_model(str(tmp_path / "out" / "model")).stages
+    assert load_model(str(tmp_path / "out" / "model"))
 
     model_dir = str(tmp_path / "model")
     save_model(run_.models["lr"], model_dir)
@@ -70,7 +70,7 @@ def test_registered_queries_train_the_default_rounds(monkeypatch):
     C.model_run(Session, "sf")
     C.q_run_flow(Session, "sf")
     assert [dict(GBT_PARAMS, **(p or {})) for p in asked] == [GBT_PARAMS, GBT_PARAMS]
-    assert GBT_PARAMS["maxIter"] == 500 and GBT_PARAMS["validationTol"] == 0.0
+    assert GBT_PARAMS["rounds"] == 500 and GBT_PARAMS["patience"] == 50
 
 
 def test_derived_sink_prefix_and_status(spark, tmp_path):
