@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,7 +80,7 @@ def order_number(col: Column, dtype: T.DataType) -> Column:
         return F.nanvl(col.cast("double"), F.lit(None).cast("double"))
     if isinstance(dtype, NUMERIC_TYPES):
         if isinstance(dtype, T.DecimalType):
-            return col.cast("double")
+            return col.cast("double")      # statistics only; the exact keys are in ``order_numbers``
         return col.cast("long")
     if isinstance(dtype, T.BooleanType):
         return col.cast("long")
@@ -86,6 +88,29 @@ def order_number(col: Column, dtype: T.DataType) -> Column:
 
 
 TEXT_CHUNK = 6   # bytes of a text key in one number
+LIMB = 10 ** 13  # a decimal's whole part is cut into numbers below this
+EXACT_SCALE = 32
+
+
+def _decimal_keys(col: Column, dtype: T.DecimalType) -> list[Column]:
+    """Whole part (floor) in limbs, highest first, then the decimal places as one or two numbers."""
+    whole, keys = F.floor(col).cast("decimal(38,0)"), []
+    for _ in range(2 if dtype.precision - dtype.scale > 18 else 0):
+        low = F.pmod(whole, F.lit(LIMB).cast("decimal(14,0)"))
+        keys.insert(0, low.cast("long"))
+        whole = ((whole - low) / F.lit(LIMB).cast("decimal(14,0)")).cast("decimal(38,0)")
+    keys.insert(0, whole.cast("long"))
+    if not dtype.scale:
+        return keys
+    if dtype.scale > EXACT_SCALE:
+        raise TypeError(f"cannot order exactly by {dtype.simpleString()}: more than {EXACT_SCALE} decimal places")
+    places = F.pmod(col, F.lit(1).cast("decimal(1,0)"))
+    scaled = (places * F.lit(Decimal(10 ** dtype.scale)).cast(f"decimal({dtype.scale + 1},0)")).cast("decimal(38,0)")
+    if dtype.scale <= 18:
+        return [*keys, scaled.cast("long")]
+    unit = F.lit(Decimal(10 ** 16)).cast("decimal(17,0)")
+    low = F.pmod(scaled, unit)
+    return [*keys, ((scaled - low) / unit).cast("decimal(38,0)").cast("long"), low.cast("long")]
 
 
 def order_numbers(col: Column, dtype: T.DataType, longest: int = 0) -> list[Column]:
@@ -94,7 +119,10 @@ def order_numbers(col: Column, dtype: T.DataType, longest: int = 0) -> list[Colu
     A text (of at most ``longest`` bytes) is cut into chunks of six bytes, each
     read as a big-endian number followed by its length, so a shorter text comes
     first; the order is the one of the UTF-8 bytes, which is the code-point order.
+    A decimal gives its whole part and its places as exact integers.
     """
+    if isinstance(dtype, T.DecimalType):
+        return _decimal_keys(col, dtype)
     if not isinstance(dtype, TEXT_TYPES):
         return [order_number(col, dtype)]
     raw = col.cast("string").cast("binary")

@@ -35,8 +35,8 @@ DEFAULT_THRESHOLDS = {
     "usable": {"iv_min": 0.02, "missing_rate_max": 0.90, "psi_max": 0.25},
 }
 GRADES = ["excellent", "usable", "discard"]
-# a mean this close (relative) below a rounding half counts as the half, so the order of summation does not show
-HALF_UP = 1.0 + 1e-13
+WHOLE = float(1 << 62)       # values below this have a whole part of 64 bits
+PLACES = float(1 << 52)      # their rest is counted in units of 1 / PLACES
 
 
 @dataclass
@@ -244,10 +244,28 @@ def evaluate(df: DataFrame, features: list[str], target_col: str, time_col: str
     return Evaluation(out, bins_out, psi_bins, monthly, miss_out, edges, base_edges, held)
 
 
+def exact_mean(v: Column) -> Column:
+    """Mean of doubles that does not depend on the order of the rows.
+
+    Whole parts, rests in units of 2^-52 and what is left of those in units of 2^-104 are integers,
+    summed as decimals and divided once. Where a value of 2^62 or more, or an infinite one, is
+    among them it is the plain average.
+    """
+    low = F.when(F.abs(v) < F.lit(WHOLE), F.floor(F.abs(v)).cast("double") * F.signum(v))
+    upper = (v - low) * F.lit(PLACES)
+    cut = F.floor(F.abs(upper)).cast("double") * F.signum(upper)
+    whole, rest, last = (F.sum(c.cast("long").cast("decimal(20,0)")) for c in (low, cut, F.rint((upper - cut) * F.lit(PLACES))))
+    n = F.nullif(F.count(v), F.lit(0))
+    share = F.call_function("div", whole, n.cast("decimal(20,0)"))
+    left = (whole - (share.cast("decimal(20,0)") * n.cast("decimal(18,0)")).cast("decimal(38,0)")).cast("double")
+    mean = share.cast("double") + (left + (rest.cast("double") + last.cast("double") / F.lit(PLACES)) / F.lit(PLACES)) / n
+    return F.when(F.max(F.abs(v)) >= F.lit(WHOLE), F.avg(v)).otherwise(mean)
+
+
 def monthly_metrics(df: DataFrame, features: list[str], time_col: str) -> DataFrame:
     """Missing rate and mean per feature and calendar month, from one aggregate.
 
-    Means are averages of doubles, rounded once (see ``HALF_UP``); an infinite value makes its
+    Means are those of ``exact_mean``, rounded once; an infinite value makes its
     month's mean infinite. Text features get a NULL mean. Rows with a null
     time form the month 'NaT'.
     """
@@ -257,7 +275,7 @@ def monthly_metrics(df: DataFrame, features: list[str], time_col: str) -> DataFr
         v = F.col(f)
         if is_numeric_type(schema[f].dataType):
             v = as_metric_value(v, schema[f].dataType)
-            aggs.append(F.avg(v).alias(f"a{i}"))
+            aggs.append(exact_mean(v).alias(f"a{i}"))
             numeric.append(i)
         aggs.append(F.avg(v.isNull().cast("double")).alias(f"m{i}"))
     wide = df.groupBy(month_key(F.col(time_col)).alias("ym")).agg(*aggs)
@@ -269,4 +287,4 @@ def monthly_metrics(df: DataFrame, features: list[str], time_col: str) -> DataFr
     fname = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))])
     return (wide.select("ym", *structs).unpivot(["ym"], list(names), "_f", "_s")
             .select(F.element_at(fname, F.col("_f")).alias("feature"), "ym",
-                    fround(F.col("_s.m"), 4).alias("missing_rate"), fround(F.col("_s.a") * F.lit(HALF_UP), 4).alias("mean")))
+                    fround(F.col("_s.m"), 4).alias("missing_rate"), fround(F.col("_s.a"), 4).alias("mean")))

@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from riskforge.operators import profile as PR
 from riskforge.operators import report as R
 from riskforge.operators.binning import bin_of, equal_width_edges, single_bin
 from riskforge.operators.derive import derive_table
-from riskforge.operators.metrics import evaluate
+from riskforge.operators.metrics import evaluate, monthly_metrics
 from riskforge.operators.model import GBT_PARAMS, score, train_models
 from riskforge.operators.ranking import auc_ks, signed_ks
 from riskforge.operators.split import split_model, split_psi, split_summary
@@ -307,6 +308,13 @@ def q_split_psi(spark, sf):
     return split_psi(derived(spark, sf).select(ID, TIME), TIME, ID).select(ID, "split")
 
 
+def q_split_decimal_id(spark, sf):
+    """Order keys of 38 digits: a remainder with 20 decimal places, then an id beyond 64 bits."""
+    d = derived(spark, sf).select(ID, (F.col(ID) % 7).cast("decimal(38,20)").alias("t"),
+                                  (F.col(ID).cast("decimal(20,0)") + F.lit(Decimal(10 ** 30)).cast("decimal(31,0)")).alias("long_id"))
+    return split_psi(d, "t", "long_id").select(ID, "split")
+
+
 def q_split_model(spark, sf):
     return model_frame(spark, sf).select(ID, "split")
 
@@ -377,6 +385,22 @@ def q_missing_rate(spark, sf):
     return evaluation(spark, sf).missing
 
 
+def q_monthly_means_large(spark, sf):
+    """Means near 1e11 and near 1e-4, where the order of a plain sum would show."""
+    rows = wide(spark, sf).select(TIME, (F.lit(123456789012.12345) + F.col("sum_price")).alias("big"), (F.col("sum_price") / F.lit(1e9)).alias("small"))
+    return monthly_metrics(rows, ["big", "small"], TIME)
+
+
+def q_formula_nested(spark, sf):
+    """Window aggregates with nested calls, FILTER and computed keys."""
+    formulas = {"feat_avg_or_none": "avg(sum_price) OVER (PARTITION BY coalesce(n_items % 3, -1))",
+                "feat_max_abs": "max(abs(coalesce(sum_price, 0))) OVER (PARTITION BY n_items)",
+                "feat_share_large": "sum_price / nullif(sum(sum_price) FILTER (WHERE n_items > 3) OVER (PARTITION BY n_items), 0)",
+                "feat_range": "abs(max(greatest(sum_price, coalesce(abs(sum_price - 3), 0))) OVER () - min(sum_price) OVER (PARTITION BY n_items, n_items % 2))"}
+    out = derive_table(wide(spark, sf), [{"name": n, "formula": f, "sources": ["sum_price", "n_items"]} for n, f in formulas.items()], TARGET, ID, None)
+    return out.select(ID, "sum_price", "n_items", *(fround(F.col(n), 6).alias(n) for n in formulas))
+
+
 def q_monthly_metrics(spark, sf):
     return evaluation(spark, sf).monthly
 
@@ -631,6 +655,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "auto_features": q_auto_features,
     "label_binary": q_label_binary,
     "split_psi": q_split_psi,
+    "split_decimal_id": q_split_decimal_id,
     "split_model": q_split_model,
     "split_positional": q_split_positional,
     "split_summary": q_split_summary,
@@ -644,6 +669,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "psi_by_rank": q_psi_by_rank,
     "missing_rate": q_missing_rate,
     "monthly_metrics": q_monthly_metrics,
+    "monthly_means_large": q_monthly_means_large,
+    "formula_nested": q_formula_nested,
     "feature_grade": q_feature_grade,
     "feature_eval": q_feature_eval,
     "source_eval": q_source_eval,

@@ -43,6 +43,15 @@ TEMPLATE_SQL = {
 }
 
 
+def exact_mean(v: str) -> str:
+    """Sums of whole parts and of the rests in units of 2^-52 and 2^-104, divided once."""
+    top = f"(({v} - trunc({v})) * 4503599627370496::DOUBLE)"
+    whole, rest, last = f"sum(trunc({v})::HUGEINT)", f"sum(trunc({top})::HUGEINT)", f"sum((({top} - trunc({top})) * 4503599627370496::DOUBLE)::HUGEINT)"
+    n = f"count({v})::HUGEINT"
+    return (f"(({whole} // {n})::DOUBLE + (({whole} - ({whole} // {n}) * {n})::DOUBLE + ({rest}::DOUBLE + {last}::DOUBLE / 4503599627370496::DOUBLE)"
+            f" / 4503599627370496::DOUBLE) / {n}::DOUBLE)")
+
+
 def _labelled(select: str) -> str:
     return with_wide(f"SELECT {select} FROM wide_orders WHERE is_bad IS NOT NULL")
 
@@ -225,6 +234,9 @@ ORACLE: dict[str, str] = {
         + f"][pid % {len(C.TEXT_LABELS)} + 1] END AS y_text FROM wide_orders) t"),
     "split_psi": with_wide(f"SELECT pid, CASE WHEN rn <= {BASE_CUT} THEN 'base' ELSE 'recent' END AS split FROM sp",
                            DERIVED_CTE, SPLIT_CTE),
+    "split_decimal_id": with_wide(f"SELECT pid, CASE WHEN rn <= {BASE_CUT} THEN 'base' ELSE 'recent' END AS split FROM "
+                                  "(SELECT pid, row_number() OVER (ORDER BY CAST(pid AS HUGEINT) % 7, CAST(pid AS HUGEINT)) AS rn, count(*) OVER () AS n_all FROM d)",
+                                  DERIVED_CTE),
     "split_model": with_wide("SELECT pid, split FROM ms", DERIVED_CTE, SPLIT_CTE, MODEL_SPLIT),
     "split_positional": with_wide(
         f"SELECT pid, CASE WHEN rn <= {TRAIN_CUT} THEN 'train' WHEN rn <= {VAL_CUT} THEN 'val' ELSE 'test' END "
@@ -246,9 +258,19 @@ ORACLE: dict[str, str] = {
     "psi": _eval("SELECT feature, psi FROM fg"),
     "psi_by_rank": _eval("SELECT feature, psi FROM fg", align="rank"),
     "missing_rate": _eval("SELECT feature, missing_rate FROM fg"),
+    "monthly_means_large": with_wide(
+        f"SELECT feature, coalesce(strftime(lend_tm, '%Y-%m'), 'NaT') AS ym, {r('avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END)', 4)} AS missing_rate, "
+        f"{r(exact_mean('v'), 4)} AS mean FROM (SELECT 'big' AS feature, lend_tm, 123456789012.12345::DOUBLE + sum_price AS v FROM wide_orders "
+        "UNION ALL SELECT 'small', lend_tm, sum_price / 1e9::DOUBLE FROM wide_orders) GROUP BY 1, 2"),
+    "formula_nested": _labelled(
+        "pid, sum_price, n_items, " + ", ".join(f"{r(e, 6)} AS {n}" for n, e in (
+            ("feat_avg_or_none", "avg(sum_price) OVER (PARTITION BY coalesce(n_items % 3, -1))"),
+            ("feat_max_abs", "max(abs(coalesce(sum_price, 0))) OVER (PARTITION BY n_items)"),
+            ("feat_share_large", "sum_price / nullif(sum(sum_price) FILTER (WHERE n_items > 3) OVER (PARTITION BY n_items), 0)"),
+            ("feat_range", "abs(max(greatest(sum_price, coalesce(abs(sum_price - 3), 0))) OVER () - min(sum_price) OVER (PARTITION BY n_items, n_items % 2))")))),
     "monthly_metrics": _eval(
         f"SELECT feature, coalesce(strftime(lend_tm, '%Y-%m'), 'NaT') AS ym, "
-        f"{r('avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END)', 4)} AS missing_rate, {r('avg(v) * CAST(1.0000000000001 AS DOUBLE)', 4)} AS mean "
+        f"{r('avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END)', 4)} AS missing_rate, {r(exact_mean('v'), 4)} AS mean "
         f"FROM lg GROUP BY 1, 2"),
     "feature_grade": _eval("SELECT feature, iv, psi, missing_rate, grade FROM fg"),
     "feature_eval": _eval("SELECT feature, iv, psi, missing_rate, n_bins, grade FROM fg"),

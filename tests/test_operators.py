@@ -1,6 +1,7 @@
 """Order statistics, splits, ranking metrics, labels, derivation and profiling."""
 
 import datetime as dt
+import math
 import random
 from decimal import Decimal
 
@@ -125,6 +126,56 @@ def test_monthly_means(spark):
                    ("a", "NaT"): 1.0, ("b", "NaT"): 2.0, ("c", "NaT"): None, ("d", "NaT"): None}
 
 
+def test_monthly_means_do_not_depend_on_the_order(spark):
+    from fractions import Fraction
+
+    from riskforge.operators.metrics import monthly_metrics
+    rnd = random.Random(4)
+    values = [rnd.choice([1e-9, 1.0, 1e6, 1e11, 1e15]) * rnd.uniform(-1, 1) for _ in range(500)] + [123456789012.12345, -4503599627370.5]
+    want = float(sum(map(Fraction, values)) / len(values))
+    for seed in (0, 1):
+        random.Random(seed).shuffle(values)
+        df = spark.createDataFrame([("2024-01-05", v) for v in values], "t string, v double").repartition(5).withColumn("t", F.col("t").cast("date"))
+        assert monthly_metrics(df, ["v"], "t").first()["mean"] == pytest.approx(want, rel=1e-15, abs=1e-4)
+    for v in (123456789012.12345, 4503599627370.5, -0.00015, 0.78125):
+        one = spark.createDataFrame([("2024-01-05", v)] * 3, "t string, v double").withColumn("t", F.col("t").cast("date"))
+        assert monthly_metrics(one, ["v"], "t").first()["mean"] == math.copysign(math.floor(abs(v) * 1e4 + 0.5) / 1e4, v)
+
+
+def test_decimal_ids_are_split_exactly(spark):
+    from riskforge.operators.split import split_by_order
+    big = 10 ** 18
+    cases = [("decimal(38,0)", [Decimal(big * big // 10 + i) for i in range(50)]), ("decimal(19,0)", [Decimal(big + i) for i in range(50)]),
+             ("decimal(38,20)", [Decimal(i - 25) + Decimal(i).scaleb(-20) for i in range(50)]),
+             ("decimal(38,30)", [Decimal(f"-{(10 ** 30 - i) // 10 ** 30}.{(10 ** 30 - i) % 10 ** 30:030d}") for i in range(50)]),
+             ("decimal(9,2)", [Decimal(i - 25).scaleb(-2) for i in range(50)]), ("decimal(38,2)", [(i - 25) * Decimal(10) ** 33 for i in range(50)])]
+    for kind, ids in cases:
+        ids = [*ids, None]
+        rows = list(enumerate(ids))
+        random.Random(1).shuffle(rows)
+        df = spark.createDataFrame(rows, f"place int, pid {kind}")
+        parts = split_by_order(df, ["pid"], [0.6, 0.2], ["a", "b", "c"]).groupBy("split").agg(F.min("place"), F.max("place")).collect()
+        assert sorted(map(tuple, parts)) == [("a", 0, 29), ("b", 30, 39), ("c", 40, 50)], kind
+
+
+def test_formulas_of_any_nesting(spark):
+    from riskforge.operators.derive import derive_table, split_windows
+    rows = [(i, 1, float(i % 7) if i % 5 else None, "ab"[i % 2] if i % 3 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "pid int, y int, x double, g string")
+    formulas = ["AVG(x) OVER (PARTITION BY coalesce(g, 'z'))", "MAX(abs(coalesce(x, 0))) OVER (PARTITION BY g)",
+                "coalesce(x, 0) / nullif(SUM(x) FILTER (WHERE x > 3) OVER (PARTITION BY g), 0)",
+                "CASE WHEN g = 'SUM(x) OVER ()' THEN -1 ELSE round(abs(min(x + 1) OVER () - max(greatest(x, abs(x - 3))) OVER (PARTITION BY g, y)), 3) END"]
+    out = derive_table(df, [{"name": f"f{i}", "formula": f, "sources": ["x", "g"]} for i, f in enumerate(formulas)], "y", time_col=None)
+    plain = [f.replace("SUM(x) FILTER (WHERE x > 3)", "SUM(CASE WHEN x > 3 THEN x END)") for f in formulas]    # Spark's windows know no FILTER
+    want = df.select("pid", *(F.expr(f).alias(f"f{i}") for i, f in enumerate(plain)))
+    names = [c for c in out.columns if c.startswith("f")]
+    assert len(names) == 4
+    assert sorted(map(tuple, out.select("pid", *names).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    for bad in ("SUM(x) OVER (PARTITION BY g ORDER BY pid)", "ROW_NUMBER() OVER (ORDER BY x)", "SUM(x) OVER (ROWS UNBOUNDED PRECEDING)"):
+        with pytest.raises(ValueError):
+            split_windows(bad)
+
+
 def test_boolean_feature_is_evaluated_as_a_number(spark):
     from riskforge.operators.metrics import evaluate
     rows = [(i, i % 5 < 2, int((i % 5 < 2) == (i % 7 != 0))) for i in range(350)]
