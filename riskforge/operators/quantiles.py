@@ -5,23 +5,32 @@ of a whole group in one aggregation buffer, so a high-cardinality feature at
 scale ends in one task. Why not only ``percentile_approx``: its results are data
 values, not the interpolated quantiles used for bin edges.
 
-Method, for all targets of all groups together. Every wanted rank lies in a
-closed interval of values, at first the whole line. A round has two scans:
+Method, for all targets of all groups together, in two scans of most tables:
+
+1. Mergeable quantile summaries (``percentile_approx``: partial summaries in
+   the tasks, merged by Spark) of all groups in one aggregate. Two of its values
+   around a wanted rank, twice the summary's rank error apart from it, bracket it.
+2. The rows are counted between and at those values (binary search over one
+   broadcast array a group, partial aggregate). Where a bracket holds few rows
+   its values are counted one by one in the same scan, which settles its ranks.
+
+What is still open (brackets of very large tables, or a rank beside its bracket)
+goes on in rounds over the rows inside its interval only; each has two scans:
 
 1. A random sample of the values inside the intervals, about ``SPLITTERS`` a
    group, is brought to the driver. An interval with few rows is "sampled" with
    probability 1: its histogram is complete and settles its ranks.
 2. The rows of the other intervals are counted between and at the sampled
-   values (binary search over one broadcast array a group, partial aggregate).
-   A rank on a sampled value is settled, any other goes on in the interval
+   values. A rank on a sampled value is settled, any other goes on in the interval
    between its two neighbours.
 
 A round divides the rows of an interval by about ``SPLITTERS`` over the number
 of intervals of its group, so the number of rounds is about
-log(rows) / log(SPLITTERS / targets): it depends neither on the number of groups nor
-on the values. The result is exact whatever the sample. What reaches the driver
-is at most about ``SPLITTERS + KEEP`` x targets values a group. A value that holds a
-large share of the rows is in the sample and settled by its own count.
+log(rows / SUMMARY) / log(SPLITTERS / targets): it depends neither on the number of
+groups nor on the values. The result is exact whatever summary and sample say. What
+reaches the driver is at most about ``SPLITTERS + KEEP`` x targets values a group. A
+value that holds a large share of the rows is a bound or in the sample and settled by
+its own count.
 """
 
 from __future__ import annotations
@@ -40,6 +49,7 @@ from riskforge.functions.arrays import with_count_below
 
 SPLITTERS = 4096    # sampled values of a group in a round
 KEEP = 512          # rows of an interval that are taken as they are
+SUMMARY = 10_000    # the summaries' ranks are within rows / SUMMARY
 
 
 @dataclass
@@ -98,6 +108,10 @@ def order_stats(df: DataFrame, groups: dict[str, Column], ranks: dict[str, list[
         if rs:
             open_[g] = [_Interval(*_ends(fam[g]), 0, counts[g], rs)]
     found: dict[tuple[str, int], tuple[Any, int]] = {}
+    for family in ("long", "double"):
+        mine = {g: iv[0] for g, iv in open_.items() if fam[g] == family}
+        if mine:
+            open_ = {g: iv for g, iv in open_.items() if g not in mine} | _bracket(proj, names, family, mine, found)
     seed = 0
     while open_:
         seed += 1
@@ -108,6 +122,58 @@ def order_stats(df: DataFrame, groups: dict[str, Column], ranks: dict[str, list[
     return found
 
 
+def _bracket(proj: DataFrame, names: dict[str, str], family: str, whole: dict[str, _Interval],
+             found: dict) -> dict[str, list[_Interval]]:
+    """What is open after the summaries and one counting scan; settled ranks go to ``found``."""
+    kind = {"long": "bigint", "double": "double"}[family]
+    aggs, around = [], {}
+    for g, i in whole.items():
+        slack = 2 * i.size // SUMMARY + 1
+        around[g] = [(max(r - slack, 0) / i.size, min(r + slack, i.size) / i.size) for r in i.ranks]
+        shares = sorted({p for pair in around[g] for p in pair})
+        aggs.append(F.map_from_arrays(F.array(*map(F.lit, shares)), F.percentile_approx(
+            F.col(names[g]).cast(kind), F.array(*map(F.lit, shares)), SUMMARY)).alias(names[g]))
+    row = proj.agg(*aggs).first()
+    points, inner = {}, {}
+    for g, i in whole.items():
+        values = row[names[g]]
+        points[g] = np.unique(np.array(list(values.values()), dtype=np.int64 if family == "long" else np.float64))
+        inner[g] = np.zeros(len(points[g]) + 1, dtype=bool)
+        for lo, hi in around[g]:
+            a, b = np.searchsorted(points[g], [values[lo], values[hi]])
+            inner[g][a + 1:b + 1] = True
+        # values are taken one by one where all brackets together hold few rows
+        inner[g] &= (4 * i.size // SUMMARY + 2) * len(i.ranks) <= SPLITTERS
+    rows = _inside(proj, names, family, {g: [i] for g, i in whole.items()},
+                   [("s", family, {g: p.tolist() for g, p in points.items()}), ("w", "boolean", {g: w.tolist() for g, w in inner.items()})])
+    rows = with_count_below(rows, "s", F.col("v"), "lt", max(len(p) for p in points.values()), strict=True)
+    on = F.coalesce(F.try_element_at(F.col("s"), F.col("lt") + 1) == F.col("v"), F.lit(False))
+    value = F.when(~on & F.element_at("w", F.col("lt") + 1), F.col("v"))
+    counted = (rows.groupBy("grp", (F.col("lt") * 2 + on.cast("int")).alias("cell"), value.alias("v"))
+               .agg(F.count(F.lit(1)).alias("n")).toPandas())
+    parts = dict(list(counted.groupby("grp")))
+    left = {}
+    for g, i in whole.items():
+        part = parts[names[g]]
+        cells = part.groupby("cell", as_index=False)["n"].sum()
+        n = np.zeros(2 * len(points[g]) + 1, dtype=np.int64)
+        n[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+        edge = np.concatenate([[0], np.cumsum(n)])
+        rest = []
+        for r in i.ranks:
+            at = int(np.searchsorted(edge, r, side="right")) - 1
+            if at % 2 or not inner[g][at // 2]:
+                rest.append(r)
+                continue
+            own = part[part["cell"] == at].sort_values("v")
+            upto = edge[at] + np.concatenate([[0], np.cumsum(own["n"].to_numpy())])
+            j = int(np.searchsorted(upto, r, side="right")) - 1
+            v = own["v"].to_numpy()[j]
+            found[g, r] = (int(v) if family == "long" else float(v)), int(upto[j])
+        left[g] = _narrow(g, family, [_Interval(i.lo, i.hi, 0, i.size, rest)], [points[g]], [cells], found)
+    return {g: iv for g, iv in left.items() if iv}
+
+
 def _round(proj: DataFrame, names: dict[str, str], family: str, open_: dict[str, list[_Interval]],
            found: dict, seed: int) -> dict[str, list[_Interval]]:
     """One round: what is still open afterwards; settled ranks go to ``found``."""
@@ -178,7 +244,7 @@ def _inside(proj: DataFrame, names: dict[str, str], family: str, open_: dict[str
     groups = list(open_)
     table = pd.DataFrame({"grp": [names[g] for g in groups], "ls": [[i.lo for i in open_[g]] for g in groups],
                           "hs": [[i.hi for i in open_[g]] for g in groups]} | {name: [per[g] for g in groups] for name, _, per in more})
-    kind = {"long": "bigint", "double": "double"}
+    kind = {"long": "bigint", "double": "double", "boolean": "boolean"}
     schema = f"grp string, ls array<{kind[family]}>, hs array<{kind[family]}>" + "".join(
         f", {name} array<{kind[t]}>" for name, t, _ in more)
     lookup = proj.sparkSession.createDataFrame(table, schema)

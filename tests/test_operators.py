@@ -217,7 +217,7 @@ def test_formulas_run_whatever_their_template(spark):
         derive_table(df, [_spec("e", "x", ["nope"], "formula")], "y", "pid", None)
 
 
-def test_few_keys_do_not_shuffle_rows_and_many_keys_are_salted(spark, monkeypatch):
+def test_few_keys_do_not_shuffle_rows_and_hot_keys_of_many_are_kept_apart(spark, monkeypatch):
     from riskforge.functions import templates as T
     from riskforge.operators import derive
     df = spark.range(2000).select(F.col("id").alias("pid"), F.lit(1).alias("y"), (F.col("id") % 7).cast("double").alias("x"),
@@ -232,6 +232,10 @@ def test_few_keys_do_not_shuffle_rows_and_many_keys_are_salted(spark, monkeypatc
         salted = derive_table(df, spec, "y", "pid", None)
         assert "SortMergeJoin" in salted._jdf.queryExecution().executedPlan().toString()
         assert sorted(map(tuple, salted.collect())) == plain and {r["feat_f"] for r in salted.collect()} == {1, 700}
+        monkeypatch.setattr(derive, "HOT_ROWS", 100)          # the key with 700 rows stays out of the shuffle
+        hot = derive_table(df, spec, "y", "pid", None)
+        plan = hot._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan and sorted(map(tuple, hot.collect())) == plain
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -20,6 +20,7 @@ def check(spark, frame, probs=PROBS):
 def test_forty_features_with_limits_scaled_down(spark, monkeypatch):
     """1e5 rows with limits a thousandth: as 1e8 rows; the rounds do not depend on the number of features."""
     monkeypatch.setattr(Q, "SPLITTERS", 64)
+    monkeypatch.setattr(Q, "SUMMARY", 10)
     monkeypatch.setattr(Q, "KEEP", 8)
     rounds = []
     plain = Q._round
@@ -34,6 +35,7 @@ def test_forty_features_with_limits_scaled_down(spark, monkeypatch):
 
 def test_hot_values_ties_and_extremes(spark, monkeypatch):
     monkeypatch.setattr(Q, "SPLITTERS", 64)
+    monkeypatch.setattr(Q, "SUMMARY", 10)
     monkeypatch.setattr(Q, "KEEP", 4)
     rng = np.random.default_rng(1)
     n = 20_000
@@ -46,6 +48,7 @@ def test_hot_values_ties_and_extremes(spark, monkeypatch):
 
 def test_long_ranks_are_exact(spark, monkeypatch):
     monkeypatch.setattr(Q, "SPLITTERS", 64)
+    monkeypatch.setattr(Q, "SUMMARY", 10)
     monkeypatch.setattr(Q, "KEEP", 4)
     base = (1 << 62) + np.arange(5000, dtype=np.int64)
     values = np.concatenate([base, [-(1 << 63), (1 << 63) - 1]])
@@ -53,3 +56,18 @@ def test_long_ranks_are_exact(spark, monkeypatch):
     ranks = [0, 1, 2500, 4999, 5001]
     got = Q.order_stats(df, {"v": F.col("v")}, {"v": ranks})
     assert [got["v", r] for r in ranks] == [(int(np.sort(values)[r]), r) for r in ranks]
+
+
+def test_summaries_settle_ranks_in_two_scans(spark, monkeypatch):
+    """No round follows, whatever the type: doubles, longs with ties, a constant, infinities."""
+    monkeypatch.setattr(Q, "_round", None)
+    rng = np.random.default_rng(2)
+    n = 30_000
+    frame = pd.DataFrame({"a": rng.normal(size=n), "b": rng.integers(0, 50, n) + (1 << 50), "c": np.full(n, 7.5),
+                          "d": np.where(rng.random(n) < .3, np.inf, rng.random(n))})
+    df = spark.createDataFrame(frame).repartition(6)
+    ranks = {c: [0, 1, n // 3, n // 2, n - 2, n - 1] for c in frame}
+    got = Q.order_stats(df, {c: F.col(c) for c in frame}, ranks)
+    for c in frame:
+        order = np.sort(frame[c].to_numpy())
+        assert {r: got[c, r] for r in ranks[c]} == {r: (order[r].item(), int(np.searchsorted(order, order[r]))) for r in ranks[c]}, c
