@@ -244,41 +244,61 @@ def evaluate(df: DataFrame, features: list[str], target_col: str, time_col: str
     return Evaluation(out, bins_out, psi_bins, monthly, miss_out, edges, base_edges, held)
 
 
-def exact_mean(v: Column) -> Column:
-    """Mean of doubles that does not depend on the order of the rows.
+HALF = 31                    # a part is summed as two longs, its upper and lower bits
 
-    Whole parts, rests in units of 2^-52 and what is left of those in units of 2^-104 are integers,
-    summed as decimals and divided once. Where a value of 2^62 or more, or an infinite one, is
-    among them it is the plain average.
-    """
+
+def _parts(v: Column) -> list[Column]:
+    """Whole part of a double, its rest in units of 2^-52, and what is left of that in units of 2^-104."""
     low = F.when(F.abs(v) < F.lit(WHOLE), F.floor(F.abs(v)).cast("double") * F.signum(v))
     upper = (v - low) * F.lit(PLACES)
     cut = F.floor(F.abs(upper)).cast("double") * F.signum(upper)
-    whole, rest, last = (F.sum(c.cast("long").cast("decimal(20,0)")) for c in (low, cut, F.rint((upper - cut) * F.lit(PLACES))))
-    n = F.nullif(F.count(v), F.lit(0))
+    return [c.cast("long") for c in (low, cut, F.rint((upper - cut) * F.lit(PLACES)))]
+
+
+def _exact_mean(i: int) -> Column:
+    """Mean of feature ``i`` from its parts' sums per partition, whatever the order of the rows.
+
+    Integers are added and divided once. Where a value of 2^62 or more, or an infinite one,
+    is among them it is the plain average.
+    """
+    def total(part: str) -> Column:
+        high, low = (F.sum(F.col(f"{part}{end}{i}").cast("decimal(20,0)")) for end in "hl")
+        return (high * F.lit(1 << HALF).cast("decimal(11,0)") + low).cast("decimal(38,0)")
+
+    whole, rest, last = total("w"), total("r"), total("l")
+    n = F.nullif(F.sum(f"n{i}"), F.lit(0))
     share = F.call_function("div", whole, n.cast("decimal(20,0)"))
     left = (whole - (share.cast("decimal(20,0)") * n.cast("decimal(18,0)")).cast("decimal(38,0)")).cast("double")
     mean = share.cast("double") + (left + (rest.cast("double") + last.cast("double") / F.lit(PLACES)) / F.lit(PLACES)) / n
-    return F.when(F.max(F.abs(v)) >= F.lit(WHOLE), F.avg(v)).otherwise(mean)
+    return F.when(F.max(f"top{i}") >= F.lit(WHOLE), F.sum(f"s{i}") / n).otherwise(mean)
 
 
 def monthly_metrics(df: DataFrame, features: list[str], time_col: str) -> DataFrame:
     """Missing rate and mean per feature and calendar month, from one aggregate.
 
-    Means are those of ``exact_mean``, rounded once; an infinite value makes its
+    Means are those of ``_exact_mean``, rounded once; an infinite value makes its
     month's mean infinite. Text features get a NULL mean. Rows with a null
     time form the month 'NaT'.
     """
     schema = df.schema
-    aggs, numeric = [], []
+    cols, sums, aggs, numeric = [], [], [], []
     for i, f in enumerate(features):
         v = F.col(f)
         if is_numeric_type(schema[f].dataType):
             v = as_metric_value(v, schema[f].dataType)
-            aggs.append(exact_mean(v).alias(f"a{i}"))
+            cols += [c.alias(f"{k}{i}") for k, c in zip("wrl", _parts(v))]
+            sums += [F.sum(F.shiftright(f"{k}{i}", HALF)).alias(f"{k}h{i}") for k in "wrl"]
+            sums += [F.sum(F.col(f"{k}{i}").bitwiseAND(F.lit((1 << HALF) - 1))).alias(f"{k}l{i}") for k in "wrl"]
+            sums += [F.max(F.abs(f"v{i}")).alias(f"top{i}"), F.sum(f"v{i}").alias(f"s{i}")]
+            aggs.append(_exact_mean(i).alias(f"a{i}"))
             numeric.append(i)
-        aggs.append(F.avg(v.isNull().cast("double")).alias(f"m{i}"))
-    wide = df.groupBy(month_key(F.col(time_col)).alias("ym")).agg(*aggs)
+        cols.append(v.alias(f"v{i}"))
+        sums.append(F.count(f"v{i}").alias(f"n{i}"))
+        aggs.append(((F.sum("rows") - F.sum(f"n{i}")) / F.sum("rows")).alias(f"m{i}"))
+    # sums per partition fit a long; what is added up as decimals has one row per month and partition
+    parts = (df.select(month_key(F.col(time_col)).alias("ym"), F.spark_partition_id().alias("p"), *cols)
+             .groupBy("ym", "p").agg(F.count(F.lit(1)).alias("rows"), *sums))
+    wide = parts.groupBy("ym").agg(*aggs)
     structs = []
     for i, _ in enumerate(features):
         mean = F.col(f"a{i}") if i in numeric else F.lit(None).cast("double")
