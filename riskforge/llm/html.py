@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 # fixed values: element kinds of HTML
 RAW = {"script", "style", "xmp", "iframe", "noembed", "noframes", "textarea", "title", "svg", "math", "template",
        "object", "canvas", "audio", "video", "select", "noscript", "head"}
+TO_THE_END = {"script", "style", "xmp", "iframe", "noembed", "noframes", "textarea", "title"}      # unclosed: to the page's end
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
           "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup",
@@ -46,6 +47,9 @@ AWAY = {"nav", "navigation", "navbar", "menu", "breadcrumb", "breadcrumbs", "hea
         "subscribe", "subscription", "signup", "login", "search", "form", "share", "sharing", "social", "related", "recommended",
         "pagination", "pager", "copyright", "toolbar", "skip", "complementary", "contentinfo", "alert", "paywall", "teaser", "outbrain", "taboola"}
 REMARKS = {"comment", "comments", "reply", "replies", "respond", "disqus", "discussion", "remarks"}
+# first and last words of a class that states something of its element and does not name a part
+STATE_FIRST = {"has", "no", "is", "with", "without", "hide", "show", "supports"}
+STATE_LAST = {"open", "closed", "enabled", "disabled", "on", "off", "count"}
 HERE_TAGS = {"article", "main"}
 HERE = {"article", "main", "content", "post", "entry", "story", "text", "body", "articlebody", "maintext"}
 # the classifier: weights of a block's evidence
@@ -65,19 +69,40 @@ class Block:
         self.text, self.links, self.path, self.tag = text, links, path, tag
 
 
-def _hint(tag: str, attrs: str) -> int:
-    """2 reader comments, 1 boilerplate, -1 main part, 0 nothing told."""
+def _hint(tag: str, attrs: str, in_article: bool) -> int:
+    """2 reader comments, 1 boilerplate, -1 main part, 0 nothing told.
+
+    The page's own elements tell nothing; a header inside an article belongs to it.
+    """
+    if tag in ("body", "html"):
+        return 0
     words = set()
     if attrs:
         for v in _NAMED.findall(attrs):
-            words.update(w.lower() for w in _WORD.findall(v))
+            for name in v.strip("\"'").split():
+                parts = [w.lower() for w in _WORD.findall(name)]
+                if len(parts) > 1 and (parts[0] in STATE_FIRST or parts[-1] in STATE_LAST):
+                    continue
+                words.update(parts)
     if words & REMARKS:
         return 2
-    if tag in ("body", "html"):
-        return 0
-    if tag in AWAY_TAGS or words & AWAY:
-        return -1 if tag in HERE_TAGS and not words & AWAY else 1
-    return -1 if tag in HERE_TAGS or words & HERE else 0
+    away, here = words & AWAY, tag in HERE_TAGS or bool(words & HERE)
+    if in_article:
+        away = away - {"header"}
+        here = here or tag == "header"
+    if away or (tag in AWAY_TAGS and not (in_article and tag == "header")):
+        return 1
+    return -1 if here else 0
+
+
+def _raw_end(page: str, tag: str, at: int) -> int:
+    """Where the content of an element that is left out ends. One that is never closed, or only after
+    it was opened again, is left out alone, but for those whose text runs to the end of the page."""
+    e = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+    if tag in TO_THE_END:
+        return e.end() if e else len(page)
+    again = re.compile(rf"<{tag}\b", re.I).search(page, at, e.start()) if e else None
+    return e.end() if e and not again else at
 
 
 def blocks(page: str) -> list[Block]:
@@ -149,8 +174,7 @@ def blocks(page: str) -> list[Block]:
             if tag not in INLINE:
                 text.append(" ")
             if not attrs.endswith("/"):
-                e = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                at = e.end() if e else (at if tag in ("head", "noscript") else n)
+                at = _raw_end(page, tag, at)
             continue
         if tag in VOID:
             if tag == "hr":
@@ -177,7 +201,7 @@ def blocks(page: str) -> list[Block]:
         if attrs.endswith("/") and tag not in INLINE:
             continue
         number += 1
-        stack.append((tag, number, _hint(tag, attrs)))
+        stack.append((tag, number, _hint(tag, attrs, any(e[0] == "article" for e in stack))))
         depth_a += tag == "a"
     flush()
     return out

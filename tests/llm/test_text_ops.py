@@ -397,3 +397,20 @@ def test_audit_of_equal_and_of_empty_replicas(spark):
     assert {r["status"] for r in warc.audit(warc.replica(pages), warc.replica(none)).collect()} == {"missing"}
     assert {r["status"] for r in warc.audit(warc.replica(none), warc.replica(pages)).collect()} == {"extra"}
     assert warc.audit(warc.replica(none), warc.replica(none)).count() == 0
+
+
+STORY = "<p>" + "This is a long sentence of the story that goes on and on, with words. " * 4 + "</p>"
+
+
+@pytest.mark.parametrize("page, title", [
+    ("<body class='single comments-open'><article>%s</article></body>", ""),
+    ("<body><div class='post has-comments'>%s</div></body>", ""),
+    ("<body><svg><article>%s</article></body>", ""),
+    ("<body><p>Lead.</p><svg><article>%s</article><svg>x</svg></body>", "Lead. "),
+    ("<body><article><video>%s</article></body>", ""),
+    ("<body><article><header class='entry-header'><h1>The title of it</h1></header>%s</article></body>", "The title of it "),
+    ("<body><header><p>Site header.</p></header><article>%s</article><div class='comments-area'><p>I like this story a lot.</p></div></body>", ""),
+])
+def test_pages_whose_classes_or_tags_mislead(page, title):
+    story = " ".join(STORY[3:-4].split())
+    assert html.main_text(page % STORY) in (title + story, story if title == "Lead. " else title + story)
