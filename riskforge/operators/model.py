@@ -20,7 +20,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -69,6 +69,42 @@ def score(model: PipelineModel | boosting.BoostedModel, df: DataFrame) -> DataFr
             .drop("features", "raw", "rawPrediction", "probability", "prediction"))
 
 
+def lr_coefficients(model: PipelineModel, features: list[str]) -> DataFrame:
+    """The logistic regression as a table: feature, position, mean, std, coefficient; the intercept
+    stands at position -1. score = 1 / (1 + exp(-(intercept + sum of coefficient * (x - mean) / std)));
+    a feature with deviation 0 counts as 0."""
+    _, scaler, lr = model.stages
+    rows = [(f, i, float(m), float(s), float(c)) for i, (f, m, s, c) in
+            enumerate(zip(features, scaler.mean.toArray(), scaler.std.toArray(), lr.coefficients.toArray()))]
+    return SparkSession.active().createDataFrame([("(intercept)", -1, 0.0, 1.0, float(lr.intercept)), *rows],
+                                                 "feature string, position int, mean double, std double, coefficient double")
+
+
+def _standardised(row: dict) -> Column:
+    return (F.col(row["feature"]) - F.lit(row["mean"])) / F.lit(row["std"]) if row["std"] else F.lit(0.0)
+
+
+def lr_score(coefficients: DataFrame) -> Column:
+    """P(y = 1) from the table of ``lr_coefficients`` (one row per feature)."""
+    total = F.lit(0.0)
+    for r in (r.asDict() for r in coefficients.orderBy("position").collect()):
+        total = total + (F.lit(r["coefficient"]) if r["position"] < 0 else F.lit(r["coefficient"]) * _standardised(r))
+    return 1.0 / (1.0 + F.exp(-total))
+
+
+def lr_gradient(train: DataFrame, coefficients: DataFrame, weight: Column, penalty: float) -> DataFrame:
+    """Gradient of the penalised, weighted mean log loss at the coefficients: (feature, gradient).
+    All are 0 at the optimum. One aggregate over the training rows, whatever the number of features."""
+    rows = [r.asDict() for r in coefficients.orderBy("position").collect()]
+    miss = weight * (lr_score(coefficients) - F.col("y"))
+    sums = train.agg(F.sum(weight).alias("w"), *[F.sum(miss if r["position"] < 0 else miss * _standardised(r)).alias(f"g{i}")
+                                                 for i, r in enumerate(rows)])
+    each = F.array(*[F.struct(F.lit(r["feature"]).alias("feature"),
+                              (F.col(f"g{i}") / F.col("w") + F.lit(0.0 if r["position"] < 0 else penalty * r["coefficient"])).alias("gradient"))
+                     for i, r in enumerate(rows)])
+    return sums.select(F.inline(each))
+
+
 def add_weights(df: DataFrame, train: DataFrame) -> DataFrame:
     row = train.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("p")).first()
     n, p = int(row["n"]), int(row["p"] or 0)

@@ -28,13 +28,14 @@ from riskforge.operators import report as R
 from riskforge.operators.binning import bin_of, equal_width_edges, single_bin
 from riskforge.operators.derive import derive_table
 from riskforge.operators.metrics import evaluate, monthly_metrics
-from riskforge.operators.model import GBT_PARAMS, score, train_models
+from riskforge.operators.model import GBT_PARAMS, LR_C, add_weights, lr_coefficients, lr_gradient, lr_score, score, train_models
 from riskforge.operators.ranking import auc_ks, signed_ks
 from riskforge.operators.split import split_model, split_psi, split_summary
+from riskforge.operators.windows import trailing
 from riskforge.plans.flow import run
 from riskforge.session import checkpoint_root, materialize
 from riskforge.sources import readers as S
-from riskforge.sources.sinks import default_model_dir, load_model, save_derived, save_model, save_results
+from riskforge.sources.sinks import default_model_dir, load_model, replace_table, save_derived, save_model, save_results
 from riskforge.sources.tables import read_table, wide_orders
 
 TARGET, ID, TIME = "is_bad", "pid", "lend_tm"
@@ -201,6 +202,14 @@ def q_derived_sink(spark, sf):
     return status
 
 
+def q_table_replaced(spark, sf):
+    """The derived table under a name of the catalogue, replaced by one with a further column: the rows read by name."""
+    name = "feat_derived_replaced_" + spark.sparkContext.applicationId.replace("-", "_") + f"_{zlib.crc32(sf.rstrip('/').encode()):08x}"
+    d = derived(spark, sf).select(ID, TARGET, "feat_net_price")
+    save_derived(d, name, as_table=True)
+    return replace_table(d.withColumn("feat_is_refund", (F.col("feat_net_price") < 0).cast("int")), name, expect_rows=d.count())
+
+
 def q_result_sink(spark, sf):
     ev = evaluation(spark, sf)
     out = f"{checkpoint_root(spark).rstrip('/')}/results-{spark.sparkContext.applicationId}"
@@ -401,6 +410,38 @@ def q_formula_nested(spark, sf):
     return out.select(ID, "sum_price", "n_items", *(fround(F.col(n), 6).alias(n) for n in formulas))
 
 
+EVENT_WINDOWS = (7, 30, 90)
+
+
+def q_window_orders(spark, sf):
+    """Per order, what its customer ordered in the 7, 30 and 90 days before."""
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    points = orders.select(F.col("o_orderkey").alias(ID), "o_custkey", "o_orderdate")
+    return trailing(points, orders, "o_custkey", "o_orderdate", "o_custkey", "o_orderdate",
+                    {"price": F.col("o_totalprice")}, EVENT_WINDOWS).drop("o_custkey", "o_orderdate")
+
+
+def q_window_events(spark, sf):
+    """Per user and day with an event, the purchases and errors of the 7, 30 and 90 days before."""
+    ev = read_table(spark, sf, "events").select("user_id", "ts", "event_type", "value")
+    points = ev.select("user_id", F.to_date("ts").alias("day")).distinct()
+    spent = F.when(F.col("event_type") == "purchase", F.col("value"))
+    errors = F.when(F.col("event_type") == "error", F.lit(1)).otherwise(F.lit(0))
+    return trailing(points, ev, "user_id", "day", "user_id", "ts", {"spent": spent, "errors": errors}, EVENT_WINDOWS,
+                    stats=("cnt", "sum", "max", "avg")).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+def q_window_features(spark, sf):
+    """Features designed on top of raw event windows: the window columns are the sources of the templates."""
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    keys = orders.select(F.col("o_orderkey").alias(ID), "o_custkey", "o_orderdate")
+    win = trailing(keys, orders, "o_custkey", "o_orderdate", "o_custkey", "o_orderdate",
+                   {"price": F.col("o_totalprice")}, EVENT_WINDOWS, stats=("cnt", "sum")).drop("o_custkey", "o_orderdate")
+    spec = [T.time_window_diff("feat_cnt_7d_minus_90d", "win_cnt_7d", "win_cnt_90d"),
+            T.window_compare("feat_price_rate_30_vs_90", "win_price_sum_30d", 30, "win_price_sum_90d", 90)]
+    return derive_table(wide(spark, sf).join(win, ID), spec, TARGET, ID, TIME, include_sources=False).drop(TIME)
+
+
 def q_monthly_metrics(spark, sf):
     return evaluation(spark, sf).monthly
 
@@ -601,6 +642,74 @@ def q_score_checks(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+def q_lr_coefficients(spark, sf):
+    """The trained logistic regression: standardisation and coefficient of every feature, and the intercept."""
+    run_ = model_run(spark, sf)
+    return lr_coefficients(run_.models["lr"], run_.features)
+
+
+def q_lr_checks(spark, sf):
+    """Per coefficient, whether the gradient of the penalised loss vanishes over the training rows, and whether the
+    scores computed from the table alone are the model's."""
+    run_ = model_run(spark, sf)
+    table = q_lr_coefficients(spark, sf)
+    rows = prepared(spark, sf)
+    train = rows.where(F.col("split") == "train")
+    weighted = add_weights(rows, train).where(F.col("split") == "train")
+    gradient = lr_gradient(weighted, table, F.col("w_bal"), 1.0 / (LR_C * max(run_.samples["train"], 1)))
+    own = score(run_.models["lr"], rows.where(F.col("split") == "test")).withColumn("again", lr_score(table))
+    same = own.agg(F.max(F.abs(F.col("score") - F.col("again"))).alias("off")).first()["off"]
+    return gradient.select("feature", (F.abs(F.col("gradient")) < 1e-4).alias("gradient_zero"),
+                           F.lit(same is not None and same < 1e-9).alias("scores_agree"))
+
+
+SCORE_PARTS = 1 << 16
+
+
+def q_metric_checks(spark, sf):
+    """Per model and split: rows, and the reported AUC, KS and Gini recomputed from the scores alone. KS is the largest
+    gap of the two shares at any score, AUC the share of (positive, negative) pairs in order; both from one row per
+    score, ordered inside one of SCORE_PARTS equal parts of [0, 1], with the sums of the parts below."""
+    run_ = model_run(spark, sf)
+    rows = prepared(spark, sf).where(F.col("split").isin("val", "test"))
+    parts = [score(m, rows).select(F.lit(n).alias("model"), "split", "y", "score") for n, m in run_.models.items()]
+    part = ["model", "split", "part"]
+    per = (parts[0].unionByName(parts[1]).groupBy("model", "split", F.floor(F.col("score") * SCORE_PARTS).alias("part"), "score")
+           .agg(F.sum("y").cast("double").alias("p"), F.sum(1 - F.col("y")).cast("double").alias("q")))
+    before, all_ = Window.partitionBy("model", "split").orderBy("part"), Window.partitionBy("model", "split")
+    sums = per.groupBy(*part).agg(F.sum("p").alias("sp"), F.sum("q").alias("sq"))      # at most SCORE_PARTS + 1 rows a model and split
+    sums = sums.select(*part, (F.sum("sp").over(before) - F.col("sp")).alias("bp"), (F.sum("sq").over(before) - F.col("sq")).alias("bq"),
+                       F.sum("sp").over(all_).alias("tp"), F.sum("sq").over(all_).alias("tq"))
+    up = Window.partitionBy(*part).orderBy("score").rowsBetween(Window.unboundedPreceding, 0)
+    per = per.join(sums, part).select("model", "split", "p", "q", "tp", "tq", (F.col("bp") + F.sum("p").over(up)).alias("cp"),
+                                      (F.col("bq") + F.sum("q").over(up)).alias("cq"))
+    own = per.groupBy("model", "split").agg(
+        (F.max("tp") + F.max("tq")).cast("long").alias("n_own"), F.max(F.abs(F.col("cp") / F.col("tp") - F.col("cq") / F.col("tq"))).alias("ks_own"),
+        (F.sum(F.col("p") * (F.col("cq") - F.col("q") / 2)) / F.max("tp") / F.max("tq")).alias("auc_own"))
+    near = 5.1e-5
+    return run_.metrics.join(own, ["model", "split"]).select(
+        "model", "split", "n", (F.col("n") == F.col("n_own")).alias("rows_agree"),
+        (F.abs(F.col("auc") - F.col("auc_own")) < near).alias("auc_agrees"), (F.abs(F.col("ks") - F.col("ks_own")) < near).alias("ks_agrees"),
+        (F.abs(F.col("gini") - (2 * F.col("auc_own") - 1)) < 4 * near).alias("gini_agrees"))
+
+
+def q_report_checks(spark, sf):
+    """The headline of a run with models, and the model cards: the best AUC is that of the one card marked best."""
+    run_ = model_run(spark, sf)
+    head = R.report_headline(E.eval_summary(evaluation(spark, sf).features), run_)
+    rate = _train(spark, sf).agg(F.avg("y")).first()[0]
+    cards = R.report_models(run_, spark, round(float(rate), 4))
+    test = run_.metrics.where("split = 'test'")
+    same = cards.join(test.select("model", *[F.col(c).alias(f"m_{c}") for c in ("auc", "ks", "gini")]), "model")
+    checks = same.agg(F.count(F.lit(1)).alias("n_cards"), F.sum(F.col("is_best").cast("int")).cast("long").alias("n_best"),
+                      F.max("train_samples").alias("train_samples"), F.max("test_samples").alias("test_samples"),
+                      F.bool_and((F.col("auc") == F.col("m_auc")) & (F.col("ks") == F.col("m_ks")) & (F.col("gini") == F.col("m_gini"))).alias("cards_agree"),
+                      F.max(F.when(F.col("is_best"), F.col("auc"))).alias("card_auc"), F.max("auc").alias("top_auc"))
+    return head.crossJoin(checks).select(        # one row each
+        "total", "excellent_cnt", "usable_cnt", "n_cards", "n_best", "train_samples", "test_samples", "cards_agree",
+        ((F.col("best_auc") == F.col("card_auc")) & (F.col("best_auc") == F.col("top_auc"))).alias("best_auc_agrees"))
+
+
 def q_importance_checks(spark, sf):
     """Ranks without gaps, falling importances that sum to one, the largest at 100 percent, best model by test AUC."""
     run_ = model_run(spark, sf)
@@ -638,6 +747,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_matrix_newest": q_feature_matrix_newest,
     "distinct_sample": q_distinct_sample,
     "derived_sink": q_derived_sink,
+    "table_replaced": q_table_replaced,
     "result_sink": q_result_sink,
     "spec_source": q_spec_source,
     "chosen_target": q_chosen_target,
@@ -671,6 +781,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "monthly_metrics": q_monthly_metrics,
     "monthly_means_large": q_monthly_means_large,
     "formula_nested": q_formula_nested,
+    "window_orders": q_window_orders,
+    "window_events": q_window_events,
+    "window_features": q_window_features,
     "feature_grade": q_feature_grade,
     "feature_eval": q_feature_eval,
     "source_eval": q_source_eval,
@@ -701,6 +814,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_samples": q_model_samples,
     "score_checks": q_score_checks,
     "importance_checks": q_importance_checks,
+    "lr_coefficients": q_lr_coefficients,
+    "lr_checks": q_lr_checks,
+    "metric_checks": q_metric_checks,
+    "report_checks": q_report_checks,
     "model_metrics": q_model_metrics,
     "best_model": q_best_model,
     "report_features": q_report_features,

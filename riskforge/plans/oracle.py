@@ -163,7 +163,38 @@ SELECTION_CTES = [
 ]
 
 
+def _trailing(key: str, day: str, measures: dict[str, str], stats: tuple[str, ...], prefix: str = "win") -> str:
+    """Window columns as range frames over the rows of ``key``; ``day`` is a whole number."""
+    cols = []
+    for n in C.EVENT_WINDOWS:
+        w = f"OVER (PARTITION BY {key} ORDER BY {day} RANGE BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+        if "cnt" in stats:
+            cols.append(f"count(*) {w} AS {prefix}_cnt_{n}d")
+        for m, v in measures.items():
+            total = r(f"sum({v}) {w}", 4)
+            made = {"sum": total, "min": f"CAST(min({v}) {w} AS DOUBLE)", "max": f"CAST(max({v}) {w} AS DOUBLE)",
+                    "avg": r(f"{total} / NULLIF(count({v}) {w}, 0)", 4)}
+            cols += [f"{made[s]} AS {prefix}_{m}_{s}_{n}d" for s in stats if s in made]
+    last = f"RANGE BETWEEN {max(C.EVENT_WINDOWS)} PRECEDING AND 1 PRECEDING"
+    cols.append(f"CAST({day} - max({day}) OVER (PARTITION BY {key} ORDER BY {day} {last}) AS INTEGER) AS {prefix}_days_since")
+    return ", ".join(cols)
+
+
+ORDER_DAYS = "(SELECT *, date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS d FROM orders)"
+EVENT_DAYS = ("(SELECT user_id, CAST(ts AS DATE) AS day, date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS d, "
+              "CASE WHEN event_type = 'purchase' THEN value END AS spent, "
+              "CASE WHEN event_type = 'error' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS err FROM events)")
+
 ORACLE: dict[str, str] = {
+    "window_orders": f"SELECT o_orderkey AS pid, {_trailing('o_custkey', 'd', {'price': 'o_totalprice'}, ('cnt', 'sum', 'min', 'max', 'avg'))} "
+                     f"FROM {ORDER_DAYS}",
+    "window_events": "SELECT DISTINCT * FROM (SELECT user_id, strftime(day, '%Y-%m-%d') AS day, "
+                     f"{_trailing('user_id', 'd', {'spent': 'spent', 'errors': 'err'}, ('cnt', 'sum', 'max', 'avg'))} FROM {EVENT_DAYS})",
+    "window_features": with_wide(
+        "SELECT pid, is_bad, win_cnt_7d - win_cnt_90d AS feat_cnt_7d_minus_90d, "
+        "(win_price_sum_30d / 30.0) / NULLIF(win_price_sum_90d / 90.0, 0) AS feat_price_rate_30_vs_90 "
+        "FROM wide_orders JOIN win USING (pid) WHERE is_bad IS NOT NULL",
+        f"win AS (SELECT o_orderkey AS pid, {_trailing('o_custkey', 'd', {'price': 'o_totalprice'}, ('cnt', 'sum'))} FROM {ORDER_DAYS})"),
     "scan_limit": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders "
                   "WHERE o_totalprice > 1000 ORDER BY o_orderkey LIMIT 500",
     "row_count": with_wide(" UNION ALL ".join(
@@ -176,6 +207,7 @@ ORACLE: dict[str, str] = {
                                  "ORDER BY value LIMIT 30"),
     "derived_sink": _labelled("'feat_derived_eval' AS table_name, count(*) AS row_count, "
                               "CASE WHEN count(*) > 0 THEN 'ok' ELSE 'empty' END AS status"),
+    "table_replaced": with_wide("SELECT pid, is_bad, feat_net_price, CAST(feat_net_price < 0 AS INTEGER) AS feat_is_refund FROM d", DERIVED_CTE),
     "result_sink": _eval(
         f"SELECT 'schema_analysis' AS artifact, CAST({len(PROFILED) + 1} AS BIGINT) AS n_rows UNION ALL "
         f"SELECT 'feature_design', {len(C.EVAL_SPEC)} UNION ALL SELECT 'eval_results', count(*) FROM fg UNION ALL "
@@ -205,6 +237,17 @@ ORACLE: dict[str, str] = {
         "FROM (VALUES ('gbt'), ('lr')) t(m)", DERIVED_CTE, SPLIT_CTE, MODEL_SPLIT),
     "boost_checks": "SELECT true AS least_rows_ok, true AS rows_ok, true AS leaves_ok, true AS importance_ok, "
                     "true AS best_prefix_ok, true AS patience_ok",
+    "lr_checks": _eval("SELECT feature, true AS gradient_zero, true AS scores_agree FROM sel UNION ALL "
+                       "SELECT '(intercept)', true, true", None, "bin", SELECTION_CTES),
+    "metric_checks": with_wide(
+        "SELECT m AS model, split, n, true AS rows_agree, true AS auc_agrees, true AS ks_agrees, true AS gini_agrees "
+        "FROM (VALUES ('gbt'), ('lr')) t(m), (SELECT split, count(*) AS n FROM ms WHERE split <> 'train' GROUP BY split) s",
+        DERIVED_CTE, SPLIT_CTE, MODEL_SPLIT),
+    "report_checks": _eval(
+        "SELECT count(*) AS total, count(*) FILTER (WHERE grade = 'excellent') AS excellent_cnt, "
+        "count(*) FILTER (WHERE grade = 'usable') AS usable_cnt, CAST(2 AS BIGINT) AS n_cards, CAST(1 AS BIGINT) AS n_best, "
+        "(SELECT count(*) FROM ms WHERE split = 'train') AS train_samples, (SELECT count(*) FROM ms WHERE split = 'test') AS test_samples, "
+        "true AS cards_agree, true AS best_auc_agrees FROM fg", None, "bin", [MODEL_SPLIT]),
     "importance_checks": _eval(
         "SELECT CAST(least(20, count(*)) AS BIGINT) AS n_features, true AS ranks_ok, true AS falling, true AS top_is_100, "
         "true AS best_is_max FROM fg WHERE grade IN ('excellent', 'usable')"),
