@@ -16,8 +16,9 @@ by n, found by search and checked by enumeration in the tests; items longer than
 hashed with the masks of the lengths that the benchmark has, at most eight.
 
 Tokens are runs of letters and digits (any character beyond ASCII included),
-in lower case. Items of fewer than 5 tokens are too short to tell and are not
-searched.
+in lower case; in scripts written without spaces (``UNSPACED``) every character
+is a token. Items of fewer than 5 tokens are too short to tell inside a longer
+text; a document overlaps such an item if its tokens are those of the item.
 
 The benchmark's seeds are broadcast when they are counted to be at most
 ``BROADCAST_SEEDS``; beyond that the join shuffles both sides by the hash.
@@ -41,11 +42,16 @@ MASKS = {5: ("111", "1101"), 6: ("1111", "11011"), **dict.fromkeys((7, 8, 9), ("
          **dict.fromkeys((10, 11, 12), ("1111", "11101")), 13: (*_PAIR, "1100100111"), 14: _PAIR,
          15: (*_PAIR, "1100100111"), 16: _PAIR}    # by tokens of the window
 BROADCAST_SEEDS = 2_000_000              # 24 bytes each
+# Thai and Lao, Burmese, Khmer, kana, Han
+UNSPACED = (r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}"
+            r"\x{F900}-\x{FAFF}\x{20000}-\x{323AF}]")
 SEPARATOR = r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"
 
 
 def token_ids(text: Column) -> Column:
-    words = F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), SEPARATOR)
+    plain = F.lower(F.coalesce(text.cast("string"), F.lit("")))
+    unspaced = (F.octet_length(plain) > F.length(plain)) & plain.rlike(UNSPACED)
+    words = F.split(F.when(unspaced, F.regexp_replace(plain, f"({UNSPACED})", " $1 ")).otherwise(plain), SEPARATOR)
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
@@ -59,10 +65,14 @@ def _windows(ids: Column, number: int, mask: str) -> Column:
 
 
 def seeds(ids: Column, masks: list[str]) -> Column:
-    """Array of (k: mask number, p: position, h: hash)."""
+    """Array of (k: mask number, p: position, h: hash). A list of fewer than ``SHORTEST`` tokens has
+    its hash as a whole, under the number behind the masks'."""
     def named(number):
         return lambda h, p: F.struct(F.lit(number).alias("k"), p.alias("p"), h.alias("h"))
-    return F.concat(*(F.transform(_windows(ids, n, mask), named(n)) for n, mask in enumerate(masks)))
+    k = len(masks)
+    short = (F.size(ids) > 0) & (F.size(ids) < SHORTEST)
+    whole = F.when(short, F.array(F.xxhash64(F.lit(-1), ids))).otherwise(F.array().cast("array<bigint>"))
+    return F.concat(*(F.transform(_windows(ids, n, mask), named(n)) for n, mask in enumerate(masks)), F.transform(whole, named(k)))
 
 
 def _once(value: Column) -> Column:
@@ -87,10 +97,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     """Document-item pairs that overlap: id, thash (hash of the text), item_id, n_equal (tokens
     equal in the best window), n_window."""
     items = materialize(benchmark.select(F.col(item_col).alias("item_id"), token_ids(F.col(item_text)).alias("item"))
-                        .filter(F.size("item") >= SHORTEST).withColumn("ino", F.monotonically_increasing_id()), "dec-items")
-    windows = [r[0] for r in items.select(F.least(F.lit(WINDOW), F.size("item"))).distinct().collect()] or [WINDOW]
-    masks = sorted({m for n in windows for m in MASKS[n]})
-    served = F.array(*(F.array(*(F.lit(n) for n in MASKS if m in MASKS[n])) for m in masks))
+                        .filter(F.size("item") > 0).withColumn("ino", F.monotonically_increasing_id()), "dec-items")
+    windows = [r[0] for r in items.select(F.least(F.lit(WINDOW), F.size("item"))).distinct().collect()]
+    masks = sorted({m for n in windows for m in MASKS.get(n, ())})
+    served = F.array(*(F.array(*(F.lit(n) for n in MASKS if m in MASKS[n])) for m in masks), F.array(*map(F.lit, range(1, SHORTEST))))
     wanted = (items.select("ino", F.least(F.lit(WINDOW), F.size("item")).alias("n"), F.explode(seeds(F.col("item"), masks)).alias("s"))
               # a mask serves the items of its lengths only
               .filter(F.array_contains(F.element_at(served, F.col("s.k") + 1), F.col("n")))
@@ -119,23 +129,26 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     return docs.join(bad, docs[id_col].eqNullSafe(F.col(i)) & (F.xxhash64(docs[text_col]) == F.col(t)), "left_anti")
 
 
-#: DuckDB: the same masks over the tokens themselves.
-ORACLE = r"""
-with tok as (select doc_id, text, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^0-9A-Za-z\x{80}-\x{10FFFF}]+'), lambda x: x <> '') ids from documents),
-item as (select item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^0-9A-Za-z\x{80}-\x{10FFFF}]+'), lambda x: x <> '') item from benchmark),
-dw as (select doc_id, ids, unnest(range(1, len(ids) - 9)) p from tok where len(ids) >= 11),
-iw as (select item_id, item, unnest(range(1, len(item) - 9)) p from item where len(item) >= 11),
-ds as (select doc_id, p, 0 k, [ids[p], ids[p+1], ids[p+2], ids[p+4], ids[p+7], ids[p+9], ids[p+10]] s from dw
-    union all select doc_id, p, 1, [ids[p], ids[p+1], ids[p+3], ids[p+6], ids[p+7], ids[p+8], ids[p+10]] from dw),
-bs as (select item_id, p, 0 k, [item[p], item[p+1], item[p+2], item[p+4], item[p+7], item[p+9], item[p+10]] s from iw
-    union all select item_id, p, 1, [item[p], item[p+1], item[p+3], item[p+6], item[p+7], item[p+8], item[p+10]] from iw),
-short as (select d.doc_id, i.item_id, d.p - 1 diag from (select doc_id, ids, unnest(range(1, len(ids) + 1)) p from tok) d
-    join item i on len(i.item) between 5 and 10 and d.ids[d.p] = i.item[1] and d.ids[d.p : d.p + len(i.item) - 1] = i.item),
-hit as (select distinct doc_id, item_id, ds.p - bs.p diag from ds join bs using (k, s) union select * from short),
-best as (select h.doc_id, h.item_id, least(16, len(i.item)) n_window,
-    list_max(list_transform(range(0, len(i.item) - least(16, len(i.item)) + 1), lambda s: list_sum(list_transform(
-        range(s + 1, s + 1 + least(16, len(i.item))), lambda j: case when h.diag + j >= 1 and t.ids[h.diag + j] = i.item[j] then 1 else 0 end)))) n_equal
-    from hit h join tok t using (doc_id) join item i using (item_id))
+def _oracle() -> str:
+    split = ("list_filter(regexp_split_to_array(regexp_replace(lower(coalesce(text, '')), '(" + UNSPACED + r")', ' \1 ', 'g'), '"
+             + SEPARATOR + "'), lambda x: x <> '')")
+    return rf"""
+with tok as (select doc_id, {split} ids from documents),
+item as (select item_id, {split} item from benchmark),
+dt as (select doc_id, unnest(ids) t, unnest(range(len(ids))) p from tok),
+it as (select item_id, len(item) n, unnest(item) t, unnest(range(len(item))) j from item where len(item) >= {SHORTEST}),
+al as (select doc_id, item_id, p - j diag from dt join it using (t) group by doc_id, item_id, p - j, n
+    having count(*) >= least({WINDOW}, n) * {AGREE}),
+best as (select a.doc_id, a.item_id, least({WINDOW}, len(i.item)) n_window,
+    list_max(list_transform(range(0, len(i.item) - least({WINDOW}, len(i.item)) + 1), lambda s: list_sum(list_transform(
+        range(s + 1, s + 1 + least({WINDOW}, len(i.item))), lambda j: case when a.diag + j >= 1 and t.ids[a.diag + j] = i.item[j] then 1 else 0 end)))) n_equal
+    from al a join tok t using (doc_id) join item i using (item_id)
+    union all select t.doc_id, i.item_id, len(i.item), len(i.item) from tok t join item i on t.ids = i.item
+    where len(i.item) between 1 and {SHORTEST - 1})
 select doc_id, item_id, cast(max(n_equal) as int) n_equal, cast(max(n_window) as int) n_window from best
-where n_equal >= n_window * 0.8 group by all
+where n_equal >= n_window * {AGREE} group by all
 """
+
+
+#: DuckDB: every alignment with enough equal tokens, no masks.
+ORACLE = _oracle()

@@ -244,6 +244,24 @@ def test_overlaps_equal_brute_force(spark, make_docs):
     got = {(r["id"], r["item_id"]): (r["n_equal"], r["n_window"]) for r in decontaminate.overlaps(make_docs(texts), bench).collect()}
     want = plain_overlaps(texts, items)
     assert got == want and (len(texts) - 2, 11) in got
+    sql = duck(decontaminate.ORACLE, documents=make_docs(texts), benchmark=bench)
+    same_rows(spark.createDataFrame([(d, i, *v) for (d, i), v in want.items()], "doc_id long, item_id long, n_equal int, n_window int"), sql)
+
+
+def test_short_items_and_scripts_without_spaces(spark, make_docs):
+    """Items of 1 to 4 tokens by whole texts, unspaced scripts by character, a very long text; SQL has no masks."""
+    han = "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏"
+    changed = han[:6] + "某" + han[7:]
+    texts = ["One two, THREE four!", "one two three four five", "solo", "solo solo", han, "前" + changed + "后文", han[::-1], "จาก",
+             "x " * 60_000 + "a b c d e f" + " y" * 60_000, "...", None, "one two three four"]
+    items = ["one two three four", "solo", han, "จาก", "a b c d e f", "!?", None, "", "solo"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = decontaminate.overlaps(make_docs(texts), bench)
+    assert {(r["id"], r["item_id"]) for r in found.collect()} == {(0, 0), (11, 0), (2, 1), (2, 8), (4, 2), (5, 2), (7, 3), (8, 4)}
+    same_rows(found.select(F.col("id").alias("doc_id"), "item_id", "n_equal", "n_window"),
+              duck(decontaminate.ORACLE, documents=make_docs(texts), benchmark=bench))
+    only_short = decontaminate.overlaps(make_docs(texts), bench.where("item_id < 2"))
+    assert {(r["id"], r["item_id"]) for r in only_short.collect()} == {(0, 0), (11, 0), (2, 1)}
 
 
 # ------------------------------------------------------------------ suffix arrays
