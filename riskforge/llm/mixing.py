@@ -7,12 +7,13 @@ above. The final level is found from running sums in the order in which
 sources reach their cap, one row per source, exactly in integers.
 
 A source with target / size = w + f repeats every document w times and takes
-one more of a seeded part f of its words: documents are ordered by a seeded
-hash, and those whose middle word lies within the first f of the source are
-taken once more. The end of that part is one key per source, found from sums
-of 4,096 hash ranges and an ordering inside the one range that holds it, so a
-source with a third of all rows is never gathered, and the documents are then
-only compared with the key.
+some once more, for the words that are left: in ``PASSES`` passes over the
+documents in the order of a seeded hash, each takes those that are no larger than
+what is left, up to the first that does not fit. The next pass goes on behind it,
+so one very long document does not end the source far from its target. The end of
+a pass is one key per source, found from sums of 4,096 hash ranges and an
+ordering inside the one range that holds it, so a source with a third of all rows
+is never gathered, and the documents are then only compared with the keys.
 
 Defined results: a null text has size 0; documents of size 0 are taken 0
 times; a null source is a source; rows with the same id, source and size are
@@ -30,6 +31,7 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = "mix-1"
 RANGE_DIGITS = 3     # 16**3 hash ranges a source
+PASSES = 5           # passes that fill up what is left of a target
 
 
 def n_words(col: str = "text") -> Column:
@@ -58,32 +60,51 @@ def water_fill(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
     return level.select("source", "source_size", F.coalesce(F.least(cap, share), cap).alias("target"))
 
 
+def _fill(base: DataFrame, state: DataFrame) -> DataFrame:
+    """One pass: (s2, cut, got), the key up to which the documents of a source that are no larger than ``room`` and
+    stand behind ``after`` are taken, and their words."""
+    prefix = F.substring("h", 1, RANGE_DIGITS)
+    fits = (F.col("size") > 0) & (F.col("size") <= F.col("room")) & (F.col("after").isNull() | (F.struct("h", "size") > F.col("after")))
+    rows = base.join(state.select("s2", "room", "after"), F.col("source").eqNullSafe(F.col("s2"))).filter(fits)
+    ranges = rows.groupBy("s2", prefix.alias("b")).agg(F.sum("size").alias("s"), F.max("room").alias("room"))
+    ranges = ranges.withColumn("fin", F.sum("s").over(Window.partitionBy("s2").orderBy("b")))      # at most 4,096 rows a source
+    ends = ranges.groupBy("s2").agg(F.min(F.when(F.col("fin") > F.col("room"), F.col("b"))).alias("b"),
+                                    F.coalesce(F.max(F.when(F.col("fin") <= F.col("room"), F.col("fin"))), F.lit(0)).alias("before"))
+    ends = materialize(ends, "mix-ends")
+    here = ends.select(F.col("s2").alias("s3"), F.col("b").alias("b3"), "before")
+    inside = rows.join(here, F.col("s2").eqNullSafe(F.col("s3")) & (prefix == F.col("b3")))
+    inside = inside.withColumn("fin", F.col("before") + F.sum("size").over(Window.partitionBy("s2").orderBy("h", "size")))
+    last = (inside.filter(F.col("fin") <= F.col("room")).groupBy(F.col("s2").alias("s3"))
+            .agg(F.max(F.struct("h", "size")).alias("last"), F.max("fin").alias("got")))
+    edge = F.struct(F.coalesce("b", F.lit("g")).alias("h"), F.lit(0).cast("long").alias("size"))   # "g": behind every hash
+    return ends.join(last, F.col("s2").eqNullSafe(F.col("s3")), "left").select(
+        "s2", F.coalesce("last", edge).alias("cut"), F.coalesce("got", "before").alias("got"))
+
+
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *,
          weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """Per source: source, source_size, target, whole (repetitions of every
-    document) and the key up to which documents are taken once more."""
+    document) and cuts: by pass, the size and the key up to which documents are
+    taken once more."""
     base = materialize(docs.select(F.col(source_col).alias("source"), n_words(text_col).alias("size"),
                                    seeded(id_col, seed).alias("h")), "mix-sizes")
-    prefix = F.substring("h", 1, RANGE_DIGITS)
-    ranges = base.groupBy("source", prefix.alias("b")).agg(F.sum("size").alias("s"))
-    ranges = materialize(ranges, "mix-ranges")
-    targets = water_fill(ranges.groupBy("source").agg(F.sum("s").alias("source_size")), weights, max_epochs)
+    targets = water_fill(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_epochs)
     targets = materialize(
         targets.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
         .withColumn("part", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets")
-    t2 = targets.select(F.col("source").alias("s2"), "part")
-    run = Window.partitionBy("source").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    cross = (ranges.withColumn("before", F.sum("s").over(run) - F.col("s"))
-             .join(t2, F.col("source").eqNullSafe(F.col("s2")))
-             .filter((F.col("before") <= F.col("part")) & (F.col("part") < F.col("before") + F.col("s")))
-             .select("s2", "b", "before", "part"))
-    inside = base.join(cross, F.col("source").eqNullSafe(F.col("s2")) & (prefix == F.col("b")))
-    seq = Window.partitionBy("s2").orderBy("h", "size").rowsBetween(Window.unboundedPreceding, 0)
-    inside = inside.withColumn("mid", F.col("before") + F.sum("size").over(seq) - F.col("size") / 2)
-    cut = inside.groupBy("s2").agg(F.min("b").alias("b"), F.max(F.when(F.col("mid") <= F.col("part"), F.struct("h", "size"))).alias("last"))
-    cut = cut.select("s2", F.coalesce("last", F.struct(F.col("b").alias("h"), F.lit(0).cast("long").alias("size"))).alias("cut"))
-    return targets.join(cut, F.col("source").eqNullSafe(F.col("s2")), "left").select(
-        "source", "source_size", "target", "whole", "cut")
+    state = targets.select(F.col("source").alias("s2"), F.col("part").alias("room"),
+                           F.lit(None).cast("struct<h:string,size:bigint>").alias("after"),
+                           F.array().cast("array<struct<room:double,cut:struct<h:string,size:bigint>>>").alias("cuts"))
+    for _ in range(PASSES):
+        done = _fill(base, state).select(F.col("s2").alias("s4"), "cut", "got")
+        state = state.join(done, F.col("s2").eqNullSafe(F.col("s4")), "left").select(
+            "s2", (F.col("room") - F.coalesce("got", F.lit(0))).alias("room"), F.coalesce("cut", "after").alias("after"),
+            F.when(F.col("cut").isNull(), F.col("cuts")).otherwise(F.concat("cuts", F.array(F.struct("room", "cut")))).alias("cuts"))
+        state = materialize(state, "mix-state")
+        if state.filter("room >= 1").isEmpty():
+            break
+    state = state.select("s2", "cuts")
+    return targets.join(state, F.col("source").eqNullSafe(F.col("s2"))).select("source", "source_size", "target", "whole", "cuts")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *,
@@ -92,11 +113,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     under other names if ``names`` says so."""
     per = plan(docs, id_col, text_col, source_col, seed=seed, **kw)
     per = materialize(per, "mix-plan").select(F.col("source").alias(src := fresh(docs, "mixsource")),
-                                              F.struct("source_size", "target", "whole", "cut").alias(p := fresh(docs, "mixplan")))
+                                              F.struct("source_size", "target", "whole", "cuts").alias(p := fresh(docs, "mixplan")))
     size, own = fresh(docs, "mixsize"), fresh(docs, "mixkey")
     rows = docs.withColumn(size, n_words(text_col)).withColumn(own, F.struct(seeded(id_col, seed).alias("h"), F.col(size).alias("size")))
     rows = rows.join(per, F.col(source_col).eqNullSafe(F.col(src)))
-    more = F.coalesce(F.col(own) <= F.col(f"{p}.cut"), F.lit(False)).cast("long")
+    more = F.exists(f"{p}.cuts", lambda c: (F.col(size) <= c["room"]) & (F.col(own) <= c["cut"])).cast("long")
     times = F.when(F.col(size) > 0, F.col(f"{p}.whole") + more).otherwise(0).cast("long")
     made = {"size": F.col(size), "source_size": F.col(f"{p}.source_size"), "target": F.col(f"{p}.target"),
             "taken": times * F.col(size), "times": times}
@@ -111,9 +132,9 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     return rows.withColumn(n, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n)))).select(*docs.columns)
 
 
-#: DuckDB: the same plan from whole-table windows.
-ORACLE = r"""
-with d as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) size,
+def _oracle() -> str:
+    first, second = ("""
+with d as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as bigint) size,
     md5('mix-1:' || coalesce(cast(doc_id as varchar), 'null')) h from documents),
 s as (select source, cast(sum(size) as bigint) source_size from d group by source),
 r as (select *, [5, 2, 1][((row_number() over (order by source asc nulls last) - 1) % 3) + 1] w,
@@ -126,9 +147,18 @@ t as (select source, source_size, coalesce(least(cap::double, l.lft::double * w:
     from c left join l on true),
 q as (select *, case when source_size > 0 then floor(target / source_size) else 0 end whole,
     target - case when source_size > 0 then floor(target / source_size) else 0 end * source_size part from t),
-m as (select d.*, q.source_size, q.target, q.whole, q.part,
-    sum(size) over (partition by d.source order by h, size rows between unbounded preceding and current row) - size / 2 mid
-    from d join q on d.source is not distinct from q.source)
-select doc_id, size, source_size, target,
-    cast(case when size > 0 then whole + case when mid <= part then 1 else 0 end else 0 end * size as bigint) taken from m
-"""
+m0 as (select d.*, q.source_size, q.target, q.whole, q.part room, 0 more from d join q on d.source is not distinct from q.source)
+""", f"""
+select doc_id, size, source_size, target, cast((case when size > 0 then whole else 0 end + more) * size as bigint) taken from m{PASSES}
+""")
+    fits = "more = 0 and size > 0 and size <= room"
+    passes = "".join(f""",
+a{i} as (select *, case when {fits} then sum(case when {fits} then size end) over (partition by source order by h, size) end fin from m{i}),
+m{i + 1} as (select doc_id, source, size, h, source_size, target, whole,
+    room - coalesce(sum(case when fin <= room then size end) over (partition by source), 0) room,
+    case when fin <= room then 1 else more end more from a{i})""" for i in range(PASSES))
+    return first + passes + second
+
+
+#: DuckDB: the same plan from whole-table windows.
+ORACLE = _oracle()

@@ -168,6 +168,23 @@ def test_mix_equals_sql(make_docs, clash):
     assert all(taken[i] == n for i, n in want.items())
 
 
+def test_mix_passes_over_very_long_documents(make_docs):
+    """Few documents a source, some very long: what a source lacks is less than any document it could still take."""
+    rng = random.Random(3)
+    sizes = [rng.choice([1, 2, 3, 5, 9, 20, 300, 4000, 60_000 if i % 97 == 0 else 40]) for i in range(600)]
+    docs = make_docs(["w " * n for n in sizes], sources=[f"s{i % 20}" for i in range(600)])
+    got = mixing.mix(docs.select("doc_id", "text", "source"), names={c: c for c in ("size", "source_size", "target", "taken")})
+    same_rows(got.drop("text", "source"), duck(mixing.ORACLE, documents=docs))
+    per = collections.defaultdict(list)
+    for r in got.collect():
+        per[r["source"]].append(r)
+    for rows in per.values():
+        lack = rows[0]["target"] - sum(r["taken"] for r in rows)
+        times = min(r["taken"] // r["size"] for r in rows)
+        assert 0 <= lack < min(r["size"] for r in rows if r["taken"] == times * r["size"])
+        assert all(r["taken"] in (times * r["size"], (times + 1) * r["size"]) and r["taken"] <= 3 * r["size"] for r in rows)
+
+
 def test_mix_of_nothing(make_docs):
     assert mixing.mix(make_docs([])).count() == 0
     r = mixing.mix(make_docs([None, ""])).collect()
