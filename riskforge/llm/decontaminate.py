@@ -45,13 +45,15 @@ BROADCAST_SEEDS = 2_000_000              # 24 bytes each
 # Thai and Lao, Burmese, Khmer, kana, Han
 UNSPACED = (r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}"
             r"\x{F900}-\x{FAFF}\x{20000}-\x{323AF}]")
+_MAYBE = r"[\x{0E00}-\x{1FFF}\x{3040}-\x{10FFFF}]"     # all of these and others: two ranges are quicker to look for
 SEPARATOR = r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"
 
 
 def token_ids(text: Column) -> Column:
-    plain = F.lower(F.coalesce(text.cast("string"), F.lit("")))
-    unspaced = (F.octet_length(plain) > F.length(plain)) & plain.rlike(UNSPACED)
-    words = F.split(F.when(unspaced, F.regexp_replace(plain, f"({UNSPACED})", " $1 ")).otherwise(plain), SEPARATOR)
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    unspaced = (F.octet_length(text) > F.length(text)) & text.rlike(_MAYBE)
+    # lower() once in either branch: the array functions around it are not compiled and share no subexpressions
+    words = F.split(F.when(unspaced, F.regexp_replace(F.lower(text), f"({UNSPACED})", " $1 ")).otherwise(F.lower(text)), SEPARATOR)
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
