@@ -3,10 +3,12 @@
 Texts are folded to lower case; runs of other characters than letters are
 boundaries. Every 1-, 2- and 3-gram that holds a letter is hashed into one of
 ``BUCKETS`` features. Training counts features per language over all labelled
-rows, summed inside the tasks and then by (language, feature); the
-log-probability matrix has BUCKETS x languages floats (at most MAX_LANGS
-languages, checked: 64 MB) and is broadcast. Scoring adds the rows of the
-matrix for the features of a batch, in numpy, one pass, no shuffle.
+rows, summed inside the tasks and then by (language, feature); one task a
+language turns its sums into a row of log-probabilities. The matrix is broadcast
+in blocks of at most MAX_LANGS languages (64 MB). Scoring adds the rows of the
+matrix for the features of a batch, in numpy, without a shuffle, one pass a
+block; further blocks go on from the best language and the total so far, written
+between them.
 
 Defined results: a null text or one without letters is ``und`` with score 0;
 rows with a null label or without letters do not train; with no training rows
@@ -16,16 +18,15 @@ everything is ``und``; repeated rows are scored alike; an empty table gives no r
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskforge.llm.common import fresh, string_buffers
+from riskforge.llm.common import fresh, materialize, string_buffers
 
 BUCKETS = 1 << 16
-MAX_LANGS = 256
+MAX_LANGS = 256      # languages of one broadcast block; more make further blocks
 SMOOTHING = 0.5
 CHARS = 1 << 19      # characters hashed at once
 UNKNOWN = "und"
@@ -106,30 +107,46 @@ def _count(batches):
     yield from out()
 
 
-class Model:
-    """langs, log-probabilities (BUCKETS, langs) and log-priors."""
+def _weights(key, tab):
+    """The sums of one language (at most BUCKETS + 1 rows) as one row: documents, log-probabilities."""
+    feature, n = tab.column("feature").to_numpy(), tab.column("n").to_numpy()
+    counts, real = np.zeros(BUCKETS), feature >= 0
+    counts[feature[real]] = n[real]
+    weight = np.log((counts + SMOOTHING) / (counts.sum() + SMOOTHING * BUCKETS)).astype(np.float32)
+    return pa.table({"lang": [key[0].as_py()], "n_docs": [int(n[~real].sum())], "weight": [weight.tobytes()]})
+
+
+class Block:
+    """At most MAX_LANGS languages: names, log-probabilities (BUCKETS, languages) and log-priors."""
 
-    def __init__(self, langs: list[str], counts: np.ndarray, rows: np.ndarray):
-        total = counts.sum(axis=0, keepdims=True) + SMOOTHING * len(counts)
-        self.langs = langs
-        self.weight = np.log((counts + SMOOTHING) / total).astype(np.float32)
-        self.prior = np.log(rows / max(rows.sum(), 1))
+    def __init__(self, rows: list, n_docs: int):
+        self.langs = [r["lang"] for r in rows]
+        self.weight = np.stack([np.frombuffer(r["weight"], np.float32) for r in rows], axis=1)
+        self.prior = np.log(np.array([r["n_docs"] for r in rows]) / n_docs)
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    def best(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per text: place of the best language (first of equals), its log-score, log of the sum of all; -1 without letters."""
         n, m = len(texts), len(self.langs)
-        if not m:
-            return [UNKNOWN] * n, np.zeros(n)
         score, some = np.zeros((n, m)), np.zeros(n, bool)
         for d, f in features(texts):
             for j in range(m):
                 score[:, j] += np.bincount(d, weights=self.weight[f, j], minlength=n)
             some[d] = True
         score += self.prior
-        p = np.exp(score - score.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        best = p.argmax(axis=1)
-        return ([self.langs[j] if s else UNKNOWN for j, s in zip(best, some)],
-                np.where(some, p[np.arange(n), best], 0.0))
+        at = score.argmax(axis=1)
+        top = score[np.arange(n), at]
+        return np.where(some, at, -1), top, top + np.log(np.exp(score - top[:, None]).sum(axis=1))
+
+
+class Model:
+    """The learned languages in code point order, in blocks of at most MAX_LANGS."""
+
+    def __init__(self, blocks: list[Block]):
+        self.blocks = blocks
+
+    @property
+    def langs(self) -> list[str]:
+        return [x for b in self.blocks for x in b.langs]
 
 
 def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -137,36 +154,56 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     counted = (rows.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
                .filter("lang is not null and text is not null").mapInArrow(_count, "lang string, feature int, n long")
                .groupBy("lang", "feature").agg(F.sum("n").alias("n")))
-    counted = counted.persist()
-    langs = [r["lang"] for r in counted.select("lang").distinct().limit(MAX_LANGS + 1).collect()]
-    if len(langs) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    langs.sort()
-    table: pd.DataFrame = counted.toPandas()         # at most MAX_LANGS x (BUCKETS + 1) sums
-    counted.unpersist()
-    code = table["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(dtype=np.int64)
-    feature, n = table["feature"].to_numpy(), table["n"].to_numpy()
-    counts, docs = np.zeros((BUCKETS, len(langs))), np.zeros(len(langs))
-    real = feature >= 0
-    counts[feature[real], code[real]] = n[real]
-    docs[code[~real]] = n[~real]
-    return Model(langs, counts, docs)
+    table = materialize(counted.groupBy("lang").applyInArrow(_weights, "lang string, n_docs long, weight binary"), "langid-model")
+    n_docs = table.agg(F.sum("n_docs")).first()[0]
+    blocks, rest = [], table
+    while len(part := rest.orderBy("lang").limit(MAX_LANGS).collect()):
+        blocks.append(Block(part, n_docs))
+        rest = table.filter(F.col("lang") > part[-1]["lang"])
+    return Model(blocks)
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """``docs`` with the predicted language and its posterior probability."""
-    if clash := set(names) & set(docs.columns):
-        raise ValueError(f"columns exist already: {sorted(clash)}")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
-
+def _score(shared, first: bool, last: bool, text_col: str, names: list[str], kept: int):
+    """Scores one block of languages and keeps the better of it and of the blocks before."""
     def run(batches):
         for whole in batches:
             for b in _parts(whole, text_col):
-                lang, score = shared.value.predict(b.column(text_col).to_pylist())
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score)],
-                                                 [*b.schema.names, *names])
-    return docs.mapInArrow(run, schema)
+                n = b.num_rows
+                lang = np.full(n, None, dtype=object)
+                top, total = np.full(n, -np.inf), np.full(n, -np.inf)
+                if not first:
+                    lang = np.array(b.column(kept).to_pylist(), dtype=object)
+                    top, total = (b.column(kept + i).to_numpy() for i in (1, 2))
+                if shared is not None:
+                    at, own, own_total = shared.value.best(b.column(text_col).to_pylist())
+                    better = (at >= 0) & (own > top)
+                    lang = np.where(better, np.array(shared.value.langs, dtype=object)[at], lang)
+                    top, total = np.where(better, own, top), np.where(at >= 0, np.logaddexp(total, own_total), total)
+                out = [pa.array(lang, pa.string()), pa.array(top), pa.array(total)]
+                if last:
+                    known = np.not_equal(lang, None)
+                    gap = np.subtract(top, total, out=np.full(n, -np.inf), where=known)
+                    out = [pa.array(np.where(known, lang, UNKNOWN), pa.string()), pa.array(np.exp(np.minimum(gap, 0)))]
+                yield pa.RecordBatch.from_arrays([*b.columns[:kept], *out], [*b.schema.names[:kept], *names[:len(out)]])
+    return run
+
+
+def identify(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the predicted language and its posterior probability; one pass a block of languages."""
+    if clash := set(names) & set(docs.columns):
+        raise ValueError(f"columns exist already: {sorted(clash)}")
+    spark, kept = docs.sparkSession, docs.schema.fields
+    done = T.StructType([*kept, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    blocks, out = model.blocks or [None], docs
+    own = [fresh(docs, "best_lang"), fresh(docs, "best_score"), fresh(docs, "log_total")]
+    between = T.StructType([*kept, T.StructField(own[0], T.StringType()), *(T.StructField(c, T.DoubleType()) for c in own[1:])])
+    for i, block in enumerate(blocks):
+        last = i == len(blocks) - 1
+        shared = spark.sparkContext.broadcast(block) if block else None
+        out = out.mapInArrow(_score(shared, not i, last, text_col, list(names) if last else own, len(kept)), done if last else between)
+        if not last:
+            out = materialize(out, "langid-block")
+    return out
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -11,9 +11,10 @@ import pyarrow.parquet as pq
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from riskforge.llm import langid, mixing, probminhash
+from riskforge.llm import mixing, probminhash
 from riskforge.llm.common import shingle_counts
 from riskforge.llm.queries import TOKENIZER_DIR
+from . import plain_bayes
 
 STOCK = {"en": "the and with that this from have which over under".split(), "de": "und der die nicht über für schön ich wenn dann".split()}
 
@@ -41,16 +42,8 @@ def corpus():
 def plain(docs, bench):
     """doc ids with repetitions after each of the first four stages."""
     training = [d for d in docs if d[1] is not None and d[2] is not None and zlib.crc32(str(d[0]).encode()) % 4 != 2]
-    names = sorted({d[2] for d in training})
-    counts, rows = np.zeros((langid.BUCKETS, len(names))), np.zeros(len(names))
-    for d in training:
-        found = [f for _, f in langid.features([d[1]])]
-        if sum(map(len, found)):
-            rows[names.index(d[2])] += 1
-        for f in found:
-            np.add.at(counts[:, names.index(d[2])], f, 1)
-    model = langid.Model(names, counts, rows)
-    lang, p = model.predict([d[1] for d in docs])
+    model = plain_bayes.train((d[1], d[2]) for d in training)
+    lang, p = zip(*(plain_bayes.predict(model, d[1]) for d in docs))
     one = [d for d, x, s in zip(docs, lang, p) if x != "und" and s >= 0.5]
 
     doc, item, count = shingle_counts(pa.array([d[1] for d in one]))

@@ -6,6 +6,7 @@ import itertools
 import os
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from riskforge.llm import decontaminate, html, langid, mixing, pii, suffix, tokens, warc
 from riskforge.llm.queries import TOKENIZER_DIR
+from . import plain_bayes
 
 BPE = f"{TOKENIZER_DIR}/byte_bpe_50k.json"
 
@@ -138,6 +140,25 @@ def test_language_of_held_out_rows(make_docs, clash):
     assert langid.identify(make_docs(["abc"]).drop("lang"), empty).first()["lang_pred"] == "und"
 
 
+@pytest.mark.parametrize("block", [256, 2])
+def test_languages_equal_plain_naive_bayes(make_docs, monkeypatch, block):
+    monkeypatch.setattr(langid, "MAX_LANGS", block)
+    monkeypatch.setattr(langid, "CHARS", 1 << 10)        # texts beyond one chunk
+    rng = random.Random(9)
+    stock = {x: ["".join(rng.choice("abcdefghijklmnoß é") for _ in range(rng.randint(1, 7))) for _ in range(12)] for x in ("a", "b", "c", "d", "e")}
+    langs = [rng.choice([*stock]) for _ in range(60)]
+    texts = [" ".join(rng.choice(stock[x] + stock["a"]) for _ in range(rng.randint(1, 25))) for x in langs]
+    texts += ["", None, "1 2", "Ab İ c", texts[0], texts[0], " ".join(rng.choice(stock["c"]) for _ in range(3000)), "zz"]
+    langs += ["a", "b", "c", None, "a", "a", "b", "e"]
+    docs = make_docs(texts, langs=langs)
+    model = langid.train(docs)
+    assert model.langs == [*"abcde"] and len(model.blocks) == -(-5 // block)
+    plain = plain_bayes.train(zip(texts, langs))
+    for r in langid.identify(docs, model).collect():
+        lang, p = plain_bayes.predict(plain, r["text"])
+        assert r["lang_pred"] == lang and abs(r["score"] - p) < 1e-3 and r["score"] <= 1
+
+
 def test_ngrams_do_not_depend_on_neighbours():
     texts = ["Über den", None, "x", "", "ab c\0d" * 50]
     together = collections.Counter((int(d), int(f)) for ds, fs in langid.features(texts) for d, f in zip(ds, fs))
@@ -309,6 +330,33 @@ def test_removal_equals_brute_force(make_docs, clash, shard_bytes):
     assert suffix.remove_repeats(make_docs([])).count() == 0
 
 
+def test_hot_anchors_are_joined_in_pieces(make_docs, monkeypatch):
+    monkeypatch.setattr(suffix, "HOT_ROWS", 1)
+    rng = random.Random(3)
+    piece = lambda n: "".join(rng.choice("abcd ") for _ in range(n))
+    passage = piece(70)
+    texts = [piece(rng.randint(0, 50)) + passage + piece(rng.randint(0, 50)) for _ in range(80)] + [piece(130)] * 30 + ["a" * 90] * 3 + [None, ""]
+    got = {r["id"]: tuple(r)[1:] for r in suffix.remove_repeats(make_docs(texts), length=40, anchor=12).collect()}
+    assert [got[i] for i in range(len(texts))] == plain_removal(texts, 40)
+
+
+@pytest.mark.parametrize("split", [0, 1])
+def test_memory_of_a_shard(split):
+    rng = np.random.default_rng(1)
+    for copies in (False, True):
+        rows = rng.integers(97, 123, size=(1000, 600), dtype=np.uint8)
+        if copies:
+            rows[:] = rows[0]
+            rows[np.arange(1000), rng.integers(0, 600, 1000)] = 65
+        tab = pa.table({"fp": np.zeros(1000, np.int64), "w": np.arange(1000), "n": np.full(1000, 201), "cnt": np.ones(1000, np.int64),
+                        "bytes": pa.array([r.tobytes() for r in rows], pa.binary())})
+        tracemalloc.start()
+        suffix._shard(400)((None, None, pa.scalar(split)), tab)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak <= suffix.SORT_COST * rows.size
+
+
 def test_windows_of_a_long_text_in_chunks(monkeypatch):
     monkeypatch.setattr(suffix, "CHUNK", 100)
     raw = np.frombuffer(random.Random(1).randbytes(1000), np.uint8)
