@@ -23,7 +23,8 @@ others by binary search, again in pieces dealt by digest.
 Texts are told apart by 60 bits of SHA-256 and their length; identical texts
 take part once. Strings are judged on the input, overlaps count, matches never
 cross documents. An anchor or window with more rows than an even share of a
-shuffle partition (so at most one a partition) is joined in salted pieces.
+shuffle partition (so at most as many as partitions) stays where its rows lie:
+only the keys are broadcast.
 
 Defined results: a null text is empty; texts shorter than ``length`` keep all
 bytes; rows with equal texts of at least ``length`` bytes lose all; an empty
@@ -47,7 +48,8 @@ SHARD_BYTES = 1 << 20
 SORT_MEMORY = 512 << 20  # what the arrays of one shard may take in a task
 SORT_COST = 128          # bytes of arrays for a byte of windows, rounded up (measured in the tests)
 SPLIT_BYTES = SORT_MEMORY // SORT_COST   # an anchor with more goes to several shards
-HOT_ROWS = 1024          # a join key with fewer rows is never dealt to several tasks
+HOT_ROWS = 1024          # a join key with fewer rows is never hot
+FEW = 1 << 20            # rows of (anchor, shards) that may be broadcast
 BATCH_BYTES = 4 << 20
 HEAD = 5                 # symbols compared by the first sort
 CHUNK = 1 << 22          # starts anchored at once in a long text
@@ -289,18 +291,13 @@ def _merge(key, tab):
 
 # ---------------------------------------------------------------- the operator
 
-def _salted_join(left: DataFrame, right: DataFrame, keys: list[str], counts: DataFrame, total: int, spread) -> DataFrame:
-    """Inner join. ``counts`` has the rows ``c`` of ``left`` for every key, ``total`` their sum. Keys with more than
-    an even share of a partition are dealt over several tasks by ``spread``; they are at most as many as the
-    partitions, which bounds what is broadcast."""
-    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = max(HOT_ROWS, -(-total // parts))
-    hot = counts.filter(F.col("c") > share).select(*keys, F.ceil(F.col("c") / share).cast("int").alias("salts"))
-    dealt = left.join(F.broadcast(hot), keys, "left").withColumn(
-        "salt", F.coalesce(F.pmod(spread, F.col("salts")).cast("int"), F.lit(0))).drop("salts")
-    copies = right.join(F.broadcast(hot), keys, "left").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1))).drop("salts")
-    return dealt.join(copies, [*keys, "salt"]).drop("salt")
+def _hot(counts: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """The keys with more of the ``total`` rows (column c) than an even share of a shuffle partition.
+
+    They are at most as many as the partitions, which bounds what is broadcast.
+    """
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return F.broadcast(counts.filter(F.col("c") > max(HOT_ROWS, -(-total // parts))).select(*keys))
 
 
 def _remove(length: int):
@@ -336,9 +333,10 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     # equal texts give equal rows, dropped in the tasks first
     anchors = materialize(base.filter(F.col("len") >= length).select("k", "text").mapInArrow(
         _anchor(length, anchor), "k long, len long, fp long, w long, s long, n long").distinct(), "sfx-anchors")
-    place = F.xxhash64("k", "len", "s")
     twice = materialize(anchors.groupBy("fp").agg(F.count("*").alias("c")).filter("c > 1"), "sfx-twice")
-    shared = materialize(_salted_join(anchors, twice.select("fp"), ["fp"], twice, anchors.count(), place), "sfx-shared")
+    hot = _hot(twice, ["fp"], anchors.count())
+    shared = materialize(anchors.join(hot, "fp", "left_anti").join(twice.select("fp"), "fp").unionByName(
+        anchors.join(hot, "fp", "left_semi")), "sfx-shared")
     wins = shared.groupBy("fp", "w", "n").agg(F.count("*").alias("cnt"), F.min(F.struct("k", "len", "s")).alias("r"))
     wins = materialize(wins.select("fp", "w", "n", "cnt", "r.k", "r.len", "r.s"), "sfx-windows")
     size = F.sum(F.col("n") + length - 1)
@@ -347,6 +345,8 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     shards = max(1, -(-total // shard_bytes))
     large = wins.groupBy("fp").agg(size.alias("b")).filter(F.col("b") > split_bytes).select(
         "fp", F.ceil(F.col("b") / shard_bytes).alias("subs"))
+    if total // split_bytes <= FEW:                      # no more anchors than that can be large
+        large = F.broadcast(large)
     dealt = wins.join(large, "fp", "left").select(
         F.when(F.col("subs").isNull(), F.pmod(F.xxhash64("fp"), F.lit(shards))).otherwise(F.col("fp")).alias("shard"),
         F.coalesce(F.pmod(F.xxhash64("w", "n"), F.col("subs")), F.lit(0)).cast("long").alias("sub"),
@@ -361,8 +361,11 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     runs = found.filter("kind = 1").withColumn("piece", F.pmod(F.xxhash64("d1"), F.lit(shards)))
     flags = flags.unionByName(runs.groupBy("piece").applyInArrow(_merge, "fp long, w long, n long, a long, b long"))
     window = ["fp", "w", "n"]
-    spans = _salted_join(shared, flags, window, wins.select(*window, F.col("cnt").alias("c")), whole["c"] or 0, place).select(
+    hot = _hot(wins.select(*window, F.col("cnt").alias("c")), window, whole["c"] or 0)
+    spans = shared.join(hot, window, "left_anti").join(flags, window).select(
         "k", "len", (F.col("s") + F.col("a")).alias("lo"), (F.col("s") + F.col("b")).alias("hi"))
+    # a hot window occurs more than once, so all its starts repeat
+    spans = spans.unionByName(shared.join(hot, window, "left_semi").select("k", "len", F.col("s").alias("lo"), (F.col("s") + F.col("n")).alias("hi")))
     copies = (base.filter(F.col("len") >= length).groupBy("k", "len").agg(F.count("*").alias("c")).filter("c > 1")
               .select("k", "len", F.lit(0).cast("long").alias("lo"), (F.col("len") - (length - 1)).alias("hi")))
     return base, spans.unionByName(copies)

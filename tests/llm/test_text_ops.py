@@ -330,7 +330,7 @@ def test_removal_equals_brute_force(make_docs, clash, shard_bytes):
     assert suffix.remove_repeats(make_docs([])).count() == 0
 
 
-def test_hot_anchors_are_joined_in_pieces(make_docs, monkeypatch):
+def test_hot_anchors_and_windows_stay_where_they_lie(make_docs, monkeypatch):
     monkeypatch.setattr(suffix, "HOT_ROWS", 1)
     rng = random.Random(3)
     piece = lambda n: "".join(rng.choice("abcd ") for _ in range(n))
