@@ -45,7 +45,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
             "spark.checkpoint.dir", None)
         if not path:
-            if not sc.master.startswith("local"):
+            if sc.master != "local" and not sc.master.startswith("local["):   # not local-cluster[...]
                 raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
             path = tempfile.mkdtemp(prefix="riskforge-ckpt-")   # local mode only (tests)
         sc.setCheckpointDir(path)
