@@ -5,9 +5,9 @@ of the training rows, one aggregate) and packed, with label and weight, into
 blocks of bytes that stay cached on the executors. A tree grows best-first:
 the leaf with the largest gain is split until there are ``leaves`` of them. A
 pass over the blocks adds up gradient, hessian and row count per (leaf,
-feature, bin) inside the tasks and merges them in a tree of partial sums, so
-that the driver gets a few tables whose size depends on leaves, features and
-bins only. One pass serves all leaves that may still be split: of every pair
+feature, bin) inside the tasks and merges them at the driver, or in a tree of
+partial sums where there are many or large ones, so that the driver gets a few
+tables whose size depends on leaves, features and bins only. One pass serves all leaves that may still be split: of every pair
 of children only the smaller one is counted, the other is its parent less it.
 
 Rows keep their score in the block; a new tree's values are added when the
@@ -43,7 +43,8 @@ GRAIN = float(1 << 20)
 AUC_RANGES = 1 << 14
 CUT_ROUNDS = 20
 BLOCK_ROWS = 1 << 18
-LOCAL_ROWS = 1 << 17                # a leaf of so many rows is grown to its end by one task (a few MB)
+LOCAL_ROWS = 1 << 18                # a leaf of so many rows is grown to its end by one task (a few MB)
+DRIVER_BYTES = 1 << 25              # tables of a pass that the driver adds up itself; more go through a tree of partial sums
 TASK_ROWS = (1 << 15, 1 << 22)      # rows a task has at least where there are enough, and at most
 TREE_SCHEMA = "tree int, node int, feature string, threshold double, left int, right int, value double, gain double, n long"
 
@@ -132,17 +133,24 @@ def _blocks(data: DataFrame, features: list[str], edges: list[np.ndarray], weigh
     return rows.repartition(tasks, "key").mapInArrow(pack, "x binary, y binary, w binary, val binary, key binary").rdd.map(unpack), tasks
 
 
-def _advance(tree: Tree | None, start: float, bag_seed: int | None, share: float):
-    """Adds a tree's values to the scores; gradients and hessians of the rows that the round takes."""
+def _advance(tree: Tree | None, start: float):
+    """Adds a tree's values to the scores, the one part of a block that changes."""
     def run(block):
-        raw = block["raw"] + np.array(tree.value)[tree.leaf_of(block["x"])] if tree else np.full(len(block["y"]), start)
-        p = 1.0 / (1.0 + np.exp(-raw))
+        return block | {"raw": block["raw"] + np.array(tree.value)[tree.leaf_of(block["x"])] if tree else np.full(len(block["y"]), start)}
+    return run
+
+
+def _gradients(bag_seed: int | None, share: float):
+    """Probabilities, gradients and hessians from the scores, and which rows the round takes; made anew in
+    every pass, which costs less than keeping them in the blocks."""
+    def run(block):
+        p = 1.0 / (1.0 + np.exp(-block["raw"]))
         use = ~block["val"]
         if share < 1.0:
             use = use & (_hash(block["key"], bag_seed) < np.uint64(int(share * 2.0 ** 64)))
         g = np.rint((p - block["y"]) * block["w"] * GRAIN) / GRAIN
         h = np.rint(np.maximum(p * (1.0 - p), 1e-9) * block["w"] * GRAIN) / GRAIN
-        return block | {"raw": raw, "p": p, "g": g, "h": h, "use": use}
+        return block | {"p": p, "g": g, "h": h, "use": use}
     return run
 
 
@@ -430,14 +438,15 @@ def fit(data: DataFrame, features: list[str], *, weight: str = "w_pos", rounds:
     state = blocks.persist(StorageLevel.MEMORY_AND_DISK)
     old = None
     for t in range(rounds + 1):
-        old, state = state, state.map(_advance(tree, start, seed + t // row_every + 1, row_share)).persist(StorageLevel.MEMORY_AND_DISK)
+        old, state = state, state.map(_advance(tree, start)).persist(StorageLevel.MEMORY_AND_DISK)
         if t and t % CUT_ROUNDS == 0:
             state.checkpoint()
         chosen = sorted(rnd.choice(len(features), max(1, round(feature_share * len(features))), replace=False).tolist())
-        now = state
+        now = state.map(_gradients(seed + t // row_every + 1, row_share))
 
         def tables(part, nodes, with_curve):
-            return now.mapPartitions(_tables(part, nodes, chosen, bins, with_curve)).treeReduce(_merge, depth)
+            size = 8 * (3 * len(nodes) * len(chosen) * bins + 2 * AUC_RANGES * with_curve)
+            return now.mapPartitions(_tables(part, nodes, chosen, bins, with_curve)).treeReduce(_merge, 1 if tasks * size <= DRIVER_BYTES else depth)
 
         def local(part, nodes, splits, with_curve):
             found = dict(now.mapPartitions(_rows_of(part, nodes, with_curve)).groupByKey(min(tasks, len(nodes) + with_curve))

@@ -97,3 +97,32 @@ def test_edges_of_training_data(spark, table):
     gaps = table.withColumn("a", F.when(F.col("b") > 0, F.col("a"))).withColumn("b", F.lit(float("nan")))
     assert B.fit(gaps, ["a", "b"], rounds=2, **RULES).transform(gaps).where("score IS NULL OR isnan(score)").count() == 0
     assert B.fit(table.where("split = 'train'"), ["a"], rounds=3, **RULES).rounds == 3      # no validation rows: all rounds
+
+
+def test_small_tables_of_a_pass_meet_at_the_driver(spark, table, monkeypatch):
+    """Every pass of eight tasks took a second stage to add up tables of a few hundred kilobytes; the trees are the same."""
+    monkeypatch.setattr(B, "TASK_ROWS", (10, 1 << 22))
+    monkeypatch.setattr(B, "LOCAL_ROWS", 0)
+    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+
+    def fit(group):
+        sc.setJobGroup(group, group)
+        model = B.fit(table, list("abc"), rounds=2, **RULES)
+        return model.trees, sum(len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup(group))
+
+    trees, few = fit("boost-driver")
+    monkeypatch.setattr(B, "DRIVER_BYTES", 0)
+    again, many = fit("boost-tree")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert trees == again
+    assert few < many
+
+
+def test_only_scores_are_kept_between_rounds(rows):
+    """Gradients are made anew in every pass; kept, they were 25 of 63 bytes a row, written and read with every round."""
+    x, y, split = rows
+    block = {"x": np.zeros((len(y), 3), np.uint8), "y": y.astype(float), "w": np.ones(len(y)), "val": split == "val", "key": np.arange(len(y))}
+    kept = B._advance(None, 0.0)(block)
+    assert set(kept) == {*block, "raw"}
+    made = B._gradients(1, 0.5)(kept)
+    assert made["g"] == pytest.approx(0.5 - y, abs=1e-6) and not (made["use"] & block["val"]).any()
