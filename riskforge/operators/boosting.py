@@ -7,8 +7,9 @@ the leaf with the largest gain is split until there are ``leaves`` of them. A
 pass over the blocks adds up gradient, hessian and row count per (leaf,
 feature, bin) inside the tasks and merges them at the driver, or in a tree of
 partial sums where there are many or large ones, so that the driver gets a few
-tables whose size depends on leaves, features and bins only. One pass serves all leaves that may still be split: of every pair
-of children only the smaller one is counted, the other is its parent less it.
+tables whose size depends on leaves, features and bins only. One pass serves
+all leaves that may still be split: of every pair of children only the smaller
+one is counted, the other is its parent less it.
 
 Rows keep their score in the block; a new tree's values are added when the
 next round reads it. Every ``CUT_ROUNDS`` rounds the blocks are written to the
