@@ -16,6 +16,10 @@ next round reads it. Every ``CUT_ROUNDS`` rounds the blocks are written to the
 shared checkpoint folder, so a lost executor repeats at most those. Gradients
 are multiples of 2^-20: their sums are exact in doubles, whatever the order.
 
+Rows that fit one partition (``LOCAL_ROWS``) need no passes: its task makes
+``CUT_ROUNDS`` rounds by the same steps before the driver sees their trees. More
+rows are spread over tasks as above; the trees are the same either way.
+
 The validation rows' AUC (scores in 2^14 equal ranges, ties half) is taken
 after every round; training ends when ``patience`` rounds bring no better one,
 and the trees up to the best round are kept. Without validation rows all
@@ -44,7 +48,8 @@ GRAIN = float(1 << 20)
 AUC_RANGES = 1 << 14
 CUT_ROUNDS = 20
 BLOCK_ROWS = 1 << 18
-LOCAL_ROWS = 1 << 18                # a leaf of so many rows is grown to its end by one task (a few MB)
+LOCAL_ROWS = 1 << 20                # a leaf of so many rows is grown to its end by one task (8 bytes and one a feature each);
+                                    # so many rows at all are one partition, which needs no passes (34 bytes and one a feature each)
 DRIVER_BYTES = 1 << 25              # tables of a pass that the driver adds up itself; more go through a tree of partial sums
 TASK_ROWS = (1 << 15, 1 << 22)      # rows a task has at least where there are enough, and at most
 TREE_SCHEMA = "tree int, node int, feature string, threshold double, left int, right int, value double, gain double, n long"
@@ -69,16 +74,17 @@ class Tree:
         return len(self.n) - 1
 
     def leaf_of(self, x: np.ndarray, cut=None) -> np.ndarray:
-        """Leaf number of every row of ``x`` (bins, or values if ``cut`` holds thresholds)."""
-        feature, left, right = np.array(self.feature), np.array(self.left), np.array(self.right)
-        cut = np.array(self.cut if cut is None else cut)
+        """Leaf number of every row of ``x`` (bins, or values if ``cut`` holds thresholds); fastest where a column lies in one piece."""
+        cut = self.cut if cut is None else cut
         at = np.zeros(len(x), dtype=np.int64)
-        rows = np.arange(len(x)) if left[0] >= 0 else np.zeros(0, np.int64)
-        while len(rows):
-            node = at[rows]
-            node = np.where(x[rows, feature[node]] <= cut[node], left[node], right[node])
-            at[rows] = node
-            rows = rows[left[node] >= 0]
+        todo = [(0, np.arange(len(x)))]
+        while todo:
+            v, rows = todo.pop()
+            if self.left[v] < 0:
+                at[rows] = v
+                continue
+            low = x[:, self.feature[v]][rows] <= cut[v]
+            todo += [(self.left[v], rows[low]), (self.right[v], rows[~low])]
         return at
 
 
@@ -107,9 +113,9 @@ def _blocks(data: DataFrame, features: list[str], edges: list[np.ndarray], weigh
     def pack(batches):
         def block(parts):
             t = pa.Table.from_batches(parts)
-            x = np.empty((t.num_rows, len(edges)), dtype=np.uint8)
+            x = np.empty((len(edges), t.num_rows), dtype=np.uint8)
             for i, e in enumerate(edges):
-                x[:, i] = np.searchsorted(e, t.column(f"f{i}").to_numpy())
+                x[i] = np.searchsorted(e, t.column(f"f{i}").to_numpy())
             cols = [x, t.column("y").to_numpy(), t.column("w").to_numpy(), t.column("val").to_numpy().astype(np.uint8), t.column("key").to_numpy()]
             return pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(c).tobytes()], pa.binary()) for c in cols], ["x", "y", "w", "val", "key"])
 
@@ -125,13 +131,14 @@ def _blocks(data: DataFrame, features: list[str], edges: list[np.ndarray], weigh
 
     def unpack(r):
         y = np.frombuffer(r["y"])
-        return {"x": np.frombuffer(r["x"], np.uint8).reshape(len(y), -1), "y": y, "w": np.frombuffer(r["w"]),
+        return {"x": np.frombuffer(r["x"], np.uint8).reshape(-1, len(y)).T, "y": y, "w": np.frombuffer(r["w"]),
                 "val": np.frombuffer(r["val"], np.uint8) > 0, "key": np.frombuffer(r["key"], np.int64)}
 
     n = rows.count()
     spark = data.sparkSession
-    tasks = max(min(spark.sparkContext.defaultParallelism, -(-n // TASK_ROWS[0])), -(-n // TASK_ROWS[1]), 1)
-    return rows.repartition(tasks, "key").mapInArrow(pack, "x binary, y binary, w binary, val binary, key binary").rdd.map(unpack), tasks
+    alone = 0 < n <= LOCAL_ROWS
+    tasks = 1 if alone else max(min(spark.sparkContext.defaultParallelism, -(-n // TASK_ROWS[0])), -(-n // TASK_ROWS[1]), 1)
+    return rows.repartition(tasks, "key").mapInArrow(pack, "x binary, y binary, w binary, val binary, key binary").rdd.map(unpack), tasks, alone
 
 
 def _advance(tree: Tree | None, start: float):
@@ -174,7 +181,7 @@ def _tables(tree: Tree, nodes: list[int], features: list[int], bins: int, curve:
             rows = np.flatnonzero((leaf >= 0) & b["use"])
             base, g, h = leaf[rows] * bins, b["g"][rows], b["h"][rows]
             for i, f in enumerate(features):
-                k = base + b["x"][rows, f]
+                k = base + b["x"][:, f][rows]
                 for j, v in enumerate((g, h, None)):
                     out[i, j] += np.bincount(k, v, len(nodes) * bins)
             if curve:
@@ -296,7 +303,13 @@ def grow(tables, features: list[int], penalty: Penalty, leaves: int, rate: float
     return _prune(tree, set(used)), scores
 
 
-def _rows_of(tree: Tree, nodes: list[int], curve: bool):
+def _grains(v: np.ndarray) -> np.ndarray:
+    """Multiples of 1 / GRAIN as whole numbers, of four bytes where they fit: what is dealt to other tasks."""
+    v = v * GRAIN
+    return v.astype(np.int32) if not len(v) or np.abs(v).max() < 1 << 31 else v
+
+
+def _rows_of(tree: Tree, nodes: list[int], features: list[int], curve: bool):
     """(node, rows) of the given leaves, and (-1, the validation scores' counts)."""
     def run(blocks):
         for b in blocks:
@@ -304,7 +317,7 @@ def _rows_of(tree: Tree, nodes: list[int], curve: bool):
             for v in nodes:
                 rows = np.flatnonzero(leaf == v)
                 if len(rows):
-                    yield v, (b["x"][rows], b["g"][rows], b["h"][rows])
+                    yield v, (np.array([b["x"][:, f][rows] for f in features]), _grains(b["g"][rows]), _grains(b["h"][rows]))
             if curve:
                 yield -1, _score_counts(b)
     return run
@@ -317,10 +330,10 @@ def _below(features: list[int], penalty: Penalty, splits: int, rate: float, bins
         parts = list(parts)
         if node < 0:
             return node, sum(parts)
-        x, g, h = (np.concatenate(c) for c in zip(*parts))
-        x = x[:, features]
+        x, g, h = (np.concatenate(c, axis=-1) for c in zip(*parts))
+        g, h = g / GRAIN, h / GRAIN
         place = {f: i for i, f in enumerate(features)}
-        where = {0: np.arange(len(x))}
+        where = {0: np.arange(len(g))}
 
         def tables(tree, nodes, _):
             out = np.zeros((len(nodes), len(features), 3, bins))
@@ -329,18 +342,46 @@ def _below(features: list[int], penalty: Penalty, splits: int, rate: float, bins
                     # of every split one child is asked for: its parent's rows are dealt to both
                     up = tree.left.index(v) if v in tree.left else tree.right.index(v)
                     r = where.pop(up)
-                    low = x[r, place[tree.feature[up]]] <= tree.cut[up]
+                    low = x[place[tree.feature[up]]][r] <= tree.cut[up]
                     where[tree.left[up]], where[tree.right[up]] = r[low], r[~low]
                 r = where[v]
+                weights = g[r], h[r], None
                 for i in range(len(features)):
-                    for j, weights in enumerate((g[r], h[r], None)):
-                        sums[i, j] = np.bincount(x[r, i], weights, bins)
+                    k = x[i][r]
+                    for j, w in enumerate(weights):
+                        sums[i, j] = np.bincount(k, w, bins)
             return out.transpose(0, 1, 3, 2), None
 
         return node, grow(tables, features, penalty, splits + 1, rate)[0]
     return run
 
 
+def _rounds(plan: list, first: int, last: int, tree: Tree | None, start: float, penalty: Penalty, leaves: int, rate: float,
+            bins: int, row_share: float, has_val: bool):
+    """Rounds ``first`` to ``last - 1`` in the one partition there is: its blocks with their new scores, and a list with
+    (tree, AUC of the trees before) of every round. ``plan`` has each round's features and seed; round len(plan) - 1 only scores."""
+    def run(blocks):
+        blocks, out, grown = list(blocks), [], tree
+        for t in range(first, last):
+            chosen, seed = plan[t]
+            blocks = [_advance(grown, start)(b) for b in blocks]
+            now = [_gradients(seed, row_share)(b) for b in blocks]
+
+            def local(part, nodes, splits, curve):
+                parts = [rows for v, rows in _rows_of(part, nodes, chosen, False)(now)]
+                found = _below(chosen, penalty, splits, rate, bins)((0, parts))[1] if parts else Tree([-1], [0], [-1], [-1], [0.0], [0.0], [0])
+                return {0: found}, sum(map(_score_counts, now)) if curve else None
+
+            if t < len(plan) - 1:
+                grown, scores = grow(None, chosen, penalty, leaves, rate, has_val, local)
+            else:
+                grown, scores = None, sum(map(_score_counts, now)) if has_val else None
+            out.append((grown, _auc(scores) if has_val else None))
+        yield from blocks
+        yield out
+    return run
+
+
 def _prune(tree: Tree, used: set[int]) -> Tree:
     """The part of a tree that splits the ``used`` nodes only, numbered anew in depth-first order."""
     out = Tree()
@@ -373,7 +414,7 @@ class BoostedModel:
 
         @F.pandas_udf("double")
         def p(*cols: pd.Series) -> pd.Series:
-            x = np.column_stack([c.to_numpy(dtype=np.float64, na_value=np.nan) for c in cols])
+            x = np.array([c.to_numpy(dtype=np.float64, na_value=np.nan) for c in cols]).T
             raw = np.full(len(x), start)
             for tree, cut in trees:
                 raw += np.array(tree.value)[tree.leaf_of(x, cut)]
@@ -431,39 +472,64 @@ def fit(data: DataFrame, features: list[str], *, weight: str = "w_pos", rounds:
     edges = _edges(train, features, max_bins)
     bins = max((len(e) for e in edges), default=0) + 1
     penalty = Penalty(l1, l2, min_rows)
-    blocks, tasks = _blocks(data, features, edges, weight)
+    blocks, tasks, one = _blocks(data, features, edges, weight)
     depth = max(2, math.ceil(math.log(max(tasks, 2), 8)))       # about eight tables meet at the driver
     has_val = data.where(F.col("split") == "val").limit(1).count() > 0
     rnd = np.random.default_rng(seed)
-    trees, curve, tree, kept = [], [], None, 0
-    state = blocks.persist(StorageLevel.MEMORY_AND_DISK)
-    old = None
-    for t in range(rounds + 1):
-        old, state = state, state.map(_advance(tree, start)).persist(StorageLevel.MEMORY_AND_DISK)
-        if t and t % CUT_ROUNDS == 0:
-            state.checkpoint()
-        chosen = sorted(rnd.choice(len(features), max(1, round(feature_share * len(features))), replace=False).tolist())
-        now = state.map(_gradients(seed + t // row_every + 1, row_share))
-
-        def tables(part, nodes, with_curve):
-            size = 8 * (3 * len(nodes) * len(chosen) * bins + 2 * AUC_RANGES * with_curve)
-            return now.mapPartitions(_tables(part, nodes, chosen, bins, with_curve)).treeReduce(_merge, 1 if tasks * size <= DRIVER_BYTES else depth)
-
-        def local(part, nodes, splits, with_curve):
-            found = dict(now.mapPartitions(_rows_of(part, nodes, with_curve)).groupByKey(min(tasks, len(nodes) + with_curve))
-                         .map(_below(chosen, penalty, splits, rate, bins)).collect())
-            scores = found.pop(-1, None)
-            return {v: found.get(v) or Tree([-1], [0], [-1], [-1], [0.0], [0.0], [0]) for v in nodes}, scores
-
-        if t == rounds:
-            grown, scores = None, None
-            if has_val:
-                _, scores = tables(Tree([-1], [0], [-1], [-1], [0.0], [0.0], [0]), [0], True)
-        else:
-            grown, scores = grow(tables, chosen, penalty, leaves, rate, has_val, local, n_train)
-        old.unpersist()
+    plan = [(sorted(rnd.choice(len(features), max(1, round(feature_share * len(features))), replace=False).tolist()), seed + t // row_every + 1)
+            for t in range(rounds + 1)]
+
+    def alone():
+        """(tree, AUC of the trees before) of each round, where there is one partition."""
+        state, tree = blocks.persist(StorageLevel.MEMORY_AND_DISK), None
+        try:
+            for t in range(0, rounds + 1, CUT_ROUNDS):
+                old, made = state, state.mapPartitions(_rounds(plan, t, min(t + CUT_ROUNDS, rounds + 1), tree, start, penalty, leaves, rate,
+                                                               bins, row_share, has_val)).persist(StorageLevel.MEMORY_AND_DISK)
+                made.checkpoint()
+                out = made.filter(lambda r: isinstance(r, list)).collect()[0]
+                old.unpersist()
+                state, tree = made.filter(lambda r: not isinstance(r, list)).persist(StorageLevel.MEMORY_AND_DISK), out[-1][0]
+                state.count()
+                made.unpersist()
+                yield from out
+        finally:
+            state.unpersist()
+
+    def spread():
+        """The same by passes over many partitions."""
+        state, old, tree = blocks.persist(StorageLevel.MEMORY_AND_DISK), None, None
+        try:
+            for t, (chosen, bag) in enumerate(plan):
+                old, state = state, state.map(_advance(tree, start)).persist(StorageLevel.MEMORY_AND_DISK)
+                if t and t % CUT_ROUNDS == 0:
+                    state.checkpoint()
+                now = state.map(_gradients(bag, row_share))
+
+                def tables(part, nodes, with_curve):
+                    size = 8 * (3 * len(nodes) * len(chosen) * bins + 2 * AUC_RANGES * with_curve)
+                    return now.mapPartitions(_tables(part, nodes, chosen, bins, with_curve)).treeReduce(_merge, 1 if tasks * size <= DRIVER_BYTES else depth)
+
+                def local(part, nodes, splits, with_curve):
+                    found = dict(now.mapPartitions(_rows_of(part, nodes, chosen, with_curve)).groupByKey(min(tasks, len(nodes) + with_curve))
+                                 .map(_below(chosen, penalty, splits, rate, bins)).collect())
+                    scores = found.pop(-1, None)
+                    return {v: found.get(v) or Tree([-1], [0], [-1], [-1], [0.0], [0.0], [0]) for v in nodes}, scores
+
+                if t < rounds:
+                    tree, scores = grow(tables, chosen, penalty, leaves, rate, has_val, local, n_train)
+                else:
+                    tree, scores = None, tables(Tree([-1], [0], [-1], [-1], [0.0], [0.0], [0]), [0], True)[1] if has_val else None
+                old.unpersist()
+                yield tree, _auc(scores) if has_val else None
+        finally:
+            state.unpersist()
+
+    trees, curve, kept = [], [], 0
+    steps = alone() if one else spread()
+    for t, (grown, auc) in enumerate(steps):
         if t and has_val:
-            curve.append(_auc(scores))
+            curve.append(auc)
             if curve[-1] > curve[kept - 1] or not kept:
                 kept = t
             if t - kept >= patience:
@@ -471,9 +537,8 @@ def fit(data: DataFrame, features: list[str], *, weight: str = "w_pos", rounds:
         # a root without a split only shifts all scores: nothing further to learn from these rows
         if grown is None or (grown.left[0] < 0 and row_share >= 1.0 and feature_share >= 1.0):
             break
-        tree = grown
-        trees.append(tree)
-    state.unpersist()
+        trees.append(grown)
+    steps.close()
     trees = trees[:kept] if has_val else trees
     real = [{"feature": [features[f] if f >= 0 else None for f in t.feature],
              "threshold": [float(edges[f][c]) if f >= 0 else None for f, c in zip(t.feature, t.cut)],

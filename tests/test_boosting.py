@@ -126,3 +126,26 @@ def test_only_scores_are_kept_between_rounds(rows):
     assert set(kept) == {*block, "raw"}
     made = B._gradients(1, 0.5)(kept)
     assert made["g"] == pytest.approx(0.5 - y, abs=1e-6) and not (made["use"] & block["val"]).any()
+
+
+def test_one_partition_makes_many_rounds_in_a_job(spark, table, monkeypatch):
+    """Every round was a job or more, however few the rows: most of its time was the start of Python tasks."""
+    calls, grow = [], B.grow
+    monkeypatch.setattr(B, "grow", lambda *a, **k: calls.append(1) or grow(*a, **k))      # the driver's own calls
+
+    def fit():
+        calls.clear()
+        model = B.fit(table, list("abc"), rounds=25, patience=25, **dict(RULES, row_share=0.8, feature_share=0.7))
+        return model.trees, model.curve, len(calls)
+
+    *alone, led = fit()
+    monkeypatch.setattr(B, "LOCAL_ROWS", 40)
+    *spread, led_spread = fit()
+    assert alone == spread and len(alone[1]) == 25
+    assert led == 0 and led_spread == 25
+
+
+def test_gradients_beyond_four_bytes_are_dealt_whole():
+    v = np.array([3.0, -5000.25])
+    assert B._grains(v[:1]).dtype == np.int32
+    assert (B._grains(v) / B.GRAIN == v).all()
