@@ -178,6 +178,7 @@ def _tokenise(path: str, end_id: int, meta: list[str]):
                 if not b.num_rows:
                     continue
                 ids, per = enc.encode(b.column("text"))
+                pa.default_memory_pool().release_unused()     # freed word columns count as the task's memory until then
                 n = per + 1
                 offs = np.concatenate([[0], np.cumsum(n)])
                 full = np.full(int(offs[-1]), end_id, dtype=np.int32)

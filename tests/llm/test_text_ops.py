@@ -418,6 +418,27 @@ def test_word_encoder_equals_library(monkeypatch):
         assert all(enc.tok.encode(t, add_special_tokens=False).ids == ids[a:b].tolist() for t, a, b in zip(texts, at[:-1], at[1:]))
 
 
+def test_freed_word_columns_are_given_back(monkeypatch):
+    """Arrow kept what the word columns of earlier slices had taken: up to 3,024 MB in an executor of 3,000."""
+    pool, given = pa.default_memory_pool(), []
+
+    class Pool:
+        def release_unused(self):
+            given.append(1)
+            pool.release_unused()
+
+    class Task:
+        def partitionId(self):  # noqa: N802
+            return 0
+
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: Task())
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 20)
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    rows = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["some words of a text"] * 6)], ["id", "text"])
+    out = list(tokens._tokenise(f"{TOKENIZER_DIR}/byte_bpe_50k.json", 0, [])(iter([rows])))
+    assert sum(b.num_rows for b in out) == 6 and len(given) == len(out) > 1
+
+
 def test_empty_token_file(spark, make_docs, tmp_path):
     tokens.write_tokens(make_docs([]), str(tmp_path / "e"), BPE)
     assert tokens.checksums(spark, str(tmp_path / "e")).count() == 0
