@@ -75,6 +75,8 @@ class Tree:
 
     def leaf_of(self, x: np.ndarray, cut=None) -> np.ndarray:
         """Leaf number of every row of ``x`` (bins, or values if ``cut`` holds thresholds); fastest where a column lies in one piece."""
+        if cut is None and x.dtype == np.uint8 and len(self.n) < 2 * 64:
+            return self._leaf_of_bins(x)
         cut = self.cut if cut is None else cut
         at = np.zeros(len(x), dtype=np.int64)
         todo = [(0, np.arange(len(x)))]
@@ -87,6 +89,32 @@ class Tree:
             todo += [(self.left[v], rows[low]), (self.right[v], rows[~low])]
         return at
 
+    def _leaf_of_bins(self, x: np.ndarray) -> np.ndarray:
+        """The same for at most 64 leaves, one bit each: a look-up a feature gives the leaves that a row's bin leaves open,
+        and one is left after all features."""
+        kind = np.uint32 if len(self.n) < 2 * 32 else np.uint64
+        leaves, masks = [], {}
+
+        def below(v: int) -> int:
+            if self.left[v] < 0:
+                leaves.append(v)
+                return 1 << (len(leaves) - 1)
+            low, high = below(self.left[v]), below(self.right[v])
+            mask = masks.setdefault(self.feature[v], np.full(256, np.iinfo(kind).max, kind))
+            mask[:self.cut[v] + 1] &= ~kind(high)
+            mask[self.cut[v] + 1:] &= ~kind(low)
+            return low | high
+
+        below(0)
+        open_ = None
+        for f, mask in masks.items():
+            part = mask.take(np.ascontiguousarray(x[:, f]), mode="clip")
+            open_ = part if open_ is None else np.bitwise_and(open_, part, out=open_)
+        if open_ is None:
+            return np.zeros(len(x), dtype=np.int64)
+        bit = (open_ & kind((1 << len(leaves)) - 1)).astype(np.float64).view(np.int64) >> 52       # a power of two: its exponent
+        return np.array(leaves).take(bit - 1023)
+
 
 def _hash(key: np.ndarray, seed: int) -> np.ndarray:
     """Uniform 64-bit values of the row keys for one seed (splitmix64 finaliser)."""
@@ -148,25 +176,39 @@ def _advance(tree: Tree | None, start: float):
     return run
 
 
+def _taken(key: np.ndarray, val: np.ndarray, bag_seed: int | None, share: float) -> np.ndarray:
+    """Which rows a round learns from."""
+    return ~val & (_hash(key, bag_seed) < np.uint64(int(share * 2.0 ** 64))) if share < 1.0 else ~val
+
+
+def _probability(raw: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-raw))
+
+
+def _slopes(p: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients and hessians."""
+    return np.rint((p - y) * w * GRAIN) / GRAIN, np.rint(np.maximum(p * (1.0 - p), 1e-9) * w * GRAIN) / GRAIN
+
+
 def _gradients(bag_seed: int | None, share: float):
     """Probabilities, gradients and hessians from the scores, and which rows the round takes; made anew in
     every pass, which costs less than keeping them in the blocks."""
     def run(block):
-        p = 1.0 / (1.0 + np.exp(-block["raw"]))
-        use = ~block["val"]
-        if share < 1.0:
-            use = use & (_hash(block["key"], bag_seed) < np.uint64(int(share * 2.0 ** 64)))
-        g = np.rint((p - block["y"]) * block["w"] * GRAIN) / GRAIN
-        h = np.rint(np.maximum(p * (1.0 - p), 1e-9) * block["w"] * GRAIN) / GRAIN
-        return block | {"p": p, "g": g, "h": h, "use": use}
+        p = _probability(block["raw"])
+        g, h = _slopes(p, block["y"], block["w"])
+        return block | {"p": p, "g": g, "h": h, "use": _taken(block["key"], block["val"], bag_seed, share)}
     return run
 
 
 def _score_counts(block) -> np.ndarray:
     """Positive and negative validation rows per range of the score."""
-    at = np.minimum((block["p"][block["val"]] * AUC_RANGES).astype(np.int64), AUC_RANGES - 1)
-    y = block["y"][block["val"]] > 0
-    return np.array([np.bincount(at[y], minlength=AUC_RANGES), np.bincount(at[~y], minlength=AUC_RANGES)])
+    return _range_counts(block["p"][block["val"]], block["y"][block["val"]] > 0)
+
+
+def _range_counts(p: np.ndarray, y: np.ndarray) -> np.ndarray:
+    at = np.minimum((p * AUC_RANGES).astype(np.int64), AUC_RANGES - 1)
+    both = np.bincount(2 * at + y, minlength=2 * AUC_RANGES)
+    return np.array([both[1::2], both[::2]])
 
 
 def _tables(tree: Tree, nodes: list[int], features: list[int], bins: int, curve: bool):
@@ -221,24 +263,26 @@ class Penalty:
         """(gain, feature, cut, left sums, right sums) of a leaf's table (feature, bin, [g, h, n]), or None.
 
         Of equal gains the first feature and bin count."""
-        left = np.cumsum(table, axis=1)[:, :-1]
+        left = np.cumsum(table.transpose(2, 0, 1), axis=2)[..., :-1]
         whole = table[0].sum(axis=0)
-        right = whole - left
-        ok = (left[..., 2] >= self.rows) & (right[..., 2] >= self.rows) & (left[..., 1] >= self.hessian) & (right[..., 1] >= self.hessian)
-        gain = np.where(ok, self.score(left[..., 0], left[..., 1]) + self.score(right[..., 0], right[..., 1]), 0.0)
+        right = whole[:, None, None] - left
+        ok = (left[2] >= self.rows) & (right[2] >= self.rows) & (left[1] >= self.hessian) & (right[1] >= self.hessian)
+        gain = np.where(ok, self.score(left[0], left[1]) + self.score(right[0], right[1]), 0.0)
         gain = np.where(ok, gain - self.score(whole[0], whole[1]), -1.0)
         if not gain.size or gain.max() <= 0.0:
             return None
         i, c = np.unravel_index(np.argmax(gain), gain.shape)
-        return float(gain[i, c]), features[i], int(c), left[i, c], right[i, c]
+        return float(gain[i, c]), features[i], int(c), left[:, i, c], right[:, i, c]
 
 
-def grow(tables, features: list[int], penalty: Penalty, leaves: int, rate: float, curve: bool = False, local=None, n_rows: int = 0):
+def grow(tables, features: list[int], penalty: Penalty, leaves: int, rate: float, curve: bool = False, local=None, n_rows: int = 0,
+         ahead: bool = True):
     """One tree, best-first. ``tables(tree, nodes, curve)`` gives the merged sums of those leaves;
     ``local(tree, nodes, splits, curve)`` the trees below leaves of at most ``LOCAL_ROWS`` rows.
 
     Gains of a pass are those of all children that could become leaves; the next split is the
     largest known one, and a new pass starts when a chosen leaf's children are not known yet.
+    Without ``ahead`` only that leaf's children are counted: for tables that cost by their rows, not by the pass.
     """
     tree = Tree()
     tree.add(0.0, n_rows)
@@ -265,7 +309,7 @@ def grow(tables, features: list[int], penalty: Penalty, leaves: int, rate: float
             v = max(can, key=lambda u: (best[u][0], -u))
             if v not in kids:
                 # every leaf that may still be taken is split in the same pass
-                room = leaves - len(open_)
+                room = leaves - len(open_) if ahead else 1
                 return used, sorted((u for u in can if u not in kids), key=lambda u: -best[u][0])[:room]
             used.append(v)
             open_.remove(v)
@@ -283,15 +327,16 @@ def grow(tables, features: list[int], penalty: Penalty, leaves: int, rate: float
     used, need = take()
     while need:
         count, small = [], []
+        more = len(used) < leaves - 2           # the children of the last split are leaves
         for v in need:
             gain, f, c, a, b = best[v]
             pair = [tree.add(rate * penalty.value(s[0], s[1]), int(s[2])) for s in (a, b)]
             kids[v] = tuple(pair)
             tree.feature[v], tree.cut[v], tree.left[v], tree.right[v], tree.gain[v] = f, c, *pair, gain
             low, high = pair if a[2] <= b[2] else pair[::-1]
-            if not local or tree.n[high] > LOCAL_ROWS:
+            if more and (not local or tree.n[high] > LOCAL_ROWS):
                 count.append((v, low, high))
-            small += [u for u in pair if local and tree.n[u] <= LOCAL_ROWS]
+            small += [u for u in pair if more and local and tree.n[u] <= LOCAL_ROWS]
         if count:
             for (v, low, high), t in zip(count, tables(tree, [low for _, low, _ in count], False)[0]):
                 for u, sums in ((low, t), (high, known[v] - t)):
@@ -331,53 +376,63 @@ def _below(features: list[int], penalty: Penalty, splits: int, rate: float, bins
         if node < 0:
             return node, sum(parts)
         x, g, h = (np.concatenate(c, axis=-1) for c in zip(*parts))
-        g, h = g / GRAIN, h / GRAIN
-        place = {f: i for i, f in enumerate(features)}
-        where = {0: np.arange(len(g))}
-
-        def tables(tree, nodes, _):
-            out = np.zeros((len(nodes), len(features), 3, bins))
-            for v, sums in zip(nodes, out):
-                if v:
-                    # of every split one child is asked for: its parent's rows are dealt to both
-                    up = tree.left.index(v) if v in tree.left else tree.right.index(v)
-                    r = where.pop(up)
-                    low = x[place[tree.feature[up]]][r] <= tree.cut[up]
-                    where[tree.left[up]], where[tree.right[up]] = r[low], r[~low]
-                r = where[v]
-                weights = g[r], h[r], None
-                for i in range(len(features)):
-                    k = x[i][r]
-                    for j, w in enumerate(weights):
-                        sums[i, j] = np.bincount(k, w, bins)
-            return out.transpose(0, 1, 3, 2), None
-
-        return node, grow(tables, features, penalty, splits + 1, rate)[0]
+        return node, _grow_rows(x, g / GRAIN, h / GRAIN, features, penalty, splits + 1, rate, bins)
     return run
 
 
+def _grow_rows(x, g: np.ndarray, h: np.ndarray, features: list[int], penalty: Penalty, leaves: int, rate: float, bins: int) -> Tree:
+    """The best-first tree of rows that lie in one task; ``x`` has the bins of each of ``features``."""
+    place = {f: i for i, f in enumerate(features)}
+    where = {0: None}                    # rows of an open node; None: all
+
+    def tables(tree, nodes, _):
+        out = np.zeros((len(nodes), len(features), 3, bins))
+        for v, sums in zip(nodes, out):
+            if v:
+                # of every split one child is asked for: its parent's rows are dealt to both
+                up = tree.left.index(v) if v in tree.left else tree.right.index(v)
+                r, bin_ = where.pop(up), x[place[tree.feature[up]]]
+                low = (bin_ if r is None else bin_.take(r)) <= tree.cut[up]
+                for child, side in ((tree.left[up], low), (tree.right[up], ~low)):
+                    at = np.flatnonzero(side)
+                    where[child] = at if r is None else r.take(at)
+            r = where[v]
+            weights = (g, h, None) if r is None else (g.take(r), h.take(r), None)
+            for i in range(len(features)):
+                k = (x[i] if r is None else x[i].take(r)).astype(np.intp)        # once, not in every count
+                for j, w in enumerate(weights):
+                    sums[i, j] = np.bincount(k, w, bins)
+        return out.transpose(0, 1, 3, 2), None
+
+    return grow(tables, features, penalty, leaves, rate, ahead=False)[0]
+
+
 def _rounds(plan: list, first: int, last: int, tree: Tree | None, start: float, penalty: Penalty, leaves: int, rate: float,
             bins: int, row_share: float, has_val: bool):
     """Rounds ``first`` to ``last - 1`` in the one partition there is: its blocks with their new scores, and a list with
     (tree, AUC of the trees before) of every round. ``plan`` has each round's features and seed; round len(plan) - 1 only scores."""
     def run(blocks):
-        blocks, out, grown = list(blocks), [], tree
+        blocks, out, grown, bag = list(blocks), [], tree, None
+        x = np.concatenate([b["x"].T for b in blocks], axis=1)
+        y, w, val, key = (np.concatenate([b[c] for b in blocks]) for c in ("y", "w", "val", "key"))
+        raw = np.concatenate([b["raw"] for b in blocks]) if tree else np.full(len(y), start)
+        judged, bad = np.flatnonzero(val), y[val] > 0
         for t in range(first, last):
             chosen, seed = plan[t]
-            blocks = [_advance(grown, start)(b) for b in blocks]
-            now = [_gradients(seed, row_share)(b) for b in blocks]
-
-            def local(part, nodes, splits, curve):
-                parts = [rows for v, rows in _rows_of(part, nodes, chosen, False)(now)]
-                found = _below(chosen, penalty, splits, rate, bins)((0, parts))[1] if parts else Tree([-1], [0], [-1], [-1], [0.0], [0.0], [0])
-                return {0: found}, sum(map(_score_counts, now)) if curve else None
-
+            if grown:
+                raw += np.array(grown.value).take(grown.leaf_of(x.T))
+            auc = _auc(_range_counts(_probability(raw.take(judged)), bad)) if has_val else None
+            grown = None
             if t < len(plan) - 1:
-                grown, scores = grow(None, chosen, penalty, leaves, rate, has_val, local)
-            else:
-                grown, scores = None, sum(map(_score_counts, now)) if has_val else None
-            out.append((grown, _auc(scores) if has_val else None))
-        yield from blocks
+                if seed != bag:              # the rows are the same for some rounds
+                    bag, rows = seed, np.flatnonzero(_taken(key, val, seed, row_share))
+                    taken = x.take(rows, axis=1), y.take(rows), w.take(rows)
+                g, h = _slopes(_probability(raw.take(rows)), *taken[1:])
+                grown = _grow_rows([taken[0][f] for f in chosen], g, h, chosen, penalty, leaves, rate, bins)
+            out.append((grown, auc))
+        ends = np.cumsum([len(b["y"]) for b in blocks])
+        for b, part in zip(blocks, np.split(raw, ends[:-1])):
+            yield b | {"raw": part}
         yield out
     return run
 

@@ -149,3 +149,49 @@ def test_gradients_beyond_four_bytes_are_dealt_whole():
     v = np.array([3.0, -5000.25])
     assert B._grains(v[:1]).dtype == np.int32
     assert (B._grains(v) / B.GRAIN == v).all()
+
+
+def _random_tree(rnd, leaves, features):
+    tree, open_ = B.Tree(), [0]
+    tree.add(0.0, 1)
+    while len(open_) < leaves:
+        v = open_.pop(rnd.integers(len(open_)))
+        tree.feature[v], tree.cut[v] = int(rnd.integers(features)), int(rnd.integers(255))
+        tree.left[v], tree.right[v] = tree.add(0.0, 1), tree.add(0.0, 1)
+        open_ += [tree.left[v], tree.right[v]]
+    return tree
+
+
+@pytest.mark.parametrize("leaves", [1, 2, 31, 32, 33, 64, 65])
+def test_leaves_of_bins_are_found_by_one_lookup_a_feature(leaves):
+    """Every row was sent down the tree node by node, a quarter of a round's time."""
+    rnd = np.random.default_rng(leaves)
+    x = rnd.integers(0, 256, (2000, 5)).astype(np.uint8)
+    tree = _random_tree(rnd, leaves, 5)
+    walked = tree.leaf_of(x.astype(float))
+    assert (tree.leaf_of(x) == walked).all()
+    if leaves <= 64:
+        assert (tree._leaf_of_bins(x) == walked).all()
+
+
+def test_one_task_counts_only_children_that_can_be_split():
+    """A task that has all rows counted the children of every open leaf, and those of the last split."""
+    rnd = np.random.default_rng(3)
+    x = rnd.integers(0, 16, (2, 500)).astype(np.uint8)
+    g, h = np.rint(rnd.normal(size=500) * B.GRAIN) / B.GRAIN, np.ones(500)
+    penalty, asked = B.Penalty(0.1, 0.1, 5), []
+
+    def sums(keep):
+        t = [np.bincount(x[i][keep], w, 16) for i in range(2) for w in (g[keep], h[keep], np.ones(keep.sum()))]
+        return np.array(t).reshape(2, 3, 16).transpose(0, 2, 1)
+
+    def tables(tree, nodes, _):
+        asked.append(len(nodes))
+        at = tree.leaf_of(x.T)
+        return np.array([sums(at == v) for v in nodes]), None
+
+    wide = B.grow(tables, [0, 1], penalty, 8, 0.1)[0]
+    many = sum(asked)
+    asked.clear()
+    assert B.grow(tables, [0, 1], penalty, 8, 0.1, ahead=False)[0] == wide == B._grow_rows(x, g, h, [0, 1], penalty, 8, 0.1, 16)
+    assert asked == [1] * 7 and many > 7             # the root and a child of all splits but the last
