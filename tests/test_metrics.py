@@ -3,10 +3,13 @@ worked out by hand / with numpy; see FIXTURES.md section 3)."""
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskforge.operators.metrics import evaluate
+from riskforge.functions.arrays import with_count_below
+from riskforge.operators.binning import bin_from_count
+from riskforge.operators.metrics import _bin_numbers, evaluate
 
 
 def _frame(spark, xs, ys, base=None, times=None):
@@ -127,3 +130,24 @@ def test_grades_follow_thresholds(spark):
 def test_missing_feature_raises(spark):
     with pytest.raises(ValueError):
         evaluate(_frame(spark, [1.0], [1]), ["nope"], "y", time_col=None)
+
+
+def test_rows_are_binned_once(spark):
+    """Spark did not find the counts per bin in its cache: IV, PSI and missing rate each binned all rows again."""
+    ev = evaluate(_frame(spark, [1, 2, None, 4, 5, 6], [0, 1, 0, 1, 0, 1]), ["x"], "y", time_col=None, n_bins=2, base_col="is_base")
+    plan = ev.features._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "MapInArrow" not in plan and "is_base" not in plan
+    assert ev.features.first()["missing_rate"] == 0.1667
+
+
+def test_bins_of_a_batch_are_those_of_the_rule(spark):
+    """Edges with duplicates removed, none, one, and not a number (between infinite values); values on, between and beyond them."""
+    inf, nan = float("inf"), float("nan")
+    values = [None, -inf, -1.0, -0.0, 0.0, 0.5, 1.0, 2.0, 2.5, 3.0, inf]
+    v = np.array([0.0 if x is None else x for x in values])
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(values)], "i int, v double")
+    for edges in ([], [1.0], [0.0, 1.0, 2.5], [-1.0, 0.0, 3.0], [-inf, nan, 1.0, inf], [nan, nan], [0.0, 2.0, nan]):
+        rows = with_count_below(df.withColumn("e", F.array(*map(F.lit, edges)).cast("array<double>")), "e", F.col("v"), "n", 11)
+        want = [r["b"] for r in rows.select("i", bin_from_count(F.col("v"), "e", "n").alias("b")).orderBy("i").collect()]
+        got = _bin_numbers(v, np.array([x is None for x in values]), edges)
+        assert [None if b == 0 else b - 1 for b in got.tolist()] == want, edges
