@@ -39,6 +39,7 @@ WORDS_KEPT = 1 << 20      # distinct words whose ids a task remembers
 _OTHER_SPACE = "[" + "".join(map(chr, (
     0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]"
 _SPACES = " \n\t\r"
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _flat(at: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -49,29 +50,52 @@ def _flat(at: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out
 
 
+def _keys(words: pa.Array) -> np.ndarray:
+    """64 bits of every word from its length and its first and last 32 bytes; what has the same bits is compared."""
+    raw, edge = string_buffers(words)
+    edge = edge.astype(np.int64)
+    width = np.diff(edge)
+    key = width.astype(np.uint64) * _MIX
+    for at, size in ((edge[:-1], np.minimum(width, 32)), (edge[1:] - 32, np.where(width > 32, 32, 0))):
+        power = np.cumprod(np.full(32, _MIX))
+        end = np.cumsum(size)
+        one = raw[_flat(at, size)].astype(np.uint64) * power[_flat(np.zeros(len(size), np.int64), size)]
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(one, dtype=np.uint64)])
+        key = (key ^ (sums[end] - sums[end - size])) * _MIX
+    return key
+
+
 class _Words:
     """Ids of words, each encoded once while it is remembered. ``lead`` is what stands before every word.
 
-    The words are one Arrow array beside numpy columns; beyond ``WORDS_KEPT`` the half that
-    was not met for the longest time is forgotten.
+    The words are one Arrow array beside numpy columns, found by a sorted column of their keys that grows
+    with them; beyond ``WORDS_KEPT`` the half that was not met for the longest time is forgotten.
     """
 
     def __init__(self, tok, width: np.ndarray, lead: str):
         self.tok, self.width, self.lead, self.now = tok, width, lead, 0
         self.words = pa.array([], pa.string())
         self.ids, self.size, self.at, self.met = (np.zeros(0, t) for t in (np.int32, np.int32, np.int64, np.int32))
+        self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
 
     def codes(self, words: pa.Array) -> np.ndarray:
         """Places of distinct words in the memory; new ones are encoded."""
         if len(self.words) > WORDS_KEPT:
             self.forget()
         self.now += 1
-        place = pc.index_in(words, value_set=self.words)
-        new = words.filter(place.is_null())
-        code = place.fill_null(0).to_numpy().astype(np.int64)
-        if len(new):
-            code[place.is_null().to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(len(new))
-            self.learn(new)
+        keys, code, known = _keys(words), np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            maybe = np.flatnonzero(self.keys[at] == keys)
+            code[maybe] = self.place[at[maybe]]
+            known[maybe] = pc.equal(words.take(pa.array(maybe)), self.words.take(pa.array(code[maybe]))).to_numpy(zero_copy_only=False)
+        rest = np.flatnonzero(~known)
+        if len(rest):
+            code[rest] = len(self.words) + np.arange(len(rest))
+            rest = rest[np.argsort(keys[rest], kind="stable")]
+            at = np.searchsorted(self.keys, keys[rest])
+            self.keys, self.place = np.insert(self.keys, at, keys[rest]), np.insert(self.place, at, code[rest])
+            self.learn(words.filter(pa.array(~known)))
         self.met[code] = self.now
         return code
 
@@ -80,6 +104,10 @@ class _Words:
         self.ids = self.ids[_flat(self.at[keep], self.size[keep])]
         self.words, self.size, self.met = self.words.take(pa.array(keep)), self.size[keep], self.met[keep]
         self.at = np.cumsum(self.size, dtype=np.int64) - self.size
+        moved = np.full(len(self.place), -1, np.int32)
+        moved[keep] = np.arange(len(keep))
+        kept = moved[self.place] >= 0
+        self.keys, self.place = self.keys[kept], moved[self.place[kept]]
 
     def learn(self, new: pa.Array) -> None:
         raw, edge = string_buffers(new)

@@ -418,6 +418,22 @@ def test_word_encoder_equals_library(monkeypatch):
         assert all(enc.tok.encode(t, add_special_tokens=False).ids == ids[a:b].tolist() for t, a, b in zip(texts, at[:-1], at[1:]))
 
 
+@pytest.mark.parametrize("share", [1, 64, 1 << 64])
+def test_words_with_equal_keys_are_told_apart(monkeypatch, share):
+    """Remembered words were all hashed again for every slice of texts; their keys are kept now, and may be shared."""
+    whole = tokens._keys
+    monkeypatch.setattr(tokens, "_keys", lambda words: whole(words) % np.uint64(share) if share < 1 << 64 else whole(words))
+    monkeypatch.setattr(tokens, "WORDS_KEPT", 300)
+    enc, rng = tokens.WordEncoder(BPE), random.Random(4)
+    words = ["", "a" * 40 + "b" * 33, "a" * 40 + "c" + "b" * 32, *("".join(rng.choices("abcdé", k=rng.randint(1, 70))) for _ in range(500))]
+    for _ in range(4):
+        texts = [" ".join(rng.choices(words, k=60)) for _ in range(10)]
+        ids, per = enc.encode(pa.array(texts))
+        want = [e.ids for e in enc.tok.encode_batch(texts, add_special_tokens=False)]
+        assert np.split(ids, np.cumsum(per)[:-1])[0].tolist() == want[0] and per.tolist() == list(map(len, want))
+        assert ids.tolist() == [i for w in want for i in w]
+
+
 def test_freed_word_columns_are_given_back(monkeypatch):
     """Arrow kept what the word columns of earlier slices had taken: up to 3,024 MB in an executor of 3,000."""
     pool, given = pa.default_memory_pool(), []
