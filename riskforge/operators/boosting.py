@@ -33,6 +33,7 @@ takes longer than the pass (measured at sf0.1: 0.38 s against 0.07 s).
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -90,8 +91,11 @@ class Tree:
         return at
 
     def _leaf_of_bins(self, x: np.ndarray) -> np.ndarray:
+        return self.look_ups()(x)
+
+    def look_ups(self):
         """The same for at most 64 leaves, one bit each: a look-up a feature gives the leaves that a row's bin leaves open,
-        and one is left after all features."""
+        and one is left after all features. Made once for many batches of rows."""
         kind = np.uint32 if len(self.n) < 2 * 32 else np.uint64
         leaves, masks = [], {}
 
@@ -106,14 +110,18 @@ class Tree:
             return low | high
 
         below(0)
-        open_ = None
-        for f, mask in masks.items():
-            part = mask.take(np.ascontiguousarray(x[:, f]), mode="clip")
-            open_ = part if open_ is None else np.bitwise_and(open_, part, out=open_)
-        if open_ is None:
-            return np.zeros(len(x), dtype=np.int64)
-        bit = (open_ & kind((1 << len(leaves)) - 1)).astype(np.float64).view(np.int64) >> 52       # a power of two: its exponent
-        return np.array(leaves).take(bit - 1023)
+        every, nodes = kind((1 << len(leaves)) - 1), np.array(leaves)
+
+        def run(x: np.ndarray) -> np.ndarray:
+            open_ = None
+            for f, mask in masks.items():
+                part = mask.take(np.ascontiguousarray(x[:, f]), mode="clip")
+                open_ = part if open_ is None else np.bitwise_and(open_, part, out=open_)
+            if open_ is None:
+                return np.zeros(len(x), dtype=np.int64)
+            bit = (open_ & every).astype(np.float64).view(np.int64) >> 52       # a power of two: its exponent
+            return nodes.take(bit - 1023)
+        return run
 
 
 def _hash(key: np.ndarray, seed: int) -> np.ndarray:
@@ -463,17 +471,31 @@ class BoostedModel:
     def rounds(self) -> int:
         return len(self.trees)
 
+    def binned(self) -> tuple[list[np.ndarray], list[Tree]]:
+        """The thresholds of every feature, ascending, and the trees with positions among them for thresholds: a value
+        is at most a threshold where no more thresholds lie below it than below that one. A missing value is above all."""
+        cuts = [np.unique([c for t in self.trees for g, c in zip(t["feature"], t["threshold"]) if g == f]) for f in self.features]
+        place = {f: i for i, f in enumerate(self.features)}
+        return cuts, [Tree([place.get(f, -1) for f in t["feature"]],
+                           [int(np.searchsorted(cuts[place[f]], c)) if f in place else 0 for f, c in zip(t["feature"], t["threshold"])],
+                           t["left"], t["right"], t["value"], t["gain"], t["n"]) for t in self.trees]
+
     def transform(self, df: DataFrame) -> DataFrame:
-        start, place = self.start, {f: i for i, f in enumerate(self.features)}
-        trees = [(Tree([place.get(f, -1) for f in t["feature"]], [], t["left"], t["right"], t["value"]), t["threshold"]) for t in self.trees]
+        start, (cuts, trees) = self.start, self.binned()
 
         @F.pandas_udf("double")
-        def p(*cols: pd.Series) -> pd.Series:
-            x = np.array([c.to_numpy(dtype=np.float64, na_value=np.nan) for c in cols]).T
-            raw = np.full(len(x), start)
-            for tree, cut in trees:
-                raw += np.array(tree.value)[tree.leaf_of(x, cut)]
-            return pd.Series(1.0 / (1.0 + np.exp(-raw)))
+        def p(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+            fits = all(len(c) < 256 for c in cuts)
+            steps = [(np.array(t.value), t.look_ups() if fits and len(t.n) < 2 * 64 else t.leaf_of) for t in trees]
+            for cols in batches:
+                cols = (cols,) if isinstance(cols, pd.Series) else cols          # one feature comes alone
+                x = np.empty((len(cols), len(cols[0])), dtype=np.uint8 if fits else np.int64)
+                for i, (c, cut) in enumerate(zip(cols, cuts)):
+                    x[i] = np.searchsorted(cut, c.to_numpy(dtype=np.float64, na_value=np.nan))
+                raw = np.full(x.shape[1], start)
+                for value, leaf_of in steps:
+                    raw += value.take(leaf_of(x.T))
+                yield pd.Series(1.0 / (1.0 + np.exp(-raw)))
         return df.withColumn("score", p(*(F.col(f).cast("double") for f in self.features)))
 
     def table(self, spark: SparkSession) -> DataFrame:

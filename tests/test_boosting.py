@@ -195,3 +195,46 @@ def test_one_task_counts_only_children_that_can_be_split():
     asked.clear()
     assert B.grow(tables, [0, 1], penalty, 8, 0.1, ahead=False)[0] == wide == B._grow_rows(x, g, h, [0, 1], penalty, 8, 0.1, 16)
     assert asked == [1] * 7 and many > 7             # the root and a child of all splits but the last
+
+
+def test_rows_are_scored_by_bins_of_the_thresholds(spark, monkeypatch):
+    """Every batch walked every split of every tree by its values; bins of the thresholds give the same scores to the last bit."""
+    rnd = np.random.default_rng(5)
+    trees = []
+    for _ in range(12):
+        t = {k: [] for k in ("feature", "threshold", "left", "right", "value", "gain", "n")}
+
+        def add(depth, t=t):
+            v = len(t["n"])
+            split = depth < 4 and rnd.random() < 0.9
+            for k, x in zip(t, ("ab"[rnd.integers(2)] if split else None, float(rnd.integers(-3, 4)) if split else None, -1, -1,
+                                float(rnd.normal()), 0.0, 1)):
+                t[k].append(x)
+            if split:
+                t["left"][v], t["right"][v] = add(depth + 1), add(depth + 1)
+            return v
+        add(0)
+        trees.append(t)
+    model = B.BoostedModel(["a", "b", "unused"], 0.25, trees)
+    values = [None, float("nan"), float("inf"), float("-inf"), -0.0, *np.arange(-4.0, 4.5, 0.5).tolist()]
+    df = spark.createDataFrame([(a, b, 1.0) for a in values for b in values], "a double, b double, unused double")
+
+    def plain(a, b):
+        raw, row = 0.25, {"a": a, "b": b}
+        for t in trees:
+            v = 0
+            while t["left"][v] >= 0:
+                x = row[t["feature"][v]]
+                v = t["left"][v] if x is not None and x <= t["threshold"][v] else t["right"][v]
+            raw += t["value"][v]
+        return 1.0 / (1.0 + np.exp(-raw))
+
+    got = [r["score"] for r in model.transform(df).collect()]
+    assert got == [plain(a, b) for a in values for b in values]
+    cuts, binned = model.binned()
+    assert [c.tolist() for c in cuts] == [sorted({c for t in trees for f, c in zip(t["feature"], t["threshold"]) if f == k}) for k in model.features]
+    # more thresholds than a byte holds
+    many = {"feature": ["a", None, None], "left": [1, -1, -1], "right": [2, -1, -1], "value": [0.0, -1.0, 1.0], "gain": [1.0, 0.0, 0.0], "n": [2, 1, 1]}
+    wide = B.BoostedModel(["a"], 0.0, [dict(many, threshold=[float(i), None, None]) for i in range(300)])
+    up = [r["score"] for r in wide.transform(spark.createDataFrame([(-1.0,), (149.5,), (400.0,)], "a double")).collect()]
+    assert up[0] < 1e-9 and up[1] == 0.5 and up[2] > 1 - 1e-9
