@@ -1,6 +1,8 @@
 """Leaf-wise boosting: one tree against a plain version, both ways of growing it, patience, written models."""
 
 import math
+import os
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
@@ -145,6 +147,80 @@ def test_one_partition_makes_many_rounds_in_a_job(spark, table, monkeypatch):
     assert led == 0 and led_spread == 25
 
 
+def _split_over_tasks(monkeypatch, at_once, rounds_a_job=7):
+    monkeypatch.setattr(B, "LOCAL_ROWS", 0)
+    monkeypatch.setattr(B, "TASK_ROWS", (50, 1 << 22))
+    monkeypatch.setattr(B, "GANG_ROWS", 0 if at_once else 1 << 20, raising=False)
+    monkeypatch.setattr(B, "GANG_ROUNDS", rounds_a_job, raising=False)
+
+
+@pytest.mark.parametrize("split, features, share", [("all", "abc", 0.7), ("train", "abc", 1.0), ("all", "a", 1.0)])
+def test_tasks_at_once_make_many_rounds_in_a_job(spark, table, monkeypatch, split, features, share):
+    """Every round over several tasks was five jobs or more, two of them shuffles of its rows; the trees are the same."""
+    calls, grow = [], B.grow
+    monkeypatch.setattr(B, "grow", lambda *a, **k: calls.append(1) or grow(*a, **k))      # the driver's own calls
+    data = table if split == "all" else table.where("split = 'train'")
+
+    def fit(at_once):
+        _split_over_tasks(monkeypatch, at_once)
+        calls.clear()
+        model = B.fit(data, list(features), rounds=16, patience=16, **dict(RULES, row_share=share, feature_share=share))
+        return model.trees, model.curve, len(calls)
+
+    *passes, led = fit(False)
+    *at_once, led_at_once = fit(True)
+    assert passes == at_once and len(at_once[0]) and led == 16 and led_at_once == 0
+
+
+def test_tasks_at_once_without_rows_take_part(spark, monkeypatch):
+    """Equal rows lie in one task: others have none, and still add their empty tables."""
+    rows = [(float(i % 3), int(i % 5 < i % 3), "val" if i % 4 == 3 else "train", 1.0) for i in range(300)]
+    data = spark.createDataFrame(rows, "a double, y int, split string, w double")
+
+    def fit(at_once):
+        _split_over_tasks(monkeypatch, at_once)
+        model = B.fit(data, ["a"], rounds=5, **dict(RULES, row_share=0.6))
+        return model.trees, model.curve
+
+    assert fit(True) == fit(False)
+
+
+def test_a_failed_job_of_tasks_at_once_is_made_up_by_passes(spark, table, monkeypatch):
+    together = B._together
+
+    def broken(plan, first, *rest):
+        def run(blocks):
+            raise ValueError("lost")
+        return run if first else together(plan, first, *rest)
+
+    def fit(at_once):
+        _split_over_tasks(monkeypatch, at_once, 4)
+        model = B.fit(table, list("abc"), rounds=9, patience=9, **dict(RULES, row_share=0.8))
+        return model.trees, model.curve
+
+    want = fit(False)
+    monkeypatch.setattr(B, "_together", broken)
+    assert fit(True) == want
+
+
+def test_tables_are_handed_over_as_files(tmp_path, monkeypatch):
+    def task(me):
+        mail = B._Mail(str(tmp_path), me, 3)
+        first = mail.sum(np.full((2, 2), 1.0 + me))
+        top = mail.sum_at_first(np.array([float(me)]))
+        return first.tolist(), top, mail.sum(np.array([10.0 * me])).tolist()
+
+    with ThreadPoolExecutor(3) as pool:
+        got = list(pool.map(task, range(3)))
+    assert [g[0] for g in got] == [[[6.0, 6.0], [6.0, 6.0]]] * 3 and [g[2] for g in got] == [[30.0]] * 3
+    assert got[0][1] == [3.0] and got[1][1] is None and got[2][1] is None
+    assert sorted(os.listdir(tmp_path)) == ["2-0", "2-1", "2-2"]          # what all have read is gone
+    monkeypatch.setattr(B, "MAIL_SECONDS", 0.01)
+    with pytest.raises(TimeoutError):
+        B._Mail(str(tmp_path / "alone"), 0, 2).sum(np.zeros(1))
+    assert [B._mounted(p) for p in ("file:/a/b c%20", "file:///a/b", "/a", "hdfs://h/a", "s3a://b/a")] == ["/a/b c%20", "/a/b", "/a", None, None]
+
+
 def test_gradients_beyond_four_bytes_are_dealt_whole():
     v = np.array([3.0, -5000.25])
     assert B._grains(v[:1]).dtype == np.int32
