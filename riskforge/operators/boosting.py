@@ -64,7 +64,8 @@ LOCAL_ROWS = 1 << 20                # a leaf of so many rows is grown to its end
                                     # so many rows at all are one partition, which needs no passes (34 bytes and one a feature each)
 GANG_ROWS = 1 << 20                 # more rows than these are learnt from by tasks that run at once, where they can
 GANG_TASKS = 64                     # so many at most: each reads a table of every other
-GANG_ROUNDS = 50                    # rounds of one job of such tasks; it begins by adding the trees before to the scores
+GANG_ROUNDS = 250                   # rounds of one job of such tasks; it begins by adding the trees before to the scores
+SLICE_ROWS = 1 << 15                # rows of one step whose arrays stay in a core's cache
 MAIL_SECONDS = 900.0                # a table that another task has not sent by then will not come
 DRIVER_BYTES = 1 << 25              # tables of a pass that the driver adds up itself; more go through a tree of partial sums
 TASK_ROWS = (1 << 15, 1 << 22)      # rows a task has at least where there are enough, and at most
@@ -438,6 +439,7 @@ class _Mail:
 
     def __init__(self, folder: str, me: int, tasks: int):
         self.folder, self.me, self.tasks, self.turn, self.sent = folder, me, tasks, 0, []
+        self.last = False               # set by a task that wants to end; after a sum, whether any does
         os.makedirs(folder, exist_ok=True)
 
     def _send(self, a: np.ndarray) -> None:
@@ -460,12 +462,14 @@ class _Mail:
     def sum(self, a: np.ndarray) -> np.ndarray:
         """The sum over all tasks. All of them have read what was sent before: it is deleted."""
         old, self.sent = self.sent, []
-        self._send(a)
-        total = self._add(a)
+        mine = np.append(a.ravel(), float(self.last))
+        self._send(mine)
+        total = self._add(mine)
         for path in old:
             os.remove(path)
         self.turn += 1
-        return total
+        self.last = bool(total[-1] > 0)
+        return total[:-1].reshape(a.shape)
 
     def sum_at_first(self, a: np.ndarray) -> np.ndarray | None:
         """The same for task 0 only; the others go on."""
@@ -476,38 +480,65 @@ class _Mail:
         return total
 
 
-def _together(plan: list, first: int, last: int, trees: list[Tree], start: float, penalty: Penalty, leaves: int, rate: float,
-              bins: int, row_share: float, has_val: bool, width: int, folder: str, tasks: int):
-    """Rounds ``first`` to ``last - 1`` in ``tasks`` tasks that run at once; task 0 gives (tree, AUC of the trees before) of
-    every round. ``trees`` are those of the rounds before: a task that is run again needs nothing that another one kept."""
+def _add_values(raw: np.ndarray, tree: Tree, x: np.ndarray) -> None:
+    """Adds a tree's values to the scores, in place; ``x`` has a row for every feature."""
+    value, leaf_of = np.array(tree.value), tree.look_ups() if len(tree.n) < 2 * 64 else tree.leaf_of
+    for i in range(0, len(raw), SLICE_ROWS):
+        raw[i:i + SLICE_ROWS] += value.take(leaf_of(x[:, i:i + SLICE_ROWS].T))
+
+
+def _slopes_of(raw: np.ndarray, rows: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients and hessians of the given rows; ``y`` and ``w`` are theirs."""
+    g, h = np.empty(len(rows)), np.empty(len(rows))
+    for i in range(0, len(rows), SLICE_ROWS):
+        s = slice(i, i + SLICE_ROWS)
+        g[s], h[s] = _slopes(_probability(raw.take(rows[s])), y[s], w[s])
+    return g, h
+
+
+def _kept(curve: list[float]) -> int:
+    """How many rounds are kept: those up to the first best AUC."""
+    return int(np.argmax(curve)) + 1
+
+
+def _together(plan: list, first: int, last: int, before: list, start: float, penalty: Penalty, leaves: int, rate: float,
+              bins: int, row_share: float, has_val: bool, patience: int, every: bool, folder: str, tasks: int):
+    """Rounds ``first`` to ``last - 1``, or to the one that ends training, in ``tasks`` tasks that run at once; task 0 gives
+    (tree, AUC of the trees before) of each. ``before`` has those of the rounds before: a task that is run again needs
+    nothing that another one kept. ``every``: all rows and features are taken."""
     def run(blocks):
         ctx = BarrierTaskContext.get()
         box = ctx.allGather(uuid.uuid4().hex[:12])[0]          # a second try finds no tables of the first
         mail = _Mail(f"{folder}/{first}-{box}", ctx.partitionId(), tasks)
         blocks = list(blocks)
+        width = max((b["x"].shape[1] for b in blocks), default=1 + max(max(chosen) for chosen, _ in plan))
         x = np.concatenate([np.empty((width, 0), np.uint8), *(b["x"].T for b in blocks)], axis=1)
         y, w, val, key = (np.concatenate([np.empty(0, kind), *(b[c] for b in blocks)])
                           for c, kind in (("y", float), ("w", float), ("val", bool), ("key", np.int64)))
         del blocks
-        raw, bag = np.full(len(y), start), None
+        raw, bag, curve = np.full(len(y), start), None, [auc for _, auc in before[1:]]
         judged, bad = np.flatnonzero(val), y[val] > 0
-        grown = trees[-1] if trees else None
-        for tree in trees[:-1]:
-            raw += np.array(tree.value).take(tree.leaf_of(x.T))
+        for tree, _ in before:
+            _add_values(raw, tree, x)
         for t in range(first, last):
             chosen, seed = plan[t]
-            if grown:
-                raw += np.array(grown.value).take(grown.leaf_of(x.T))
             scores = mail.sum_at_first(_range_counts(_probability(raw.take(judged)), bad).astype(float)) if has_val else None
+            auc = None if scores is None else _auc(scores)
+            if t and auc is not None:
+                curve.append(auc)
+                mail.last = t - _kept(curve) >= patience
             grown = None
             if t < len(plan) - 1:
                 if seed != bag:
                     bag, rows = seed, np.flatnonzero(_taken(key, val, seed, row_share))
                     taken = x.take(rows, axis=1), y.take(rows), w.take(rows)
-                g, h = _slopes(_probability(raw.take(rows)), *taken[1:])
+                g, h = _slopes_of(raw, rows, *taken[1:])
                 grown = _grow_rows([taken[0][f] for f in chosen], g, h, chosen, penalty, leaves, rate, bins, mail.sum)
+                _add_values(raw, grown, x)
             if not mail.me:
-                yield grown, None if scores is None else _auc(scores)
+                yield grown, auc
+            if mail.last or grown and grown.left[0] < 0 and every:
+                break
     return run
 
 
@@ -668,6 +699,7 @@ def fit(data: DataFrame, features: list[str], *, weight: str = "w_pos", rounds:
     rnd = np.random.default_rng(seed)
     plan = [(sorted(rnd.choice(len(features), max(1, round(feature_share * len(features))), replace=False).tolist()), seed + t // row_every + 1)
             for t in range(rounds + 1)]
+    every = row_share >= 1.0 and feature_share >= 1.0
 
     def alone():
         """(tree, AUC of the trees before) of each round, where there is one partition."""
@@ -694,8 +726,8 @@ def fit(data: DataFrame, features: list[str], *, weight: str = "w_pos", rounds:
             state.count()
             while len(done) <= rounds:
                 t = len(done)
-                out = state.barrier().mapPartitions(_together(plan, t, min(t + GANG_ROUNDS, rounds + 1), [g for g, _ in done], start, penalty, leaves,
-                                                              rate, bins, row_share, has_val, len(features), folder, tasks)).collect()
+                out = state.barrier().mapPartitions(_together(plan, t, min(t + GANG_ROUNDS, rounds + 1), list(done), start, penalty, leaves, rate, bins,
+                                                              row_share, has_val, patience, every, folder, tasks)).collect()
                 done += out
                 yield from out
         except Py4JJavaError:
@@ -741,12 +773,11 @@ def fit(data: DataFrame, features: list[str], *, weight: str = "w_pos", rounds:
     for t, (grown, auc) in enumerate(steps):
         if t and has_val:
             curve.append(auc)
-            if curve[-1] > curve[kept - 1] or not kept:
-                kept = t
+            kept = _kept(curve)
             if t - kept >= patience:
                 break
         # a root without a split only shifts all scores: nothing further to learn from these rows
-        if grown is None or (grown.left[0] < 0 and row_share >= 1.0 and feature_share >= 1.0):
+        if grown is None or (grown.left[0] < 0 and every):
             break
         trees.append(grown)
     steps.close()

@@ -147,7 +147,7 @@ def test_one_partition_makes_many_rounds_in_a_job(spark, table, monkeypatch):
     assert led == 0 and led_spread == 25
 
 
-def _split_over_tasks(monkeypatch, at_once, rounds_a_job=7):
+def _split_over_tasks(monkeypatch, at_once, rounds_a_job=3):
     monkeypatch.setattr(B, "LOCAL_ROWS", 0)
     monkeypatch.setattr(B, "TASK_ROWS", (50, 1 << 22))
     monkeypatch.setattr(B, "GANG_ROWS", 0 if at_once else 1 << 20, raising=False)
@@ -164,22 +164,45 @@ def test_tasks_at_once_make_many_rounds_in_a_job(spark, table, monkeypatch, spli
     def fit(at_once):
         _split_over_tasks(monkeypatch, at_once)
         calls.clear()
-        model = B.fit(data, list(features), rounds=16, patience=16, **dict(RULES, row_share=share, feature_share=share))
+        model = B.fit(data, list(features), rounds=8, patience=8, **dict(RULES, row_share=share, feature_share=share))
         return model.trees, model.curve, len(calls)
 
     *passes, led = fit(False)
     *at_once, led_at_once = fit(True)
-    assert passes == at_once and len(at_once[0]) and led == 16 and led_at_once == 0
+    assert passes == at_once and len(at_once[0]) and led == 8 and led_at_once == 0
+
+
+def test_tasks_at_once_end_with_training(spark, table, monkeypatch):
+    """They stop at the round that the patience ends with, one job or several, and where no split is left."""
+    given = []
+    real = B._together
+    monkeypatch.setattr(B, "_together", lambda *a: given.append(a[1]) or real(*a))
+    rules = dict(RULES, row_share=0.8, feature_share=0.7)
+
+    def fit(at_once, data, rounds_a_job=1, **more):
+        _split_over_tasks(monkeypatch, at_once, rounds_a_job)
+        given.clear()
+        model = B.fit(data, list("abc"), **more)
+        return model.trees, model.curve, model.rounds
+
+    args = dict(rounds=60, rate=0.9, patience=3, **rules)
+    want = fit(False, table, **args)
+    assert len(want[1]) == want[2] + 3 < 60
+    for rounds_a_job in (4, 100):
+        assert fit(True, table, rounds_a_job, **args) == want
+        assert given == list(range(0, len(want[1]) + 1, rounds_a_job))
+    one = table.withColumn("y", F.lit(1))
+    assert fit(True, one, 100, rounds=60, **RULES) == fit(False, one, rounds=60, **RULES)
 
 
 def test_tasks_at_once_without_rows_take_part(spark, monkeypatch):
     """Equal rows lie in one task: others have none, and still add their empty tables."""
-    rows = [(float(i % 3), int(i % 5 < i % 3), "val" if i % 4 == 3 else "train", 1.0) for i in range(300)]
-    data = spark.createDataFrame(rows, "a double, y int, split string, w double")
+    rows = [(float(i % 3), float(i % 2), int(i % 5 < i % 3), "val" if i % 4 == 3 else "train", 1.0) for i in range(300)]
+    data = spark.createDataFrame(rows, "a double, b double, y int, split string, w double")
 
     def fit(at_once):
         _split_over_tasks(monkeypatch, at_once)
-        model = B.fit(data, ["a"], rounds=5, **dict(RULES, row_share=0.6))
+        model = B.fit(data, ["a", "b"], rounds=5, **dict(RULES, row_share=0.6, feature_share=0.5))
         return model.trees, model.curve
 
     assert fit(True) == fit(False)
