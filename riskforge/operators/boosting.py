@@ -424,11 +424,13 @@ def _grow_rows(x, g: np.ndarray, h: np.ndarray, features: list[int], penalty: Pe
                     at = np.flatnonzero(side)
                     where[child] = at if r is None else r.take(at)
             r = where[v]
-            weights = (g, h, None) if r is None else (g.take(r), h.take(r), None)
-            for i in range(len(features)):
-                k = (x[i] if r is None else x[i].take(r)).astype(np.intp)        # once, not in every count
-                for j, w in enumerate(weights):
-                    sums[i, j] = np.bincount(k, w, bins)
+            for at in range(0, len(g) if r is None else len(r), SLICE_ROWS):
+                part = slice(at, at + SLICE_ROWS)
+                weights = (g[part], h[part], None) if r is None else (g.take(r[part]), h.take(r[part]), None)
+                for i in range(len(features)):
+                    k = (x[i][part] if r is None else x[i].take(r[part])).astype(np.intp)        # once, not in every count
+                    for j, w in enumerate(weights):
+                        sums[i, j] += np.bincount(k, w, bins)
         return (merge(out) if merge else out).transpose(0, 1, 3, 2), None
 
     return grow(tables, features, penalty, leaves, rate, ahead=merge is not None)[0]
@@ -641,7 +643,8 @@ class BoostedModel:
                 for value, leaf_of in steps:
                     raw += value.take(leaf_of(x.T))
                 yield pd.Series(1.0 / (1.0 + np.exp(-raw)))
-        return df.withColumn("score", p(*(F.col(f).cast("double") for f in self.features)))
+        # as if not deterministic: a filter on the score would be made below it, by scoring all rows once more
+        return df.withColumn("score", p.asNondeterministic()(*(F.col(f).cast("double") for f in self.features)))
 
     def table(self, spark: SparkSession) -> DataFrame:
         """One row per node; leaves have left = -1. Node -1 of tree -1 holds the starting score."""

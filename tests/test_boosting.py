@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskforge.operators import boosting as B
+from riskforge.operators.ranking import auc_ks
 
 RULES = dict(leaves=6, min_rows=4, l1=0.1, l2=0.1, feature_share=1.0, row_share=1.0, max_bins=16, weight="w")
 
@@ -337,3 +338,15 @@ def test_rows_are_scored_by_bins_of_the_thresholds(spark, monkeypatch):
     wide = B.BoostedModel(["a"], 0.0, [dict(many, threshold=[float(i), None, None]) for i in range(300)])
     up = [r["score"] for r in wide.transform(spark.createDataFrame([(-1.0,), (149.5,), (400.0,)], "a double")).collect()]
     assert up[0] < 1e-9 and up[1] == 0.5 and up[2] > 1 - 1e-9
+
+
+def test_rows_are_scored_once_for_their_metrics(spark):
+    """The filter of the histogram on the score was made below the projection, which scored every row twice."""
+    tree = {"feature": ["a", None, None], "threshold": [0.5, None, None], "left": [1, -1, -1], "right": [2, -1, -1], "value": [0.0, -1.0, 1.0],
+            "gain": [1.0, 0.0, 0.0], "n": [2, 1, 1]}
+    df = spark.createDataFrame([(float(i % 2), i % 2) for i in range(20)], "a double, y int")
+    model = B.BoostedModel(["a"], 0.0, [tree])
+    got = auc_ks(model.transform(df), F.col("y"), F.col("score")).collect()
+    assert got[0]["auc"] == 1.0 and got[0]["n"] == 20
+    plan = model.transform(df).where(F.col("score").isNotNull()).groupBy("score").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
